@@ -368,9 +368,9 @@ def _dml_inputs(t: DriverTables) -> tuple[DataFrame, DataFrame]:
     users = an.users_of(t.customer)
     target = users.filter(F.col("user_id") % 3 != 0)
     first = F.when(F.col("event_id") % 2 == 0, F.lit("Even")).otherwise(F.lit("Odd"))
-    batch = (t.events.join(users.select("user_id", "last_name", "gender"),
-                           t.events.user_id == users.user_id)
-             .select(users.user_id, first.alias("first_name"), "last_name", "gender",
+    ev = t.events.select(F.col("user_id").cast("int").alias("user_id"), "event_id", "ts", "event_type")
+    batch = (ev.join(users.select("user_id", "last_name", "gender"), "user_id")
+             .select("user_id", first.alias("first_name"), "last_name", "gender",
                      F.col("event_type").alias("level"), "ts", "event_id"))
     return target, batch
 
@@ -431,7 +431,7 @@ def q_profile_text(spark, sf):
 
 
 def q_profile_numeric(spark, sf):
-    p = profile.profile_numeric(DriverTables(spark, sf).orders, ["o_totalprice", "o_custkey"])
+    p = profile.profile_numeric(DriverTables(spark, sf).lineitem, ["l_quantity", "l_discount", "l_tax"])
     return _r6(p, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

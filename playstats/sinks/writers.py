@@ -29,6 +29,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None, fmt: str = "parquet",
                 max_records_per_file: int | None = None) -> str:
     w = df.write.mode(mode).format(fmt)
+    if fmt in ("json", "csv"):  # text formats default to millisecond timestamps
+        w = (w.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if max_records_per_file:

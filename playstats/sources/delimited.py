@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 NULL_TOKEN = "NULL"
+_NO_TOKEN = "\u0001"  # a marker no text field holds
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType,
@@ -22,5 +23,8 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType,
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              header: bool = False) -> DataFrame:
     """Comma-separated variant without a null token (NULL is an empty field)."""
+    # An unquoted empty field is NULL and a quoted "" is the empty string: the
+    # reader only keeps them apart when its null marker is not "" itself.
     return (spark.read.schema(schema).option("header", str(header).lower())
-            .option("quote", '"').option("escape", '"').option("mode", "FAILFAST").csv(path))
+            .option("quote", '"').option("escape", '"').option("nullValue", _NO_TOKEN)
+            .option("mode", "FAILFAST").csv(path))
