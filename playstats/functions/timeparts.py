@@ -32,8 +32,17 @@ def floor_to_second(ts: Column | str) -> Column:
 
 
 def ntz_to_epoch_ms(ts: Column | str) -> Column:
-    """Milliseconds since 1970-01-01 of a TIMESTAMP_NTZ value (zone-free)."""
-    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH), _c(ts))
+    """Milliseconds since 1970-01-01 of a TIMESTAMP_NTZ value.
+
+    Built from calendar parts (days since the epoch date plus time of day),
+    which are zone-free for NTZ; ``timestampdiff`` on NTZ values would pass
+    through the session zone and move by an hour across DST changes."""
+    t = _c(ts)
+    days = F.date_diff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    sec = F.extract(F.lit("SECOND"), t)
+    ms_of_day = (F.hour(t).cast("long") * 3_600_000 + F.minute(t).cast("long") * 60_000
+                 + F.floor(sec * 1000).cast("long"))
+    return days * 86_400_000 + ms_of_day
 
 
 def time_part_columns(ts: Column | str) -> dict[str, Column]:

@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import json
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    s = (SparkSession.builder.master("local[*]")
+         .appName("playstats-tests")
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.ui.enabled", "false")
+         .getOrCreate())
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+
+
+def write_lines(path, objects, raw_lines=()):
+    """JSON Lines file from dicts (plus optional raw lines, e.g. mixed types)."""
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as fh:
+        for o in objects:
+            fh.write(json.dumps(o) + "\n")
+        for line in raw_lines:
+            fh.write(line + "\n")
+    return path
+
+
+def song(song_id, title, artist_id, year, duration, name, location="", lat=None, lon=None):
+    return {"num_songs": 1, "artist_id": artist_id, "artist_latitude": lat, "artist_longitude": lon,
+            "artist_location": location, "artist_name": name, "song_id": song_id, "title": title,
+            "duration": duration, "year": year}
+
+
+def play(ts, user, first, last, gender, level, artist=None, song_=None, length=None, page="NextSong",
+         session=1, location="Paris", agent="Mozilla", item=0):
+    return {"artist": artist, "auth": "Logged In", "firstName": first, "gender": gender,
+            "itemInSession": item, "lastName": last, "length": length, "level": level,
+            "location": location, "method": "PUT", "page": page, "registration": 1.5e12,
+            "sessionId": session, "song": song_, "status": 200, "ts": ts, "userAgent": agent,
+            "userId": user}
+
+
+@pytest.fixture()
+def song_tree(tmp_path):
+    """Song folder with the FIXTURES.md edge rows."""
+    root = tmp_path / "song_data"
+    s1 = song("SOA", "Song A", "AR1", 2001, 218.93179, "Artist One", "", None, None)
+    s2 = song("SOB", "007", "AR1", 0, 100.5, "Artist One", "", None, None)
+    s3 = song("SOC", "Tab\there", "AR2", 1999, 300.25, "Artist Two", 'Town, "Q"', 48.85, 2.35)
+    s4 = song("SOD", "Same", "AR3", 2010, 200.0, "Dup Artist", "X", 1.0, 1.0)
+    s5 = song("SOE", "Same", "AR3", 2010, 200.0, "Dup Artist", "X", 1.0, 1.0)
+    for i, s in enumerate([s1, s2, s3, s4, s5]):
+        write_lines(str(root / "A" / chr(65 + i) / f"{s['song_id']}.json"), [s])
+    write_lines(str(root / "B" / "copy.json"), [s1])                 # same song in two files
+    write_lines(str(root / ".ipynb_checkpoints" / "SOA-checkpoint.json"),
+                [song("SOZ", "Ghost", "AR9", 1, 1.0, "Ghost")])   # editor copy: not read
+    (root / "README.txt").write_text('{"song_id": "NOT_JSON_GLOB"}\n')  # stray text: not read
+    return str(root)
+
+
+@pytest.fixture()
+def log_tree(tmp_path):
+    """Activity-log folder: files listed out of time order, type-mixed userId,
+    non-NextSong rows with empty userId, duplicate rows and same-ms plays."""
+    root = tmp_path / "log_data"
+    day = 1541121934796  # 2018-11-02 01:25:34.796 UTC
+    later = [
+        play(day + 3_600_000, "88", "Ann", "Lee", "F", "free", item=3),
+        play(day + 60_000, "12", "Bob", None, "M", "free", "Artist One", "Song A", 218.93179, item=4),
+        play(day + 60_000, "13", "Cy", "Di", "M", "paid", "Artist One", "Song A", 218.931791, item=5),
+        play(day + 120_000, "14", "Ed", "Fu", "M", "paid", None, "Song A", 218.93179, location=None,
+             item=6),
+        play(day + 180_000, "15", "Gil", "Ho", "F", "free", "Dup Artist", "Same", 200.0, item=7),
+    ]
+    earlier = [
+        play(day, "88", "Ann", "Lee", "F", "paid", item=1),
+        play(day - 3_600_000, "88", "Ann", "Lee", "F", "free", item=0),
+        {**play(day + 5, "", "X", "Y", "M", "free", page="Home"), "userId": ""},
+        {**play(day + 6, "", "X", "Y", "M", "free", page=None)},
+    ]
+    write_lines(str(root / "2018" / "11" / "b.json"), later)
+    write_lines(str(root / "2018" / "10" / "a.json"), earlier,
+                raw_lines=[json.dumps({**play(day + 7_200_000, 88, "Ann", "Lee", "F", "free", item=9)})])
+    write_lines(str(root / "2018" / "12" / "dup.json"),
+                [play(day + 7_200_000, "88", "Ann", "Lee", "F", "free", item=9)])
+    return str(root)
