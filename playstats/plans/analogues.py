@@ -94,9 +94,10 @@ def views(events: DataFrame) -> DataFrame:
 
 def located_plays(t: DriverTables) -> DataFrame:
     """Plays (view events) with the star schema's songplays columns; location
-    is the nation of the user. The nation side is 25 rows: broadcast."""
+    is the nation of the user. Join strategies are the planner's: small
+    dimension sides are broadcast on their measured size, large ones shuffled."""
     cust = t.customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey", "c_mktsegment")
-    nat = F.broadcast(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"))
+    nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     v = views(t.events).select("event_id", "user_id", "value")
     return (v.join(cust, "user_id").join(nat, "c_nationkey")
             .select(F.col("event_id").alias("songplay_id"), F.col("event_id").alias("time_id"),
@@ -134,7 +135,7 @@ def log_records_of(t: DriverTables) -> DataFrame:
     e = t.events
     k = F.col("c_custkey")
     cust = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    nat = F.broadcast(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"))
+    nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     p = t.part.select(F.col("p_partkey").alias("event_id"), "p_brand", "p_name", "p_retailprice")
     is_view = F.col("event_type") == "view"
     j = (e.join(cust, e.user_id == cust.c_custkey).join(nat, "c_nationkey")

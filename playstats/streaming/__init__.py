@@ -1,0 +1,7 @@
+"""Streaming: not part of the surveyed system.
+
+The reference ingests its log folder once per run (no watermark, window, state
+or late data anywhere), so no streaming operator is registered. Batch ingest in
+``playstats.plans.star`` already reruns idempotently (overwrite) and checkpoints
+its numbered plays, which is what a re-run after executor loss needs.
+"""
