@@ -4,9 +4,8 @@
 One set-wise left join replaces a query per play. The catalog is reduced to one
 row per lookup key first (smallest song_id on ties), so the join never adds
 rows, and keys that contain NULL are dropped from it because ``=`` never matches
-NULL. Join strategy is left to the planner: AQE broadcasts the catalog when its
-measured size is under the broadcast threshold and falls back to a sort-merge
-join (with skew splitting of a hot play key) when it is not.
+NULL. The catalog is broadcast when its measured size is under the broadcast
+threshold; otherwise it is a sort-merge join in which hot songs are salted.
 """
 
 from __future__ import annotations
@@ -14,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playstats.operators.joins import skew_safe_join
+
 CATALOG_KEYS = ("name", "title", "duration")
 
 
@@ -36,15 +37,24 @@ def song_artist_catalog(songs: DataFrame, artists: DataFrame) -> DataFrame:
 
 def lookup_song_artist(plays: DataFrame, catalog: DataFrame, artist_col: str = "artist",
                        title_col: str = "song", length_col: str = "length",
-                       song_id_col: str = "song_id", artist_id_col: str = "artist_id") -> DataFrame:
-    """Left join every play to the catalog; unmatched plays get NULL ids."""
-    c = catalog.select(F.col("name").alias("_c_name"), F.col("title").alias("_c_title"),
-                       F.col("duration").alias("_c_duration"),
+                       song_id_col: str = "song_id", artist_id_col: str = "artist_id",
+                       hot_share: float | None = 0.01, salt_buckets: int = 32) -> DataFrame:
+    """Left join every play to the catalog; unmatched plays get NULL ids.
+
+    The same song may account for a large share of all plays, so by default
+    the join is :func:`playstats.operators.joins.skew_safe_join`: songs with at
+    least ``hot_share`` of the plays are spread over ``salt_buckets`` tasks.
+    ``hot_share=None`` gives the plain join (AQE's skew handling only)."""
+    keys = [artist_col, title_col, length_col]
+    c = catalog.select(F.col("name").alias(artist_col), F.col("title").alias(title_col),
+                       F.col("duration").alias(length_col),
                        F.col("song_id").alias(song_id_col), F.col("artist_id").alias(artist_id_col))
-    cond = ((plays[artist_col] == c["_c_name"]) & (plays[title_col] == c["_c_title"])
-            & (plays[length_col] == c["_c_duration"]))
-    keep = [plays[f"`{x}`"] for x in plays.columns if x not in (song_id_col, artist_id_col)]
-    return plays.join(c, cond, "left").select(*keep, c[song_id_col], c[artist_id_col])
+    p = plays.drop(song_id_col, artist_id_col)
+    if hot_share is None:
+        joined = p.join(c, keys, "left")
+    else:
+        joined = skew_safe_join(p, c, keys, "left", hot_share, salt_buckets)
+    return joined.select(*[F.col(f"`{x}`") for x in p.columns], song_id_col, artist_id_col)
 
 
 def lookup_point(catalog: DataFrame, artist: str, title: str, duration) -> DataFrame:

@@ -65,3 +65,33 @@ def test_head_tail_and_slices(spark):
     assert [r.id for r in head_tail(df, 3, ["id"]).collect()] == [0, 1, 2, 19, 18, 17]
     assert [r.id for r in slice_rows(df, ["id"], 3, 6).orderBy("id").collect()] == [3, 4, 5]
     assert sorted(r.id for r in slice_rows(df, ["id"], 15).collect()) == [15, 16, 17, 18, 19]
+
+
+def test_skew_safe_join_spreads_hot_key_and_keeps_rows(spark):
+    from playstats.operators.joins import skew_safe_join
+
+    big = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 100).alias("k"), "id")
+    big = big.union(spark.createDataFrame([(None, -1)], "k long, id long"))
+    small = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    keys = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        got = skew_safe_join(big, small, ["k"], "left", hot_share=0.05, salt_buckets=16)
+        plain = big.join(small, "k", "left")
+        assert got.count() == plain.count() == 30_001
+        assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+        per_task = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert max(r["count"] for r in per_task) < 10_000 // 2   # the 10k hot rows are split
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
