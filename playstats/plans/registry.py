@@ -19,6 +19,7 @@ from playstats.functions.cleaning import clean_frame, split_numeric
 from playstats.functions.text import full_name
 from playstats.functions.timeparts import epoch_ms_to_start_time, ntz_to_epoch_ms, time_part_columns
 from playstats.operators import profile, quality
+from playstats.operators.joins import skew_safe_join
 from playstats.plans import analogues as an
 from playstats.plans import catalog, reports, star
 from playstats.scratch import scratch_path
@@ -369,7 +370,7 @@ def _dml_inputs(t: DriverTables) -> tuple[DataFrame, DataFrame]:
     target = users.filter(F.col("user_id") % 3 != 0)
     first = F.when(F.col("event_id") % 2 == 0, F.lit("Even")).otherwise(F.lit("Odd"))
     ev = t.events.select(F.col("user_id").cast("int").alias("user_id"), "event_id", "ts", "event_type")
-    batch = (ev.join(users.select("user_id", "last_name", "gender"), "user_id")
+    batch = (skew_safe_join(ev, users.select("user_id", "last_name", "gender"), ["user_id"], "inner")
              .select("user_id", first.alias("first_name"), "last_name", "gender",
                      F.col("event_type").alias("level"), "ts", "event_id"))
     return target, batch
