@@ -35,19 +35,47 @@ def hot_keys(big: DataFrame, keys: Sequence[str], hot_share: float) -> DataFrame
             .select(*keys))
 
 
+def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool):
+    cond = None
+    for lcol, rcol in pairs:
+        e = left[f"`{lcol}`"].eqNullSafe(right[rcol]) if null_safe else left[f"`{lcol}`"] == right[rcol]
+        cond = e if cond is None else cond & e
+    return cond
+
+
 def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
-                   hot_share: float = 0.01, salt_buckets: int = 32) -> DataFrame:
+                   hot_share: float = 0.01, salt_buckets: int = 32,
+                   null_safe: bool = False) -> DataFrame:
     """``big.join(small, keys, how)`` for ``small`` unique per ``keys``, with
     hot keys of ``big`` spread over ``salt_buckets`` tasks. Output columns are
-    those of the plain using-join."""
-    if how not in ("left", "left_outer", "inner", "left_semi", "left_anti"):
+    those of the plain using-join (big's columns, then small's non-key
+    columns; big's only for semi/anti). ``null_safe=True`` matches NULL keys
+    to NULL keys (``<=>``), as grouping does."""
+    if how == "left_outer":
+        how = "left"
+    if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError("skew_safe_join keeps every big-side row once: left/inner/semi/anti only")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(big, keys, hot_share).withColumn("_hot", F.lit(True)))
+    hk = [f"_hk{i}" for i in range(len(keys))]
+    hot = F.broadcast(hot_keys(big, keys, hot_share)
+                      .select(*[F.col(f"`{k}`").alias(h) for k, h in zip(keys, hk)])
+                      .withColumn("_hot", F.lit(True)))
+
     content = [F.col(f"`{c}`") for c in big.columns]
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(F.spark_partition_id(), *content),
                                         F.lit(salt_buckets))).otherwise(F.lit(0))
-    b = big.join(hot, keys, "left").withColumn(SALT, salt.cast("int")).drop("_hot")
+    b = (big.join(hot, _match(big, hot, list(zip(keys, hk)), null_safe), "left")
+         .select(*content, salt.cast("int").alias(SALT)))
+
+    sk = [f"_sk{i}" for i in range(len(keys))]
+    rest = [c for c in small.columns if c not in keys]
+    s0 = small.select(*[F.col(f"`{k}`").alias(x) for k, x in zip(keys, sk)], *[F.col(f"`{c}`") for c in rest])
     fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
-    s = small.join(hot, keys, "left").withColumn(SALT, F.explode(fan)).drop("_hot")
-    return b.join(s, keys + [SALT], how).drop(SALT)
+    s = (s0.join(hot, _match(s0, hot, list(zip(sk, hk)), null_safe), "left")
+         .select(*sk, *rest, F.explode(fan).alias("_ssalt")))
+
+    cond = _match(b, s, list(zip(keys, sk)), null_safe) & (b[SALT] == s["_ssalt"])
+    out = b.join(s, cond, how)
+    if how in ("left_semi", "left_anti"):
+        return out.drop(SALT)
+    return out.select(*[b[f"`{c}`"] for c in big.columns], *[s[f"`{c}`"] for c in rest])

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from playstats.operators.joins import skew_safe_join
 from playstats.scratch import checkpoint_root
 
 
@@ -55,12 +56,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
 
 
 def _null_safe_semi(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    k = keys_df.select(*[F.col(f"`{c}`").alias(f"_k_{i}") for i, c in enumerate(keys)])
-    cond = None
-    for i, c in enumerate(keys):
-        e = df[f"`{c}`"].eqNullSafe(k[f"_k_{i}"])
-        cond = e if cond is None else cond & e
-    return df.join(k, cond, how)
+    """Rows of ``df`` whose key (NULL equal to NULL) is in ``keys_df`` (one row
+    per key); a hot key of ``df`` is salted over several tasks."""
+    return skew_safe_join(df, keys_df.select(*keys), keys, how, null_safe=True)
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> DataFrame:
