@@ -13,8 +13,13 @@ rows to one task. Here:
 3. Small-side rows of hot keys are replicated once per salt value. That is at
    most ``salt_buckets / hot_share`` extra rows, because the small side is
    unique per key.
-4. One sort-merge (or broadcast) join on ``keys + salt`` spreads each hot key
-   over ``salt_buckets`` tasks. No row is dropped or sampled.
+4. One sort-merge join on ``keys + salt`` spreads each hot key over
+   ``salt_buckets`` tasks. No row is dropped or sampled.
+
+When the small side has at most ``broadcast_rows`` rows, which a bounded
+``limit(n + 1).count()`` proves, it is broadcast instead. A broadcast join has
+no skew problem, so no salting is needed. Salting is used only beyond that
+bound.
 """
 
 from __future__ import annotations
@@ -35,6 +40,12 @@ def hot_keys(big: DataFrame, keys: Sequence[str], hot_share: float) -> DataFrame
             .select(*keys))
 
 
+def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. The check stops after
+    ``max_rows + 1`` rows, so it never counts a large frame fully."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool):
     cond = None
     for lcol, rcol in pairs:
@@ -45,7 +56,7 @@ def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
 
 def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
                    hot_share: float = 0.01, salt_buckets: int = 32,
-                   null_safe: bool = False) -> DataFrame:
+                   null_safe: bool = False, broadcast_rows: int | None = 1_000_000) -> DataFrame:
     """``big.join(small, keys, how)`` for ``small`` unique per ``keys``, with
     hot keys of ``big`` spread over ``salt_buckets`` tasks. Output columns are
     those of the plain using-join (big's columns, then small's non-key
@@ -56,6 +67,16 @@ def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: s
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError("skew_safe_join keeps every big-side row once: left/inner/semi/anti only")
     keys = list(keys)
+    sk = [f"_sk{i}" for i in range(len(keys))]
+    rest = [c for c in small.columns if c not in keys]
+    s0 = small.select(*[F.col(f"`{k}`").alias(x) for k, x in zip(keys, sk)], *[F.col(f"`{c}`") for c in rest])
+    if broadcast_rows is not None and fits_broadcast(small, broadcast_rows):
+        sb = F.broadcast(s0)
+        out = big.join(sb, _match(big, sb, list(zip(keys, sk)), null_safe), how)
+        if how in ("left_semi", "left_anti"):
+            return out
+        return out.select(*[big[f"`{c}`"] for c in big.columns], *[sb[f"`{c}`"] for c in rest])
+
     hk = [f"_hk{i}" for i in range(len(keys))]
     hot = F.broadcast(hot_keys(big, keys, hot_share)
                       .select(*[F.col(f"`{k}`").alias(h) for k, h in zip(keys, hk)])
@@ -67,9 +88,6 @@ def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: s
     b = (big.join(hot, _match(big, hot, list(zip(keys, hk)), null_safe), "left")
          .select(*content, salt.cast("int").alias(SALT)))
 
-    sk = [f"_sk{i}" for i in range(len(keys))]
-    rest = [c for c in small.columns if c not in keys]
-    s0 = small.select(*[F.col(f"`{k}`").alias(x) for k, x in zip(keys, sk)], *[F.col(f"`{c}`") for c in rest])
     fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
     s = (s0.join(hot, _match(s0, hot, list(zip(sk, hk)), null_safe), "left")
          .select(*sk, *rest, F.explode(fan).alias("_ssalt")))

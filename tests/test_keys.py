@@ -83,8 +83,11 @@ def test_skew_safe_join_spreads_hot_key_and_keeps_rows(spark):
     for k, v in keys.items():
         spark.conf.set(k, v)
     try:
-        got = skew_safe_join(big, small, ["k"], "left", hot_share=0.05, salt_buckets=16)
+        got = skew_safe_join(big, small, ["k"], "left", hot_share=0.05, salt_buckets=16,
+                             broadcast_rows=None)
         plain = big.join(small, "k", "left")
+        small_path = skew_safe_join(big, small, ["k"], "left", broadcast_rows=1000)
+        assert small_path.exceptAll(plain).count() == 0 and small_path.count() == 30_001
         assert got.count() == plain.count() == 30_001
         assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
         per_task = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
