@@ -83,6 +83,7 @@ def test_table_insert_upsert_and_swap(spark):
 def test_catalog_reset_and_listing(spark):
     db = catalog.fresh_table_name("wh")
     assert catalog.reset_warehouse(spark, db, scratch_path(spark, db))
+    assert db in [r.database for r in catalog.list_databases(spark).collect()]
     names = [r.table_name for r in catalog.list_tables(spark, db).collect()]
     assert names == ["artists", "songplays", "songs", "times", "users"]
     assert catalog.reset_warehouse(spark, db, scratch_path(spark, db))   # rerun is fine
