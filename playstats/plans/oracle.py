@@ -69,13 +69,13 @@ TIMES = """
     FROM events WHERE event_type = 'view'"""
 
 # NextSong log lines after cleaning ('' -> NULL, tab removed, userId -> INT), numbered in
-# time order with every other source column as tie-break (declared fields, then extra ones).
+# time order with every other declared field as tie-break (rows equal in all of them are
+# interchangeable, so their order does not change any result).
 CLEAN_PLAYS = """
     SELECT *, row_number() OVER (ORDER BY ts, artist NULLS FIRST, firstName NULLS FIRST,
              gender NULLS FIRST, lastName NULLS FIRST, length NULLS FIRST, level NULLS FIRST,
              location NULLS FIRST, page NULLS FIRST, sessionId NULLS FIRST, song NULLS FIRST,
-             userAgent NULLS FIRST, userId NULLS FIRST, auth NULLS FIRST,
-             itemInSession NULLS FIRST) - 1 AS songplay_id
+             userAgent NULLS FIRST, userId NULLS FIRST) - 1 AS songplay_id
     FROM (
       SELECT p.p_brand AS artist, 'Logged In' AS auth,
              split_part(c.c_name, '#', 1) AS firstName,

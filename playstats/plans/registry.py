@@ -124,8 +124,8 @@ def q_scan_json_lines(spark, sf):
 def q_scan_with_filename(spark, sf):
     t = DriverTables(spark, sf)
     root = _events_json(t, scratch_path(spark, "scan_with_filename"), copies=False)
-    df = files.with_source_file(files.read_json_lines(spark, root, _events_schema(t), distinct=False,
-                                                      undeclared="drop"))
+    df = files.read_json_lines(spark, root, _events_schema(t), distinct=False,
+                               source_file_col="source_file")
     return df.select("event_id", files.parent_folder("source_file").alias("folder"))
 
 
@@ -417,11 +417,12 @@ def q_check_row_counts(spark, sf):
 
 def q_check_rows_per_file(spark, sf):
     songs = an.song_records_of(DriverTables(spark, sf).part)
-    root = writers.write_table(songs, scratch_path(spark, "one_song_per_file"), fmt="json",
+    # one object per file, as the song folder is laid out; written by many tasks at once
+    spread = songs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    root = writers.write_table(spread, scratch_path(spark, "one_song_per_file"), fmt="json",
                                max_records_per_file=1)
     from playstats.schemas import SONG_SCHEMA
-    df = files.with_source_file(files.read_json_lines(spark, root, SONG_SCHEMA, distinct=False,
-                                                      undeclared="drop"))
+    df = files.read_json_lines(spark, root, SONG_SCHEMA, distinct=False, source_file_col="source_file")
     return quality.rows_per_file_check(df)
 
 

@@ -43,18 +43,42 @@ def merge_schema(declared: T.StructType, inferred: T.StructType) -> T.StructType
 
 
 def read_json_lines(spark: SparkSession, root: str, schema: T.StructType,
-                    glob: str = "*.json", distinct: bool = True,
-                    undeclared: str = "infer", sampling_ratio: float = 1.0) -> DataFrame:
-    """Scan every JSON Lines file below ``root`` as one table.
-
-    ``undeclared='infer'`` keeps fields the schema does not name (with inferred
-    types), so a full-row distinct does not merge two events that differ only in
-    such a field; this costs one inference pass, which a caller at scale avoids by
-    passing the complete schema with ``undeclared='drop'``.
-    Type-only duplicates (``88`` vs ``"88"`` for a text field) collapse, because
-    the reader yields the same text for both.
+                    glob: str = "*.json", distinct: bool = True, undeclared: str = "keep",
+                    sampling_ratio: float = 1.0, source_file_col: str | None = None) -> DataFrame:
+    """Scan every JSON Lines file below ``root`` as one table of the declared
+    fields; with ``distinct`` the full-row distinct of the reference.
+
+    ``undeclared`` decides how fields the schema does not name take part:
+
+    * ``'keep'`` (default, one pass): every line is parsed twice with
+      ``from_json``, into the declared struct and into a text map. The
+      undeclared non-null entries, sorted, join the distinct key and are then
+      dropped. Two events that differ only in such a field stay two rows.
+    * ``'infer'``: one inference pass over all files, then undeclared fields
+      are kept as columns with inferred types. This reads the data twice.
+    * ``'drop'``: declared fields only.
+
+    Type-only duplicates (``88`` vs ``"88"`` for a text field) collapse in every
+    mode, because the parser yields the same text for both.
     """
     _check_root(root)
+    if undeclared == "keep":
+        text = _reader(spark, glob).text(root)
+        if source_file_col:
+            text = text.withColumn(source_file_col, F.col("_metadata.file_path"))
+        text = text.filter(F.trim(F.col("value")) != "")          # blank lines are no records
+        names = [f.name for f in schema.fields]
+        as_map = F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType()))
+        extra = F.array_sort(F.map_entries(F.map_filter(
+            as_map, lambda k, v: ~k.isin(*names) & v.isNotNull())))
+        extra_cols = [source_file_col] if source_file_col else []
+        df = (text.select(F.from_json(F.col("value"), schema).alias("_rec"), extra.alias("_extra"),
+                          *extra_cols)
+              .select(*[F.col("_rec").getField(n).alias(n) for n in names], "_extra", *extra_cols))
+        if distinct:
+            df = df.dropDuplicates([*names, "_extra"]) if not extra_cols else df.dropDuplicates()
+        return df.drop("_extra")
+
     full = schema
     if undeclared == "infer":
         try:
@@ -65,13 +89,17 @@ def read_json_lines(spark: SparkSession, root: str, schema: T.StructType,
             if "UNABLE_TO_INFER_SCHEMA" not in str(exc) and "infer" not in str(exc).lower():
                 raise
     elif undeclared != "drop":
-        raise ValueError("undeclared must be 'infer' or 'drop'")
+        raise ValueError("undeclared must be 'keep', 'infer' or 'drop'")
     df = _reader(spark, glob).schema(full).json(root)
+    if source_file_col:
+        df = df.withColumn(source_file_col, F.col("_metadata.file_path"))
     return df.dropDuplicates() if distinct else df
 
 
 def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
-    """Add the provenance column (the file each row was read from)."""
+    """Add the provenance column (the file each row was read from) to a frame
+    straight from a file reader; ``read_json_lines(source_file_col=...)`` does
+    the same inside the scan."""
     return df.withColumn(name, F.col("_metadata.file_path"))
 
 

@@ -25,7 +25,9 @@ def test_song_scan_distinct_and_text_kept(spark, song_tree):
     assert sorted(rows) == ["SOA", "SOB", "SOC", "SOD", "SOE"]      # copy of SOA collapsed
     assert rows["SOB"].title == "007"                                 # no number inference
     assert str(rows["SOA"].duration) == "218.9317900000"             # exact decimal
-    assert "num_songs" in df.columns                                  # undeclared field kept
+    assert "num_songs" not in df.columns                              # declared fields only ...
+    wide = read_json_lines(spark, song_tree, SONG_SCHEMA, undeclared="infer")
+    assert "num_songs" in wide.columns and wide.count() == 5          # ... unless inferred
 
 
 def test_type_only_duplicates_collapse_but_extra_fields_count(spark, tmp_path):
@@ -33,16 +35,20 @@ def test_type_only_duplicates_collapse_but_extra_fields_count(spark, tmp_path):
     p = write_lines(str(tmp_path / "l" / "x.json"), [base, {**base, "extra": "b"}],
                     raw_lines=['{"ts": 1, "userId": 88, "page": "NextSong", "extra": "a"}'])
     assert p
-    df = read_json_lines(spark, str(tmp_path / "l"), LOG_SCHEMA)
-    assert df.count() == 2                                            # 88 == "88"; extra differs
+    for mode in ("keep", "infer"):
+        df = read_json_lines(spark, str(tmp_path / "l"), LOG_SCHEMA, undeclared=mode)
+        assert df.count() == 2                                        # 88 == "88"; extra differs
+    assert read_json_lines(spark, str(tmp_path / "l"), LOG_SCHEMA, undeclared="drop").count() == 1
 
 
 def test_rows_per_file_and_provenance(spark, song_tree):
     from playstats.operators.quality import rows_per_file_check
 
-    df = with_source_file(read_json_lines(spark, song_tree, SONG_SCHEMA, distinct=False))
+    df = read_json_lines(spark, song_tree, SONG_SCHEMA, distinct=False, source_file_col="source_file")
     r = rows_per_file_check(df).collect()[0]
     assert (r.n_rows, r.n_files, r.ok) == (6, 6, True)
+    plain = with_source_file(read_json_lines(spark, song_tree, SONG_SCHEMA, distinct=False, undeclared="drop"))
+    assert plain.select("source_file").distinct().count() == 6
 
 
 def test_empty_folder_gives_no_rows(spark, tmp_path):
