@@ -108,7 +108,7 @@ JSON_CATALOG = f"""
 
 DML_INPUTS = f"""
     u AS ({USERS}),
-    t AS (SELECT * FROM u WHERE user_id % 3 <> 0),
+    t AS (SELECT * FROM u WHERE level = 'free'),
     b AS (SELECT u.user_id, CASE WHEN e.event_id % 2 = 0 THEN 'Even' ELSE 'Odd' END AS first_name,
                  u.last_name, u.gender, e.event_type AS level, e.ts, e.event_id
           FROM events e JOIN u ON e.user_id = u.user_id),

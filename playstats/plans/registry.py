@@ -174,8 +174,8 @@ def q_insert_rows(spark, sf):
     users = an.users_of(DriverTables(spark, sf).customer)
     name = catalog.fresh_table_name("users_insert")
     writers.create_table(spark, name, USERS, scratch_path(spark, "insert_rows"))
-    writers.insert_rows(spark, name, users.filter(F.col("user_id") % 2 == 0))
-    writers.insert_rows(spark, name, users.filter(F.col("user_id") % 2 == 1))
+    writers.insert_rows(spark, name, users.filter(F.col("level") == "paid"))
+    writers.insert_rows(spark, name, users.filter(F.col("level") == "free"))
     return spark.table(name)
 
 
@@ -367,7 +367,7 @@ def q_slice_rows(spark, sf):
 
 def _dml_inputs(t: DriverTables) -> tuple[DataFrame, DataFrame]:
     users = an.users_of(t.customer)
-    target = users.filter(F.col("user_id") % 3 != 0)
+    target = users.filter(F.col("level") == "free")       # stored: the free-tier users
     first = F.when(F.col("event_id") % 2 == 0, F.lit("Even")).otherwise(F.lit("Odd"))
     ev = t.events.select(F.col("user_id").cast("int").alias("user_id"), "event_id", "ts", "event_type")
     batch = (skew_safe_join(ev, users.select("user_id", "last_name", "gender"), ["user_id"], "inner")
