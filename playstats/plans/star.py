@@ -22,6 +22,7 @@ from playstats.scratch import checkpoint_root
 from playstats.sinks.writers import write_table
 from playstats.sources.files import read_json_lines
 
+# Fixed value: the log page that records a song play (must equal the source data's).
 NEXT_SONG = "NextSong"
 
 SONG_COLUMNS = ["song_id", "title", "artist_id", "year", "duration"]

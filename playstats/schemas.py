@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 
 DURATION = T.DecimalType(28, 10)
 
+# The source field names, the five target table names and their
+# column names below are those of the surveyed system and must stay equal to
+# them (``latitude`` is the one deliberate respelling, documented in SURVEY §1.4).
+
 # Song metadata, one JSON object per file (the 9 fields the ETL uses).
 SONG_SCHEMA = T.StructType([
     T.StructField("song_id", T.StringType()),
