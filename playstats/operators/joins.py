@@ -7,14 +7,18 @@ rows to one task. Here:
 1. hot keys = keys holding at least ``hot_share`` of the big side's rows. A
    partial aggregate counts them, and at most ``1 / hot_share`` keys can
    qualify, so the hot-key table has a proven size bound and is broadcast.
-2. Big-side rows of hot keys get a salt in ``[0, salt_buckets)``. It is
-   derived from the row's content and input partition, so it is the same when
-   a task is recomputed. All other rows get salt 0.
-3. Small-side rows of hot keys are replicated once per salt value. That is at
-   most ``salt_buckets / hot_share`` extra rows, because the small side is
+2. Each hot key gets a fan-out that grows with its size: ``ceil(rows /
+   rows_per_bucket)`` buckets, at most ``max_buckets`` (or a fixed
+   ``salt_buckets``). A third of a 100 TB table is spread over many tasks,
+   not 32.
+3. Big-side rows of hot keys get a salt in ``[0, buckets)``. It is derived
+   from the row's content and input partition, so it is the same when a task
+   is recomputed. All other rows get salt 0.
+4. Small-side rows of hot keys are replicated once per bucket. That is at
+   most ``max_buckets / hot_share`` extra rows, because the small side is
    unique per key.
-4. One sort-merge join on ``keys + salt`` spreads each hot key over
-   ``salt_buckets`` tasks. No row is dropped or sampled.
+5. One sort-merge join on ``keys + salt`` spreads each hot key over its
+   buckets. No row is dropped or sampled.
 
 When the small side has at most ``broadcast_rows`` rows, which a bounded
 ``limit(n + 1).count()`` proves, it is broadcast instead. A broadcast join has
@@ -33,11 +37,11 @@ SALT = "_salt"
 
 
 def hot_keys(big: DataFrame, keys: Sequence[str], hot_share: float) -> DataFrame:
-    """Keys with at least ``hot_share`` of all rows (at most 1/hot_share rows)."""
+    """Keys with at least ``hot_share`` of all rows and their row count
+    ``_n`` (at most 1/hot_share rows)."""
     total = big.select(F.count(F.lit(1))).scalar()
     return (big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") >= F.lit(float(hot_share)) * total)
-            .select(*keys))
+            .filter(F.col("_n") >= F.lit(float(hot_share)) * total))
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
@@ -55,10 +59,11 @@ def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
 
 
 def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
-                   hot_share: float = 0.01, salt_buckets: int = 32,
-                   null_safe: bool = False, broadcast_rows: int | None = 1_000_000) -> DataFrame:
+                   hot_share: float = 0.01, salt_buckets: int | None = None,
+                   null_safe: bool = False, broadcast_rows: int | None = 250_000,
+                   rows_per_bucket: int = 1_000_000, max_buckets: int = 65_536) -> DataFrame:
     """``big.join(small, keys, how)`` for ``small`` unique per ``keys``, with
-    hot keys of ``big`` spread over ``salt_buckets`` tasks. Output columns are
+    hot keys of ``big`` spread over several tasks each. Output columns are
     those of the plain using-join (big's columns, then small's non-key
     columns; big's only for semi/anti). ``null_safe=True`` matches NULL keys
     to NULL keys (``<=>``), as grouping does."""
@@ -78,17 +83,23 @@ def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: s
         return out.select(*[big[f"`{c}`"] for c in big.columns], *[sb[f"`{c}`"] for c in rest])
 
     hk = [f"_hk{i}" for i in range(len(keys))]
+    if salt_buckets is not None:
+        buckets = F.lit(int(salt_buckets))
+    else:
+        buckets = F.least(F.lit(int(max_buckets)),
+                          F.greatest(F.lit(2), F.ceil(F.col("_n") / F.lit(float(rows_per_bucket)))))
     hot = F.broadcast(hot_keys(big, keys, hot_share)
-                      .select(*[F.col(f"`{k}`").alias(h) for k, h in zip(keys, hk)])
+                      .select(*[F.col(f"`{k}`").alias(h) for k, h in zip(keys, hk)],
+                              buckets.cast("int").alias("_buckets"))
                       .withColumn("_hot", F.lit(True)))
 
     content = [F.col(f"`{c}`") for c in big.columns]
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(F.spark_partition_id(), *content),
-                                        F.lit(salt_buckets))).otherwise(F.lit(0))
+                                        F.col("_buckets"))).otherwise(F.lit(0))
     b = (big.join(hot, _match(big, hot, list(zip(keys, hk)), null_safe), "left")
          .select(*content, salt.cast("int").alias(SALT)))
 
-    fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
+    fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.col("_buckets") - 1)).otherwise(F.array(F.lit(0)))
     s = (s0.join(hot, _match(s0, hot, list(zip(sk, hk)), null_safe), "left")
          .select(*sk, *rest, F.explode(fan).alias("_ssalt")))
 

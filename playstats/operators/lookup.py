@@ -38,14 +38,15 @@ def song_artist_catalog(songs: DataFrame, artists: DataFrame) -> DataFrame:
 def lookup_song_artist(plays: DataFrame, catalog: DataFrame, artist_col: str = "artist",
                        title_col: str = "song", length_col: str = "length",
                        song_id_col: str = "song_id", artist_id_col: str = "artist_id",
-                       hot_share: float | None = 0.01, salt_buckets: int = 32,
-                       broadcast_rows: int | None = 1_000_000) -> DataFrame:
+                       hot_share: float | None = 0.01, salt_buckets: int | None = None,
+                       broadcast_rows: int | None = 250_000) -> DataFrame:
     """Left join every play to the catalog; unmatched plays get NULL ids.
 
     The same song may account for a large share of all plays, so by default
     the join is :func:`playstats.operators.joins.skew_safe_join`: songs with at
-    least ``hot_share`` of the plays are spread over ``salt_buckets`` tasks,
-    unless the catalog has at most ``broadcast_rows`` rows and is broadcast.
+    least ``hot_share`` of the plays are spread over tasks in proportion to
+    their size, unless the catalog has at most ``broadcast_rows`` rows and is
+    broadcast.
     ``hot_share=None`` gives the plain join (AQE's skew handling only)."""
     keys = [artist_col, title_col, length_col]
     c = catalog.select(F.col("name").alias(artist_col), F.col("title").alias(title_col),

@@ -67,6 +67,10 @@ def test_head_tail_and_slices(spark):
     assert sorted(r.id for r in slice_rows(df, ["id"], 15).collect()) == [15, 16, 17, 18, 19]
 
 
+def _same_rows(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_skew_safe_join_spreads_hot_key_and_keeps_rows(spark):
     from playstats.operators.joins import skew_safe_join
 
@@ -92,6 +96,11 @@ def test_skew_safe_join_spreads_hot_key_and_keeps_rows(spark):
         assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
         per_task = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert max(r["count"] for r in per_task) < 10_000 // 2   # the 10k hot rows are split
+        adaptive = skew_safe_join(big, small, ["k"], "left", hot_share=0.05, broadcast_rows=None,
+                                  rows_per_bucket=500)             # 10k hot rows -> 20 buckets
+        assert _same_rows(adaptive, plain)
+        per_task = adaptive.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert max(r["count"] for r in per_task) < 10_000 // 2
     finally:
         for k, v in old.items():
             if v is None:
