@@ -1,6 +1,6 @@
 from playstats.sinks.dml import delete_by_key, insert_if_absent, replace_contents, upsert
-from playstats.sinks.writers import (conform, create_table, insert_rows, write_csv, write_table,
-                                     write_tsv)
+from playstats.sinks.writers import (conform, create_table, insert_rows, save_bucketed_table, write_csv,
+                                     write_table, write_tsv)
 
 __all__ = ["delete_by_key", "insert_if_absent", "replace_contents", "upsert", "conform",
-           "create_table", "insert_rows", "write_csv", "write_table", "write_tsv"]
+           "create_table", "insert_rows", "save_bucketed_table", "write_csv", "write_table", "write_tsv"]

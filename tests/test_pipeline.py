@@ -56,6 +56,15 @@ def test_reports(built):
     assert reports.total_plays(sp).collect()[0].total_songplays == 8
 
 
+def test_catalog_tables_without_buckets(spark, song_tree, log_tree, tmp_path):
+    from playstats.plans import catalog
+
+    db = catalog.fresh_table_name("plain")
+    t = star.run_pipeline(spark, song_tree, log_tree, str(tmp_path / "plain"), database=db)
+    assert spark.table(f"{db}.times").count() == 8 and spark.table(f"{db}.songplays").count() == 8
+    assert t["users"].count() == 5
+
+
 def test_rerun_is_idempotent(spark, song_tree, log_tree, tmp_path):
     out = str(tmp_path / "again")
     first = star.run_pipeline(spark, song_tree, log_tree, out)["songplays"].count()
@@ -76,3 +85,21 @@ def test_strict_user_id_and_conflict_policy(spark, song_tree, tmp_path):
     assert star.build_artists(raw).count() == 1
     with pytest.raises(QualityError):
         star.build_artists(raw, on_conflict="error")
+
+
+def test_bucketed_star_joins_without_shuffle(spark, song_tree, log_tree, tmp_path):
+    from playstats.plans import catalog
+
+    db = catalog.fresh_table_name("star")
+    t = star.run_pipeline(spark, song_tree, log_tree, str(tmp_path / "bucketed"), database=db, buckets=4)
+    assert t["songplays"].count() == 8 and t["times"].count() == 8
+    q = reports.plays_by_hour(t["songplays"], t["times"])
+    assert [tuple(r) for r in q.collect()] == [(0, 1), (1, 5), (2, 1), (3, 1)]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        join = t["songplays"].join(t["times"], "time_id")
+        plan = join._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan   # co-located buckets
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
