@@ -103,3 +103,17 @@ def test_bucketed_star_joins_without_shuffle(spark, song_tree, log_tree, tmp_pat
         assert "SortMergeJoin" in plan and "Exchange" not in plan   # co-located buckets
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_sql_reports_equal_dataframe_reports(spark, built):
+    from decimal import Decimal
+
+    from playstats.plans import sql_reports as q
+
+    q.register_star(spark, built)
+    sp, users, times = built["songplays"], built["users"], built["times"]
+    assert q.run(spark, q.PLAYS_BY_HOUR).collect() == reports.plays_by_hour(sp, times).collect()
+    assert q.run(spark, q.PLAYS_BY_LOCATION).collect() == reports.plays_by_location(sp).collect()
+    assert q.run(spark, q.TOP_USERS).collect() == reports.top_users(sp, users).collect()
+    hit = q.run(spark, q.SONG_LOOKUP, artist="Dup Artist", title="Same", duration=Decimal("200")).collect()
+    assert [tuple(r) for r in hit] == [("SOD", "AR3")]
