@@ -389,6 +389,9 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'value', 'double', count(value) FROM events
         UNION ALL SELECT 'props', 'string', count(props) FROM events""",
 
+    # catalog: the query stores three tables derived from the data and lists them
+    "catalog_tables": "SELECT table_name FROM (VALUES ('artists'), ('songs'), ('users')) AS t(table_name)",
+
     # set operations
     "union_by_name": """
         SELECT s_suppkey AS key, s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal
