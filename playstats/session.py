@@ -30,3 +30,26 @@ def get_spark(app_name: str = "playstats", cpus: int | str | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for a run over ``input_bytes`` on ``total_cores``
+    executor cores, for a cluster session's builder (the library never sets
+    them itself).
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` each,
+    so a task's working set fits in executor memory. The initial shuffle
+    partition count covers the whole input (AQE coalesces small ones), with at
+    least three waves of tasks per core. AQE splits skewed join partitions.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+    }
