@@ -32,24 +32,28 @@ def get_spark(app_name: str = "playstats", cpus: int | str | None = None,
     return spark
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, split_bytes: int = 1 << 30,
+               advisory_bytes: int = 256 << 20, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
     """Session settings sized for a run over ``input_bytes`` on ``total_cores``
     executor cores, for a cluster session's builder (the library never sets
     them itself).
 
-    Scan splits and shuffle partitions aim at ``target_partition_bytes`` each,
-    so a task's working set fits in executor memory. The initial shuffle
-    partition count covers the whole input (AQE coalesces small ones), with at
-    least three waves of tasks per core. AQE splits skewed join partitions.
+    * Scan splits are ``split_bytes`` (Parquet scans stream row groups, so a
+      large split does not mean a large working set). This keeps the map task
+      count, and with it the driver's map-output tracking (maps × reducers),
+      manageable.
+    * The initial shuffle partition count covers the input at one split each,
+      with at least three waves per core, capped at ``max_shuffle_partitions``.
+      AQE then coalesces shuffle partitions to ``advisory_bytes`` and splits
+      skewed join partitions.
     """
-    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    parts = min(max_shuffle_partitions, max(3 * total_cores, -(-input_bytes // split_bytes)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes),
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
-        "spark.sql.parquet.filterPushdown": "true",
     }
