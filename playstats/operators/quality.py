@@ -94,6 +94,14 @@ def assert_not_null(df: DataFrame, columns: Sequence[str], table: str = "table")
     _fail_if_any(not_null_violations(df, columns), f"{table}: NOT NULL violated")
 
 
+def assert_row_counts_equal(a: DataFrame, b: DataFrame, name_a: str = "a", name_b: str = "b") -> None:
+    """Fail unless both tables hold the same number of rows (e.g. the 1:1 pair
+    songplays / times)."""
+    r = row_count_check(a, b, name_a).collect()[0]
+    if not r.ok:
+        raise QualityError(f"{name_a} has {r.expected_rows} rows but {name_b} has {r.loaded_rows}")
+
+
 def check_star(tables: dict[str, DataFrame]) -> None:
     """Every declared constraint of the five star tables (playstats.schemas)."""
     from playstats.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS

@@ -16,7 +16,7 @@ from playstats.functions.cleaning import clean_frame, to_number
 from playstats.functions.timeparts import epoch_ms_to_start_time, time_part_columns
 from playstats.operators.keys import assign_surrogate_id, keep_first, keep_last
 from playstats.operators.lookup import lookup_song_artist, song_artist_catalog
-from playstats.operators.quality import assert_primary_key, check_star
+from playstats.operators.quality import assert_primary_key, assert_row_counts_equal, check_star
 from playstats.schemas import LOG_SCHEMA, SONG_SCHEMA
 from playstats.scratch import checkpoint_root
 from playstats.sinks.writers import save_bucketed_table, write_table
@@ -148,4 +148,5 @@ def run_pipeline(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str,
     tables["songplays"] = store("songplays", build_songplays(plays, catalog), "time_id")
     if check:
         check_star(tables)
+        assert_row_counts_equal(tables["songplays"], tables["times"], "songplays", "times")
     return tables
