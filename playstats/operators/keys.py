@@ -84,23 +84,19 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
                       F.sum(F.col("_n") - 1).cast("long").alias("n_duplicates"))
 
 
-def assign_surrogate_id(df: DataFrame, order_by: Sequence[str | Column], id_col: str = "row_id",
-                        start: int = 0, num_partitions: int | None = None) -> DataFrame:
-    """Dense ids ``start, start+1, ...`` following ``order_by``; stable once built.
-
-    Range-partition on the order (sampled boundaries also split a hot value when
-    the order is total), number rows inside each partition, checkpoint to the
-    shared checkpoint folder (fixes boundaries and cuts lineage, so a lost
-    executor recomputes nothing differently), then add each partition's offset
-    from a table with one row per partition (broadcast: its size is bounded by
-    the partition count). No row ever passes through a single task.
+def number_sorted_partitions(df: DataFrame, id_col: str = "row_id", start: int = 0) -> DataFrame:
+    """Dense ids in the frame's current order, for a frame whose partitions are
+    already in global order (range-partitioned and sorted within partitions).
+
+    Rows are numbered inside each partition and checkpointed to the shared
+    checkpoint folder. That fixes the range boundaries and cuts lineage, so a
+    lost executor recomputes nothing differently. Each partition's offset then
+    comes from a table with one row per partition, broadcast because its size is
+    bounded by the partition count. No row passes through a single task.
     """
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    order = _cols(order_by)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
+    checkpoint_root(df.sparkSession)
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    staged = (df.withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
     per_part = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
@@ -108,8 +104,21 @@ def assign_surrogate_id(df: DataFrame, order_by: Sequence[str | Column], id_col:
     offsets = per_part.select("_pid", "_first",
                               F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     idx = F.col("_mid") - F.col("_first") + F.col("_off") + F.lit(start)
-    return (staged.join(F.broadcast(offsets), "_pid")
-            .select(*[F.col(f"`{c}`") for c in df.columns], idx.cast("long").alias(id_col)))
+    return staged.join(F.broadcast(offsets), "_pid").select(*cols, idx.cast("long").alias(id_col))
+
+
+def assign_surrogate_id(df: DataFrame, order_by: Sequence[str | Column], id_col: str = "row_id",
+                        start: int = 0, num_partitions: int | None = None) -> DataFrame:
+    """Dense ids ``start, start+1, ...`` following ``order_by``; stable once built.
+
+    Range-partition on the order (sampled boundaries also split a hot value when
+    the order is total), sort inside partitions, then
+    :func:`number_sorted_partitions`.
+    """
+    order = _cols(order_by)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return number_sorted_partitions(df.repartitionByRange(n, *order).sortWithinPartitions(*order),
+                                    id_col, start)
 
 
 def patch_by_key(df: DataFrame, patch: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

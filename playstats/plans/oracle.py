@@ -69,28 +69,32 @@ TIMES = """
     FROM events WHERE event_type = 'view'"""
 
 # NextSong log lines after cleaning ('' -> NULL, tab removed, userId -> INT), numbered in
-# time order with every other declared field as tie-break (rows equal in all of them are
-# interchangeable, so their order does not change any result).
+# event-time order with the raw fields as tie-break: the declared fields in schema order,
+# then the undeclared ones (sorted key/value text: auth, itemInSession).
 CLEAN_PLAYS = """
     SELECT *, row_number() OVER (ORDER BY ts, artist NULLS FIRST, firstName NULLS FIRST,
              gender NULLS FIRST, lastName NULLS FIRST, length NULLS FIRST, level NULLS FIRST,
-             location NULLS FIRST, page NULLS FIRST, sessionId NULLS FIRST, song NULLS FIRST,
-             userAgent NULLS FIRST, userId NULLS FIRST) - 1 AS songplay_id
+             raw_location NULLS FIRST, page NULLS FIRST, sessionId NULLS FIRST, song NULLS FIRST,
+             raw_userAgent NULLS FIRST, raw_userId NULLS FIRST, raw_auth NULLS FIRST,
+             raw_itemInSession NULLS FIRST) - 1 AS songplay_id
     FROM (
-      SELECT p.p_brand AS artist, 'Logged In' AS auth,
+      SELECT p.p_brand AS artist, 'Logged In' AS raw_auth,
              split_part(c.c_name, '#', 1) AS firstName,
              CASE WHEN c.c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
-             e.event_id AS itemInSession,
+             CAST(e.event_id AS VARCHAR) AS raw_itemInSession,
              CASE WHEN c.c_custkey % 11 = 0 THEN NULL ELSE split_part(c.c_name, '#', 2) END AS lastName,
              CAST(p.p_retailprice AS DECIMAL(28,10)) AS length,
              CASE WHEN e.value >= 50 THEN 'paid' ELSE 'free' END AS level,
+             CASE WHEN e.user_id % 9 = 0 THEN '' ELSE n.n_name END AS raw_location,
              CASE WHEN e.user_id % 9 = 0 THEN NULL ELSE n.n_name END AS location,
              'NextSong' AS page,
              CAST(e.event_id % 1000 AS INTEGER) AS sessionId,
              p.p_name AS song,
              epoch_ms(e.ts) AS ts,
              e.ts AS event_ts,
+             c.c_mktsegment || CASE WHEN c.c_custkey % 4 = 0 THEN chr(9) || 'x' ELSE '' END AS raw_userAgent,
              c.c_mktsegment || CASE WHEN c.c_custkey % 4 = 0 THEN 'x' ELSE '' END AS userAgent,
+             CAST(e.user_id AS VARCHAR) AS raw_userId,
              CAST(e.user_id AS INTEGER) AS userId
       FROM events e JOIN customer c ON c.c_custkey = e.user_id
       JOIN nation n ON n.n_nationkey = c.c_nationkey

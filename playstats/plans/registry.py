@@ -287,7 +287,7 @@ def _song_raw(spark, t):
 
 def _plays(spark, t):
     root = an.write_log_folder(t, scratch_path(spark, "log_data"))
-    return star.prepare_plays(star.read_log_data(spark, root))
+    return star.prepare_plays(star.read_log_data(spark, root, distinct=False, keep_extra=True))
 
 
 def q_etl_songs(spark, sf):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from playstats.functions.cleaning import clean_frame, to_number
 from playstats.functions.timeparts import epoch_ms_to_start_time, time_part_columns
-from playstats.operators.keys import assign_surrogate_id, keep_first, keep_last
+from playstats.operators.keys import keep_first, keep_last, number_sorted_partitions
 from playstats.operators.lookup import lookup_song_artist, song_artist_catalog
 from playstats.operators.quality import assert_primary_key, assert_row_counts_equal, check_star
 from playstats.schemas import LOG_SCHEMA, SONG_SCHEMA
@@ -64,18 +64,36 @@ def build_artists(song_raw: DataFrame, on_conflict: str = "keep_first") -> DataF
 
 def prepare_plays(log_raw: DataFrame, strict_user_id: bool = True,
                   num_partitions: int | None = None) -> DataFrame:
-    """NextSong events, cleaned, with start_time, its parts, an integer user_id
-    and a dense ``songplay_id`` in time order (ts, then every other source
-    column as tie-break). The result is checkpointed by the id step."""
-    plays = clean_frame(log_raw.filter(F.col("page") == NEXT_SONG))
+    """NextSong events, de-duplicated and cleaned, with start_time, its parts,
+    an integer user_id and a dense ``songplay_id`` in event-time order (ts,
+    then the other raw fields as tie-break). Checkpointed by the id step.
+
+    One shuffle does the work of two. The rows are range-partitioned on (ts,
+    every raw field), and identical rows always share a partition, so the
+    full-row distinct needs no exchange of its own. Sorting inside the same
+    partitions gives the global order that the ids follow. ``log_raw`` may
+    carry ``_extra`` (undeclared fields, from ``read_log_data(...,
+    distinct=False, keep_extra=True)``), which then takes part in the distinct
+    and the tie-break. An already distinct frame works too.
+    """
+    return number_sorted_partitions(ordered_plays(log_raw, strict_user_id, num_partitions), "songplay_id")
+
+
+def ordered_plays(log_raw: DataFrame, strict_user_id: bool = True,
+                  num_partitions: int | None = None) -> DataFrame:
+    """The plays of :func:`prepare_plays` before numbering: distinct, cleaned,
+    derived, with partitions in global event-time order. Planned with one
+    exchange (the range partitioning)."""
+    order = ["ts"] + [c for c in log_raw.columns if c != "ts"]
+    n = num_partitions or int(log_raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nxt = log_raw.filter(F.col("page") == NEXT_SONG)
+    ranged = nxt.repartitionByRange(n, *order).dropDuplicates(order).sortWithinPartitions(*order)
+    plays = clean_frame(ranged.drop("_extra"))
     plays = plays.withColumn("start_time", epoch_ms_to_start_time("ts"))
     plays = plays.withColumns(time_part_columns("start_time"))
     if strict_user_id:
-        plays = to_number(plays, "userId", "int", strict=True)
-    else:
-        plays = plays.withColumn("userId", F.col("userId").try_cast("int"))
-    order = ["ts"] + [c for c in log_raw.columns if c != "ts"]
-    return assign_surrogate_id(plays, order, "songplay_id", num_partitions=num_partitions)
+        return to_number(plays, "userId", "int", strict=True)
+    return plays.withColumn("userId", F.col("userId").try_cast("int"))
 
 
 def build_times(plays: DataFrame) -> DataFrame:
@@ -121,7 +139,7 @@ def run_pipeline(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str,
     checkpoint_root(spark)
     out = out_dir.rstrip("/")
     song_raw = read_song_data(spark, song_dir).checkpoint(eager=True)
-    plays = prepare_plays(read_log_data(spark, log_dir))
+    plays = prepare_plays(read_log_data(spark, log_dir, distinct=False, keep_extra=True))
 
     def store(name: str, df: DataFrame, key: str | None = None, partition_by=None) -> DataFrame:
         path = f"{out}/{name}"

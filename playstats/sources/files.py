@@ -44,7 +44,8 @@ def merge_schema(declared: T.StructType, inferred: T.StructType) -> T.StructType
 
 def read_json_lines(spark: SparkSession, root: str, schema: T.StructType,
                     glob: str = "*.json", distinct: bool = True, undeclared: str = "keep",
-                    sampling_ratio: float = 1.0, source_file_col: str | None = None) -> DataFrame:
+                    sampling_ratio: float = 1.0, source_file_col: str | None = None,
+                    keep_extra: bool = False) -> DataFrame:
     """Scan every JSON Lines file below ``root`` as one table of the declared
     fields; with ``distinct`` the full-row distinct of the reference.
 
@@ -60,6 +61,10 @@ def read_json_lines(spark: SparkSession, root: str, schema: T.StructType,
 
     Type-only duplicates (``88`` vs ``"88"`` for a text field) collapse in every
     mode, because the parser yields the same text for both.
+
+    ``keep_extra=True`` (keep mode) returns the undeclared entries as column
+    ``_extra``, so a caller can run the distinct itself on a partitioning it
+    also needs for something else (see ``plans.star.prepare_plays``).
     """
     _check_root(root)
     if undeclared == "keep":
@@ -77,7 +82,7 @@ def read_json_lines(spark: SparkSession, root: str, schema: T.StructType,
               .select(*[F.col("_rec").getField(n).alias(n) for n in names], "_extra", *extra_cols))
         if distinct:
             df = df.dropDuplicates([*names, "_extra"]) if not extra_cols else df.dropDuplicates()
-        return df.drop("_extra")
+        return df if keep_extra else df.drop("_extra")
 
     full = schema
     if undeclared == "infer":

@@ -117,3 +117,10 @@ def test_sql_reports_equal_dataframe_reports(spark, built):
     assert q.run(spark, q.TOP_USERS).collect() == reports.top_users(sp, users).collect()
     hit = q.run(spark, q.SONG_LOOKUP, artist="Dup Artist", title="Same", duration=Decimal("200")).collect()
     assert [tuple(r) for r in hit] == [("SOD", "AR3")]
+
+
+def test_plays_dedup_and_order_share_one_shuffle(spark, log_tree):
+    raw = star.read_log_data(spark, log_tree, distinct=False, keep_extra=True)
+    plan = star.ordered_plays(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "rangepartitioning" in plan
+    assert star.ordered_plays(raw).count() == 8
