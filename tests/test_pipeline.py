@@ -124,3 +124,15 @@ def test_plays_dedup_and_order_share_one_shuffle(spark, log_tree):
     plan = star.ordered_plays(raw)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1 and "rangepartitioning" in plan
     assert star.ordered_plays(raw).count() == 8
+
+
+def test_command_line(spark, song_tree, log_tree, tmp_path, capsys):
+    from playstats.__main__ import main
+
+    out = str(tmp_path / "cli")
+    assert main(["etl", song_tree, log_tree, out]) == 0
+    assert "songplays: 8 rows" in capsys.readouterr().out
+    assert main(["report", out, "--top", "3"]) == 0
+    text = capsys.readouterr().out
+    assert "== plays per hour" in text and "hour=1 | songplays_counter=5" in text
+    assert "user_id=88" in text and "location=Paris | songplay_counter=7 | share_percent=88" in text
