@@ -84,6 +84,14 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
                       F.sum(F.col("_n") - 1).cast("long").alias("n_duplicates"))
 
 
+def by_range(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None = None) -> DataFrame:
+    """Range-partition on ``order``. Without an explicit count AQE may merge
+    small neighbouring ranges, which keeps the global order and keeps each
+    key's rows together."""
+    cols = _cols(order)
+    return df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+
+
 def number_sorted_partitions(df: DataFrame, id_col: str = "row_id", start: int = 0) -> DataFrame:
     """Dense ids in the frame's current order, for a frame whose partitions are
     already in global order (range-partitioned and sorted within partitions).
@@ -116,8 +124,7 @@ def assign_surrogate_id(df: DataFrame, order_by: Sequence[str | Column], id_col:
     :func:`number_sorted_partitions`.
     """
     order = _cols(order_by)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return number_sorted_partitions(df.repartitionByRange(n, *order).sortWithinPartitions(*order),
+    return number_sorted_partitions(by_range(df, order, num_partitions).sortWithinPartitions(*order),
                                     id_col, start)
 
 

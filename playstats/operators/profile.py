@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from playstats.operators.keys import by_range
 from playstats.scratch import checkpoint_root
 
 
@@ -52,10 +53,8 @@ def rank_in_group(df: DataFrame, group: str, value: str,
                   num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """0-based rank of ``value`` inside each ``group`` (ties in arbitrary but
     fixed order). Returns (rows with ``_idx``, per-group totals)."""
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = (df.select(group, value).repartitionByRange(n, group, value)
+    checkpoint_root(df.sparkSession)
+    staged = (by_range(df.select(group, value), [group, value], num_partitions)
               .sortWithinPartitions(group, value)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from playstats.functions.cleaning import clean_frame, to_number
 from playstats.functions.timeparts import epoch_ms_to_start_time, time_part_columns
+from playstats.operators.keys import by_range as _by_range
 from playstats.operators.keys import keep_first, keep_last, number_sorted_partitions
 from playstats.operators.lookup import lookup_song_artist, song_artist_catalog
 from playstats.operators.quality import assert_primary_key, assert_row_counts_equal, check_star
@@ -85,9 +86,8 @@ def ordered_plays(log_raw: DataFrame, strict_user_id: bool = True,
     derived, with partitions in global event-time order. Planned with one
     exchange (the range partitioning)."""
     order = ["ts"] + [c for c in log_raw.columns if c != "ts"]
-    n = num_partitions or int(log_raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     nxt = log_raw.filter(F.col("page") == NEXT_SONG)
-    ranged = nxt.repartitionByRange(n, *order).dropDuplicates(order).sortWithinPartitions(*order)
+    ranged = _by_range(nxt, order, num_partitions).dropDuplicates(order).sortWithinPartitions(*order)
     plays = clean_frame(ranged.drop("_extra"))
     plays = plays.withColumn("start_time", epoch_ms_to_start_time("ts"))
     plays = plays.withColumns(time_part_columns("start_time"))
