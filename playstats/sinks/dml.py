@@ -56,9 +56,22 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, update_cols: Sequence[
 def insert_if_absent(target: DataFrame, batch: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """``ON CONFLICT DO NOTHING``: keys already stored are left alone; a new key
     repeated in the batch is inserted once, from its first row."""
+    return target.unionByName(new_rows_if_absent(target, batch, key, order_by))
+
+
+def new_rows_if_absent(target: DataFrame, batch: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """The rows ``ON CONFLICT DO NOTHING`` would add: the first batch row of
+    every key the target does not hold."""
     first = keep_first(batch, [key], list(order_by)).select(*target.columns)
-    new = first.join(target.select(key), key, "left_anti")
-    return target.unionByName(new.select(*target.columns))
+    return first.join(target.select(key), key, "left_anti")
+
+
+def append_if_absent(spark: SparkSession, table: str, batch: DataFrame, key: str,
+                     order_by: Sequence[str]) -> None:
+    """Store an insert-if-absent by appending only the new keys' rows. Stored
+    rows never change under DO NOTHING, so nothing is rewritten."""
+    target = spark.table(table)
+    new_rows_if_absent(target, batch, key, order_by).write.insertInto(table)
 
 
 def delete_by_key(target: DataFrame, key: str, keys: DataFrame | object) -> DataFrame:

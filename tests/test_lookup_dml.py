@@ -78,6 +78,13 @@ def test_table_insert_upsert_and_swap(spark):
     dml.replace_contents(spark, name, dml.delete_by_key(spark.table(name), "user_id", 3))
     got = {r.user_id: (r.first_name, r.level) for r in spark.table(name).collect()}
     assert got == {1: ("Ann", "paid"), 2: ("Bob", "free")}
+    more = spark.createDataFrame([(2, "Zed", "Q", "M", "paid", 1), (4, "Dee", "R", "F", "free", 2),
+                                  (4, "Later", "R", "F", "paid", 3)],
+                                 "user_id int, first_name string, last_name string, gender string,"
+                                 " level string, seq int")
+    dml.append_if_absent(spark, name, more, "user_id", ["seq"])
+    got = {r.user_id: (r.first_name, r.level) for r in spark.table(name).collect()}
+    assert got == {1: ("Ann", "paid"), 2: ("Bob", "free"), 4: ("Dee", "free")}
 
 
 def test_catalog_reset_and_listing(spark):
