@@ -20,6 +20,11 @@ rows to one task. Here:
 5. One sort-merge join on ``keys + salt`` spreads each hot key over its
    buckets. No row is dropped or sampled.
 
+Rows whose key contains NULL never match under ``=``, so in the default
+(not null-safe) mode they get a wide salt and no partner rows. Many NULL keys
+(plays without song fields) therefore do not pile up on the reducer of
+hash(NULL).
+
 When the small side has at most ``broadcast_rows`` rows, which a bounded
 ``limit(n + 1).count()`` proves, it is broadcast instead. A broadcast join has
 no skew problem, so no salting is needed. Salting is used only beyond that
@@ -88,14 +93,27 @@ def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: s
     else:
         buckets = F.least(F.lit(int(max_buckets)),
                           F.greatest(F.lit(2), F.ceil(F.col("_n") / F.lit(float(rows_per_bucket)))))
-    hot = F.broadcast(hot_keys(big, keys, hot_share)
+    hot_src = hot_keys(big, keys, hot_share)
+    if not null_safe:  # NULL groups never match; they are spread separately below
+        for k in keys:
+            hot_src = hot_src.filter(F.col(f"`{k}`").isNotNull())
+    hot = F.broadcast(hot_src
                       .select(*[F.col(f"`{k}`").alias(h) for k, h in zip(keys, hk)],
                               buckets.cast("int").alias("_buckets"))
                       .withColumn("_hot", F.lit(True)))
 
     content = [F.col(f"`{c}`") for c in big.columns]
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(F.spark_partition_id(), *content),
-                                        F.col("_buckets"))).otherwise(F.lit(0))
+    spread = F.xxhash64(F.spark_partition_id(), *content)
+    salt = F.when(F.col("_hot"), F.pmod(spread, F.col("_buckets"))).otherwise(F.lit(0))
+    if not null_safe:
+        # A NULL key never matches under ``=``, so its salt cannot change the
+        # result. Spreading such rows widely stops a NULL-heavy big side (plays
+        # with no song fields) from landing on the one reducer of hash(NULL).
+        any_null = None
+        for k in keys:
+            e = F.col(f"`{k}`").isNull()
+            any_null = e if any_null is None else any_null | e
+        salt = F.when(any_null, F.pmod(spread, F.lit(int(max_buckets)))).otherwise(salt)
     b = (big.join(hot, _match(big, hot, list(zip(keys, hk)), null_safe), "left")
          .select(*content, salt.cast("int").alias(SALT)))
 

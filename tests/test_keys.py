@@ -107,3 +107,32 @@ def test_skew_safe_join_spreads_hot_key_and_keeps_rows(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_skew_safe_join_spreads_null_keys(spark):
+    from playstats.operators.joins import skew_safe_join
+
+    big = spark.range(20_000).select(
+        F.when(F.col("id") % 5 != 0, F.lit(None).cast("long")).otherwise(F.col("id") % 100).alias("k"), "id")
+    small = spark.range(100).select(F.col("id").alias("k"), (F.col("id") + 1).alias("v"))
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = skew_safe_join(big, small, ["k"], "left", broadcast_rows=None)
+        plain = big.join(small, "k", "left")
+        assert _same_rows(got, plain) and got.count() == 20_000
+        assert got.filter(F.col("v").isNull()).count() == 16_000
+        per_task = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert max(r["count"] for r in per_task) < 16_000 // 4      # the NULL keys are spread
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
