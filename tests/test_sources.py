@@ -51,9 +51,14 @@ def test_rows_per_file_and_provenance(spark, song_tree):
     assert plain.select("source_file").distinct().count() == 6
 
 
-def test_empty_folder_gives_no_rows(spark, tmp_path):
+def test_empty_folder_gives_no_rows_and_missing_path_raises(spark, tmp_path):
     (tmp_path / "empty").mkdir()
-    assert read_json_lines(spark, str(tmp_path / "empty"), LOG_SCHEMA).count() == 0
+    for mode in ("keep", "infer", "drop"):
+        assert read_json_lines(spark, str(tmp_path / "empty"), LOG_SCHEMA, undeclared=mode).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        read_json_lines(spark, str(tmp_path / "missing"), LOG_SCHEMA).count()
+    with pytest.raises(ValueError):
+        read_json_lines(spark, "", LOG_SCHEMA)
 
 
 def test_delimited_round_trips(spark, tmp_path):
