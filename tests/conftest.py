@@ -50,10 +50,10 @@ def play(ts, user, first, last, gender, level, artist=None, song_=None, length=N
             "userId": user}
 
 
-@pytest.fixture()
-def song_tree(tmp_path):
-    """Song folder with the FIXTURES.md edge rows."""
-    root = tmp_path / "song_data"
+@pytest.fixture(scope="session")
+def song_tree(tmp_path_factory):
+    """Song folder with the FIXTURES.md edge rows (read-only, shared)."""
+    root = tmp_path_factory.mktemp("songs") / "song_data"
     s1 = song("SOA", "Song A", "AR1", 2001, 218.93179, "Artist One", "", None, None)
     s2 = song("SOB", "007", "AR1", 0, 100.5, "Artist One", "", None, None)
     s3 = song("SOC", "Tab\there", "AR2", 1999, 300.25, "Artist Two", 'Town, "Q"', 48.85, 2.35)
@@ -68,11 +68,12 @@ def song_tree(tmp_path):
     return str(root)
 
 
-@pytest.fixture()
-def log_tree(tmp_path):
+@pytest.fixture(scope="session")
+def log_tree(tmp_path_factory):
     """Activity-log folder: files listed out of time order, type-mixed userId,
-    non-NextSong rows with empty userId, duplicate rows and same-ms plays."""
-    root = tmp_path / "log_data"
+    non-NextSong rows with empty userId, duplicate rows and same-ms plays
+    (read-only, shared)."""
+    root = tmp_path_factory.mktemp("logs") / "log_data"
     day = 1541121934796  # 2018-11-02 01:25:34.796 UTC
     later = [
         play(day + 3_600_000, "88", "Ann", "Lee", "F", "free", item=3),

@@ -7,9 +7,9 @@ from playstats.operators.quality import QualityError
 from playstats.plans import reports, star
 
 
-@pytest.fixture()
-def built(spark, song_tree, log_tree, tmp_path):
-    return star.run_pipeline(spark, song_tree, log_tree, str(tmp_path / "out"))
+@pytest.fixture(scope="module")
+def built(spark, song_tree, log_tree, tmp_path_factory):
+    return star.run_pipeline(spark, song_tree, log_tree, str(tmp_path_factory.mktemp("star") / "out"))
 
 
 def test_dimensions(built):
