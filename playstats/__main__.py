@@ -40,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     etl.add_argument("out_dir")
     etl.add_argument("--database")
     etl.add_argument("--buckets", type=int)
+    etl.add_argument("--checks", choices=["full", "light", "none"], default="full")
     rep = sub.add_parser("report", help="plays per hour, top users, top locations")
     rep.add_argument("out_dir")
     rep.add_argument("--top", type=int, default=10)
@@ -49,7 +50,8 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = _session()
     if args.cmd == "etl":
-        tables = star.run_pipeline(spark, args.song_dir, args.log_dir, args.out_dir,
+        check = False if args.checks == "none" else args.checks
+        tables = star.run_pipeline(spark, args.song_dir, args.log_dir, args.out_dir, check=check,
                                    database=args.database, buckets=args.buckets)
         for name, df in tables.items():
             print(f"{name}: {df.count()} rows")

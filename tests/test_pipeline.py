@@ -136,3 +136,15 @@ def test_command_line(spark, song_tree, log_tree, tmp_path, capsys):
     text = capsys.readouterr().out
     assert "== plays per hour" in text and "hour=1 | songplays_counter=5" in text
     assert "user_id=88" in text and "location=Paris | songplay_counter=7 | share_percent=88" in text
+
+
+def test_light_checks(spark, built):
+    from playstats.operators import quality
+
+    quality.check_star(built, "light")
+    sp = built["songplays"]
+    gap = sp.filter(F.col("songplay_id") != 3)
+    with pytest.raises(quality.QualityError):
+        quality.assert_dense_ids(gap, "songplay_id", "songplays")
+    with pytest.raises(quality.QualityError):
+        quality.check_star({**built, "songplays": sp.withColumn("time_id", F.col("time_id") + 1)}, "light")
