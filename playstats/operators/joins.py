@@ -38,6 +38,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playstats.scratch import checkpoint_root
+
 SALT = "_salt"
 
 
@@ -66,17 +68,23 @@ def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
 def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
                    hot_share: float = 0.01, salt_buckets: int | None = None,
                    null_safe: bool = False, broadcast_rows: int | None = 250_000,
-                   rows_per_bucket: int = 1_000_000, max_buckets: int = 65_536) -> DataFrame:
+                   rows_per_bucket: int = 1_000_000, max_buckets: int = 65_536,
+                   materialize_small: bool = False) -> DataFrame:
     """``big.join(small, keys, how)`` for ``small`` unique per ``keys``, with
     hot keys of ``big`` spread over several tasks each. Output columns are
     those of the plain using-join (big's columns, then small's non-key
     columns; big's only for semi/anti). ``null_safe=True`` matches NULL keys
-    to NULL keys (``<=>``), as grouping does."""
+    to NULL keys (``<=>``), as grouping does. ``materialize_small=True``
+    checkpoints a derived small side (e.g. an aggregate) once to the shared
+    checkpoint folder, so the size check and the join do not both compute it."""
     if how == "left_outer":
         how = "left"
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError("skew_safe_join keeps every big-side row once: left/inner/semi/anti only")
     keys = list(keys)
+    if materialize_small:
+        checkpoint_root(small.sparkSession)
+        small = small.checkpoint(eager=True)
     sk = [f"_sk{i}" for i in range(len(keys))]
     rest = [c for c in small.columns if c not in keys]
     s0 = small.select(*[F.col(f"`{k}`").alias(x) for k, x in zip(keys, sk)], *[F.col(f"`{c}`") for c in rest])

@@ -57,7 +57,7 @@ def lookup_song_artist(plays: DataFrame, catalog: DataFrame, artist_col: str = "
         joined = p.join(c, keys, "left")
     else:
         joined = skew_safe_join(p, c, keys, "left", hot_share, salt_buckets,
-                                broadcast_rows=broadcast_rows)
+                                broadcast_rows=broadcast_rows, materialize_small=True)
     return joined.select(*[F.col(f"`{x}`") for x in p.columns], song_id_col, artist_id_col)
 
 
