@@ -4,9 +4,10 @@ A key may hold a large share of the big side's rows (one song played a third
 of the time, one very active user). A plain sort-merge join sends all those
 rows to one task. Here:
 
-1. hot keys = keys holding at least ``hot_share`` of the big side's rows. A
-   partial aggregate counts them, and at most ``1 / hot_share`` keys can
-   qualify, so the hot-key table has a proven size bound and is broadcast.
+1. hot keys = keys holding at least ``hot_share`` of the big side's rows or
+   more than ``rows_per_bucket`` rows, found by a partial aggregate. At most
+   ``max_hot_keys`` (the largest) are kept, so the hot-key table has a proven
+   size bound and is broadcast.
 2. Each hot key gets a fan-out that grows with its size: ``ceil(rows /
    rows_per_bucket)`` buckets, at most ``max_buckets`` (or a fixed
    ``salt_buckets``). A third of a 100 TB table is spread over many tasks,
@@ -43,12 +44,22 @@ from playstats.scratch import checkpoint_root
 SALT = "_salt"
 
 
-def hot_keys(big: DataFrame, keys: Sequence[str], hot_share: float) -> DataFrame:
-    """Keys with at least ``hot_share`` of all rows and their row count
-    ``_n`` (at most 1/hot_share rows)."""
+def hot_keys(big: DataFrame, keys: Sequence[str], hot_share: float,
+             rows_per_bucket: int | None = None, max_hot_keys: int = 10_000) -> DataFrame:
+    """Keys too big for one task, with their row count ``_n``.
+
+    A key is hot when it holds at least ``hot_share`` of all rows, or more
+    than ``rows_per_bucket`` rows (at 10^12 rows, 0.1 % of the table is
+    already far too much for one task). At most ``max_hot_keys`` of the
+    largest are kept, so the result is a bounded broadcast. This caps only
+    which keys are salted. Every other key is still joined exactly."""
     total = big.select(F.count(F.lit(1))).scalar()
+    limit = F.lit(float(hot_share)) * total
+    if rows_per_bucket is not None:
+        limit = F.least(limit, F.lit(float(rows_per_bucket)))
     return (big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") >= F.lit(float(hot_share)) * total))
+            .filter((F.col("_n") >= limit) & (F.col("_n") > 1))
+            .orderBy(F.desc("_n")).limit(max_hot_keys))
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
@@ -69,7 +80,7 @@ def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: s
                    hot_share: float = 0.01, salt_buckets: int | None = None,
                    null_safe: bool = False, broadcast_rows: int | None = 250_000,
                    rows_per_bucket: int = 1_000_000, max_buckets: int = 65_536,
-                   materialize_small: bool = False) -> DataFrame:
+                   max_hot_keys: int = 10_000, materialize_small: bool = False) -> DataFrame:
     """``big.join(small, keys, how)`` for ``small`` unique per ``keys``, with
     hot keys of ``big`` spread over several tasks each. Output columns are
     those of the plain using-join (big's columns, then small's non-key
@@ -101,7 +112,7 @@ def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: s
     else:
         buckets = F.least(F.lit(int(max_buckets)),
                           F.greatest(F.lit(2), F.ceil(F.col("_n") / F.lit(float(rows_per_bucket)))))
-    hot_src = hot_keys(big, keys, hot_share)
+    hot_src = hot_keys(big, keys, hot_share, rows_per_bucket, max_hot_keys)
     if not null_safe:  # NULL groups never match; they are spread separately below
         for k in keys:
             hot_src = hot_src.filter(F.col(f"`{k}`").isNotNull())

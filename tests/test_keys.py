@@ -136,3 +136,16 @@ def test_skew_safe_join_spreads_null_keys(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_keys_absolute_threshold_and_cap(spark):
+    from playstats.operators.joins import hot_keys
+
+    # keys 1..3 hold 600, 700, 800 of 20,100 rows (< 5 % each); the rest are single rows
+    parts = [spark.range(n).select(F.lit(k).cast("long").alias("k")) for k, n in ((1, 600), (2, 700), (3, 800))]
+    big = parts[0].union(parts[1]).union(parts[2]).union(spark.range(100, 18_100).select(F.col("id").alias("k")))
+    assert hot_keys(big, ["k"], 0.05).count() == 0
+    got = {r.k: r._n for r in hot_keys(big, ["k"], 0.05, rows_per_bucket=500).collect()}
+    assert got == {1: 600, 2: 700, 3: 800}
+    capped = {r.k for r in hot_keys(big, ["k"], 0.05, rows_per_bucket=500, max_hot_keys=2).collect()}
+    assert capped == {2, 3}
