@@ -12,9 +12,11 @@ rows to one task. Here:
    rows_per_bucket)`` buckets, at most ``max_buckets`` (or a fixed
    ``salt_buckets``). A third of a 100 TB table is spread over many tasks,
    not 32.
-3. Big-side rows of hot keys get a salt in ``[0, buckets)``. It is derived
-   from the row's content and input partition, so it is the same when a task
-   is recomputed. All other rows get salt 0.
+3. Big-side rows of hot keys get a salt in ``[0, buckets)``, a hash of the
+   row's content. It is deterministic, so a recomputed task salts exactly as
+   before. All other rows get salt 0. Fully identical rows share a salt;
+   callers whose big side can repeat rows reduce it to (row, copies) first
+   (see ``operators.keys.groups_larger_than``).
 4. Small-side rows of hot keys are replicated once per bucket. That is at
    most ``max_buckets / hot_share`` extra rows, because the small side is
    unique per key.
@@ -122,7 +124,9 @@ def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: s
                       .withColumn("_hot", F.lit(True)))
 
     content = [F.col(f"`{c}`") for c in big.columns]
-    spread = F.xxhash64(F.spark_partition_id(), *content)
+    # deterministic (content only), so a retried task salts every row the same
+    # way and the shuffle is not marked indeterminate
+    spread = F.xxhash64(*content)
     salt = F.when(F.col("_hot"), F.pmod(spread, F.col("_buckets"))).otherwise(F.lit(0))
     if not null_safe:
         # A NULL key never matches under ``=``, so its salt cannot change the

@@ -55,10 +55,26 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
     return _pick_per_key(df, keys, order_by, last=False)
 
 
-def _null_safe_semi(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Rows of ``df`` whose key (NULL equal to NULL) is in ``keys_df`` (one row
-    per key); a hot key of ``df`` is salted over several tasks."""
-    return skew_safe_join(df, keys_df.select(*keys), keys, how, null_safe=True)
+# Rows per chunk when repeated rows are expanded back (bounded array per row).
+EXPAND_CHUNK = 1_000_000
+
+
+def expand_counts(df: DataFrame, count_col: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
+    """Repeat every row ``count_col`` times (the column is dropped).
+
+    A row is first split into chunk descriptors of at most ``chunk`` copies.
+    The descriptors are hash-spread over tasks, and each task writes its
+    chunks out. A row repeated 10^11 times is therefore expanded by many
+    tasks, and no array holds more than ``chunk`` elements."""
+    cols = [c for c in df.columns if c != count_col]
+    n = F.col(count_col).cast("long")
+    last = F.floor((n - 1) / F.lit(chunk)).cast("long")
+    desc = (df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+            .withColumn("_size", F.least(F.lit(chunk).cast("long"), n - F.col("_chunk") * F.lit(chunk))))
+    spread = desc.repartition(F.xxhash64(*[F.col(f"`{c}`") for c in cols], F.col("_chunk")))
+    return (spread.select(*[F.col(f"`{c}`") for c in cols],
+                          F.explode(F.sequence(F.lit(1).cast("long"), F.col("_size"))).alias("_i"))
+            .drop("_i"))
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> DataFrame:
@@ -66,9 +82,25 @@ def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> Data
 
 
 def groups_larger_than(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """All rows whose key group has more than ``n`` rows (NULL keys form a group)."""
-    big = key_counts(df, keys).filter(F.col("n_rows") > n).select(*keys)
-    return _null_safe_semi(df, big, keys, "left_semi")
+    """All rows whose key group has more than ``n`` rows (NULL keys form a
+    group), with their multiplicity.
+
+    Skew-proof even when one key, or one repeated row, holds a third of the
+    data:
+    1. rows are reduced to (row, copies) by a partial aggregate;
+    2. key sizes are summed from that;
+    3. the distinct rows, which are unique so a content salt spreads a hot
+       key, are semi-joined to the large keys;
+    4. the copies are expanded back in bounded chunks spread over tasks.
+    When the key is the whole row, no join is needed at all."""
+    rows = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    if set(keys) == set(df.columns):
+        kept = rows.filter(F.col("_copies") > n)
+    else:
+        big = (rows.groupBy(*keys).agg(F.sum("_copies").alias("_key_rows"))
+               .filter(F.col("_key_rows") > n).select(*keys))
+        kept = skew_safe_join(rows, big, keys, "left_semi", null_safe=True)
+    return expand_counts(kept, "_copies").select(*df.columns)
 
 
 def duplicate_members(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

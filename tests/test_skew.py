@@ -72,3 +72,21 @@ def test_reports_with_hot_user_and_null_location(spark, hot_plays):
     assert top[0].songplays_counter == hot_plays.filter("user_id = 7").count()
     loc = {r.location: r.songplay_counter for r in reports.plays_by_location(hot_plays).collect()}
     assert loc == {None: N // 3, "Paris": N - N // 3}
+
+
+def test_identical_hot_rows_expand_exactly_and_spread(spark):
+    from playstats.operators.keys import duplicate_members, expand_counts
+
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("a"))
+    got = duplicate_members(df)
+    assert got.count() == 2000 and got.filter("a = -1").count() == 2000
+    rows = spark.createDataFrame([("x", 10), ("y", 1), ("z", 7)], "v string, n long")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = expand_counts(rows, "n", chunk=3)
+        assert sorted(r.v for r in out.collect()) == ["x"] * 10 + ["y"] + ["z"] * 7
+        per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert max(r["count"] for r in per_task) <= 6             # chunks of 3 spread over tasks
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
