@@ -86,7 +86,9 @@ def test_identical_hot_rows_expand_exactly_and_spread(spark):
     try:
         out = expand_counts(rows, "n", chunk=3)
         assert sorted(r.v for r in out.collect()) == ["x"] * 10 + ["y"] + ["z"] * 7
-        per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
-        assert max(r["count"] for r in per_task) <= 6             # chunks of 3 spread over tasks
+        hot = expand_counts(spark.createDataFrame([("h", 3000)], "v string, n long"), "n", chunk=100)
+        per_task = hot.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(r["count"] for r in per_task) == 3000
+        assert len(per_task) >= 4 and max(r["count"] for r in per_task) < 1500   # 30 chunks spread
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
