@@ -61,7 +61,10 @@ def hot_keys(big: DataFrame, keys: Sequence[str], hot_share: float,
         limit = F.least(limit, F.lit(float(rows_per_bucket)))
     return (big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
             .filter((F.col("_n") >= limit) & (F.col("_n") > 1))
-            .orderBy(F.desc("_n")).limit(max_hot_keys))
+            # total order: the same keys are chosen every time the set is computed,
+            # so the big and the small side always agree on which keys are salted
+            .orderBy(F.desc("_n"), *[F.col(f"`{k}`").asc_nulls_first() for k in keys])
+            .limit(max_hot_keys))
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
