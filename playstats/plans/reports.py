@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from playstats.functions.text import full_name
 from playstats.operators.ordering import share_percent, top_k
 
+# The report output column names below (hour, songplays_counter,
+# location, songplay_counter, songplays_percent, user_id, user_fullname) are
+# those of the surveyed system's three reports and must stay equal to them.
+
 
 def plays_by_hour(songplays: DataFrame, times: DataFrame) -> DataFrame:
     """Plays per hour of day (only hours that have plays), by hour."""
