@@ -100,31 +100,31 @@ def q_full_name(spark, sf):
 # ---------------------------------------------------------------- file sources and sinks
 
 def _events_json(t: DriverTables, root: str, copies: bool) -> str:
+    """Events as a JSON Lines folder, one sub-folder per kind. With ``copies``
+    also a second, identical copy in a nested folder (removed by the distinct),
+    an editor-checkpoint copy with altered values and a stray text file (both
+    must not be read, or extra rows would appear)."""
     ev = t.events.withColumn("kind", F.col("event_type"))
     writers.write_table(ev, f"{root}/a", fmt="json", partition_by=["kind"])
     if copies:
         writers.write_table(ev.drop("kind"), f"{root}/b/nested", fmt="json")
-        writers.write_table(ev.drop("kind").filter(F.col("event_id") % 2 == 0),
+        writers.write_table(ev.drop("kind").withColumn("value", F.col("value") + 1000),
                             f"{root}/.ipynb_checkpoints", fmt="json")
         writers.write_table(ev.select(F.col("event_type").alias("value")).dropDuplicates(),
                             f"{root}/stray", fmt="text")
     return root
 
 
-def _events_schema(t: DriverTables):
-    return t.events.schema
-
-
 def q_scan_json_lines(spark, sf):
     t = DriverTables(spark, sf)
     root = _events_json(t, scratch_path(spark, "scan_json_lines"), copies=True)
-    return files.read_json_lines(spark, root, _events_schema(t))
+    return files.read_json_lines(spark, root, t.events.schema)
 
 
 def q_scan_with_filename(spark, sf):
     t = DriverTables(spark, sf)
     root = _events_json(t, scratch_path(spark, "scan_with_filename"), copies=False)
-    df = files.read_json_lines(spark, root, _events_schema(t), distinct=False,
+    df = files.read_json_lines(spark, root, t.events.schema, distinct=False,
                                source_file_col="source_file")
     return df.select("event_id", files.parent_folder("source_file").alias("folder"))
 
