@@ -178,11 +178,12 @@ def write_song_folder(t: DriverTables, root: str) -> str:
 
 
 def write_log_folder(t: DriverTables, root: str) -> str:
-    """Log objects as JSON Lines, one folder per event kind, plus a second copy
-    of every 5th play in another folder."""
+    """Log objects as JSON Lines, one folder per event kind, plus a second
+    delivery of the paid-level plays in another folder (removed by the
+    distinct)."""
     logs = log_records_of(t)
     write_table(logs.withColumn("kind", F.col("page")), f"{root}/events", fmt="json",
                 partition_by=["kind"])
-    write_table(logs.filter((F.col("page") == "NextSong") & (F.col("itemInSession") % 5 == 0)),
+    write_table(logs.filter((F.col("page") == "NextSong") & (F.col("level") == "paid")),
                 f"{root}/replay", fmt="json")
     return root
