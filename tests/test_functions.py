@@ -68,3 +68,14 @@ def test_to_number_strict_and_lenient(spark):
 def test_full_name_null_propagates(spark):
     df = spark.createDataFrame([("Ann", "Lee"), ("Bob", None)], "f string, l string")
     assert [r.n for r in df.select(full_name("f", "l").alias("n")).collect()] == ["Ann Lee", None]
+
+
+def test_scale_conf_sizes_partitions():
+    from playstats.session import scale_conf
+
+    big = scale_conf(100 * 2**40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"             # capped
+    assert big["spark.sql.files.maxPartitionBytes"] == str(1 << 30)
+    small = scale_conf(10 * 2**30, 80)
+    assert small["spark.sql.shuffle.partitions"] == "240"              # three waves per core
+    assert small["spark.sql.adaptive.skewJoin.enabled"] == "true"
