@@ -2,10 +2,13 @@
 
     python -m playstats etl SONG_DIR LOG_DIR OUT_DIR [--database DB --buckets N]
     python -m playstats report OUT_DIR [--top 10]
+    python -m playstats profile OUT_DIR
 
 ``etl`` runs the whole load (constraints checked) and prints each table's row
 count. ``report`` prints the plays per hour, the top users and the top
-locations with their share. Only these bounded results reach the driver.
+locations with their share. ``profile`` prints describe-style profiles of
+every stored table, one row per column. Only these bounded results reach the
+driver.
 """
 
 from __future__ import annotations
@@ -44,6 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     rep = sub.add_parser("report", help="plays per hour, top users, top locations")
     rep.add_argument("out_dir")
     rep.add_argument("--top", type=int, default=10)
+    prof = sub.add_parser("profile", help="describe-style profile of every stored table")
+    prof.add_argument("out_dir")
     args = ap.parse_args(argv)
 
     from playstats.plans import reports, star
@@ -57,6 +62,20 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{name}: {df.count()} rows")
         return 0
     out = args.out_dir.rstrip("/")
+    if args.cmd == "profile":
+        from playstats.operators import profile
+        from pyspark.sql import types as T
+
+        for name in ("songplays", "users", "times", "artists", "songs"):
+            df = spark.read.parquet(f"{out}/{name}")
+            _print(f"{name}: column types", profile.profile_dtypes(df))
+            nums = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+            texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+            if nums:
+                _print(f"{name}: numbers", profile.profile_numeric(df, nums))
+            if texts:
+                _print(f"{name}: text", profile.profile_text(df, texts))
+        return 0
     t = {name: spark.read.parquet(f"{out}/{name}") for name in ("songplays", "users", "times")}
     _print("plays per hour", reports.plays_by_hour(t["songplays"], t["times"]))
     _print(f"top {args.top} users", reports.top_k_users(t["songplays"], t["users"], args.top))

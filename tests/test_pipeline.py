@@ -136,6 +136,9 @@ def test_command_line(spark, song_tree, log_tree, tmp_path, capsys):
     text = capsys.readouterr().out
     assert "== plays per hour" in text and "hour=1 | songplays_counter=5" in text
     assert "user_id=88" in text and "location=Paris | songplay_counter=7 | share_percent=88" in text
+    assert main(["profile", out]) == 0
+    text = capsys.readouterr().out
+    assert "== users: text" in text and "column_name=level" in text and "== times: numbers" in text
 
 
 def test_light_checks(spark, built):
