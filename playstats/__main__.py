@@ -1,11 +1,13 @@
 """Command line: build the star schema, then print the reports.
 
+    python -m playstats reset DATABASE ROOT
     python -m playstats etl SONG_DIR LOG_DIR OUT_DIR [--database DB --buckets N]
     python -m playstats report OUT_DIR [--top 10]
     python -m playstats profile OUT_DIR
 
-``etl`` runs the whole load (constraints checked) and prints each table's row
-count. ``report`` prints the plays per hour, the top users and the top
+``reset`` drops and recreates the database with the five empty star tables
+(stored under ROOT). ``etl`` runs the whole load (constraints checked) and
+prints each table's row count. ``report`` prints the plays per hour, the top users and the top
 locations with their share. ``profile`` prints describe-style profiles of
 every stored table, one row per column. Only these bounded results reach the
 driver.
@@ -37,6 +39,9 @@ def _print(title: str, df) -> None:
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="python -m playstats")
     sub = ap.add_subparsers(dest="cmd", required=True)
+    reset = sub.add_parser("reset", help="drop and recreate the database and the five star tables")
+    reset.add_argument("database")
+    reset.add_argument("root")
     etl = sub.add_parser("etl", help="JSON folders -> five Parquet tables")
     etl.add_argument("song_dir")
     etl.add_argument("log_dir")
@@ -54,6 +59,12 @@ def main(argv: list[str] | None = None) -> int:
     from playstats.plans import reports, star
 
     spark = _session()
+    if args.cmd == "reset":
+        from playstats.plans import catalog
+
+        catalog.reset_warehouse(spark, args.database, args.root.rstrip("/"))
+        _print(f"tables in {args.database}", catalog.list_tables(spark, args.database))
+        return 0
     if args.cmd == "etl":
         check = False if args.checks == "none" else args.checks
         tables = star.run_pipeline(spark, args.song_dir, args.log_dir, args.out_dir, check=check,

@@ -129,6 +129,11 @@ def test_plays_dedup_and_order_share_one_shuffle(spark, log_tree):
 def test_command_line(spark, song_tree, log_tree, tmp_path, capsys):
     from playstats.__main__ import main
 
+    from playstats.plans import catalog
+
+    db = catalog.fresh_table_name("cli")
+    assert main(["reset", db, str(tmp_path / "wh")]) == 0
+    assert "table_name=songplays" in capsys.readouterr().out
     out = str(tmp_path / "cli")
     assert main(["etl", song_tree, log_tree, out]) == 0
     assert "songplays: 8 rows" in capsys.readouterr().out
