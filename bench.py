@@ -30,21 +30,30 @@ def main() -> None:
     from playstats.session import get_spark
 
     spark = get_spark("playstats-bench", cpus=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
-    timings: dict[str, float] = {}
+    timings: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for key in HEADLINE:
         build = QUERIES[key]
         samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            build(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:  # first run is the warm-up
-                samples.append(time.perf_counter() - t0)
-        timings[key] = round(statistics.median(samples), 4)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:  # first run is the warm-up
+                    samples.append(time.perf_counter() - t0)
+            timings[key] = round(statistics.median(samples), 4)
+        except Exception as exc:  # keep measuring the others; report the failure
+            timings[key] = None
+            errors[key] = f"{type(exc).__name__}: {str(exc)[:300]}"
     spark.stop()
     sf = sf_dir.rsplit("sf", 1)[-1]
-    print(json.dumps({"metric": "headline_queries_median_sum", "value": round(sum(timings.values()), 4),
-                      "unit": "sec", "queries": timings,
-                      "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf}))
+    out = {"metric": "headline_queries_median_sum",
+           "value": round(sum(v for v in timings.values() if v is not None), 4),
+           "unit": "sec", "queries": timings,
+           "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
