@@ -1,7 +1,9 @@
 """Describe-style profiles computed as distributed aggregates.
 
-Columns are unpivoted into (column_name, value) so that all columns of one
-profile come out of a single aggregate job. Exact quartiles use a global rank
+Counts and moments of all columns come from one global aggregate (one row,
+reshaped to one row per column), so every requested column appears even with
+no values. Value frequencies and ranks work on (column_name, value) pairs.
+Exact quartiles use a global rank
 (range partitioning plus per-partition offsets) instead of an exact
 ``percentile`` aggregate, whose final merge would hold every distinct value of a
 column in one task.
@@ -23,18 +25,25 @@ def _long(df: DataFrame, columns: Sequence[str], cast: str | None = None) -> Dat
     return df.select(*cols).unpivot([], list(columns), "column_name", "value")
 
 
+def _per_column(df: DataFrame, columns: Sequence[str], stats) -> DataFrame:
+    """One global aggregate (always exactly one row, partial per task) with a
+    struct of ``stats(column)`` per column, reshaped to one row per column."""
+    row = df.agg(*[stats(F.col(c)).alias(c) for c in columns])
+    return row.unpivot([], list(columns), "column_name", "_s").select("column_name", "_s.*")
+
+
 def _value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count / unique / top / freq per column (top: most frequent, then smallest)."""
-    freq = _long(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    has = F.col("value").isNotNull()
-    rank = F.when(has, F.struct((-F.col("_n")).alias("neg_n"), F.col("value").alias("v")))
-    return freq.groupBy("column_name").agg(
-        F.coalesce(F.sum(F.when(has, F.col("_n"))), F.lit(0)).cast("long").alias("count"),
-        F.count("value").alias("unique"),
-        F.min_by(F.col("value"), rank).alias("top"),
-        F.max(F.when(has, F.col("_n"))).alias("freq"),
-        F.min("value").alias("first"),
-        F.max("value").alias("last"))
+    """count / unique / top / freq / first / last per column (top: most
+    frequent, then smallest). Every column gets a row, also with no values."""
+    base = _per_column(df, columns, lambda c: F.struct(F.count(c).alias("count")))
+    freq = (_long(df, columns).filter(F.col("value").isNotNull())
+            .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n")))
+    rank = F.struct((-F.col("_n")).alias("neg_n"), F.col("value").alias("v"))
+    summary = freq.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("unique"), F.min_by(F.col("value"), rank).alias("top"),
+        F.max("_n").alias("freq"), F.min("value").alias("first"), F.max("value").alias("last"))
+    return (base.join(summary, "column_name", "left")
+            .withColumn("unique", F.coalesce(F.col("unique"), F.lit(0).cast("long"))))
 
 
 def profile_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -92,12 +101,13 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75),
 def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """pandas ``describe()`` for numbers: count, mean, std (n-1), min, 25%, 50%,
     75% (linear interpolation), max."""
-    long = _long(df, columns, cast="double")
-    stats = long.groupBy("column_name").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    q = exact_quantiles(long)
+    def moments(c):
+        x = c.cast("double")
+        return F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                        F.min(x).alias("min"), F.max(x).alias("max"))
+
+    stats = _per_column(df, columns, moments)      # one pass, no row multiplication
+    q = exact_quantiles(_long(df, columns, cast="double"))
     quart = q.groupBy("column_name").agg(
         *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(name)
           for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])

@@ -149,3 +149,21 @@ def test_hot_keys_absolute_threshold_and_cap(spark):
     assert got == {1: 600, 2: 700, 3: 800}
     capped = {r.k for r in hot_keys(big, ["k"], 0.05, rows_per_bucket=500, max_hot_keys=2).collect()}
     assert capped == {2, 3}
+
+
+def test_empty_inputs(spark):
+    from playstats.operators.joins import skew_safe_join
+    from playstats.operators.keys import expand_counts
+    from playstats.operators.profile import profile_numeric, profile_text
+
+    empty = spark.createDataFrame([], "k long, ts long, v string")
+    assert assign_surrogate_id(empty, ["ts", "k"], "rid").count() == 0
+    assert keep_last(empty, ["k"], ["ts"]).count() == 0
+    assert duplicate_members(empty).count() == 0
+    small = spark.createDataFrame([(1, "x")], "k long, w string")
+    assert skew_safe_join(empty, small, ["k"], "left").count() == 0
+    assert skew_safe_join(empty, small, ["k"], "left", broadcast_rows=None).count() == 0
+    assert expand_counts(spark.createDataFrame([], "v string, n long"), "n").count() == 0
+    p = {r.column_name: r for r in profile_numeric(empty, ["ts"]).collect()}
+    assert p["ts"]["count"] == 0 and p["ts"].p50 is None
+    assert profile_text(empty, ["v"]).collect()[0]["count"] == 0
