@@ -92,3 +92,14 @@ def test_identical_hot_rows_expand_exactly_and_spread(spark):
         assert len(per_task) >= 4 and max(r["count"] for r in per_task) < 1500   # 30 chunks spread
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_reports_on_empty_plays(spark):
+    sp = spark.createDataFrame([], "songplay_id long, time_id long, user_id int, location string")
+    times = spark.createDataFrame([], "time_id long, hour int")
+    users = spark.createDataFrame([], "user_id int, first_name string, last_name string")
+    assert reports.plays_by_hour(sp, times).count() == 0
+    assert reports.plays_by_location(sp).count() == 0          # no division by a zero total
+    assert reports.top_k_location_share(sp, 10).count() == 0
+    assert reports.top_k_users(sp, users, 10).count() == 0
+    assert reports.total_plays(sp).collect()[0].total_songplays == 0
