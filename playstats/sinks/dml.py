@@ -32,6 +32,10 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, update_cols: Sequence[
     and the last row's ``update_cols``. The batch is reduced per key with
     min_by/max_by (partial aggregation, so a hot key shrinks before the
     shuffle); then one full outer join with the target.
+
+    A batch row whose key is NULL never conflicts, so it stays a new row
+    instead of being dropped, and the primary-key check
+    (``operators.quality``) reports it.
     """
     cols = target.columns
     keep_cols = [c for c in cols if c != key and c not in update_cols]
