@@ -68,9 +68,14 @@ def hot_keys(big: DataFrame, keys: Sequence[str], hot_share: float,
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. The check stops after
-    ``max_rows + 1`` rows, so it never counts a large frame fully."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    The probe is an incremental take of a constant column. Spark scans one
+    partition, then more only while fewer than ``max_rows + 1`` rows have been
+    found, so proving that a large frame is too big touches a partition or two.
+    (``limit(n).count()`` would run a task on every partition.) At most
+    ``max_rows + 1`` one-field rows reach the driver."""
+    return len(df.select(F.lit(1).alias("_one")).limit(max_rows + 1).collect()) <= max_rows
 
 
 def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool):
