@@ -43,20 +43,20 @@ def _r6(df: DataFrame, *cols: str) -> DataFrame:
 
 # ---------------------------------------------------------------- scans, projections, filters
 
-def q_scan_table(spark, sf):
+def q_scan_table(spark: SparkSession, sf: str) -> DataFrame:
     return tables.scan_table(spark, f"{sf}/customer.parquet")
 
 
-def q_project_columns(spark, sf):
+def q_project_columns(spark: SparkSession, sf: str) -> DataFrame:
     return DriverTables(spark, sf).events.select("user_id", "event_type", "ts")
 
 
-def q_project_rename(spark, sf):
+def q_project_rename(spark: SparkSession, sf: str) -> DataFrame:
     return DriverTables(spark, sf).customer.withColumnsRenamed(
         {"c_custkey": "user_id", "c_name": "user_name", "c_nationkey": "nation_id"})
 
 
-def q_project_drop(spark, sf):
+def q_project_drop(spark: SparkSession, sf: str) -> DataFrame:
     return DriverTables(spark, sf).events.drop("props")
 
 
@@ -66,15 +66,15 @@ def _paged_events(t: DriverTables) -> DataFrame:
                            .otherwise(F.col("event_type")).alias("page"))
 
 
-def q_filter_page(spark, sf):
+def q_filter_page(spark: SparkSession, sf: str) -> DataFrame:
     return _paged_events(DriverTables(spark, sf)).filter(F.col("page") == star.NEXT_SONG)
 
 
-def q_filter_point(spark, sf):
+def q_filter_point(spark: SparkSession, sf: str) -> DataFrame:
     return DriverTables(spark, sf).customer.filter(F.col("c_custkey") == POINT_USER)
 
 
-def q_filter_cast_eq(spark, sf):
+def q_filter_cast_eq(spark: SparkSession, sf: str) -> DataFrame:
     return DriverTables(spark, sf).events.filter(F.col("user_id").cast("string") == CAST_EQ_TEXT)
 
 
@@ -88,11 +88,11 @@ def _looked_up(t: DriverTables) -> DataFrame:
         F.col("event_id").alias("songplay_id"), "song_id", "artist_id")
 
 
-def q_filter_not_null(spark, sf):
+def q_filter_not_null(spark: SparkSession, sf: str) -> DataFrame:
     return _looked_up(DriverTables(spark, sf)).filter(F.col("song_id").isNotNull())
 
 
-def q_full_name(spark, sf):
+def q_full_name(spark: SparkSession, sf: str) -> DataFrame:
     u = an.users_of(DriverTables(spark, sf).customer)
     return u.select("user_id", full_name("first_name", "last_name").alias("user_fullname"))
 
@@ -115,13 +115,13 @@ def _events_json(t: DriverTables, root: str, copies: bool) -> str:
     return root
 
 
-def q_scan_json_lines(spark, sf):
+def q_scan_json_lines(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     root = _events_json(t, scratch_path(spark, "scan_json_lines"), copies=True)
     return files.read_json_lines(spark, root, t.events.schema)
 
 
-def q_scan_with_filename(spark, sf):
+def q_scan_with_filename(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     root = _events_json(t, scratch_path(spark, "scan_with_filename"), copies=False)
     df = files.read_json_lines(spark, root, t.events.schema, distinct=False,
@@ -129,7 +129,7 @@ def q_scan_with_filename(spark, sf):
     return df.select("event_id", files.parent_folder("source_file").alias("folder"))
 
 
-def q_scan_file_listing(spark, sf):
+def q_scan_file_listing(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     root = _events_json(t, scratch_path(spark, "scan_file_listing"), copies=True)
     listed = files.list_files(spark, root)
@@ -149,27 +149,27 @@ def _dirty_customers(t: DriverTables) -> DataFrame:
     return t.customer.select("c_custkey", name.alias("c_name"), "c_acctbal", seg.alias("c_mktsegment"))
 
 
-def q_tsv_round_trip(spark, sf):
+def q_tsv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     df = _dirty_customers(t)
     path = writers.write_tsv(df, scratch_path(spark, "tsv_round_trip"))
     return delimited.read_tsv(spark, path, df.schema)
 
 
-def q_csv_round_trip(spark, sf):
+def q_csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     df = _dirty_customers(t)
     path = writers.write_csv(df, scratch_path(spark, "csv_round_trip"))
     return delimited.read_csv(spark, path, df.schema)
 
 
-def q_write_read_table(spark, sf):
+def q_write_read_table(spark: SparkSession, sf: str) -> DataFrame:
     songs = an.songs_of(DriverTables(spark, sf).part)
     path = writers.write_table(songs, scratch_path(spark, "write_read_table"), partition_by=["year"])
     return tables.scan_table(spark, path).select("song_id", "title", "artist_id", "year", "duration")
 
 
-def q_insert_rows(spark, sf):
+def q_insert_rows(spark: SparkSession, sf: str) -> DataFrame:
     from playstats.schemas import USERS
     users = an.users_of(DriverTables(spark, sf).customer)
     name = catalog.fresh_table_name("users_insert")
@@ -181,7 +181,7 @@ def q_insert_rows(spark, sf):
 
 # ---------------------------------------------------------------- cleaning and time
 
-def q_time_parts(spark, sf):
+def q_time_parts(spark: SparkSession, sf: str) -> DataFrame:
     ev = DriverTables(spark, sf).events
     st = epoch_ms_to_start_time(ntz_to_epoch_ms("ts"))
     return ev.select("event_id", st.alias("start_time")).withColumns(time_part_columns("start_time"))
@@ -196,11 +196,11 @@ def _dirty_events(t: DriverTables) -> DataFrame:
     return t.events.select("event_id", "event_type", props.alias("props"), value.alias("value"))
 
 
-def q_clean_frame(spark, sf):
+def q_clean_frame(spark: SparkSession, sf: str) -> DataFrame:
     return clean_frame(_dirty_events(DriverTables(spark, sf)))
 
 
-def q_to_number(spark, sf):
+def q_to_number(spark: SparkSession, sf: str) -> DataFrame:
     ev = DriverTables(spark, sf).events
     text = (F.when(F.col("event_id") % 17 == 0, F.lit(""))
             .when(F.col("event_id") % 19 == 0, F.lit("abc"))
@@ -215,45 +215,45 @@ def _order_days(t: DriverTables) -> DataFrame:
     return t.orders.select("o_orderdate", "o_orderstatus")
 
 
-def q_distinct_rows(spark, sf):
+def q_distinct_rows(spark: SparkSession, sf: str) -> DataFrame:
     return ops.distinct_rows(DriverTables(spark, sf).orders.select(
         "o_orderstatus", "o_orderdate", "o_orderpriority"))
 
 
-def q_distinct_projection(spark, sf):
+def q_distinct_projection(spark: SparkSession, sf: str) -> DataFrame:
     return ops.distinct_projection(DriverTables(spark, sf).part, ["p_brand", "p_type"])
 
 
-def q_dup_rows_all(spark, sf):
+def q_dup_rows_all(spark: SparkSession, sf: str) -> DataFrame:
     return ops.duplicate_members(_order_days(DriverTables(spark, sf)))
 
 
-def q_dup_count(spark, sf):
+def q_dup_count(spark: SparkSession, sf: str) -> DataFrame:
     return ops.duplicate_summary(_order_days(DriverTables(spark, sf)))
 
 
-def q_groups_larger_than(spark, sf):
+def q_groups_larger_than(spark: SparkSession, sf: str) -> DataFrame:
     o = DriverTables(spark, sf).orders.select("o_orderkey", "o_orderdate")
     return ops.groups_larger_than(o, ["o_orderdate"], BUSY_DAY_MIN)
 
 
-def q_key_cardinality(spark, sf):
+def q_key_cardinality(spark: SparkSession, sf: str) -> DataFrame:
     ev = DriverTables(spark, sf).events
     uid = F.when(F.col("user_id") % 10 == 3, F.lit(None).cast("long")).otherwise(F.col("user_id"))
     return profile.key_cardinality(ev.select(uid.alias("user_id")), "user_id")
 
 
-def q_dedup_keep_last(spark, sf):
+def q_dedup_keep_last(spark: SparkSession, sf: str) -> DataFrame:
     ev = DriverTables(spark, sf).events.select("user_id", "event_type", "ts", "event_id")
     return ops.keep_last(ev, ["user_id"], ["ts", "event_id"])
 
 
-def q_surrogate_id(spark, sf):
+def q_surrogate_id(spark: SparkSession, sf: str) -> DataFrame:
     v = an.views(DriverTables(spark, sf).events).select("event_id", "ts")
     return ops.assign_surrogate_id(v, ["ts", "event_id"], "songplay_id").select("event_id", "songplay_id")
 
 
-def q_patch_by_key(spark, sf):
+def q_patch_by_key(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     plays = an.plays_with_song_fields(t).select("event_id", "artist", "song", "length")
     patch = t.part.filter(F.col("p_size") <= 10).select(
@@ -264,16 +264,16 @@ def q_patch_by_key(spark, sf):
 
 # ---------------------------------------------------------------- joins and lookup
 
-def q_join_songs_artists(spark, sf):
+def q_join_songs_artists(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     return ops.join_songs_artists(an.songs_of(t.part), an.artists_of(t.part))
 
 
-def q_lookup_song_artist(spark, sf):
+def q_lookup_song_artist(spark: SparkSession, sf: str) -> DataFrame:
     return _looked_up(DriverTables(spark, sf))
 
 
-def q_lookup_point(spark, sf):
+def q_lookup_point(spark: SparkSession, sf: str) -> DataFrame:
     artist, title, duration = LOOKUP_POINT
     return ops.lookup_point(_catalog(DriverTables(spark, sf)), artist, title, duration)
 
@@ -290,23 +290,23 @@ def _plays(spark, t):
     return star.prepare_plays(star.read_log_data(spark, root, distinct=False, keep_extra=True))
 
 
-def q_etl_songs(spark, sf):
+def q_etl_songs(spark: SparkSession, sf: str) -> DataFrame:
     return star.build_songs(_song_raw(spark, DriverTables(spark, sf)))
 
 
-def q_etl_artists(spark, sf):
+def q_etl_artists(spark: SparkSession, sf: str) -> DataFrame:
     return star.build_artists(_song_raw(spark, DriverTables(spark, sf)))
 
 
-def q_etl_times(spark, sf):
+def q_etl_times(spark: SparkSession, sf: str) -> DataFrame:
     return star.build_times(_plays(spark, DriverTables(spark, sf)))
 
 
-def q_etl_users(spark, sf):
+def q_etl_users(spark: SparkSession, sf: str) -> DataFrame:
     return star.build_users(_plays(spark, DriverTables(spark, sf)))
 
 
-def q_etl_songplays(spark, sf):
+def q_etl_songplays(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     raw = _song_raw(spark, t)
     cat = ops.song_artist_catalog(star.build_songs(raw), star.build_artists(raw))
@@ -315,51 +315,51 @@ def q_etl_songplays(spark, sf):
 
 # ---------------------------------------------------------------- reports
 
-def q_report_by_hour(spark, sf):
+def q_report_by_hour(spark: SparkSession, sf: str) -> DataFrame:
     ev = DriverTables(spark, sf).events
     return reports.plays_by_hour(an.plain_plays(ev), an.times_of(ev))
 
 
-def q_report_by_location(spark, sf):
+def q_report_by_location(spark: SparkSession, sf: str) -> DataFrame:
     return _r6(reports.plays_by_location(an.located_plays(DriverTables(spark, sf))), "songplays_percent")
 
 
-def q_report_top_users(spark, sf):
+def q_report_top_users(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     return reports.top_users(an.plain_plays(t.events), an.users_of(t.customer))
 
 
-def q_count_by_user(spark, sf):
+def q_count_by_user(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     return reports.plays_per_user(an.plain_plays(t.events), an.users_of(t.customer))
 
 
-def q_count_total(spark, sf):
+def q_count_total(spark: SparkSession, sf: str) -> DataFrame:
     return reports.total_plays(an.plain_plays(DriverTables(spark, sf).events))
 
 
-def q_topk_users(spark, sf):
+def q_topk_users(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     return reports.top_k_users(an.plain_plays(t.events), an.users_of(t.customer), TOP_K)
 
 
-def q_topk_locations(spark, sf):
+def q_topk_locations(spark: SparkSession, sf: str) -> DataFrame:
     return reports.top_k_locations(an.located_plays(DriverTables(spark, sf)), TOP_K)
 
 
-def q_topk_share(spark, sf):
+def q_topk_share(spark: SparkSession, sf: str) -> DataFrame:
     return reports.top_k_location_share(an.located_plays(DriverTables(spark, sf)), TOP_K)
 
 
-def q_limit_n(spark, sf):
+def q_limit_n(spark: SparkSession, sf: str) -> DataFrame:
     return ops.limit_n(an.located_plays(DriverTables(spark, sf)), 5, ["songplay_id"])
 
 
-def q_head_tail(spark, sf):
+def q_head_tail(spark: SparkSession, sf: str) -> DataFrame:
     return ops.head_tail(DriverTables(spark, sf).events, 3, ["event_id"])
 
 
-def q_slice_rows(spark, sf):
+def q_slice_rows(spark: SparkSession, sf: str) -> DataFrame:
     return ops.slice_rows(DriverTables(spark, sf).events, ["ts", "event_id"], 3, 13)
 
 
@@ -376,17 +376,17 @@ def _dml_inputs(t: DriverTables) -> tuple[DataFrame, DataFrame]:
     return target, batch
 
 
-def q_upsert_level(spark, sf):
+def q_upsert_level(spark: SparkSession, sf: str) -> DataFrame:
     target, batch = _dml_inputs(DriverTables(spark, sf))
     return dml.upsert(target, batch, "user_id", ["level"], ["ts", "event_id"])
 
 
-def q_insert_if_absent(spark, sf):
+def q_insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     target, batch = _dml_inputs(DriverTables(spark, sf))
     return dml.insert_if_absent(target, batch, "user_id", ["ts", "event_id"])
 
 
-def q_delete_by_key(spark, sf):
+def q_delete_by_key(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     keys = t.events.filter((F.col("event_type") == "error") & (F.col("value") > 90)).select("user_id")
     return dml.delete_by_key(an.users_of(t.customer), "user_id", keys)
@@ -394,28 +394,28 @@ def q_delete_by_key(spark, sf):
 
 # ---------------------------------------------------------------- quality checks
 
-def q_check_primary_key(spark, sf):
+def q_check_primary_key(spark: SparkSession, sf: str) -> DataFrame:
     return quality.primary_key_violations(DriverTables(spark, sf).lineitem, ["l_orderkey", "l_linenumber"])
 
 
-def q_check_foreign_key(spark, sf):
+def q_check_foreign_key(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     return quality.foreign_key_violations(t.lineitem, ["l_partkey"],
                                           t.part.filter(F.col("p_size") > 5), ["p_partkey"])
 
 
-def q_check_not_null(spark, sf):
+def q_check_not_null(spark: SparkSession, sf: str) -> DataFrame:
     users = an.users_of(DriverTables(spark, sf).customer)
     return quality.null_counts(users, users.columns)
 
 
-def q_check_row_counts(spark, sf):
+def q_check_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     orders = DriverTables(spark, sf).orders
     path = writers.write_table(orders, scratch_path(spark, "check_row_counts"))
     return quality.row_count_check(orders, spark.read.parquet(path), "orders")
 
 
-def q_check_rows_per_file(spark, sf):
+def q_check_rows_per_file(spark: SparkSession, sf: str) -> DataFrame:
     songs = an.song_records_of(DriverTables(spark, sf).part)
     # one object per file, as the song folder is laid out; written by many tasks at once
     spread = songs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -428,26 +428,26 @@ def q_check_rows_per_file(spark, sf):
 
 # ---------------------------------------------------------------- profiles
 
-def q_profile_text(spark, sf):
+def q_profile_text(spark: SparkSession, sf: str) -> DataFrame:
     return profile.profile_text(DriverTables(spark, sf).orders, ["o_orderstatus", "o_orderpriority"])
 
 
-def q_profile_numeric(spark, sf):
+def q_profile_numeric(spark: SparkSession, sf: str) -> DataFrame:
     p = profile.profile_numeric(DriverTables(spark, sf).lineitem, ["l_quantity", "l_discount", "l_tax"])
     return _r6(p, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def q_profile_timestamp(spark, sf):
+def q_profile_timestamp(spark: SparkSession, sf: str) -> DataFrame:
     return profile.profile_timestamp(DriverTables(spark, sf).orders, ["o_orderdate"])
 
 
-def q_profile_dtypes(spark, sf):
+def q_profile_dtypes(spark: SparkSession, sf: str) -> DataFrame:
     return profile.profile_dtypes(DriverTables(spark, sf).events)
 
 
 # ---------------------------------------------------------------- set operations, catalog
 
-def q_union_by_name(spark, sf):
+def q_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     s = t.supplier.withColumnsRenamed({"s_suppkey": "key", "s_name": "name", "s_nationkey": "nationkey",
                                        "s_acctbal": "acctbal"})
@@ -456,7 +456,7 @@ def q_union_by_name(spark, sf):
     return s.unionByName(c, allowMissingColumns=True)
 
 
-def q_catalog_tables(spark, sf):
+def q_catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     db = catalog.fresh_table_name("playstats_catalog")
     catalog.create_database(spark, db, scratch_path(spark, db))
