@@ -22,6 +22,7 @@ from playstats.operators import profile, quality
 from playstats.operators.joins import skew_safe_join
 from playstats.plans import analogues as an
 from playstats.plans import catalog, reports, star
+from playstats.schemas import SONG_SCHEMA, USERS
 from playstats.scratch import scratch_path
 from playstats.sinks import dml, writers
 from playstats.sources import delimited, files, tables
@@ -170,7 +171,6 @@ def q_write_read_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_insert_rows(spark: SparkSession, sf: str) -> DataFrame:
-    from playstats.schemas import USERS
     users = an.users_of(DriverTables(spark, sf).customer)
     name = catalog.fresh_table_name("users_insert")
     writers.create_table(spark, name, USERS, scratch_path(spark, "insert_rows"))
@@ -421,7 +421,6 @@ def q_check_rows_per_file(spark: SparkSession, sf: str) -> DataFrame:
     spread = songs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     root = writers.write_table(spread, scratch_path(spark, "one_song_per_file"), fmt="json",
                                max_records_per_file=1)
-    from playstats.schemas import SONG_SCHEMA
     df = files.read_json_lines(spark, root, SONG_SCHEMA, distinct=False, source_file_col="source_file")
     return quality.rows_per_file_check(df)
 
