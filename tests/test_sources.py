@@ -88,3 +88,12 @@ def test_parquet_scan_prunes_and_pushes(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)]" in plan
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
+
+
+def test_scan_table_by_path_and_by_name(spark):
+    from playstats.sources.tables import scan_table
+
+    by_path = scan_table(spark, "/root/testdata/sf0.001/nation.parquet")
+    assert by_path.count() == 25
+    by_path.createOrReplaceTempView("nation_scan_test")
+    assert scan_table(spark, "nation_scan_test").count() == 25
