@@ -82,3 +82,19 @@ def test_registry_covers_every_survey_key():
         if line.startswith("| `"):
             keys |= set(re.findall(r"`([a-z_]+)`", line.split("|")[1]))
     assert keys - {"tests"} == set(entry.queries())
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import subprocess
+    import sys
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "BENCH_SF_DIR": SF, "BENCH_RUNS": "1", "BENCH_CPUS": "4"}
+    out = subprocess.run([sys.executable, os.path.join(here, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=900, check=True).stdout.strip().splitlines()
+    assert len(out) == 1
+    rec = json.loads(out[0])
+    assert rec["unit"] == "sec" and rec["sf"] == 0.001 and "errors" not in rec
+    assert set(rec["queries"]) >= {"report_by_hour", "lookup_song_artist", "surrogate_id"}
+    assert rec["value"] == round(sum(rec["queries"].values()), 4)
