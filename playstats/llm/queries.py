@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from playstats.llm import bpe_codec, token_counts, token_orc
+from playstats.llm import bpe_codec, minhash_dedup, token_counts, token_orc
 from playstats.llm.common import shared_path
 
 
@@ -17,6 +17,10 @@ def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(documents(spark, sf))
+
+
 def op5_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_codec.codec_digest(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
 
