@@ -19,6 +19,7 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -79,10 +80,11 @@ def token_counts(documents: DataFrame, vocabulary: str, limit: int = 1024, id_co
     docs = id_text(documents, id_col, text_col)
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(frequent_pieces(docs, vocabulary, frequent))
+    run = uuid.uuid4().hex  # names this table in the workers' caches
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(vocabulary)
-        cache = _cache(vocabulary, table)
+        cache = _cache(vocabulary, run, table)
         for part, texts in text_chunks(batches):
             n_bytes, n_tokens = [], []
             for text in texts:
@@ -99,13 +101,13 @@ def token_counts(documents: DataFrame, vocabulary: str, limit: int = 1024, id_co
     return docs.mapInArrow(count, OUT_SCHEMA)
 
 
-_CACHES: dict[str, tuple[int, PieceCache]] = {}
+_CACHES: dict[str, tuple[str, PieceCache]] = {}
 
 
-def _cache(vocabulary: str, table) -> PieceCache:
+def _cache(vocabulary: str, run: str, table) -> PieceCache:
     """The worker's cache for this broadcast table; a newer table replaces it."""
     known = _CACHES.get(vocabulary)
-    if known is None or known[0] != table.id:
+    if known is None or known[0] != run:
         bpe = byte_bpe(vocabulary)
-        known = _CACHES[vocabulary] = (table.id, PieceCache(lambda p: len(bpe.piece_ids(p)), table.value))
+        known = _CACHES[vocabulary] = (run, PieceCache(lambda p: len(bpe.piece_ids(p)), table.value))
     return known[1]
