@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from playstats.llm import bpe_codec, minhash_dedup, token_counts, token_orc
+from playstats.llm import bpe_codec, decontaminate, fingerprints, minhash_dedup, token_counts, token_orc
 from playstats.llm.common import shared_path
 
 
@@ -21,10 +21,19 @@ def op2_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf))
 
 
+def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
+    return decontaminate.contamination_digest(decontaminate.contamination(documents(spark, sf), benchmark))
+
+
 def op5_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_codec.codec_digest(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprint_digest(fingerprints.fingerprint_pairs(documents(spark, sf)))
+
+
 def op10_token_orc(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_path(spark, "token-orc")
     token_orc.write_token_orc(documents(spark, sf), path, public_tokenizers.path("byte_bpe_50k.json"))
