@@ -11,6 +11,7 @@ Conventions of every operator here:
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -31,6 +32,17 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 
+def find_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver did, for
+    sessions started elsewhere. (On a cluster the package is shipped with
+    ``--py-files``; a path that a machine lacks is ignored there.)"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir). Where a local test
     session names none, a folder below the warehouse directory."""

@@ -47,9 +47,9 @@ def span_hash(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     return h
 
 
-def words_of(texts: Sequence[str], breaks: np.ndarray = WHITE, lower: bool = True):
-    """(hash of every word, first word of each text). Text k's words are
-    ``hashes[first[k]:first[k + 1]]``."""
+def word_spans(texts: Sequence[str], breaks: np.ndarray = WHITE, lower: bool = True):
+    """(bytes of all texts, start and end of every word, first word of each text).
+    Text k's words are numbers ``first[k]`` to ``first[k + 1]``."""
     blobs = [t.encode("utf-8") for t in texts]
     data = np.frombuffer(b" ".join(blobs) + b" " * 9, np.uint8)
     if lower:
@@ -59,7 +59,13 @@ def words_of(texts: Sequence[str], breaks: np.ndarray = WHITE, lower: bool = Tru
     edge = np.diff(np.concatenate([[False], inside]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     begins = np.concatenate([[0], np.cumsum([len(b) + 1 for b in blobs])]) if blobs else np.zeros(1, np.int64)
-    return span_hash(data, starts, ends - starts), np.searchsorted(starts, begins)
+    return data, starts, ends, np.searchsorted(starts, begins)
+
+
+def words_of(texts: Sequence[str], breaks: np.ndarray = WHITE, lower: bool = True):
+    """(hash of every word, first word of each text)."""
+    data, starts, ends, first = word_spans(texts, breaks, lower)
+    return span_hash(data, starts, ends - starts), first
 
 
 _PLACES = mix(np.arange(1, 65, dtype=np.uint64))
