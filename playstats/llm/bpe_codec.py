@@ -25,6 +25,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from playstats.llm.common import id_text, text_chunks
-from playstats.llm.pretokens import PieceCache, as_symbols, unassigned
+from playstats.llm.pretokens import PieceCache, as_symbols, has_unassigned
 
 #: The split pattern of the vocabulary's pre-tokenizer (fixed value).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -116,11 +117,14 @@ class WordBpe:
         whole = self.table.whole
         self.inner = {s: i for s, i in self.vocab.items() if whole[i] and not s.endswith(END)}
         self.final = {s[:-len(END)]: i for s, i in self.vocab.items() if whole[i] and s.endswith(END)}
-        self.longest = max(map(len, [*self.inner, *self.final]))
+        # longest token that starts with a character pair; none is longer than that
+        self.reach: dict[str, int] = {}
+        for s in [*self.inner, *self.final]:
+            self.reach[s[:2]] = max(self.reach.get(s[:2], 0), len(s))
         self.exact_words = 0
         self._split = regex.compile(WORD_PATTERN).findall
         self._cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self._beyond = regex.compile(r"[İ̀-\U0010ffff]").search
+        self._beyond = re.compile("[\u0130\u0300-\U0010ffff]").search
 
     def _normal(self, text: str) -> str:
         # below U+0300 (but for U+0130) NFC changes nothing and lower() is the library's mapping
@@ -128,7 +132,7 @@ class WordBpe:
 
     def words(self, text: str) -> list[str] | None:
         """The text's words and special strings in order; None: ask the library."""
-        if not text.isascii() and unassigned().search(text):
+        if has_unassigned(text):
             return None
         if self._cut is None or not any(s in text for s in self.special):
             return self._split(self._normal(text))
@@ -145,10 +149,11 @@ class WordBpe:
         ids, at, n = [], 0, len(symbols)
         while at < n:
             rest = n - at
-            if rest <= self.longest and (t := self.final.get(symbols[at:])) is not None:
+            reach = max(1, self.reach.get(symbols[at:at + 2], 1))
+            if rest <= reach and (t := self.final.get(symbols[at:])) is not None:
                 ids.append(t)
                 return ids
-            for size in range(min(self.longest, rest - 1), 0, -1):
+            for size in range(min(reach, rest - 1), 0, -1):
                 if (t := self.inner.get(symbols[at:at + size])) is not None:
                     ids.append(t)
                     at += size
@@ -191,7 +196,7 @@ _CACHES: dict[str, PieceCache] = {}
 def _cache(path: str) -> PieceCache:
     if path not in _CACHES:
         special = {s: np.uint32(i).tobytes() for s, i in word_bpe(path).special.items()}
-        _CACHES[path] = PieceCache(None, special)
+        _CACHES[path] = PieceCache(pinned=special)
     return _CACHES[path]
 
 
@@ -199,7 +204,7 @@ def encode_texts(texts: Sequence[str], path: str) -> list[np.ndarray]:
     """The ids of each whole text, as little-endian unsigned 32-bit arrays."""
     bpe, cache = word_bpe(path), _cache(path)
     cut = [bpe.words(t) for t in texts]
-    new = list(dict.fromkeys(w for words in cut if words for w in words if w not in cache))
+    new = cache.unknown(dict.fromkeys(w for words in cut if words for w in words))
     for word, ids in zip(new, bpe.encode_words(new)):
         cache[word] = np.asarray(ids, "<u4").tobytes()
     out = []

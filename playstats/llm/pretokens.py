@@ -14,7 +14,7 @@ whole.
 from __future__ import annotations
 
 import functools
-import sys
+import re
 import unicodedata
 
 import regex
@@ -23,22 +23,17 @@ from tokenizers import Tokenizer
 #: The split pattern of byte-level BPE (fixed value; equals ``public_tokenizers.PATTERN``).
 BYTE_LEVEL_PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
-#: Entries of a worker's cache besides the pinned ones; beyond, it starts anew.
-CACHE_ENTRIES = 400_000
+#: Entries of one generation of a worker's cache.
+CACHE_ENTRIES = 250_000
 
 
-@functools.cache
-def unassigned() -> regex.Pattern:
-    """Matches a code point that Python's Unicode tables leave unassigned."""
-    ranges, start = [], None
-    for cp in range(sys.maxunicode + 2):
-        odd = cp <= sys.maxunicode and unicodedata.category(chr(cp)) == "Cn"
-        if odd and start is None:
-            start = cp
-        elif not odd and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{cp - 1:08x}")
-            start = None
-    return regex.compile("[" + "".join(ranges) + "]")
+#: Every code point below U+0250 is assigned.
+_beyond_latin = re.compile("[^\x00-\u024f]").search
+
+
+def has_unassigned(text: str) -> bool:
+    """Does the text hold a code point that Python's Unicode tables leave unassigned?"""
+    return _beyond_latin(text) is not None and any(unicodedata.category(c) == "Cn" for c in set(text))
 
 
 @functools.cache
@@ -67,7 +62,7 @@ class ByteBpe:
 
     def pieces(self, text: str) -> list[str] | None:
         """The text's pre-tokens and special strings in order; None: ask the library."""
-        if not text.isascii() and unassigned().search(text):
+        if has_unassigned(text):
             return None
         if self._cut is not None and any(s in text for s in self.special):
             out: list[str] = []
@@ -99,19 +94,28 @@ def byte_bpe(path: str) -> ByteBpe:
 
 
 class PieceCache(dict):
-    """pre-token -> value, two tiers in one table: ``pinned`` entries stay; the
-    others are worked out on a miss and dropped together when there are more
-    than ``limit`` of them."""
+    """pre-token -> value. ``pinned`` entries stay. The others live in two
+    generations: when there are more than ``limit`` young ones they become the old
+    generation, the previous old one is dropped, and pieces still in use come back
+    on their next look-up. So frequent pieces are never worked out again."""
 
-    def __init__(self, work, pinned: dict | None = None, limit: int = CACHE_ENTRIES):
+    def __init__(self, work=None, pinned: dict | None = None, limit: int = CACHE_ENTRIES):
         super().__init__(pinned or {})
-        self.pinned, self.work, self.limit = dict(pinned or {}), work, limit
+        self.pinned, self.work, self.limit, self.old = dict(pinned or {}), work, limit, {}
 
     def __missing__(self, piece: str):
-        value = self[piece] = self.work(piece)
+        value = self.old.get(piece)
+        if value is None:
+            value = self.work(piece)
+        self[piece] = value
         return value
 
+    def unknown(self, pieces) -> list[str]:
+        """Those of the pieces that no generation has."""
+        return [p for p in pieces if p not in self and p not in self.old]
+
     def trim(self) -> None:
         if len(self) > self.limit + len(self.pinned):
+            self.old = dict(self)
             self.clear()
             self.update(self.pinned)
