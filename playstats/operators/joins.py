@@ -1,37 +1,27 @@
 """Skew-safe equi-join of a large frame with a frame that is unique per key.
 
 A key may hold a large share of the big side's rows (one song played a third
-of the time, one very active user). A plain sort-merge join sends all those
-rows to one task. Here:
-
-1. hot keys = keys holding at least ``hot_share`` of the big side's rows or
-   more than ``rows_per_bucket`` rows, found by a partial aggregate. At most
-   ``max_hot_keys`` (the largest) are kept, so the hot-key table has a proven
-   size bound and is broadcast.
-2. Each hot key gets a fan-out that grows with its size: ``ceil(rows /
-   rows_per_bucket)`` buckets, at most ``max_buckets`` (or a fixed
-   ``salt_buckets``). A third of a 100 TB table is spread over many tasks,
-   not 32.
+of the time, one very active user, or NULL). A plain sort-merge join sends all
+those rows to one task. Here:
+
+1. hot keys = keys with more than ``rows_per_bucket`` rows, found by one partial
+   aggregate and stored once. There is no limit on their number: at most
+   ``rows / rows_per_bucket`` keys can be hot.
+2. A hot key is spread over ``ceil(rows / rows_per_bucket)`` buckets, whatever
+   its size. Without any hot key the join is a plain one.
 3. Big-side rows of hot keys get a salt in ``[0, buckets)``, a hash of the
    row's content. It is deterministic, so a recomputed task salts exactly as
    before. All other rows get salt 0. Fully identical rows share a salt;
    callers whose big side can repeat rows reduce it to (row, copies) first
    (see ``operators.keys.groups_larger_than``).
-4. Small-side rows of hot keys are replicated once per bucket. That is at
-   most ``max_buckets / hot_share`` extra rows, because the small side is
-   unique per key.
-5. One sort-merge join on ``keys + salt`` spreads each hot key over its
-   buckets. No row is dropped or sampled.
-
-Rows whose key contains NULL never match under ``=``, so in the default
-(not null-safe) mode they get a wide salt and no partner rows. Many NULL keys
-(plays without song fields) therefore do not pile up on the reducer of
-hash(NULL).
-
-When the small side has at most ``broadcast_rows`` rows, which a bounded
-``limit(n + 1).count()`` proves, it is broadcast instead. A broadcast join has
-no skew problem, so no salting is needed. Salting is used only beyond that
-bound.
+4. Small-side rows of hot keys are replicated once per bucket, which adds at
+   most ``rows / rows_per_bucket`` rows, because the small side is unique per key.
+5. One join on ``keys + salt`` spreads each hot key over its buckets. No row is
+   dropped or sampled.
+
+Whether the small side or the hot-key table is broadcast is the planner's
+choice, by their sizes in bytes; if the hot-key table is itself large, it is
+joined by a shuffle in which AQE splits the skewed partitions.
 """
 
 from __future__ import annotations
@@ -41,41 +31,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playstats.scratch import checkpoint_root
+from playstats.scratch import stored
 
 SALT = "_salt"
+ROWS_PER_BUCKET = 1_000_000
 
 
-def hot_keys(big: DataFrame, keys: Sequence[str], hot_share: float,
-             rows_per_bucket: int | None = None, max_hot_keys: int = 10_000) -> DataFrame:
-    """Keys too big for one task, with their row count ``_n``.
-
-    A key is hot when it holds at least ``hot_share`` of all rows, or more
-    than ``rows_per_bucket`` rows (at 10^12 rows, 0.1 % of the table is
-    already far too much for one task). At most ``max_hot_keys`` of the
-    largest are kept, so the result is a bounded broadcast. This caps only
-    which keys are salted. Every other key is still joined exactly."""
-    total = big.select(F.count(F.lit(1))).scalar()
-    limit = F.lit(float(hot_share)) * total
-    if rows_per_bucket is not None:
-        limit = F.least(limit, F.lit(float(rows_per_bucket)))
+def hot_keys(big: DataFrame, keys: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Every key (NULL included) with more than ``rows_per_bucket`` rows, and the
+    number of buckets ``_buckets`` it needs."""
     return (big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter((F.col("_n") >= limit) & (F.col("_n") > 1))
-            # total order: the same keys are chosen every time the set is computed,
-            # so the big and the small side always agree on which keys are salted
-            .orderBy(F.desc("_n"), *[F.col(f"`{k}`").asc_nulls_first() for k in keys])
-            .limit(max_hot_keys))
-
-
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The probe is an incremental take of a constant column. Spark scans one
-    partition, then more only while fewer than ``max_rows + 1`` rows have been
-    found, so proving that a large frame is too big touches a partition or two.
-    (``limit(n).count()`` would run a task on every partition.) At most
-    ``max_rows + 1`` one-field rows reach the driver."""
-    return len(df.select(F.lit(1).alias("_one")).limit(max_rows + 1).collect()) <= max_rows
+            .filter(F.col("_n") > rows_per_bucket)
+            .select(*keys, F.ceil(F.col("_n") / F.lit(float(rows_per_bucket))).cast("long").alias("_buckets")))
 
 
 def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool):
@@ -87,72 +54,38 @@ def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
 
 
 def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
-                   hot_share: float = 0.01, salt_buckets: int | None = None,
-                   null_safe: bool = False, broadcast_rows: int | None = 250_000,
-                   rows_per_bucket: int = 1_000_000, max_buckets: int = 65_536,
-                   max_hot_keys: int = 10_000, materialize_small: bool = False) -> DataFrame:
+                   null_safe: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``big.join(small, keys, how)`` for ``small`` unique per ``keys``, with
     hot keys of ``big`` spread over several tasks each. Output columns are
     those of the plain using-join (big's columns, then small's non-key
     columns; big's only for semi/anti). ``null_safe=True`` matches NULL keys
-    to NULL keys (``<=>``), as grouping does. ``materialize_small=True``
-    checkpoints a derived small side (e.g. an aggregate) once to the shared
-    checkpoint folder, so the size check and the join do not both compute it."""
+    to NULL keys (``<=>``), as grouping does; otherwise they match nothing and
+    are only spread."""
     if how == "left_outer":
         how = "left"
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError("skew_safe_join keeps every big-side row once: left/inner/semi/anti only")
     keys = list(keys)
-    if materialize_small:
-        checkpoint_root(small.sparkSession)
-        small = small.checkpoint(eager=True)
     sk = [f"_sk{i}" for i in range(len(keys))]
-    rest = [c for c in small.columns if c not in keys]
-    s0 = small.select(*[F.col(f"`{k}`").alias(x) for k, x in zip(keys, sk)], *[F.col(f"`{c}`") for c in rest])
-    if broadcast_rows is not None and fits_broadcast(small, broadcast_rows):
-        sb = F.broadcast(s0)
-        out = big.join(sb, _match(big, sb, list(zip(keys, sk)), null_safe), how)
-        if how in ("left_semi", "left_anti"):
-            return out
-        return out.select(*[big[f"`{c}`"] for c in big.columns], *[sb[f"`{c}`"] for c in rest])
-
     hk = [f"_hk{i}" for i in range(len(keys))]
-    if salt_buckets is not None:
-        buckets = F.lit(int(salt_buckets))
-    else:
-        buckets = F.least(F.lit(int(max_buckets)),
-                          F.greatest(F.lit(2), F.ceil(F.col("_n") / F.lit(float(rows_per_bucket)))))
-    hot_src = hot_keys(big, keys, hot_share, rows_per_bucket, max_hot_keys)
-    if not null_safe:  # NULL groups never match; they are spread separately below
-        for k in keys:
-            hot_src = hot_src.filter(F.col(f"`{k}`").isNotNull())
-    hot = F.broadcast(hot_src
-                      .select(*[F.col(f"`{k}`").alias(h) for k, h in zip(keys, hk)],
-                              buckets.cast("int").alias("_buckets"))
-                      .withColumn("_hot", F.lit(True)))
-
-    content = [F.col(f"`{c}`") for c in big.columns]
-    # deterministic (content only), so a retried task salts every row the same
-    # way and the shuffle is not marked indeterminate
-    spread = F.xxhash64(*content)
-    salt = F.when(F.col("_hot"), F.pmod(spread, F.col("_buckets"))).otherwise(F.lit(0))
-    if not null_safe:
-        # A NULL key never matches under ``=``, so its salt cannot change the
-        # result. Spreading such rows widely stops a NULL-heavy big side (plays
-        # with no song fields) from landing on the one reducer of hash(NULL).
-        any_null = None
-        for k in keys:
-            e = F.col(f"`{k}`").isNull()
-            any_null = e if any_null is None else any_null | e
-        salt = F.when(any_null, F.pmod(spread, F.lit(int(max_buckets)))).otherwise(salt)
-    b = (big.join(hot, _match(big, hot, list(zip(keys, hk)), null_safe), "left")
-         .select(*content, salt.cast("int").alias(SALT)))
-
-    fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.col("_buckets") - 1)).otherwise(F.array(F.lit(0)))
-    s = (s0.join(hot, _match(s0, hot, list(zip(sk, hk)), null_safe), "left")
-         .select(*sk, *rest, F.explode(fan).alias("_ssalt")))
-
-    cond = _match(b, s, list(zip(keys, sk)), null_safe) & (b[SALT] == s["_ssalt"])
+    rest = [c for c in small.columns if c not in keys]
+    s = small.select(*[F.col(f"`{k}`").alias(x) for k, x in zip(keys, sk)], *[F.col(f"`{c}`") for c in rest])
+    b = big
+    hot = stored(hot_keys(big, keys, rows_per_bucket)
+                 .select(*[F.col(f"`{k}`").alias(h) for k, h in zip(keys, hk)], "_buckets"), "hot-keys")
+    salted = not hot.isEmpty()
+    if salted:
+        content = [F.col(f"`{c}`") for c in big.columns]
+        # deterministic (content only), so a retried task salts every row the same
+        # way and the shuffle is not marked indeterminate
+        salt = F.coalesce(F.pmod(F.xxhash64(*content), F.col("_buckets")), F.lit(0).cast("long"))
+        b = big.join(hot, _match(big, hot, list(zip(keys, hk)), True), "left").select(*content, salt.alias(SALT))
+        fan = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_buckets"), F.lit(1).cast("long")) - 1)
+        s = (s.join(hot, _match(s, hot, list(zip(sk, hk)), True), "left")
+             .select(*sk, *rest, F.explode(fan).alias("_ssalt")))
+    cond = _match(b, s, list(zip(keys, sk)), null_safe)
+    if salted:
+        cond = cond & (b[SALT] == s["_ssalt"])
     out = b.join(s, cond, how)
     if how in ("left_semi", "left_anti"):
         return out.drop(SALT)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playstats.operators.joins import skew_safe_join
-from playstats.scratch import checkpoint_root
+from playstats.scratch import stored
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -87,7 +87,7 @@ def groups_larger_than(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
 
     Skew-proof even when one key, or one repeated row, holds a third of the
     data:
-    1. rows are reduced to (row, copies) by a partial aggregate;
+    1. rows are reduced to (row, copies) by a partial aggregate and stored once;
     2. key sizes are summed from that;
     3. the distinct rows, which are unique so a content salt spreads a hot
        key, are semi-joined to the large keys;
@@ -97,6 +97,7 @@ def groups_larger_than(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     if set(keys) == set(df.columns):
         kept = rows.filter(F.col("_copies") > n)
     else:
+        rows = stored(rows, "row-copies")
         big = (rows.groupBy(*keys).agg(F.sum("_copies").alias("_key_rows"))
                .filter(F.col("_key_rows") > n).select(*keys))
         kept = skew_safe_join(rows, big, keys, "left_semi", null_safe=True)
@@ -128,17 +129,16 @@ def number_sorted_partitions(df: DataFrame, id_col: str = "row_id", start: int =
     """Dense ids in the frame's current order, for a frame whose partitions are
     already in global order (range-partitioned and sorted within partitions).
 
-    Rows are numbered inside each partition and checkpointed to the shared
-    checkpoint folder. That fixes the range boundaries and cuts lineage, so a
-    lost executor recomputes nothing differently. Each partition's offset then
+    Rows are numbered inside each partition and stored as Parquet in the shared
+    folder. That fixes the range boundaries and cuts lineage, so a lost executor
+    recomputes nothing differently, and later scans are pruned. Each partition's
+    offset then
     comes from a table with one row per partition, broadcast because its size is
     bounded by the partition count. No row passes through a single task.
     """
-    checkpoint_root(df.sparkSession)
     cols = [F.col(f"`{c}`") for c in df.columns]
-    staged = (df.withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    staged = stored(df.withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()), "numbered")
     per_part = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select("_pid", "_first",

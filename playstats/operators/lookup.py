@@ -4,8 +4,8 @@
 One set-wise left join replaces a query per play. The catalog is reduced to one
 row per lookup key first (smallest song_id on ties), so the join never adds
 rows, and keys that contain NULL are dropped from it because ``=`` never matches
-NULL. The catalog is broadcast when its measured size is under the broadcast
-threshold; otherwise it is a sort-merge join in which hot songs are salted.
+NULL. Songs and artists with very many rows are spread over several tasks
+(``operators.joins``); whether a side is broadcast is the planner's choice.
 """
 
 from __future__ import annotations
@@ -13,15 +13,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playstats.operators.joins import skew_safe_join
+from playstats.operators.joins import ROWS_PER_BUCKET, skew_safe_join
 
 CATALOG_KEYS = ("name", "title", "duration")
 
 
 def join_songs_artists(songs: DataFrame, artists: DataFrame) -> DataFrame:
-    """songs ⋈ artists on artist_id (inner)."""
-    a = artists.select("artist_id", "name")
-    return songs.join(a, "artist_id", "inner")
+    """songs ⋈ artists on artist_id (inner); an artist of very many songs is spread
+    over several tasks. Artists may be repeated under several spellings."""
+    a = artists.select("artist_id", "name").dropDuplicates()
+    j = skew_safe_join(songs, a, ["artist_id"], "inner")
+    return j.select("artist_id", *[F.col(f"`{c}`") for c in songs.columns if c != "artist_id"], "name")
 
 
 def song_artist_catalog(songs: DataFrame, artists: DataFrame) -> DataFrame:
@@ -38,26 +40,18 @@ def song_artist_catalog(songs: DataFrame, artists: DataFrame) -> DataFrame:
 def lookup_song_artist(plays: DataFrame, catalog: DataFrame, artist_col: str = "artist",
                        title_col: str = "song", length_col: str = "length",
                        song_id_col: str = "song_id", artist_id_col: str = "artist_id",
-                       hot_share: float | None = 0.01, salt_buckets: int | None = None,
-                       broadcast_rows: int | None = 250_000) -> DataFrame:
+                       rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Left join every play to the catalog; unmatched plays get NULL ids.
 
-    The same song may account for a large share of all plays, so by default
-    the join is :func:`playstats.operators.joins.skew_safe_join`: songs with at
-    least ``hot_share`` of the plays are spread over tasks in proportion to
-    their size, unless the catalog has at most ``broadcast_rows`` rows and is
-    broadcast.
-    ``hot_share=None`` gives the plain join (AQE's skew handling only)."""
+    The same song may account for a large share of all plays, so the join is
+    :func:`playstats.operators.joins.skew_safe_join`: a song with more than
+    ``rows_per_bucket`` plays is spread over tasks in proportion to its size."""
     keys = [artist_col, title_col, length_col]
     c = catalog.select(F.col("name").alias(artist_col), F.col("title").alias(title_col),
                        F.col("duration").alias(length_col),
                        F.col("song_id").alias(song_id_col), F.col("artist_id").alias(artist_id_col))
     p = plays.drop(song_id_col, artist_id_col)
-    if hot_share is None:
-        joined = p.join(c, keys, "left")
-    else:
-        joined = skew_safe_join(p, c, keys, "left", hot_share, salt_buckets,
-                                broadcast_rows=broadcast_rows, materialize_small=True)
+    joined = skew_safe_join(p, c, keys, "left", rows_per_bucket=rows_per_bucket)
     return joined.select(*[F.col(f"`{x}`") for x in p.columns], song_id_col, artist_id_col)
 
 

@@ -2,9 +2,9 @@
 
 A limit here is always a feature of the query (a top-k report, a sample of n
 rows) and always follows a total order, so the result is reproducible. Small
-ordered limits plan as ``TakeOrderedAndProject`` (per-task top-k, then merge);
-an open-ended slice uses the distributed surrogate-id operator instead of a
-global offset, which would pull every row into one task.
+ordered limits plan as ``TakeOrderedAndProject`` (per-task top-k, then merge); a
+slice uses the distributed surrogate-id operator instead of a global offset,
+which would pull every row before its end into one task.
 """
 
 from __future__ import annotations
@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 
 from playstats.operators.keys import assign_surrogate_id
 
-# Above this many rows an ordered slice is numbered instead of taken.
-TAKE_ORDERED_MAX = 100_000
-
-
 def _order(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in cols]
 
@@ -59,8 +55,6 @@ def head_tail(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
 
 def slice_rows(df: DataFrame, order_by: Sequence[str], start: int, stop: int | None = None) -> DataFrame:
     """Rows ``start <= position < stop`` of the order (``stop=None``: to the end)."""
-    if stop is not None and stop - start <= TAKE_ORDERED_MAX:
-        return df.orderBy(*_order(order_by)).offset(start).limit(max(stop - start, 0))
     numbered = assign_surrogate_id(df, _order(order_by), "_pos")
     cond = F.col("_pos") >= start
     if stop is not None:

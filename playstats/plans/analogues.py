@@ -23,7 +23,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstats.operators.joins import skew_safe_join
 from playstats.functions.timeparts import floor_to_second, ntz_to_epoch_ms, time_part_columns
 from playstats.sinks.writers import write_table
 from playstats.sources.tables import driver_table
@@ -96,11 +95,12 @@ def views(events: DataFrame) -> DataFrame:
 def located_plays(t: DriverTables) -> DataFrame:
     """Plays (view events) with the star schema's songplays columns; location
     is the nation of the user. Join strategies are the planner's: small
-    dimension sides are broadcast on their measured size, large ones shuffled."""
+    dimension sides are broadcast on their size, large ones shuffled with AQE
+    splitting skewed partitions."""
     cust = t.customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey", "c_mktsegment")
     nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     v = views(t.events).select("event_id", "user_id", "value")
-    return (skew_safe_join(v, cust, ["user_id"], "inner").join(nat, "c_nationkey")
+    return (v.join(cust, "user_id").join(nat, "c_nationkey")
             .select(F.col("event_id").alias("songplay_id"), F.col("event_id").alias("time_id"),
                     F.col("user_id").cast("int").alias("user_id"),
                     F.when(F.col("value") >= 50, F.lit("paid")).otherwise(F.lit("free")).alias("level"),
@@ -140,7 +140,7 @@ def log_records_of(t: DriverTables) -> DataFrame:
     nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     p = t.part.select(F.col("p_partkey").alias("event_id"), "p_brand", "p_name", "p_retailprice")
     is_view = F.col("event_type") == "view"
-    j = (skew_safe_join(e, cust, ["user_id"], "inner").join(nat, "c_nationkey")
+    j = (e.join(cust, "user_id").join(nat, "c_nationkey")
          .join(p, "event_id", "left"))
     return j.select(
         F.col("p_brand").alias("artist"),

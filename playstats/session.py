@@ -33,7 +33,7 @@ def get_spark(app_name: str = "playstats", cpus: int | str | None = None,
 
 
 def scale_conf(input_bytes: int, total_cores: int, split_bytes: int = 1 << 30,
-               advisory_bytes: int = 256 << 20, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+               advisory_bytes: int = 256 << 20, max_shuffle_partitions: int | None = None) -> dict[str, str]:
     """Session settings sized for a run over ``input_bytes`` on ``total_cores``
     executor cores, for a cluster session's builder (the library never sets
     them itself).
@@ -43,11 +43,14 @@ def scale_conf(input_bytes: int, total_cores: int, split_bytes: int = 1 << 30,
       count, and with it the driver's map-output tracking (maps × reducers),
       manageable.
     * The initial shuffle partition count covers the input at one split each,
-      with at least three waves per core, capped at ``max_shuffle_partitions``.
+      with at least three waves per core (``max_shuffle_partitions``: the
+      caller's own bound, none by default).
       AQE then coalesces shuffle partitions to ``advisory_bytes`` and splits
       skewed join partitions.
     """
-    parts = min(max_shuffle_partitions, max(3 * total_cores, -(-input_bytes // split_bytes)))
+    parts = max(3 * total_cores, -(-input_bytes // split_bytes))
+    if max_shuffle_partitions is not None:
+        parts = min(parts, max_shuffle_partitions)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

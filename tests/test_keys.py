@@ -87,20 +87,14 @@ def test_skew_safe_join_spreads_hot_key_and_keeps_rows(spark):
     for k, v in keys.items():
         spark.conf.set(k, v)
     try:
-        got = skew_safe_join(big, small, ["k"], "left", hot_share=0.05, salt_buckets=16,
-                             broadcast_rows=None)
+        got = skew_safe_join(big, small, ["k"], "left", rows_per_bucket=700)
         plain = big.join(small, "k", "left")
-        small_path = skew_safe_join(big, small, ["k"], "left", broadcast_rows=1000)
-        assert small_path.exceptAll(plain).count() == 0 and small_path.count() == 30_001
+        unsalted = skew_safe_join(big, small, ["k"], "left")
+        assert _same_rows(unsalted, plain) and unsalted.count() == 30_001
         assert got.count() == plain.count() == 30_001
         assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
         per_task = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert max(r["count"] for r in per_task) < 10_000 // 2   # the 10k hot rows are split
-        adaptive = skew_safe_join(big, small, ["k"], "left", hot_share=0.05, broadcast_rows=None,
-                                  rows_per_bucket=500)             # 10k hot rows -> 20 buckets
-        assert _same_rows(adaptive, plain)
-        per_task = adaptive.groupBy(F.spark_partition_id().alias("p")).count().collect()
-        assert max(r["count"] for r in per_task) < 10_000 // 2
     finally:
         for k, v in old.items():
             if v is None:
@@ -124,7 +118,7 @@ def test_skew_safe_join_spreads_null_keys(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        got = skew_safe_join(big, small, ["k"], "left", broadcast_rows=None)
+        got = skew_safe_join(big, small, ["k"], "left", rows_per_bucket=500)
         plain = big.join(small, "k", "left")
         assert _same_rows(got, plain) and got.count() == 20_000
         assert got.filter(F.col("v").isNull()).count() == 16_000
@@ -138,17 +132,27 @@ def test_skew_safe_join_spreads_null_keys(spark):
                 spark.conf.set(k, v)
 
 
-def test_hot_keys_absolute_threshold_and_cap(spark):
+def test_every_hot_key_is_split(spark):
+    from playstats.operators.joins import hot_keys, skew_safe_join
+
+    # 12,000 keys of 4 rows each, all above 2 rows a bucket
+    big = spark.range(48_000).select((F.col("id") % 12_000).alias("k"), "id")
+    got = hot_keys(big, ["k"], rows_per_bucket=2)
+    assert got.count() == 12_000 and got.filter("_buckets <> 2").count() == 0
+    small = spark.range(12_000).select(F.col("id").alias("k"), (-F.col("id")).alias("v"))
+    out = skew_safe_join(big, small, ["k"], "inner", rows_per_bucket=2)
+    assert out.count() == 48_000 and out.filter("v <> -k").count() == 0
+
+
+def test_hot_keys_threshold(spark):
     from playstats.operators.joins import hot_keys
 
     # keys 1..3 hold 600, 700, 800 of 20,100 rows (< 5 % each); the rest are single rows
     parts = [spark.range(n).select(F.lit(k).cast("long").alias("k")) for k, n in ((1, 600), (2, 700), (3, 800))]
     big = parts[0].union(parts[1]).union(parts[2]).union(spark.range(100, 18_100).select(F.col("id").alias("k")))
-    assert hot_keys(big, ["k"], 0.05).count() == 0
-    got = {r.k: r._n for r in hot_keys(big, ["k"], 0.05, rows_per_bucket=500).collect()}
-    assert got == {1: 600, 2: 700, 3: 800}
-    capped = {r.k for r in hot_keys(big, ["k"], 0.05, rows_per_bucket=500, max_hot_keys=2).collect()}
-    assert capped == {2, 3}
+    assert hot_keys(big, ["k"]).count() == 0
+    got = {r.k: r._buckets for r in hot_keys(big, ["k"], rows_per_bucket=300).collect()}
+    assert got == {1: 2, 2: 3, 3: 3}
 
 
 def test_empty_inputs(spark):
@@ -162,7 +166,6 @@ def test_empty_inputs(spark):
     assert duplicate_members(empty).count() == 0
     small = spark.createDataFrame([(1, "x")], "k long, w string")
     assert skew_safe_join(empty, small, ["k"], "left").count() == 0
-    assert skew_safe_join(empty, small, ["k"], "left", broadcast_rows=None).count() == 0
     assert expand_counts(spark.createDataFrame([], "v string, n long"), "n").count() == 0
     p = {r.column_name: r for r in profile_numeric(empty, ["ts"]).collect()}
     assert p["ts"]["count"] == 0 and p["ts"].p50 is None

@@ -30,15 +30,16 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-@pytest.mark.parametrize("broadcast_rows", [None, 1_000_000])
-def test_lookup_with_hot_song(spark, hot_plays, broadcast_rows):
+@pytest.mark.parametrize("rows_per_bucket", [100, 1_000_000])
+def test_lookup_with_hot_song(spark, hot_plays, rows_per_bucket):
     songs = spark.createDataFrame([("SO_HOT", "Hot", "AR1", 100.0), ("SO_1", "S1", "AR1", 100.0)],
                                   "song_id string, title string, artist_id string, duration double") \
         .withColumn("duration", F.col("duration").cast("decimal(28,10)"))
     artists = spark.createDataFrame([("AR1", "Band")], "artist_id string, name string")
     cat = song_artist_catalog(songs, artists)
-    got = lookup_song_artist(hot_plays, cat, hot_share=0.05, salt_buckets=8, broadcast_rows=broadcast_rows)
-    plain = lookup_song_artist(hot_plays, cat, hot_share=None)
+    got = lookup_song_artist(hot_plays, cat, rows_per_bucket=rows_per_bucket)
+    plain = hot_plays.join(cat.withColumnsRenamed({"name": "artist", "title": "song", "duration": "length"}),
+                           ["artist", "song", "length"], "left").select(*got.columns)
     assert got.count() == N and _same(got, plain)
     assert got.filter(F.col("song_id") == "SO_HOT").count() == N // 3
 
@@ -103,3 +104,54 @@ def test_reports_on_empty_plays(spark):
     assert reports.top_k_location_share(sp, 10).count() == 0
     assert reports.top_k_users(sp, users, 10).count() == 0
     assert reports.total_plays(sp).collect()[0].total_songplays == 0
+
+
+def _per_task(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+def test_repeated_log_line_is_spread(spark, tmp_path):
+    """A line repeated a third of the time is one row before the range step."""
+    import json
+
+    from playstats.plans import star
+    from tests.conftest import play, write_lines
+
+    lines = [play(1541121934796 + (0 if i % 3 == 0 else i), "88", "Ann", "Lee", "F", "free", item=0 if i % 3 == 0 else i)
+             for i in range(3000)]
+    write_lines(str(tmp_path / "a.json"), lines)
+    raw = star.read_log_data(spark, str(tmp_path), distinct=False, keep_extra=True)
+    ordered = star.ordered_plays(raw, num_partitions=8)
+    assert ordered.count() == len({json.dumps(x, sort_keys=True) for x in lines}) == 2001
+    assert max(_per_task(ordered)) < 600
+
+
+def test_quartiles_with_one_value_in_a_third(spark):
+    import numpy as np
+
+    from playstats.operators import profile
+
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(5.0)).when(F.col("id") % 1000 == 1, F.lit(float("nan")))
+                                    .otherwise((F.col("id") % 7).cast("double")).alias("x"),
+                                    F.lit(None).cast("double").alias("none"))
+    values = np.array([r.x for r in df.collect()])
+    values = values[~np.isnan(values)]
+    got = {r.column_name: r for r in profile.profile_numeric(df, ["x", "none"]).collect()}
+    r = got["x"]
+    assert r["count"] == len(values) and abs(r["mean"] - values.mean()) < 1e-9
+    assert abs(r["std"] - values.std(ddof=1)) < 1e-9 and (r["min"], r["max"]) == (0.0, 6.0)
+    assert [r.p25, r.p50, r.p75] == list(np.quantile(values, [0.25, 0.5, 0.75]))
+    assert got["none"]["count"] == 0 and got["none"].p50 is None
+    # every distinct value is one row after the counting step
+    assert profile.value_counts(df.unpivot([], ["x"], "column_name", "value")).count() == 8
+
+
+def test_hot_artist_join(spark):
+    from playstats.operators import joins, lookup
+
+    songs = spark.range(6000).select(F.col("id").cast("string").alias("song_id"), F.lit("t").alias("title"),
+                                     F.when(F.col("id") % 3 == 0, "A0").otherwise(F.concat(F.lit("A"), F.col("id") % 50)).alias("artist_id"))
+    artists = spark.range(50).select(F.concat(F.lit("A"), F.col("id")).alias("artist_id"), F.col("id").cast("string").alias("name"))
+    got = lookup.join_songs_artists(songs, artists)
+    assert got.columns == ["artist_id", "song_id", "title", "name"] and got.count() == 6000
+    assert joins.hot_keys(songs, ["artist_id"], 1000).count() == 1
