@@ -53,6 +53,12 @@ def clean_frame(df: DataFrame, empty_to_null: bool = True, nan_to_null: bool = T
     return df.select(*exprs)
 
 
+def convert(c: Column, target: str) -> tuple[Column, Column]:
+    """(the text as a number or NULL, is it text that is no number)."""
+    number = c.try_cast(target)
+    return number, c.isNotNull() & number.isNull()
+
+
 def to_number(df: DataFrame, column: str, target: str = "int", strict: bool = True,
               alias: str | None = None) -> DataFrame:
     """Convert a text column to a number.
@@ -61,20 +67,25 @@ def to_number(df: DataFrame, column: str, target: str = "int", strict: bool = Tr
     setting; NULL stays NULL. Use :func:`split_numeric` for a lenient run.
     """
     src = F.col(column)
-    conv = F.try_cast(src, target) if hasattr(F, "try_cast") else src.try_cast(target)
+    conv, bad = convert(src, target)
     if strict:
-        conv = F.when(src.isNotNull() & conv.isNull(),
+        conv = F.when(bad,
                       F.raise_error(F.concat(F.lit(f"not a number in {column}: '"), src, F.lit("'")))
                       ).otherwise(conv).cast(target)
     return df.withColumn(alias or column, conv)
 
 
+def flag_numeric(df: DataFrame, column: str, target: str = "int", alias: str | None = None,
+                 flag: str = "rejected") -> DataFrame:
+    """Lenient conversion of every row: the number (NULL if there is none) and
+    whether the text was rejected."""
+    number, bad = convert(F.col(column), target)
+    return df.withColumns({flag: bad, alias or column: number})
+
+
 def split_numeric(df: DataFrame, column: str, target: str = "int",
                   alias: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Lenient conversion: (rows that convert, with the column converted;
     rejected rows, untouched)."""
-    src = F.col(column)
-    conv = src.try_cast(target)
-    bad = src.isNotNull() & conv.isNull()
-    good = df.filter(~bad).withColumn(alias or column, conv)
-    return good, df.filter(bad)
+    number, bad = convert(F.col(column), target)
+    return df.filter(~bad).withColumn(alias or column, number), df.filter(bad)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playstats.schemas import ddl
-from playstats.sources.delimited import NULL_TOKEN
+from playstats.sources.delimited import CSV_NULL, NULL_TOKEN, escape
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -42,21 +42,27 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 def write_tsv(df: DataFrame, path: str, sep: str = "\t", null_token: str | None = NULL_TOKEN,
               mode: str = "overwrite") -> str:
-    """Headerless delimited text. Text with the separator, a quote or a line
-    break is quoted (``"`` doubled inside), NULL becomes the null token, an
-    empty string stays an empty (quoted) field. Text equal to the token reads
-    back as NULL."""
-    w = (df.write.mode(mode).option("sep", sep).option("header", "false")
-         .option("quote", '"').option("escape", '"'))
-    if null_token is not None:
-        w = w.option("nullValue", null_token)
-    w.csv(path)
-    return path
+    """Headerless delimited text. Line breaks and backslashes are escaped, text
+    with the separator or a quote is quoted (``"`` doubled inside), NULL becomes
+    the null token, an empty string stays an empty (quoted) field. Text equal to
+    the token reads back as NULL."""
+    return _write(df, path, sep, null_token, mode)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    (df.write.mode(mode).option("header", "false").option("quote", '"').option("escape", '"')
-     .csv(path))
+    """Comma-separated variant of :func:`write_tsv` whose NULL mark no text can equal."""
+    return _write(df, path, ",", CSV_NULL, mode)
+
+
+def _write(df: DataFrame, path: str, sep: str, null: str | None, mode: str) -> str:
+    cells = [escape(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
+             else F.col(f"`{f.name}`") for f in df.schema.fields]
+    w = (df.select(*cells).write.mode(mode).option("sep", sep).option("header", "false")
+         .option("quote", '"').option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
+    if null is not None:
+        w = w.option("nullValue", null)
+    w.csv(path)
     return path
 
 

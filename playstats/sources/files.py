@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 def _check_root(root: str) -> None:
     if root is None or root == "":
-        raise ValueError("filepath must be defined")
+        raise ValueError("empty source folder")
 
 
 def _reader(spark: SparkSession, glob: str):
@@ -45,16 +45,21 @@ def merge_schema(declared: T.StructType, inferred: T.StructType) -> T.StructType
 def read_json_lines(spark: SparkSession, root: str, schema: T.StructType,
                     glob: str = "*.json", distinct: bool = True, undeclared: str = "keep",
                     sampling_ratio: float = 1.0, source_file_col: str | None = None,
-                    keep_extra: bool = False) -> DataFrame:
+                    keep_extra: bool = False, on_bad: str = "fail") -> DataFrame:
     """Scan every JSON Lines file below ``root`` as one table of the declared
-    fields; with ``distinct`` the full-row distinct of the reference.
+    fields; with ``distinct`` only distinct rows.
+
+    A line that is no JSON object, or a field whose text does not convert to its
+    declared type, fails the job (``on_bad='fail'``). With
+    ``on_bad='quarantine'`` (keep mode) such a line becomes a row of NULLs with
+    the line in column ``_bad``; :func:`split_bad` separates them.
 
     ``undeclared`` decides how fields the schema does not name take part:
 
-    * ``'keep'`` (default, one pass): every line is parsed twice with
-      ``from_json``, into the declared struct and into a text map. The
-      undeclared non-null entries, sorted, join the distinct key and are then
-      dropped. Two events that differ only in such a field stay two rows.
+    * ``'keep'`` (default, one pass): every line is parsed once, into a map of
+      texts; declared fields are converted from it. The undeclared non-null
+      entries, sorted, join the distinct key and are then dropped. Two events
+      that differ only in such a field stay two rows.
     * ``'infer'``: one inference pass over all files, then undeclared fields
       are kept as columns with inferred types. This reads the data twice.
     * ``'drop'``: declared fields only.
@@ -67,21 +72,39 @@ def read_json_lines(spark: SparkSession, root: str, schema: T.StructType,
     also needs for something else (see ``plans.star.prepare_plays``).
     """
     _check_root(root)
+    if on_bad not in ("fail", "quarantine"):
+        raise ValueError("on_bad must be 'fail' or 'quarantine'")
     if undeclared == "keep":
         text = _reader(spark, glob).text(root)
         if source_file_col:
             text = text.withColumn(source_file_col, F.col("_metadata.file_path"))
         text = text.filter(F.trim(F.col("value")) != "")          # blank lines are no records
         names = [f.name for f in schema.fields]
-        as_map = F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType()))
-        extra = F.array_sort(F.map_entries(F.map_filter(
-            as_map, lambda k, v: ~k.isin(*names) & v.isNotNull())))
+        mode = "FAILFAST" if on_bad == "fail" else "PERMISSIVE"
+        entries = F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType()), {"mode": mode})
         extra_cols = [source_file_col] if source_file_col else []
-        df = (text.select(F.from_json(F.col("value"), schema).alias("_rec"), extra.alias("_extra"),
-                          *extra_cols)
-              .select(*[F.col("_rec").getField(n).alias(n) for n in names], "_extra", *extra_cols))
+        parsed = text.select("value", entries.alias("_map"), *extra_cols)
+        raw = {f.name: F.try_element_at("_map", F.lit(f.name)) for f in schema.fields}
+        converted = {f.name: raw[f.name].try_cast(f.dataType) for f in schema.fields}
+        wrong = [raw[n].isNotNull() & converted[n].isNull() for n in names]
+        if on_bad == "fail":
+            for n, bad in zip(names, wrong):
+                converted[n] = F.when(bad, F.raise_error(F.concat(
+                    F.lit(f"field {n} does not convert: "), F.col("value")))).otherwise(converted[n])
+            bad_cols = []
+        else:
+            is_bad = F.col("_map").isNull()
+            for bad in wrong:
+                is_bad = is_bad | bad
+            parsed = parsed.withColumn("_bad", F.when(is_bad, F.col("value")))
+            parsed = parsed.withColumn("_map", F.when(F.col("_bad").isNull(), F.col("_map")))
+            bad_cols = ["_bad"]
+        extra = F.array_sort(F.map_entries(F.map_filter(
+            "_map", lambda k, v: ~k.isin(*names) & v.isNotNull())))
+        df = parsed.select(*[converted[f.name].cast(f.dataType).alias(f.name) for f in schema.fields],
+                           extra.alias("_extra"), *bad_cols, *extra_cols)
         if distinct:
-            df = df.dropDuplicates([*names, "_extra"]) if not extra_cols else df.dropDuplicates()
+            df = df.dropDuplicates()
         return df if keep_extra else df.drop("_extra")
 
     full = schema
@@ -95,12 +118,20 @@ def read_json_lines(spark: SparkSession, root: str, schema: T.StructType,
                 raise
     elif undeclared != "drop":
         raise ValueError("undeclared must be 'keep', 'infer' or 'drop'")
-    df = _reader(spark, glob).schema(full).json(root)
+    if on_bad != "fail":
+        raise ValueError("bad lines can be set aside in 'keep' mode only")
+    df = _reader(spark, glob).schema(full).option("mode", "FAILFAST").json(root)
     if source_file_col:
         df = df.withColumn(source_file_col, F.col("_metadata.file_path"))
     return df.dropDuplicates() if distinct else df
 
 
+def split_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad lines) of a frame read with ``on_bad='quarantine'``."""
+    return df.filter(F.col("_bad").isNull()).drop("_bad"), df.filter(F.col("_bad").isNotNull()).select(
+        F.col("_bad").alias("line"))
+
+
 def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
     """Add the provenance column (the file each row was read from) to a frame
     straight from a file reader; ``read_json_lines(source_file_col=...)`` does

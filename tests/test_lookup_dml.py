@@ -87,6 +87,40 @@ def test_table_insert_upsert_and_swap(spark):
     assert got == {1: ("Ann", "paid"), 2: ("Bob", "free"), 4: ("Dee", "free")}
 
 
+def test_rows_without_key_all_survive(spark):
+    target = _users(spark, [(1, "Ann", "Lee", "F", "free")])
+    batch = spark.createDataFrame([(None, "A", "B", "F", "x", 1), (None, "C", "D", "M", "y", 2), (1, "Q", "R", "F", "paid", 3)],
+                                  "user_id int, first_name string, last_name string, gender string, level string, seq int")
+    for got in (dml.upsert(target, batch, "user_id", ["level"], ["seq"]),
+                dml.insert_if_absent(target, batch, "user_id", ["seq"])):
+        rows = [tuple(r) for r in got.filter("user_id is null").orderBy("level").collect()]
+        assert rows == [(None, "A", "B", "F", "x"), (None, "C", "D", "M", "y")]
+
+
+@pytest.mark.parametrize("layout", ["plain", "partitioned", "bucketed"])
+def test_replace_contents_keeps_the_layout(spark, layout):
+    from playstats.plans.registry import _stored_users
+
+    users = _users(spark, [(i, f"n{i}", None, "FM"[i % 2], "free") for i in range(40)])
+    name = _stored_users(spark, users, layout)
+    before = dml.table_layout(spark, name)
+    dml.replace_contents(spark, name, dml.delete_by_key(spark.table(name), "user_id",
+                                                        spark.createDataFrame([(i,) for i in range(35)], "k int")))
+    assert sorted(r.user_id for r in spark.table(name).collect()) == [35, 36, 37, 38, 39]
+    assert spark.table(name).filter("gender = 'F'").count() == 2
+    assert dml.table_layout(spark, name) == before
+    other = _stored_users(spark, users, layout)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table(name).join(spark.table(other).select("user_id", "level"), "user_id")
+        assert j.count() == 5
+        if layout == "bucketed":
+            assert "Exchange" not in j._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_catalog_reset_and_listing(spark):
     db = catalog.fresh_table_name("wh")
     assert catalog.reset_warehouse(spark, db, scratch_path(spark, db))
