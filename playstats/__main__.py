@@ -48,7 +48,11 @@ def main(argv: list[str] | None = None) -> int:
     etl.add_argument("out_dir")
     etl.add_argument("--database")
     etl.add_argument("--buckets", type=int)
-    etl.add_argument("--checks", choices=["full", "light", "none"], default="full")
+    etl.add_argument("--checks", choices=["full", "none"], default="full")
+    etl.add_argument("--on-conflict", choices=["error", "quarantine"], default="error",
+                     help="several rows for one song or artist id: stop, or set them aside with counts")
+    etl.add_argument("--on-bad", choices=["fail", "quarantine"], default="fail",
+                     help="malformed source lines: stop, or set them aside with counts")
     rep = sub.add_parser("report", help="plays per hour, top users, top locations")
     rep.add_argument("out_dir")
     rep.add_argument("--top", type=int, default=10)
@@ -66,9 +70,9 @@ def main(argv: list[str] | None = None) -> int:
         _print(f"tables in {args.database}", catalog.list_tables(spark, args.database))
         return 0
     if args.cmd == "etl":
-        check = False if args.checks == "none" else args.checks
-        tables = star.run_pipeline(spark, args.song_dir, args.log_dir, args.out_dir, check=check,
-                                   database=args.database, buckets=args.buckets)
+        tables = star.run_pipeline(spark, args.song_dir, args.log_dir, args.out_dir,
+                                   check=args.checks == "full", database=args.database, buckets=args.buckets,
+                                   on_conflict=args.on_conflict, on_bad=args.on_bad)
         for name, df in tables.items():
             print(f"{name}: {df.count()} rows")
         return 0

@@ -2,27 +2,26 @@
 
 Counts and moments of all columns come from one global aggregate (one row,
 reshaped to one row per column), so every requested column appears even with
-no values. Value frequencies and ranks work on (column_name, value) pairs.
-Exact quartiles use a global rank
-(range partitioning plus per-partition offsets) instead of an exact
-``percentile`` aggregate, whose final merge would hold every distinct value of a
-column in one task.
+no values. Value frequencies, number profiles and ranks work on (column_name,
+value, count), from one pass over the data. Exact quartiles use cumulative
+counts over range-partitioned distinct values instead of an exact ``percentile``
+aggregate, whose final merge would hold every distinct value of a column in one
+task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from playstats.operators.keys import by_range
-from playstats.scratch import checkpoint_root
+from playstats.scratch import stored
 
 
-def _long(df: DataFrame, columns: Sequence[str], cast: str | None = None) -> DataFrame:
-    cols = [F.col(c).cast(cast).alias(c) if cast else F.col(c) for c in columns]
-    return df.select(*cols).unpivot([], list(columns), "column_name", "value")
+def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*columns).unpivot([], list(columns), "column_name", "value")
 
 
 def _per_column(df: DataFrame, columns: Sequence[str], stats) -> DataFrame:
@@ -58,60 +57,66 @@ def profile_timestamp(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                                                   "freq", "first", "last")
 
 
-def rank_in_group(df: DataFrame, group: str, value: str,
-                  num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """0-based rank of ``value`` inside each ``group`` (ties in arbitrary but
-    fixed order). Returns (rows with ``_idx``, per-group totals)."""
-    checkpoint_root(df.sparkSession)
-    staged = (by_range(df.select(group, value), [group, value], num_partitions)
-              .sortWithinPartitions(group, value)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    per = staged.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("_pid", group, "_first", "_n",
-                     F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # ``per`` has at most partitions x groups rows: a bounded broadcast
-    ranked = (staged.join(F.broadcast(per.select("_pid", group, "_first", "_off")), ["_pid", group])
-              .select(group, value, (F.col("_mid") - F.col("_first") + F.col("_off")).alias("_idx")))
-    totals = per.groupBy(group).agg(F.sum("_n").cast("long").alias("_total"))
-    return ranked, totals
+def value_counts(long: DataFrame, group: str = "column_name", value: str = "value") -> DataFrame:
+    """(group, value, _n) of the non-NULL values, stored: the one pass over the
+    data. A value that fills a third of a column is one row per task here."""
+    return stored(long.filter(F.col(value).isNotNull()).groupBy(group, value)
+                  .agg(F.count(F.lit(1)).alias("_n")), "value-counts")
 
 
-def exact_quantiles(long: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75),
+def exact_quantiles(counts: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75),
                     group: str = "column_name", value: str = "value") -> DataFrame:
-    """Linear-interpolated quantiles (pandas / ``quantile_cont``) per group:
-    one row per (group, p) with column ``q``."""
-    ranked, totals = rank_in_group(long.filter(F.col(value).isNotNull()), group, value)
-    wanted = (totals.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    """Linear-interpolated quantiles (pandas / ``quantile_cont``) per group from
+    its distinct values and their counts ``_n``: one row per (group, p) with
+    column ``q``.
+
+    The distinct values are range-partitioned and get their cumulative counts
+    per partition; offsets come from a table of one row per partition and
+    group. No value or group has to fit one task."""
+    ranged = stored(by_range(counts, [group, value]).withColumn("_pid", F.spark_partition_id()), "value-ranges")
+    per = ranged.groupBy("_pid", group).agg(F.sum("_n").alias("_rows"))
+    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("_pid", group, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_pid", group).orderBy(value)
+    # a value takes the ranks (_to - _n) .. (_to - 1)
+    ranked = (ranged.withColumn("_sum", F.sum("_n").over(inside)).join(per, ["_pid", group])
+              .select(group, value, "_n", (F.col("_sum") + F.col("_off")).alias("_to")))
+    wanted = (counts.groupBy(group).agg(F.sum("_n").alias("_total"))
+              .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
               .withColumn("_pos", F.col("p") * (F.col("_total") - 1))
-              .withColumn("_lo", F.floor("_pos").cast("long"))
-              .withColumn("_hi", F.ceil("_pos").cast("long"))
-              .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    need = (wanted.select(group, F.col("_lo").alias("_idx"))
-            .union(wanted.select(group, F.col("_hi").alias("_idx"))).dropDuplicates())
-    picked = ranked.join(F.broadcast(need), [group, "_idx"]).select(group, "_idx", value)
-    lo = picked.select(group, F.col("_idx").alias("_lo"), F.col(value).alias("_vlo"))
-    hi = picked.select(group, F.col("_idx").alias("_hi"), F.col(value).alias("_vhi"))
-    return (wanted.join(lo, [group, "_lo"]).join(hi, [group, "_hi"])
-            .select(group, "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("q")))
+              .select(group, "p", F.floor("_pos").cast("long").alias("_lo"), F.ceil("_pos").cast("long").alias("_hi"),
+                      (F.col("_pos") - F.floor("_pos")).alias("_frac")))
+    holds = [(F.col(x) >= F.col("_to") - F.col("_n")) & (F.col(x) < F.col("_to")) for x in ("_lo", "_hi")]
+    picked = (ranked.join(F.broadcast(wanted), group).filter(holds[0] | holds[1])   # groups x probs rows
+              .groupBy(group, "p", "_frac")
+              .agg(F.max(F.when(holds[0], F.col(value))).alias("_vlo"), F.max(F.when(holds[1], F.col(value))).alias("_vhi")))
+    return picked.select(group, "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("q"))
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """pandas ``describe()`` for numbers: count, mean, std (n-1), min, 25%, 50%,
-    75% (linear interpolation), max."""
-    def moments(c):
-        x = c.cast("double")
-        return F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                        F.min(x).alias("min"), F.max(x).alias("max"))
-
-    stats = _per_column(df, columns, moments)      # one pass, no row multiplication
-    q = exact_quantiles(_long(df, columns, cast="double"))
+    75% (linear interpolation), max. NaN counts as missing, like NULL.
+
+    The data is read once: the moments are observed by the job that counts the
+    values."""
+    columns = list(columns)
+    values = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in columns])
+    stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    seen = Observation()
+    observed = values.observe(seen, *[f(F.col(c)).alias(f"{name}_{i}") for i, c in enumerate(columns)
+                                      for name, f in stats.items()])
+    counts = value_counts(observed.unpivot([], columns, "column_name", "value"))
+    q = exact_quantiles(counts)
     quart = q.groupBy("column_name").agg(
         *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(name)
           for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
-    return (stats.join(quart, "column_name", "left")
+    # without any value the planner may leave out the observed step
+    got = {} if counts.isEmpty() else seen.get
+    moments = df.sparkSession.createDataFrame(
+        [(c, got.get(f"count_{i}", 0), *[got.get(f"{name}_{i}") for name in list(stats)[1:]])
+         for i, c in enumerate(columns)],
+        "column_name string, count long, mean double, std double, min double, max double")
+    return (moments.join(quart, "column_name", "left")
             .select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 

@@ -112,7 +112,8 @@ JSON_CATALOG = f"""
 
 DML_INPUTS = f"""
     u AS ({USERS}),
-    t AS (SELECT * FROM u WHERE level = 'free'),
+    t AS (SELECT CAST(CASE WHEN level = 'free' THEN user_id ELSE user_id + 1000000000 END AS INTEGER) AS user_id,
+                 first_name, last_name, gender, level FROM u),
     b AS (SELECT u.user_id, CASE WHEN e.event_id % 2 = 0 THEN 'Even' ELSE 'Odd' END AS first_name,
                  u.last_name, u.gender, e.event_type AS level, e.ts, e.event_id
           FROM events e JOIN u ON e.user_id = u.user_id),
@@ -130,7 +131,9 @@ DIRTY_CUSTOMERS = """
                 WHEN c_custkey % 7 = 3 THEN c_name || '\\back'
                 WHEN c_custkey % 7 = 4 THEN ''
                 WHEN c_custkey % 7 = 5 THEN {null_text}
-                ELSE c_name END AS c_name,
+                WHEN c_custkey % 3 = 0 THEN ' ' || chr(10) || c_name || chr(13) || chr(10) || chr(92) || 'n '
+                WHEN c_custkey % 3 = 1 THEN chr(1)
+                ELSE chr(92) || 'N' END AS c_name,
            c_acctbal,
            CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
     FROM customer"""
@@ -191,8 +194,8 @@ ORACLE_SQL: dict[str, str] = {
           SELECT event_id, CASE WHEN event_id % 17 = 0 THEN '' WHEN event_id % 19 = 0 THEN 'abc'
                                 ELSE CAST(user_id AS VARCHAR) END AS user_id
           FROM events)
-        SELECT event_id, TRY_CAST(user_id AS INTEGER) AS user_id FROM d
-        WHERE user_id IS NULL OR TRY_CAST(user_id AS INTEGER) IS NOT NULL""",
+        SELECT event_id, TRY_CAST(user_id AS INTEGER) AS user_id,
+               user_id IS NOT NULL AND TRY_CAST(user_id AS INTEGER) IS NULL AS rejected FROM d""",
 
     # distinct, duplicates, keys
     "distinct_rows": "SELECT DISTINCT o_orderstatus, o_orderdate, o_orderpriority FROM orders",
@@ -202,6 +205,10 @@ ORACLE_SQL: dict[str, str] = {
           SELECT o_orderdate, o_orderstatus,
                  count(*) OVER (PARTITION BY o_orderdate, o_orderstatus) AS c FROM orders)
         WHERE c > 1""",
+    "dup_rows_subset": """
+        SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM (
+          SELECT *, count(*) OVER (PARTITION BY o_orderdate, o_orderstatus) AS c FROM orders)
+        WHERE c > 1""",
     "dup_count": """
         SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_distinct,
                CAST(sum(n - 1) AS BIGINT) AS n_duplicates
@@ -227,7 +234,8 @@ ORACLE_SQL: dict[str, str] = {
     "patch_by_key": f"""
         WITH pl AS ({PLAYS_WITH_SONG_FIELDS}),
              pa AS (SELECT p_partkey + 3 AS event_id, p_brand AS artist, p_name AS song,
-                           p_retailprice AS length FROM part WHERE p_size <= 10)
+                           p_retailprice AS length FROM part WHERE p_size <= 10
+                    UNION ALL SELECT -p_partkey, p_brand, p_name, p_retailprice FROM part WHERE p_size > 10)
         SELECT pl.event_id,
                CASE WHEN pa.event_id IS NOT NULL THEN pa.artist ELSE pl.artist END AS artist,
                CASE WHEN pa.event_id IS NOT NULL THEN pa.song ELSE pl.song END AS song,
@@ -271,7 +279,20 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN ({JSON_CATALOG}) c
           ON c.name = p.artist AND c.title = p.song AND c.duration = p.length""",
 
+    "etl_pipeline": f"""
+        WITH p AS ({CLEAN_PLAYS})
+        SELECT 'hour' AS item, CAST(hour(event_ts) AS VARCHAR) AS name, count(*) AS n FROM p GROUP BY 2
+        UNION ALL SELECT 'rows', 'songplays', count(*) FROM p
+        UNION ALL SELECT 'rows', 'times', count(*) FROM p
+        UNION ALL SELECT 'rows', 'users', count(DISTINCT userId) FROM p
+        UNION ALL SELECT 'rows', 'artists', count(*) FROM ({ARTISTS})
+        UNION ALL SELECT 'rows', 'songs', count(*) FROM part""",
+
     # reports
+    "report_by_hour_stored": f"""
+        SELECT t.hour, count(sp.songplay_id) AS songplays_counter
+        FROM ({PLAIN_PLAYS}) sp JOIN ({TIMES}) t ON t.time_id = sp.time_id
+        GROUP BY t.hour""",
     "report_by_hour": f"""
         SELECT t.hour, count(sp.songplay_id) AS songplays_counter
         FROM ({PLAIN_PLAYS}) sp JOIN ({TIMES}) t ON t.time_id = sp.time_id
@@ -347,7 +368,8 @@ ORACLE_SQL: dict[str, str] = {
     "check_foreign_key": """
         SELECT l_partkey, count(*) AS n_rows FROM lineitem l
         WHERE l_partkey IS NOT NULL
-          AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_size > 5 AND p.p_partkey = l.l_partkey)
+          AND NOT EXISTS (SELECT 1 FROM part p
+                          WHERE CASE WHEN p.p_size > 5 THEN p.p_partkey ELSE -p.p_partkey END = l.l_partkey)
         GROUP BY l_partkey""",
     "check_not_null": f"""
         WITH u AS ({USERS})
@@ -356,7 +378,8 @@ ORACLE_SQL: dict[str, str] = {
     "check_row_counts": """
         SELECT 'orders' AS table_name, count(*) AS expected_rows, count(*) AS loaded_rows, true AS ok
         FROM orders""",
-    "check_rows_per_file": "SELECT count(*) AS n_rows, count(*) AS n_files, true AS ok FROM part",
+    "check_rows_per_file": """SELECT count(*) AS n_rows, count(DISTINCT p_brand) AS n_files,
+                                     count(*) = count(DISTINCT p_brand) AS ok FROM part""",
 
     # profiles
     "profile_text": """
@@ -370,7 +393,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM r GROUP BY column_name""",
     "profile_numeric": """
         WITH v AS (SELECT 'l_quantity' AS column_name, CAST(l_quantity AS DOUBLE) AS value FROM lineitem
-                   UNION ALL SELECT 'l_discount', CAST(l_discount AS DOUBLE) FROM lineitem
+                   UNION ALL SELECT 'l_discount', CASE WHEN l_linenumber = 2 THEN NULL
+                                    ELSE CAST(l_discount AS DOUBLE) END FROM lineitem
                    UNION ALL SELECT 'l_tax', CAST(l_tax AS DOUBLE) FROM lineitem)
         SELECT column_name, count(value) AS "count", round(avg(value), 6) AS mean,
                round(stddev_samp(value), 6) AS std, round(min(value), 6) AS "min",
@@ -394,7 +418,9 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'props', 'string', count(props) FROM events""",
 
     # catalog: the query stores three tables derived from the data and lists them
-    "catalog_tables": "SELECT table_name FROM (VALUES ('artists'), ('songs'), ('users')) AS t(table_name)",
+    "catalog_tables": f"""
+        SELECT 'artists' AS table_name, count(*) AS n_rows FROM ({ARTISTS})
+        UNION ALL SELECT 'songs', count(*) FROM part UNION ALL SELECT 'users', count(*) FROM customer""",
 
     # set operations
     "union_by_name": """

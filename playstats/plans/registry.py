@@ -15,11 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playstats import operators as ops
-from playstats.functions.cleaning import clean_frame, split_numeric
+from playstats.functions.cleaning import clean_frame, flag_numeric
 from playstats.functions.text import full_name
 from playstats.functions.timeparts import epoch_ms_to_start_time, ntz_to_epoch_ms, time_part_columns
 from playstats.operators import profile, quality
-from playstats.operators.joins import skew_safe_join
 from playstats.plans import analogues as an
 from playstats.plans import catalog, reports, star
 from playstats.schemas import SONG_SCHEMA, USERS
@@ -36,6 +35,9 @@ CAST_EQ_TEXT = "88"
 LOOKUP_POINT = ("Brand#2", "small ring", 900.0)
 BUSY_DAY_MIN = 8
 TOP_K = 10
+BUCKETS = 8
+#: Added to a key so that no other table holds it.
+ABSENT = 1_000_000_000
 
 
 def _r6(df: DataFrame, *cols: str) -> DataFrame:
@@ -145,7 +147,9 @@ def _dirty_customers(t: DriverTables) -> DataFrame:
             .when(k % 7 == 3, F.concat("c_name", F.lit("\\back")))
             .when(k % 7 == 4, F.lit(""))
             .when(k % 7 == 5, F.lit("NULL"))
-            .otherwise(F.col("c_name")))
+            .when(k % 3 == 0, F.concat(F.lit(" \n"), "c_name", F.lit("\r\n\\n ")))
+            .when(k % 3 == 1, F.lit("\u0001"))
+            .otherwise(F.lit("\\N")))
     seg = F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment"))
     return t.customer.select("c_custkey", name.alias("c_name"), "c_acctbal", seg.alias("c_mktsegment"))
 
@@ -205,8 +209,7 @@ def q_to_number(spark: SparkSession, sf: str) -> DataFrame:
     text = (F.when(F.col("event_id") % 17 == 0, F.lit(""))
             .when(F.col("event_id") % 19 == 0, F.lit("abc"))
             .otherwise(F.col("user_id").cast("string")))
-    good, _rejected = split_numeric(ev.select("event_id", text.alias("user_id")), "user_id", "int")
-    return good
+    return flag_numeric(ev.select("event_id", text.alias("user_id")), "user_id", "int")
 
 
 # ---------------------------------------------------------------- distinct, duplicates, keys
@@ -228,6 +231,12 @@ def q_dup_rows_all(spark: SparkSession, sf: str) -> DataFrame:
     return ops.duplicate_members(_order_days(DriverTables(spark, sf)))
 
 
+def q_dup_rows_subset(spark: SparkSession, sf: str) -> DataFrame:
+    """Duplicates by date and status; the key and clerk-side columns stay in the result."""
+    orders = DriverTables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    return ops.duplicate_members(orders, ["o_orderdate", "o_orderstatus"])
+
+
 def q_dup_count(spark: SparkSession, sf: str) -> DataFrame:
     return ops.duplicate_summary(_order_days(DriverTables(spark, sf)))
 
@@ -256,8 +265,10 @@ def q_surrogate_id(spark: SparkSession, sf: str) -> DataFrame:
 def q_patch_by_key(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     plays = an.plays_with_song_fields(t).select("event_id", "artist", "song", "length")
-    patch = t.part.filter(F.col("p_size") <= 10).select(
-        (F.col("p_partkey") + 3).alias("event_id"), F.col("p_brand").alias("artist"),
+    # parts above size 10 patch keys that no play has
+    patch = t.part.select(
+        F.when(F.col("p_size") <= 10, F.col("p_partkey") + 3).otherwise(-F.col("p_partkey")).alias("event_id"),
+        F.col("p_brand").alias("artist"),
         F.col("p_name").alias("song"), F.col("p_retailprice").alias("length"))
     return ops.patch_by_key(plays, patch, "event_id", ["artist", "song", "length"])
 
@@ -280,13 +291,23 @@ def q_lookup_point(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- star-schema builds from JSON
 
+_FOLDERS: dict[tuple[str, str, str], str] = {}
+
+
+def _folder(spark: SparkSession, t: DriverTables, name: str, write) -> str:
+    """The JSON folder of one scale factor, written once per session."""
+    key = (spark.sparkContext.applicationId, t.sf_dir, name)
+    if key not in _FOLDERS:
+        _FOLDERS[key] = write(t, scratch_path(spark, name))
+    return _FOLDERS[key]
+
+
 def _song_raw(spark, t):
-    root = an.write_song_folder(t, scratch_path(spark, "song_data"))
-    return star.read_song_data(spark, root)
+    return star.read_song_data(spark, _folder(spark, t, "song_data", an.write_song_folder))
 
 
 def _plays(spark, t):
-    root = an.write_log_folder(t, scratch_path(spark, "log_data"))
+    root = _folder(spark, t, "log_data", an.write_log_folder)
     return star.prepare_plays(star.read_log_data(spark, root, distinct=False, keep_extra=True))
 
 
@@ -313,8 +334,36 @@ def q_etl_songplays(spark: SparkSession, sf: str) -> DataFrame:
     return star.build_songplays(_plays(spark, t), cat)
 
 
+def q_etl_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole run into a database with bucketed tables: every stored table's row
+    count, and the hour report from the stored tables."""
+    t = DriverTables(spark, sf)
+    db = catalog.fresh_table_name("playstats_run")
+    catalog.create_database(spark, db, scratch_path(spark, db))
+    tables = star.run_pipeline(spark, _folder(spark, t, "song_data", an.write_song_folder),
+                               _folder(spark, t, "log_data", an.write_log_folder), scratch_path(spark, "run"),
+                               database=db, buckets=BUCKETS)
+    hours = reports.plays_by_hour(tables["songplays"], tables["times"])
+    out = hours.select(F.lit("hour").alias("item"), F.col("hour").cast("string").alias("name"),
+                       F.col("songplays_counter").alias("n"))
+    for name, df in tables.items():
+        out = out.unionAll(df.agg(F.lit("rows"), F.lit(name), F.count(F.lit(1))))
+    return out
+
+
 # ---------------------------------------------------------------- reports
 
+def q_report_by_hour_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The hour report on tables stored in buckets of ``time_id``: the join reads
+    co-located buckets and exchanges nothing."""
+    ev = DriverTables(spark, sf).events
+    names = []
+    for df, name in ((an.plain_plays(ev), "songplays"), (an.times_of(ev).select("time_id", "hour"), "times")):
+        names.append(writers.save_bucketed_table(df, catalog.fresh_table_name(name), "time_id", BUCKETS,
+                                                 scratch_path(spark, name)))
+    return reports.plays_by_hour(*(spark.table(n) for n in names))
+
+
 def q_report_by_hour(spark: SparkSession, sf: str) -> DataFrame:
     ev = DriverTables(spark, sf).events
     return reports.plays_by_hour(an.plain_plays(ev), an.times_of(ev))
@@ -367,29 +416,50 @@ def q_slice_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _dml_inputs(t: DriverTables) -> tuple[DataFrame, DataFrame]:
     users = an.users_of(t.customer)
-    target = users.filter(F.col("level") == "free")       # stored: the free-tier users
+    # stored: every user, the paid ones under ids that no event has
+    target = users.withColumn("user_id", F.when(F.col("level") == "free", F.col("user_id"))
+                              .otherwise(F.col("user_id") + ABSENT).cast("int"))
     first = F.when(F.col("event_id") % 2 == 0, F.lit("Even")).otherwise(F.lit("Odd"))
     ev = t.events.select(F.col("user_id").cast("int").alias("user_id"), "event_id", "ts", "event_type")
-    batch = (skew_safe_join(ev, users.select("user_id", "last_name", "gender"), ["user_id"], "inner")
+    batch = (ev.join(users.select("user_id", "last_name", "gender"), "user_id")
              .select("user_id", first.alias("first_name"), "last_name", "gender",
                      F.col("event_type").alias("level"), "ts", "event_id"))
     return target, batch
 
 
+def _stored_users(spark: SparkSession, users: DataFrame, layout: str) -> str:
+    """A catalog table of users, bucketed by id, partitioned by gender, or plain."""
+    name, path = catalog.fresh_table_name(f"users_{layout}"), scratch_path(spark, f"users-{layout}")
+    if layout == "bucketed":
+        return writers.save_bucketed_table(users, name, "user_id", BUCKETS, path)
+    writer = users.write.format("parquet").option("path", path)
+    (writer.partitionBy("gender") if layout == "partitioned" else writer).saveAsTable(name)
+    return name
+
+
 def q_upsert_level(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored and read back, on a bucketed table."""
     target, batch = _dml_inputs(DriverTables(spark, sf))
-    return dml.upsert(target, batch, "user_id", ["level"], ["ts", "event_id"])
+    name = _stored_users(spark, target, "bucketed")
+    dml.replace_contents(spark, name, dml.upsert(spark.table(name), batch, "user_id", ["level"], ["ts", "event_id"]))
+    return spark.table(name)
 
 
 def q_insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
+    """Appended and read back, on a plain table."""
     target, batch = _dml_inputs(DriverTables(spark, sf))
-    return dml.insert_if_absent(target, batch, "user_id", ["ts", "event_id"])
+    name = _stored_users(spark, target, "plain")
+    dml.append_if_absent(spark, name, batch, "user_id", ["ts", "event_id"])
+    return spark.table(name)
 
 
 def q_delete_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored and read back, on a partitioned table."""
     t = DriverTables(spark, sf)
     keys = t.events.filter((F.col("event_type") == "error") & (F.col("value") > 90)).select("user_id")
-    return dml.delete_by_key(an.users_of(t.customer), "user_id", keys)
+    name = _stored_users(spark, an.users_of(t.customer), "partitioned")
+    dml.replace_contents(spark, name, dml.delete_by_key(spark.table(name), "user_id", keys))
+    return spark.table(name)
 
 
 # ---------------------------------------------------------------- quality checks
@@ -400,8 +470,10 @@ def q_check_primary_key(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_check_foreign_key(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
-    return quality.foreign_key_violations(t.lineitem, ["l_partkey"],
-                                          t.part.filter(F.col("p_size") > 5), ["p_partkey"])
+    # small parts stand under another key, so their lines are orphans
+    parent = t.part.select(F.when(F.col("p_size") > 5, F.col("p_partkey")).otherwise(-F.col("p_partkey"))
+                           .alias("p_partkey"))
+    return quality.foreign_key_violations(t.lineitem, ["l_partkey"], parent, ["p_partkey"])
 
 
 def q_check_not_null(spark: SparkSession, sf: str) -> DataFrame:
@@ -417,10 +489,9 @@ def q_check_row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_check_rows_per_file(spark: SparkSession, sf: str) -> DataFrame:
     songs = an.song_records_of(DriverTables(spark, sf).part)
-    # one object per file, as the song folder is laid out; written by many tasks at once
-    spread = songs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    root = writers.write_table(spread, scratch_path(spark, "one_song_per_file"), fmt="json",
-                               max_records_per_file=1)
+    # one file per brand (a bounded number of files), so rows and files differ
+    root = writers.write_table(songs.withColumn("brand", F.col("artist_id")).repartition("brand"),
+                               scratch_path(spark, "songs_by_brand"), fmt="json", partition_by=["brand"])
     df = files.read_json_lines(spark, root, SONG_SCHEMA, distinct=False, source_file_col="source_file")
     return quality.rows_per_file_check(df)
 
@@ -432,7 +503,9 @@ def q_profile_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_profile_numeric(spark: SparkSession, sf: str) -> DataFrame:
-    p = profile.profile_numeric(DriverTables(spark, sf).lineitem, ["l_quantity", "l_discount", "l_tax"])
+    nan = F.when(F.col("l_linenumber") == 2, F.lit(float("nan")))
+    lines = DriverTables(spark, sf).lineitem.withColumn("l_discount", F.coalesce(nan, F.col("l_discount")))
+    p = profile.profile_numeric(lines, ["l_quantity", "l_discount", "l_tax"])
     return _r6(p, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -463,7 +536,12 @@ def q_catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
                      ("artists", an.artists_of(t.part))):
         df.write.mode("overwrite").option("path", scratch_path(spark, f"{db}-{name}")) \
             .saveAsTable(f"{db}.{name}")
-    return catalog.list_tables(spark, db).select("table_name")
+    counts = None
+    for row in catalog.list_tables(spark, db).collect():        # the three tables stored above
+        one = spark.table(f"{db}.{row.table_name}").agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(row.table_name).alias("table_name"), "n_rows")
+        counts = one if counts is None else counts.unionAll(one)
+    return counts
 
 
 QUERIES: dict[str, Query] = {

@@ -7,7 +7,7 @@ bounded results (24 hours, top-k) are meant for the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playstats.functions.text import full_name
@@ -31,14 +31,17 @@ def total_plays(songplays: DataFrame) -> DataFrame:
 
 def plays_by_location(songplays: DataFrame, total: int | Column | None = None) -> DataFrame:
     """Plays per location (NULL location is its own group) and their percent of
-    ``total`` (default: all plays, as a scalar subquery run once)."""
+    ``total`` (default: all plays, summed from the counts per location, so the
+    plays are read once)."""
+    counts = songplays.groupBy("location").agg(F.count("songplay_id").alias("songplay_counter"),
+                                               F.count(F.lit(1)).alias("_rows"))
     if total is None:
-        total = songplays.select(F.count(F.lit(1))).scalar()
+        total = F.sum("_rows").over(Window.partitionBy())     # one row per location
     elif not isinstance(total, Column):
         total = F.lit(total)
-    counts = songplays.groupBy("location").agg(F.count("songplay_id").alias("songplay_counter"))
-    return (counts.withColumn("songplays_percent",
-                              F.col("songplay_counter").cast("double") / total.cast("double") * 100.0)
+    return (counts.select("location", "songplay_counter",
+                          (F.col("songplay_counter").cast("double") / total.cast("double") * 100.0)
+                          .alias("songplays_percent"))
             .orderBy(F.desc("songplay_counter"), F.asc_nulls_last("location")))
 
 

@@ -2,9 +2,11 @@
 run from two JSON folders to five Parquet tables.
 
 Order of work: the song side first (the play lookup needs it), then plays.
-Plays are numbered once (``songplay_id``), checkpointed, and both ``times`` and
-``songplays`` derive from that one numbered frame, so ``time_id`` equals
-``songplay_id`` in every row and the two tables are 1:1 by construction.
+Log lines are parsed once and made distinct (a repeated line shrinks to one row
+per task before the shuffle), stored, then numbered in event-time order
+(``songplay_id``) and stored again. Both ``times`` and ``songplays`` derive from
+that one numbered table, so ``time_id`` equals ``songplay_id`` in every row and
+the two tables are 1:1 by construction.
 """
 
 from __future__ import annotations
@@ -12,16 +14,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstats.functions.cleaning import clean_frame, to_number
+from playstats.functions.cleaning import clean_frame, convert
 from playstats.functions.timeparts import epoch_ms_to_start_time, time_part_columns
 from playstats.operators.keys import by_range as _by_range
 from playstats.operators.keys import keep_first, keep_last, number_sorted_partitions
 from playstats.operators.lookup import lookup_song_artist, song_artist_catalog
 from playstats.operators.quality import assert_primary_key, assert_row_counts_equal, check_star
 from playstats.schemas import LOG_SCHEMA, SONG_SCHEMA
-from playstats.scratch import checkpoint_root
+from playstats.scratch import stored
 from playstats.sinks.writers import save_bucketed_table, write_table
-from playstats.sources.files import read_json_lines
+from playstats.sources.files import read_json_lines, split_bad
 
 # Fixed value: the log page that records a song play (must equal the source data's).
 NEXT_SONG = "NextSong"
@@ -40,42 +42,60 @@ def read_log_data(spark: SparkSession, log_dir: str, **kw) -> DataFrame:
     return read_json_lines(spark, log_dir, LOG_SCHEMA, **kw)
 
 
-def _resolve(df: DataFrame, key: str, policy: str, table: str) -> DataFrame:
-    if policy == "keep_first":      # deterministic: smallest attribute values win
-        return keep_first(df, [key], [c for c in df.columns if c != key])
+def all_songs(song_raw: DataFrame) -> DataFrame:
+    """Every distinct song row, cleaned, whether or not its id repeats."""
+    return clean_frame(song_raw.select(*SONG_COLUMNS)).dropDuplicates()
+
+
+def all_artists(song_raw: DataFrame) -> DataFrame:
+    """Every distinct artist row (spelling, location), cleaned."""
+    return clean_frame(song_raw.select(*[F.col(s).alias(t) for s, t in ARTIST_COLUMNS.items()])).dropDuplicates()
+
+
+def split_conflicts(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(one row per key, the other rows) of distinct rows: of several rows of one
+    key the one with the smallest attribute values is kept, the others are set
+    aside."""
+    kept = keep_first(rows, [key], [c for c in rows.columns if c != key]).select(*rows.columns)
+    return kept, rows.exceptAll(kept)
+
+
+def _resolve(rows: DataFrame, key: str, policy: str, table: str) -> DataFrame:
     if policy == "error":
-        assert_primary_key(df, [key], table)
-        return df
+        assert_primary_key(rows, [key], table)
+        return rows
+    if policy == "quarantine":
+        return split_conflicts(rows, key)[0]
     if policy == "keep_all":
-        return df
+        return rows
     raise ValueError(f"unknown conflict policy {policy!r}")
 
 
-def build_songs(song_raw: DataFrame, on_conflict: str = "keep_first") -> DataFrame:
-    songs = clean_frame(song_raw.select(*SONG_COLUMNS))
-    return _resolve(songs, "song_id", on_conflict, "songs")
+def build_songs(song_raw: DataFrame, on_conflict: str = "error") -> DataFrame:
+    """One row per song id. Several rows for one id fail by default;
+    ``'quarantine'`` keeps one (see :func:`split_conflicts`), ``'keep_all'`` all."""
+    return _resolve(all_songs(song_raw), "song_id", on_conflict, "songs")
 
 
-def build_artists(song_raw: DataFrame, on_conflict: str = "keep_first") -> DataFrame:
-    """Distinct artist rows, then cleaned; one artist_id with two spellings or
-    locations is a key conflict, resolved by ``on_conflict``."""
-    artists = song_raw.select(*[F.col(s).alias(t) for s, t in ARTIST_COLUMNS.items()]).dropDuplicates()
-    return _resolve(clean_frame(artists), "artist_id", on_conflict, "artists")
+def build_artists(song_raw: DataFrame, on_conflict: str = "error") -> DataFrame:
+    """One row per artist id; one id with two spellings or locations is a key
+    conflict, treated as in :func:`build_songs`."""
+    return _resolve(all_artists(song_raw), "artist_id", on_conflict, "artists")
 
 
 def prepare_plays(log_raw: DataFrame, strict_user_id: bool = True,
                   num_partitions: int | None = None) -> DataFrame:
     """NextSong events, de-duplicated and cleaned, with start_time, its parts,
     an integer user_id and a dense ``songplay_id`` in event-time order (ts,
-    then the other raw fields as tie-break). Checkpointed by the id step.
-
-    One shuffle does the work of two. The rows are range-partitioned on (ts,
-    every raw field), and identical rows always share a partition, so the
-    full-row distinct needs no exchange of its own. Sorting inside the same
-    partitions gives the global order that the ids follow. ``log_raw`` may
-    carry ``_extra`` (undeclared fields, from ``read_log_data(...,
-    distinct=False, keep_extra=True)``), which then takes part in the distinct
-    and the tie-break. An already distinct frame works too.
+    then the other raw fields as tie-break), stored as Parquet.
+
+    ``log_raw`` may carry ``_extra`` (undeclared fields, from
+    ``read_log_data(..., distinct=False, keep_extra=True)``), which then takes
+    part in the distinct and the tie-break. An already distinct frame works too.
+
+    A userId that is no number fails the job; with ``strict_user_id=False`` it
+    becomes NULL and stays visible in column ``rejected_user_id``
+    (:func:`rejected_plays`).
     """
     return number_sorted_partitions(ordered_plays(log_raw, strict_user_id, num_partitions), "songplay_id")
 
@@ -83,17 +103,29 @@ def prepare_plays(log_raw: DataFrame, strict_user_id: bool = True,
 def ordered_plays(log_raw: DataFrame, strict_user_id: bool = True,
                   num_partitions: int | None = None) -> DataFrame:
     """The plays of :func:`prepare_plays` before numbering: distinct, cleaned,
-    derived, with partitions in global event-time order. Planned with one
-    exchange (the range partitioning)."""
+    derived, with partitions in global event-time order.
+
+    Distinct comes first, as a partial aggregate, so a line that holds a third of
+    the log costs one row per task. Its result is stored, so the range sampling
+    and the range shuffle read distinct rows and no line is parsed again."""
     order = ["ts"] + [c for c in log_raw.columns if c != "ts"]
-    nxt = log_raw.filter(F.col("page") == NEXT_SONG)
-    ranged = _by_range(nxt, order, num_partitions).dropDuplicates(order).sortWithinPartitions(*order)
+    distinct = stored(log_raw.filter(F.col("page") == NEXT_SONG).dropDuplicates(), "distinct-plays")
+    ranged = _by_range(distinct, order, num_partitions).sortWithinPartitions(*order)
     plays = clean_frame(ranged.drop("_extra"))
     plays = plays.withColumn("start_time", epoch_ms_to_start_time("ts"))
     plays = plays.withColumns(time_part_columns("start_time"))
+    number, rejected = convert(F.col("userId"), "int")
     if strict_user_id:
-        return to_number(plays, "userId", "int", strict=True)
-    return plays.withColumn("userId", F.col("userId").try_cast("int"))
+        number = F.when(rejected, F.raise_error(F.concat(F.lit("not a number in userId: "), "userId"))).otherwise(number)
+    else:
+        plays = plays.withColumn("rejected_user_id", F.when(rejected, F.col("userId")))
+    return plays.withColumn("userId", number.cast("int"))
+
+
+def rejected_plays(plays: DataFrame) -> DataFrame:
+    """(userId text, plays) of the ids that a lenient :func:`prepare_plays` rejected."""
+    return (plays.filter(F.col("rejected_user_id").isNotNull())
+            .groupBy(F.col("rejected_user_id").alias("user_id")).agg(F.count(F.lit(1)).alias("n_plays")))
 
 
 def build_times(plays: DataFrame) -> DataFrame:
@@ -127,21 +159,35 @@ def build_songplays(plays: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str,
-                 check: bool | str = True, on_conflict: str = "keep_first",
-                 database: str | None = None, buckets: int | None = None) -> dict[str, DataFrame]:
+                 check: bool = True, on_conflict: str = "error", database: str | None = None,
+                 buckets: int | None = None, on_bad: str = "fail") -> dict[str, DataFrame]:
     """JSON folders -> five Parquet tables under ``out_dir`` (overwritten, so a
-    rerun is idempotent); constraints checked on what was written
-    (``check=True`` or ``'full'``; ``'light'`` for fact-sized runs, see
-    :func:`playstats.operators.quality.check_star`; ``False`` skips).
+    rerun is idempotent); all constraints are checked on what was written
+    (``check=False`` skips).
+
+    A malformed line and a repeated song or artist id stop the run; with
+    ``on_bad`` / ``on_conflict`` = ``'quarantine'`` they are stored under
+    ``out_dir/quarantine/`` instead (``song_lines``, ``log_lines``, ``songs``,
+    ``artists``). Plays are always looked up under every distinct spelling.
+    Users whose name or gender changed between plays are reported in
+    ``out_dir/quarantine/user_variants``.
 
     With ``database`` the tables are also registered in the catalog, and with
     ``buckets`` the fact and ``times`` are stored bucketed and sorted on
     ``time_id`` (``users`` on ``user_id``). The fact-times join of the hour
     report then reads co-located buckets instead of shuffling both sides."""
-    checkpoint_root(spark)
     out = out_dir.rstrip("/")
-    song_raw = read_song_data(spark, song_dir).checkpoint(eager=True)
-    plays = prepare_plays(read_log_data(spark, log_dir, distinct=False, keep_extra=True))
+
+    def read(reader, folder: str, name: str) -> DataFrame:
+        if on_bad == "fail":
+            return reader(spark, folder, distinct=False, keep_extra=True)
+        lines = reader(spark, folder, distinct=False, keep_extra=True, on_bad=on_bad)
+        good, bad = split_bad(stored(lines, name))
+        write_table(bad, f"{out}/quarantine/{name}")
+        return good
+
+    song_raw = stored(read(read_song_data, song_dir, "song_lines").drop("_extra").dropDuplicates(), "songs")
+    plays = prepare_plays(read(read_log_data, log_dir, "log_lines"))
 
     def store(name: str, df: DataFrame, key: str | None = None, partition_by=None) -> DataFrame:
         path = f"{out}/{name}"
@@ -160,13 +206,18 @@ def run_pipeline(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str,
 
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    tables = {"artists": store("artists", build_artists(song_raw, on_conflict)),
-              "songs": store("songs", build_songs(song_raw, on_conflict))}
-    catalog = song_artist_catalog(tables["songs"], tables["artists"])
+    artists, songs = stored(all_artists(song_raw), "artists"), stored(all_songs(song_raw), "songs")
+    if on_conflict == "quarantine":
+        for name, rows, key in (("artists", artists, "artist_id"), ("songs", songs, "song_id")):
+            write_table(split_conflicts(rows, key)[1], f"{out}/quarantine/{name}")
+    tables = {"artists": store("artists", _resolve(artists, "artist_id", on_conflict, "artists")),
+              "songs": store("songs", _resolve(songs, "song_id", on_conflict, "songs"))}
+    catalog = song_artist_catalog(songs, artists)
     tables["times"] = store("times", build_times(plays), "time_id", ["year", "month"])
     tables["users"] = store("users", build_users(plays), "user_id")
     tables["songplays"] = store("songplays", build_songplays(plays, catalog), "time_id")
+    write_table(user_attribute_conflicts(plays), f"{out}/quarantine/user_variants")
     if check:
-        check_star(tables, "light" if check == "light" else "full")
+        check_star(tables)
         assert_row_counts_equal(tables["songplays"], tables["times"], "songplays", "times")
     return tables

@@ -82,9 +82,10 @@ def test_strict_user_id_and_conflict_policy(spark, song_tree, tmp_path):
     write_lines(str(songs / "a.json"), [song("S1", "t", "AR1", 1, 1.0, "One", "Paris")])
     write_lines(str(songs / "b.json"), [song("S2", "u", "AR1", 1, 1.0, "One", "Lyon")])
     raw = star.read_song_data(spark, str(songs))
-    assert star.build_artists(raw).count() == 1
+    assert star.build_artists(raw, on_conflict="quarantine").count() == 1
+    assert star.build_artists(raw, on_conflict="keep_all").count() == 2
     with pytest.raises(QualityError):
-        star.build_artists(raw, on_conflict="error")
+        star.build_artists(raw)
 
 
 def test_bucketed_star_joins_without_shuffle(spark, song_tree, log_tree, tmp_path):
@@ -123,6 +124,7 @@ def test_plays_dedup_and_order_share_one_shuffle(spark, log_tree):
     raw = star.read_log_data(spark, log_tree, distinct=False, keep_extra=True)
     plan = star.ordered_plays(raw)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1 and "rangepartitioning" in plan
+    assert "FileScan parquet" in plan and "from_json" not in plan     # lines are not parsed again
     assert star.ordered_plays(raw).count() == 8
 
 
@@ -146,13 +148,61 @@ def test_command_line(spark, song_tree, log_tree, tmp_path, capsys):
     assert "== users: text" in text and "column_name=level" in text and "== times: numbers" in text
 
 
-def test_light_checks(spark, built):
+def test_full_checks_find_duplicates_and_orphans(spark, built):
     from playstats.operators import quality
 
-    quality.check_star(built, "light")
+    quality.check_star(built)
     sp = built["songplays"]
-    gap = sp.filter(F.col("songplay_id") != 3)
+    twice = sp.withColumn("songplay_id", F.greatest("songplay_id", F.lit(1).cast("long")))
+    with pytest.raises(quality.QualityError):                  # ids 1, 1, 2, 3, ...
+        quality.check_star({**built, "songplays": twice})
     with pytest.raises(quality.QualityError):
-        quality.assert_dense_ids(gap, "songplay_id", "songplays")
-    with pytest.raises(quality.QualityError):
-        quality.check_star({**built, "songplays": sp.withColumn("time_id", F.col("time_id") + 1)}, "light")
+        quality.check_star({**built, "songplays": sp.withColumn("time_id", F.col("time_id") + 1000)})
+
+
+def test_bad_lines_stop_or_are_set_aside(spark, song_tree, tmp_path):
+    from tests.conftest import play, write_lines
+
+    good = play(1541121934796, "88", "Ann", "Lee", "F", "free")
+    write_lines(str(tmp_path / "log" / "a.json"), [good, {**good, "ts": "abc"}, {**good, "sessionId": 1.5}],
+                raw_lines=['{"page": "NextSong", "ts": 15411', "[1]", "no json", ""])
+    with pytest.raises(Exception, match="(?i)malformed|convert"):
+        star.prepare_plays(star.read_log_data(spark, str(tmp_path / "log"), distinct=False, keep_extra=True)).count()
+    out = str(tmp_path / "out")
+    tables = star.run_pipeline(spark, song_tree, str(tmp_path / "log"), out, on_bad="quarantine")
+    assert tables["songplays"].count() == 1
+    lines = [r.line for r in spark.read.parquet(f"{out}/quarantine/log_lines").collect()]
+    assert len(lines) == 5 and "no json" in lines and any('"abc"' in x for x in lines)
+    assert spark.read.parquet(f"{out}/quarantine/song_lines").count() == 0
+
+
+def test_conflicting_ids_stop_or_are_set_aside(spark, log_tree, tmp_path):
+    from playstats.operators.quality import QualityError
+    from tests.conftest import song, write_lines
+
+    write_lines(str(tmp_path / "songs" / "a.json"),
+                [song("SO1", "Other", "AR1", 1, 1.0, "Artist 1"), song("SOA", "Song A", "AR1", 2001, 218.93179, "Artist One"),
+                 song("SOA", "Song B", "AR1", 2001, 5.0, "Artist One")])
+    with pytest.raises(QualityError):
+        star.run_pipeline(spark, str(tmp_path / "songs"), log_tree, str(tmp_path / "o1"))
+    out = str(tmp_path / "o2")
+    tables = star.run_pipeline(spark, str(tmp_path / "songs"), log_tree, out, on_conflict="quarantine")
+    assert tables["artists"].count() == 1 and tables["songs"].count() == 2
+    assert [r.name for r in spark.read.parquet(f"{out}/quarantine/artists").collect()] == ["Artist One"]
+    assert spark.read.parquet(f"{out}/quarantine/songs").count() == 1
+    # plays under the spelling that was set aside still find their song
+    assert tables["songplays"].filter("song_id = 'SOA'").count() == 1
+    assert spark.read.parquet(f"{out}/quarantine/user_variants").count() == 0
+
+
+def test_lenient_user_ids_are_reported(spark, tmp_path):
+    from tests.conftest import play, write_lines
+
+    write_lines(str(tmp_path / "a.json"), [play(1541121934796 + i, u, "A", "B", "F", "free") for i, u in enumerate(["7", "x", "x", "9"])])
+    raw = star.read_log_data(spark, str(tmp_path), distinct=False, keep_extra=True)
+    plays = star.prepare_plays(raw, strict_user_id=False)
+    assert sorted(str(r.userId) for r in plays.select("userId").collect()) == ["7", "9", "None", "None"]
+    assert [tuple(r) for r in star.rejected_plays(plays).collect()] == [("x", 2)]
+    with pytest.raises(Exception, match="not a number"):
+        star.prepare_plays(raw).count()
+
