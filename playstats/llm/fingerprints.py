@@ -97,66 +97,76 @@ def merged_by(sketched: DataFrame, key: str, sketch: str = "sketch", k: int = K)
     return least.groupBy(key).agg(F.sort_array(F.collect_list("h")).alias(sketch))
 
 
+def keyed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, kid, text_hash): kid and text_hash name a distinct (id, text)
+    without nulls, and kid orders as the id does, null first."""
+    return (id_text(documents, id_col, text_col)
+            .withColumn("kid", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)).cast("bigint")))
+            .withColumn("text_hash", F.xxhash64(F.col("doc_id").isNull(), "text")))
+
+
 def next_in_order(keys: DataFrame) -> DataFrame:
-    """Each (doc_id, text_hash, n_chars) row of the distinct ``keys`` with the key
-    of the next one in ascending order; the first follows the last.
+    """Each row (kid, text_hash, ...) of distinct ``keys`` with the key of the next
+    one in ascending order as (next_kid, next_hash); the first follows the last.
 
     Rows are range-partitioned and numbered by partition; the next row is found
     inside a partition, and at its end in a table of one row per partition."""
     parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text_hash")]
+    order = ["kid", "text_hash"]
     ranged = stored(keys.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()),
                     "fingerprint-order")
-    ranged = ranged.withColumn("own", F.struct("doc_id", "text_hash"))
+    ranged = ranged.withColumn("own", F.struct(*order))
     firsts = ranged.groupBy("part").agg(F.min("own").alias("first"))
     every = Window.orderBy("part")  # one row per partition
-    after = firsts.select("part", F.coalesce(F.lead("first").over(every), F.first("first").over(
-        every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("first"))
+    whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = firsts.select("part", F.coalesce(F.lead("first").over(every), F.first("first").over(whole)).alias("first"))
     inside = F.lead("own").over(Window.partitionBy("part").orderBy(*order))
-    joined = ranged.withColumn("next", inside).join(after, "part")
     follows = F.coalesce("next", "first")
-    return joined.select("doc_id", "text_hash", "n_chars", follows["doc_id"].alias("next_id"),
-                         follows["text_hash"].alias("next_hash"))
+    return (ranged.withColumn("next", inside).join(after, "part")
+            .select(*keys.columns, follows["kid"].alias("next_kid"), follows["text_hash"].alias("next_hash")))
 
 
 def fingerprint_pairs(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K,
                       size: int = SHINGLE_WORDS) -> DataFrame:
     """Per document: the sketches of its text, of its edited text and of the next
-    document's text: (doc_id, n_chars, edited, sketch, edited_sketch, next_sketch).
-    The edited text has the last floor(n_chars / 2) code points replaced by the
-    first as many of the next document."""
-    docs = id_text(documents, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    keys = docs.select("doc_id", "text_hash", F.char_length("text").cast("bigint").alias("n_chars")).distinct()
-    following = next_in_order(keys)
-    own = docs.alias("d").join(following.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))
-                               & (F.col("d.text_hash") == F.col("f.text_hash")))
-    right = docs.select(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"),
-                        F.col("text").alias("r_text"))
-    half = (F.col("n_chars") / 2).cast("int")
-    edited = F.concat(F.substring("d.text", F.lit(1), (F.col("n_chars") - half).cast("int")),
-                      F.substring("r_text", F.lit(1), half))
-    pairs = own.join(right, F.col("next_id").eqNullSafe(F.col("r_id")) & (F.col("next_hash") == F.col("r_hash")))
+    document's text: (doc_id, kid, text_hash, n_chars, edited_sha256, sketch,
+    edited_sketch, next_sketch). The edited text has the last floor(n_chars / 2)
+    code points replaced by the first as many of the next document.
 
-    def sketch(text: str) -> Column:
-        return bottom_k(shingle_hashes(F.col(f"{text}_words"), size), k)
-
-    return (pairs.select(F.col("d.doc_id").alias("doc_id"), F.col("d.text_hash").alias("text_hash"), "next_id",
-                         "next_hash", "n_chars", F.col("d.text").alias("own"), edited.alias("edited"), "r_text")
-            .withColumns({"own_words": words(F.col("own")), "edited_words": words(F.col("edited")),
-                          "next_words": words(F.col("r_text"))})
-            .select("doc_id", "text_hash", "next_id", "next_hash", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                    sketch("own").alias("sketch"), sketch("edited").alias("edited_sketch"),
-                    sketch("next").alias("next_sketch")))
+    Whole texts are shuffled once, by their key; a document then sends only the
+    head that the one before it needs, and its sketch."""
+    docs = keyed(documents, id_col, text_col)
+    half = (F.col("n_chars") / 2).cast("int")
+    keys = docs.select("doc_id", "kid", "text_hash", F.char_length("text").cast("bigint").alias("n_chars")).distinct()
+    links = next_in_order(keys).select("doc_id", "n_chars", F.col("kid").alias("to_kid"),
+                                       F.col("text_hash").alias("to_hash"), F.col("next_kid").alias("kid"),
+                                       F.col("next_hash").alias("text_hash"))
+    docs = docs.select("kid", "text_hash", "text")  # the same exchange serves both joins
+
+    def sketch(column: str) -> Column:
+        return bottom_k(shingle_hashes(F.col(column), size), k)
+
+    heads = (docs.join(links, ["kid", "text_hash"])
+             .select("doc_id", "n_chars", "to_kid", "to_hash", F.substring("text", F.lit(1), half).alias("head"),
+                     words(F.col("text")).alias("next_words"))
+             .select("doc_id", "n_chars", F.col("to_kid").alias("kid"), F.col("to_hash").alias("text_hash"), "head",
+                     sketch("next_words").alias("next_sketch")))
+    edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.col("head"))
+    return (docs.join(heads, ["kid", "text_hash"])
+            .select("doc_id", "kid", "text_hash", "n_chars", words(F.col("text")).alias("own_words"),
+                    edited.alias("edited"), "next_sketch")
+            .withColumn("edited_words", words(F.col("edited")))
+            .select("doc_id", "kid", "text_hash", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                    sketch("own_words").alias("sketch"), sketch("edited_words").alias("edited_sketch"), "next_sketch"))
 
 
 def fingerprint_digest(pairs: DataFrame, k: int = K) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next), one row per distinct (id, text)."""
     out = pairs.select(
-        "doc_id", "text_hash", "next_id", "next_hash", "n_chars", "edited_sha256",
+        "doc_id", "kid", "text_hash", "n_chars", "edited_sha256",
         to_text(F.col("sketch")).alias("fingerprint"), to_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         resemblance(F.col("sketch"), F.col("edited_sketch"), k).alias("near_edited"),
         resemblance(F.col("sketch"), F.col("next_sketch"), k).alias("near_next"))
-    # the join above is partitioned by the next key: no further shuffle
-    return out.dropDuplicates(["doc_id", "text_hash", "next_id", "next_hash"]).drop(
-        "text_hash", "next_id", "next_hash")
+    # the join above is partitioned and sorted by the key: no further shuffle or sort
+    return out.dropDuplicates(["kid", "text_hash"]).drop("kid", "text_hash")

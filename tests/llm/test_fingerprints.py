@@ -56,7 +56,7 @@ def test_sketches_merge_and_estimate(spark):
 
 def test_repeated_null_ids_one_row_and_empty(spark):
     t = "a b c d e f"
-    df = docs(spark, [t, t, "z", "y", None], [3, 3, 3, None, None]).selectExpr("*", "1 as text_hash", "2 as own")
+    df = docs(spark, [t, t, "z", "y", None], [3, 3, 3, None, None]).selectExpr("*", "1 as text_hash", "2 as own", "3 as kid", "4 as head")
     out = f.fingerprint_digest(f.fingerprint_pairs(df))
     assert sorted((str(r.doc_id), r.n_chars) for r in out.collect()) == [
         ("3", 1), ("3", 11), ("None", 0), ("None", 1)]
