@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from playstats.llm.common import id_text, text_chunks
-from playstats.llm.pretokens import PieceCache, as_symbols, has_unassigned
+from playstats.llm.pretokens import PieceCache, as_symbols, has_unassigned, id_bytes, splitter
 
 #: The split pattern of the vocabulary's pre-tokenizer (fixed value).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -122,7 +122,7 @@ class WordBpe:
         for s in [*self.inner, *self.final]:
             self.reach[s[:2]] = max(self.reach.get(s[:2], 0), len(s))
         self.exact_words = 0
-        self._split = regex.compile(WORD_PATTERN).findall
+        self._split = splitter(WORD_PATTERN)
         self._cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self._beyond = re.compile("[\u0130\u0300-\U0010ffff]").search
 
@@ -195,7 +195,7 @@ _CACHES: dict[str, PieceCache] = {}
 
 def _cache(path: str) -> PieceCache:
     if path not in _CACHES:
-        special = {s: np.uint32(i).tobytes() for s, i in word_bpe(path).special.items()}
+        special = {s: id_bytes([i]) for s, i in word_bpe(path).special.items()}
         _CACHES[path] = PieceCache(pinned=special)
     return _CACHES[path]
 
@@ -206,7 +206,7 @@ def encode_texts(texts: Sequence[str], path: str) -> list[np.ndarray]:
     cut = [bpe.words(t) for t in texts]
     new = cache.unknown(dict.fromkeys(w for words in cut if words for w in words))
     for word, ids in zip(new, bpe.encode_words(new)):
-        cache[word] = np.asarray(ids, "<u4").tobytes()
+        cache[word] = id_bytes(ids)
     out = []
     for text, words in zip(texts, cut):
         if words is None:

@@ -5,16 +5,17 @@ pattern into pre-tokens and merges bytes inside each pre-token alone. So a
 text's ids are the concatenation of its pre-tokens' ids, and every distinct
 pre-token need be encoded only once per Python worker.
 
-The split below runs ``regex`` with the tokenizer's own pattern. Both engines
-agree on every assigned code point; on code points that Python's Unicode tables
-do not know yet they may differ, so a text holding one is given to the library
-whole.
+The split below runs the tokenizer's own pattern with ``regex`` (with ``re``, and
+the properties written out, for texts below U+0250). The engines agree on every
+assigned code point; on code points that Python's Unicode tables do not know yet
+they may differ, so a text holding one is given to the library whole.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+import struct
 import unicodedata
 
 import regex
@@ -36,6 +37,29 @@ def has_unassigned(text: str) -> bool:
     return _beyond_latin(text) is not None and any(unicodedata.category(c) == "Cn" for c in set(text))
 
 
+@functools.cache
+def _latin_class(kind: str) -> str:
+    """The code points below U+0250 of a Unicode property, as the inside of a class."""
+    found = [c for c in range(0x250) if regex.match(kind, chr(c))]
+    return "".join(f"\\u{c:04x}" for c in found)
+
+
+def latin_pattern(pattern: str) -> re.Pattern:
+    """The split pattern for texts below U+0250, for the faster ``re`` module."""
+    letters, numbers, white = (_latin_class(k) for k in (r"\p{L}", r"\p{N}", r"\s"))
+    for name, own in ((r"[^\s\p{L}\p{N}]", f"[^{white}{letters}{numbers}]"), (r"[\p{L}]", f"[{letters}]"),
+                      (r"[\p{N}]", f"[{numbers}]"), (r"\p{L}", f"[{letters}]"), (r"\p{N}", f"[{numbers}]"),
+                      (r"(?!\S)", f"(?![^{white}])"), (r"\s", f"[{white}]")):
+        pattern = pattern.replace(name, own)
+    return re.compile(pattern)
+
+
+def splitter(pattern: str):
+    """text -> list of pre-tokens."""
+    any_text, latin = regex.compile(pattern).findall, latin_pattern(pattern).findall
+    return lambda text: any_text(text) if _beyond_latin(text) else latin(text)
+
+
 @functools.cache
 def byte_symbols() -> dict[int, str]:
     """Byte (as a Latin-1 code point) -> its symbol in byte-level vocabularies:
@@ -47,6 +71,11 @@ def byte_symbols() -> dict[int, str]:
 
 def as_symbols(piece: str) -> str:
     """A pre-token in the byte-level alphabet."""
+    if piece.isascii():
+        if piece.isalnum():
+            return piece
+        if piece[:1] == " " and piece[1:].isalnum():
+            return "\u0120" + piece[1:]
     return piece.encode("utf-8").decode("latin-1").translate(byte_symbols())
 
 
@@ -57,7 +86,7 @@ class ByteBpe:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
-        self._split = regex.compile(BYTE_LEVEL_PATTERN).findall
+        self._split = splitter(BYTE_LEVEL_PATTERN)
         self._cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     def pieces(self, text: str) -> list[str] | None:
@@ -80,10 +109,19 @@ class ByteBpe:
             return [self.special[piece]]
         return [t.id for t in self.model.tokenize(as_symbols(piece))]
 
+    def piece_bytes(self, piece: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
+        return id_bytes(self.piece_ids(piece))
+
     def library_ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
 
+def id_bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 @functools.lru_cache(maxsize=2)
 def byte_bpe(path: str) -> ByteBpe:
     """One loaded vocabulary per worker and path."""

@@ -97,7 +97,7 @@ def op9_lm_score(spark: SparkSession, sf: str) -> DataFrame:
 def op10_token_orc(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_path(spark, "token-orc")
     token_orc.write_token_orc(table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return token_orc.token_digest(token_orc.read_token_orc(spark, path))
+    return token_orc.token_digest(spark, path)
 
 
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:

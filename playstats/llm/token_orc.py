@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playstats.llm.common import id_text, text_chunks
-from playstats.llm.pretokens import PieceCache, byte_bpe
+from playstats.llm.pretokens import PieceCache, byte_bpe, id_bytes
 
 ROW_INDEX_STRIDE = 10_000
 STRIPE_BYTES = 64 << 20
@@ -41,8 +41,7 @@ _CACHES: dict[str, PieceCache] = {}
 def _ids_cache(vocabulary: str) -> PieceCache:
     """pre-token -> its ids as little-endian 32-bit bytes; one per worker."""
     if vocabulary not in _CACHES:
-        bpe = byte_bpe(vocabulary)
-        _CACHES[vocabulary] = PieceCache(lambda p: np.asarray(bpe.piece_ids(p), "<u4").tobytes())
+        _CACHES[vocabulary] = PieceCache(byte_bpe(vocabulary).piece_bytes)
     return _CACHES[vocabulary]
 
 
@@ -59,7 +58,7 @@ def write_token_orc(documents: DataFrame, path: str, vocabulary: str, end_id: in
             blobs = []
             for text in texts:
                 pieces = bpe.pieces(text)
-                blobs.append(np.asarray(bpe.library_ids(text), "<u4").tobytes() if pieces is None
+                blobs.append(id_bytes(bpe.library_ids(text)) if pieces is None
                              else b"".join(map(cache.__getitem__, pieces)))
                 blobs.append(int(end_id).to_bytes(4, "little"))
                 cache.trim()
@@ -88,20 +87,26 @@ def write_token_orc(documents: DataFrame, path: str, vocabulary: str, end_id: in
 def read_token_orc(spark: SparkSession, path: str) -> DataFrame:
     """The files' rows with the global ``start``: (doc_id, start, n_tokens, ids)."""
     rows = spark.read.schema(FILE_SCHEMA).orc(path)
+    return _with_start(rows, rows).select("doc_id", "start", F.col("n_tokens").cast("bigint").alias("n_tokens"), "ids")
+
+
+def _with_start(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """``rows`` (file_no, file_start, ...) of the ``stored`` files with ``start``."""
     # one row per file; files are ordered by the ids they hold
-    files = rows.groupBy("file_no").agg(F.sum("n_tokens").alias("_n"), F.min("doc_id").alias("_first"),
+    files = stored.groupBy("file_no").agg(F.sum("n_tokens").alias("_n"), F.min("doc_id").alias("_first"),
                                         F.count("doc_id").alias("_ids"))
     before = Window.orderBy(F.col("_first").asc_nulls_first(), "file_no").rowsBetween(
         Window.unboundedPreceding, -1)
     files = files.select("file_no", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return rows.join(files, "file_no").select(
-        "doc_id", (F.col("_before") + F.col("file_start")).alias("start"),
-        F.col("n_tokens").cast("bigint").alias("n_tokens"), "ids")
+    # a row per file, and files are as many as write partitions: a bounded broadcast
+    return (rows.join(F.broadcast(files), "file_no")
+            .withColumn("start", F.col("_before") + F.col("file_start")).drop("_before"))
 
 
-def token_digest(rows: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of rows read by :func:`read_token_orc`;
-    length and checksum are taken from the ids themselves."""
+def token_digest(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of the files at ``path``; length and
+    checksum are taken from the ids themselves, in the task that reads them."""
+    rows = spark.read.schema(FILE_SCHEMA).orc(path)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,9 +115,10 @@ def token_digest(rows: DataFrame) -> DataFrame:
             values = memoryview(np.ascontiguousarray(np.asarray(lists.values), "<i4")).cast("B")
             crcs = [zlib.crc32(values[4 * a:4 * b]) for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("start"),
+                [batch.column("doc_id"), batch.column("file_no"), batch.column("file_start"),
                  pa.array(np.diff(offsets).astype(np.int64)), pa.array(crcs, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                names=["doc_id", "file_no", "file_start", "n_tokens", "ids_crc32"])
 
-    return rows.select("doc_id", "start", "ids").mapInArrow(
-        digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    digests = rows.select("doc_id", "file_no", "file_start", "ids").mapInArrow(
+        digest, "doc_id bigint, file_no int, file_start bigint, n_tokens bigint, ids_crc32 bigint")
+    return _with_start(digests, rows).select("doc_id", "start", "n_tokens", "ids_crc32")
