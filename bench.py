@@ -18,7 +18,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["report_by_hour", "report_by_location", "report_top_users", "topk_users",
-            "lookup_song_artist", "dedup_keep_last", "surrogate_id", "upsert_level"]
+            "lookup_song_artist", "dedup_keep_last", "surrogate_id", "upsert_level",
+            "profile_numeric", "groups_larger_than", "etl_pipeline"]
 
 
 def main() -> None:
