@@ -15,7 +15,7 @@ A document's set is its distinct word shingles, as 64-bit hashes.
    member that meets most others over all its buckets. They are confirmed on
    the full sets, and confirmed edges are contracted to components.
 5. *Rest*: a bucket whose members behind the hub still lie in two or more
-   components gets further hubs (2, 4, 8, ... at a time), each joined only to
+   components gets further hubs (4, 20, 100, ... at a time), each joined only to
    members of other components behind it, until no bucket is open. So no pair
    that shares a bucket and could change a component goes unconfirmed, while a
    group of near copies costs one edge per member.
@@ -47,6 +47,8 @@ from playstats.llm.textops import gram_hashes, mix, words_of
 SHINGLE_WORDS = 5
 BANDS, ROWS = 64, 6
 SIMILAR_PERCENT = 75
+#: Each round takes so many times the hubs of all rounds before.
+HUB_GROWTH = 4
 
 
 @functools.cache
@@ -197,19 +199,19 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
              .select(F.col("node").alias("a"), "b").distinct())
     tried = stored(pairs, "minhash-pairs")
     links = _confirmed(tried, sets, percent, "minhash-links")
+    labels = members.select("node").distinct().join(components(links, "minhash"), "node", "left").select(
+        "node", F.coalesce("component", "node").alias("component"))
+    labels = stored(labels, "minhash-labels")
+    # place of each member in its bucket, where that is open; the first is the hub of before
+    ranked = stored(_open(members, labels, 0).drop("component").withColumn("place", F.row_number().over(
+        Window.partitionBy("key").orderBy(F.desc("meets"), "node"))), "minhash-ranked")
     done = 1  # hubs of each bucket so far
-    ranked = None
     while True:
-        labels = components(links, "minhash")
-        if ranked is None:
-            # place of each member in its bucket; the first is the hub of before
-            source = _open(members, labels, None)
-            ranked = stored(source.withColumn("place", F.row_number().over(
-                Window.partitionBy("key").orderBy(F.desc("meets"), "node"))).drop("component"), "minhash-ranked")
         rest = stored(_open(ranked, labels, done), "minhash-open")
         if rest.isEmpty():
             break
-        hubs = rest.filter(F.col("place") <= 2 * done + 1).select(
+        more = HUB_GROWTH * done
+        hubs = rest.filter(F.col("place") <= done + more).select(
             "key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("at"),
             F.col("component").alias("cb"))
         pairs = (rest.join(hubs, "key")
@@ -218,8 +220,10 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
                  .join(tried, ["a", "b"], "left_anti"))
         pairs = stored(pairs, "minhash-pairs")
         tried = tried.unionAll(pairs)
-        links = links.unionAll(_confirmed(pairs, sets, percent, "minhash-links"))
-        done = 2 * done + 1
+        done += more
+        found = _confirmed(pairs, sets, percent, "minhash-links")
+        if not found.isEmpty():
+            labels = _joined(labels, found)
 
     # a component's id is the smallest document id in it
     named = classes.select("node", "digest", "first_id").join(labels, "node", "left").withColumn(
@@ -232,11 +236,20 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
                          F.col("doc_id").eqNullSafe(own).alias("kept"))
 
 
-def _open(members: DataFrame, labels: DataFrame, done: int | None) -> DataFrame:
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links: components over the components they connect."""
+    ends = [labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b")]
+    between = links.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    up = components(between, "minhash").select(F.col("node").alias("component"), F.col("component").alias("top"))
+    return stored(labels.join(up, "component", "left").select("node", F.coalesce("top", "component").alias("component")),
+                  "minhash-labels")
+
+
+def _open(members: DataFrame, labels: DataFrame, done: int) -> DataFrame:
     """Members, behind the first ``done`` places, of buckets in which those lie in
     several components; with their component."""
-    rows = members if done is None else members.filter(F.col("place") > done)
-    rows = rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = members.filter(F.col("place") > done) if done else members
+    rows = rows.join(labels, "node")
     mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
         "lo <> hi").select("key")
     return rows.join(mixed, "key", "left_semi")
