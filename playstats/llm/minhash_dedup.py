@@ -14,8 +14,10 @@ A document's set is its distinct word shingles, as 64-bit hashes.
 4. *Stars*: in each bucket only edges from a hub are made, the hub being the
    member that meets most others over all its buckets. They are confirmed on
    the full sets, and confirmed edges are contracted to components.
-5. *Rest*: a bucket whose members behind the hub still lie in two or more
-   components gets further hubs (4, 20, 100, ... at a time), each joined only to
+5. *Rest*: a bucket whose members still lie in two or more components is open.
+   Members with too many shingles of their own to be similar to any other member
+   of an open bucket leave (an exact bound); the others get further hubs (4, 16,
+   80, ... at a time, members of small components first), each joined only to
    members of other components behind it, until no bucket is open. So no pair
    that shares a bucket and could change a component goes unconfirmed, while a
    group of near copies costs one edge per member.
@@ -47,8 +49,8 @@ from playstats.llm.textops import gram_hashes, mix, words_of
 SHINGLE_WORDS = 5
 BANDS, ROWS = 64, 6
 SIMILAR_PERCENT = 75
-#: Each round takes so many times the hubs of all rounds before.
-HUB_GROWTH = 4
+#: Hubs of an open bucket in the first round; each round takes HUB_GROWTH times those before.
+FIRST_HUBS, HUB_GROWTH = 4, 4
 
 
 @functools.cache
@@ -202,24 +204,28 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     labels = members.select("node").distinct().join(components(links, "minhash"), "node", "left").select(
         "node", F.coalesce("component", "node").alias("component"))
     labels = stored(labels, "minhash-labels")
-    # place of each member in its bucket, where that is open; the first is the hub of before
-    ranked = stored(_open(members, labels, 0).drop("component").withColumn("place", F.row_number().over(
-        Window.partitionBy("key").orderBy(F.desc("meets"), "node"))), "minhash-ranked")
-    done = 1  # hubs of each bucket so far
+    rest = stored(_open(members, labels, 0), "minhash-open")
+    rest = rest.join(_hopeless(rest, sets, percent), "node", "left_anti")
+    # place of each member in its bucket: members of small components come first as hubs
+    big = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    rest = stored(rest.join(big, "component").drop("component").withColumn("place", F.row_number().over(
+        Window.partitionBy("key").orderBy("size", "node"))), "minhash-ranked")
+    done = 0  # hubs of each open bucket so far
     while True:
-        rest = stored(_open(ranked, labels, done), "minhash-open")
+        rest = stored(_open(rest, labels, done), "minhash-open")
         if rest.isEmpty():
             break
-        more = HUB_GROWTH * done
+        more = max(FIRST_HUBS, HUB_GROWTH * done)
         hubs = rest.filter(F.col("place") <= done + more).select(
             "key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("at"),
             F.col("component").alias("cb"))
         pairs = (rest.join(hubs, "key")
                  .filter((F.col("place") > F.col("at")) & (F.col("component") != F.col("cb")) & alike("n", "nb"))
-                 .select(F.col("node").alias("a"), "b").distinct()
-                 .join(tried, ["a", "b"], "left_anti"))
-        pairs = stored(pairs, "minhash-pairs")
+                 .select(F.col("node").alias("a"), "b").distinct())
+        seen = tried.unionAll(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "minhash-pairs")
         tried = tried.unionAll(pairs)
+        rest = rest.drop("component")
         done += more
         found = _confirmed(pairs, sets, percent, "minhash-links")
         if not found.isEmpty():
@@ -245,6 +251,17 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
                   "minhash-labels")
 
 
+def _hopeless(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Nodes that cannot be similar to any other node of the rows: too many of
+    their shingles are in no other one. (A link shares ``percent`` of a set.)"""
+    nodes = rows.select("node", "n").distinct()
+    each = sets.join(nodes, "node").select("node", "n", F.explode("shingles").alias("shingle"))
+    alone = (each.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"),
+                                         F.min("n").alias("n")).filter("holders = 1"))
+    return (alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"), F.min("n").alias("n"))
+            .filter(100 * (F.col("n") - F.col("own")) < percent * F.col("n")).select("node"))
+
+
 def _open(members: DataFrame, labels: DataFrame, done: int) -> DataFrame:
     """Members, behind the first ``done`` places, of buckets in which those lie in
     several components; with their component."""
