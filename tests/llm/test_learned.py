@@ -61,7 +61,7 @@ def test_mixture_raises_the_likelihood():
         assert np.log(np.exp(logs) @ other).sum() <= best + 0.5
 
 
-def quality_tables(spark, n=400):
+def quality_tables(spark, n=1000):
     rng = random.Random(2)
     rows, labels = [], []
     for i in range(n):
@@ -80,14 +80,14 @@ def quality_tables(spark, n=400):
 def test_quality_of_held_out_rows(spark):
     df, labels = quality_tables(spark)
     truth = {r.doc_id: r.quality for r in labels.collect()}
-    got = rows_by_id(quality.quality_scores(df, labels, per_class=60))
+    got = rows_by_id(quality.quality_scores(df, labels, per_class=200))
     held = [i for i in truth if zlib.crc32(str(i).encode()) % 5 == 0]
-    assert len(got) == 400 and all(got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i in got)
+    assert len(got) == 1000 and all(got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i in got)
     assert np.mean([got[i]["predicted"] == truth[i] for i in held]) > 0.95
     assert all(r["predicted"] == int(r["score"] >= 0.3) and 0 <= r["score"] <= 1 for r in got.values())
     flipped = labels.selectExpr(
         "doc_id", "case when crc32(cast(cast(doc_id as string) as binary)) % 5 = 0 then 1 - quality else quality end quality")
-    assert rows_by_id(quality.quality_scores(df, flipped, per_class=60)) == got
+    assert rows_by_id(quality.quality_scores(df, flipped, per_class=200)) == got
 
 
 def test_quality_edges(spark):
