@@ -74,7 +74,8 @@ def test_scale_conf_sizes_partitions():
     from playstats.session import scale_conf
 
     big = scale_conf(100 * 2**40, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "100000"             # capped
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 2**10)     # one per GiB, no cap of its own
+    assert scale_conf(100 * 2**40, 8000, max_shuffle_partitions=50_000)["spark.sql.shuffle.partitions"] == "50000"
     assert big["spark.sql.files.maxPartitionBytes"] == str(1 << 30)
     small = scale_conf(10 * 2**30, 80)
     assert small["spark.sql.shuffle.partitions"] == "240"              # three waves per core
