@@ -15,9 +15,9 @@ A document's set is its distinct word shingles, as 64-bit hashes.
    member that meets most others over all its buckets. They are confirmed on
    the full sets, and confirmed edges are contracted to components.
 5. *Rest*: a bucket whose members still lie in two or more components is open.
-   Members with too many shingles of their own to be similar to any other member
-   of an open bucket leave (an exact bound); the others get further hubs (4, 16,
-   80, ... at a time, members of small components first), each joined only to
+   Members with too many shingles of their own to be similar to any member of any
+   bucket leave first (an exact bound); the others get further hubs (4, 16, 80,
+   ... at a time, members of small components first), each joined only to
    members of other components behind it, until no bucket is open. So no pair
    that shares a bucket and could change a component goes unconfirmed, while a
    group of near copies costs one edge per member.
@@ -204,17 +204,13 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     labels = members.select("node").distinct().join(components(links, "minhash"), "node", "left").select(
         "node", F.coalesce("component", "node").alias("component"))
     labels = stored(labels, "minhash-labels")
-    rest = stored(_open(members, labels, 0), "minhash-open")
-    rest = rest.join(_hopeless(rest, sets, percent), "node", "left_anti")
+    rest = members.join(_hopeless(members, sets, percent), "node", "left_anti")
     # place of each member in its bucket: members of small components come first as hubs
     big = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    rest = stored(rest.join(big, "component").drop("component").withColumn("place", F.row_number().over(
-        Window.partitionBy("key").orderBy("size", "node"))), "minhash-ranked")
+    rest = stored(_open(rest, labels, 0).join(big, "component").withColumn("place", F.row_number().over(
+        Window.partitionBy("key").orderBy("size", "node"))), "minhash-open")
     done = 0  # hubs of each open bucket so far
-    while True:
-        rest = stored(_open(rest, labels, done), "minhash-open")
-        if rest.isEmpty():
-            break
+    while not rest.isEmpty():
         more = max(FIRST_HUBS, HUB_GROWTH * done)
         hubs = rest.filter(F.col("place") <= done + more).select(
             "key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("at"),
@@ -225,11 +221,11 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         seen = tried.unionAll(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
         pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "minhash-pairs")
         tried = tried.unionAll(pairs)
-        rest = rest.drop("component")
         done += more
         found = _confirmed(pairs, sets, percent, "minhash-links")
         if not found.isEmpty():
             labels = _joined(labels, found)
+        rest = stored(_open(rest.drop("component"), labels, done), "minhash-open")
 
     # a component's id is the smallest document id in it
     named = classes.select("node", "digest", "first_id").join(labels, "node", "left").withColumn(
