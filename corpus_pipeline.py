@@ -19,34 +19,52 @@ from playstats.llm.common import find_package, shared_path
 LEAST_SHARE = 0.25
 
 
-def _keep(docs: DataFrame, verdicts: DataFrame, condition) -> DataFrame:
-    """The rows of ``docs`` whose id has a verdict row that meets the condition."""
-    good = verdicts.filter(condition).select(F.col("doc_id").alias("_good")).distinct()
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["_good"]), "left_semi")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``, a 128-bit digest of id and text, which the operators hand
+    on: ids may be null or repeated, so a verdict goes by both."""
+    whole = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+                     F.when(F.col("text").isNull(), ":").otherwise("="), F.coalesce("text", F.lit("")))
+    return docs.withColumn("_key", F.unhex(F.md5(whole)))
+
+
+def _keep(keyed: DataFrame, verdicts: DataFrame, condition) -> DataFrame:
+    """The rows of ``keyed`` whose verdict meets the condition."""
+    good = verdicts.filter(condition).select(F.col("row").alias("_key")).distinct()
+    # a shuffle join at every size: the verdicts are as many as the documents
+    return keyed.join(good.hint("merge"), "_key", "left_semi")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a recognised language."""
-    found = language_id.held_out_predictions(docs)
-    return _keep(docs, found, (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    keyed = _keyed(docs)
+    found = language_id.held_out_predictions(keyed, row_col="_key")
+    return _keep(keyed, found, (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
+                 ).select(*docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that the quality classifier accepts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _keep(docs, quality.quality_scores(docs, labels), F.col("predicted") == 1)
+    keyed = _keyed(docs)
+    return _keep(keyed, quality.quality_scores(keyed, labels, row_col="_key"), F.col("predicted") == 1
+                 ).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates, and of repeated rows one."""
-    kept = _keep(docs, minhash_dedup.near_duplicates(docs), F.col("kept"))
-    return kept.dropDuplicates(["doc_id", "text"])
+    """Keeps one row of each group of near-duplicates, and of repeated rows one."""
+    keyed = _keyed(docs)
+    kept = minhash_dedup.one_of_each(keyed, "_key").withColumnRenamed("row", "_key")
+    # repeated rows become one before the shuffle, so no key is frequent in the join
+    return keyed.dropDuplicates(["_key"]).join(kept, "_key", "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in which no benchmark window occurs."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _keep(docs, decontaminate.contamination(docs, benchmark), ~F.col("contaminated"))
+    keyed = _keyed(docs)
+    dirty = (decontaminate.contamination(keyed, benchmark, id_col="_key").filter("contaminated")
+             .select(F.col("doc_id").alias("_key")).distinct())
+    return keyed.join(dirty, "_key", "left_anti").select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,18 +18,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Texts are handled in groups of about so many characters inside a task, so the
 #: arrays derived from them stay small whatever the size of the Arrow batch.
 CHUNK_CHARS = 1 << 20
 
 
-def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) with null texts as ''; nothing else of the input."""
+def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
+    """(doc_id, text) with null texts as '', and ``more``; nothing else of the input."""
     return df.select(F.col(f"`{id_col}`").alias("doc_id"),
-                     F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+                     F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), *more)
+
+
+def handed_on(column: str | None) -> list[Column]:
+    """The column as ``row``; none without a name."""
+    return [] if column is None else [F.col(f"`{column}`").alias("row")]
+
+
+def with_row(schema: str, docs: DataFrame) -> StructType:
+    """The schema, and the ``row`` of ``docs`` where it has one."""
+    return StructType([*StructType.fromDDL(schema), *[f for f in docs.schema if f.name == "row"]])
 
 
 def find_package(spark: SparkSession) -> None:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playstats.llm.common import text_chunks
+from playstats.llm.common import handed_on, text_chunks, with_row
 from playstats.llm.textops import mix
 
 BUCKETS = 1 << 15
@@ -167,10 +167,13 @@ def learn(documents: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return Model(languages, counts)
 
 
-def predict(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+            row_col: str | None = None) -> DataFrame:
     """(doc_id, lang_pred, score, mixture) of every row; ``mixture``: the chosen
-    languages with their proportions, the largest first."""
-    docs = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    languages with their proportions, the largest first. ``row_col``: a column
+    that is handed on as ``row``."""
+    docs = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                            *handed_on(row_col))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,17 +183,20 @@ def predict(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col
                 [part.column("doc_id").cast(pa.int64()), pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64()),
                  pa.array([[{"lang": a, "share": b} for a, b in g[2]] for g in got],
-                          pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))],
-                names=["doc_id", "lang_pred", "score", "mixture"])
+                          pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))),
+                 *part.columns[2:]],
+                names=["doc_id", "lang_pred", "score", "mixture", *part.schema.names[2:]])
 
-    return docs.mapInArrow(
-        run, "doc_id bigint, lang_pred string, score double, mixture array<struct<lang:string,share:double>>")
+    return docs.mapInArrow(run, with_row(
+        "doc_id bigint, lang_pred string, score double, mixture array<struct<lang:string,share:double>>", docs))
 
 
 def held_out_predictions(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         lang_col: str = "lang") -> DataFrame:
+                         lang_col: str = "lang", row_col: str | None = None) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): learned from the rows whose id's crc32
-    modulo 4 is not 2, predicted for all rows; ``held_out``: the remainder is 2."""
+    modulo 4 is not 2, predicted for all rows; ``held_out``: the remainder is 2.
+    ``row_col``: a column that is handed on as ``row``."""
     model = learn(documents.filter(remainder(id_col, 4) != 2), text_col, lang_col)
-    return predict(documents, model, id_col, text_col).select(
-        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+    return predict(documents, model, id_col, text_col, row_col).select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score",
+        *([] if row_col is None else ["row"]))

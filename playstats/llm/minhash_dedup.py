@@ -40,10 +40,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playstats.llm.common import id_text, stored, text_chunks
+from playstats.llm.common import handed_on, id_text, stored, text_chunks, with_row
 from playstats.llm.textops import gram_hashes, mix, words_of
 
 SHINGLE_WORDS = 5
@@ -101,7 +101,8 @@ def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
 
 
 def _profiles(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, keys): keys are null for an empty set."""
+    """(doc_id, n_shingles, digest, keys), and the row handed on: keys are null for an
+    empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches):
@@ -111,10 +112,11 @@ def _profiles(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([_digest(s) for s in sets], pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "digest", "keys"])
+                 pa.array(keys, pa.list_(pa.int64())), *part.columns[2:]],
+                names=["doc_id", "n_shingles", "digest", "keys", *part.schema.names[2:]])
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, keys array<bigint>")
+    return docs.mapInArrow(run, with_row(
+        "doc_id bigint, n_shingles bigint, digest binary, keys array<bigint>", docs))
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
@@ -172,7 +174,38 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
                     shingle_words: int = SHINGLE_WORDS, percent: int = SIMILAR_PERCENT,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row."""
-    docs = id_text(documents, id_col, text_col)
+    profiles, named = _components(documents, id_col, text_col, shingle_words, percent, bands, rows)
+    linked = profiles.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return linked.select("doc_id", "n_shingles", own.alias("component_id"),
+                         F.col("doc_id").eqNullSafe(own).alias("kept"))
+
+
+def one_of_each(documents: DataFrame, row_key: str, id_col: str = "doc_id", text_col: str = "text",
+                shingle_words: int = SHINGLE_WORDS, percent: int = SIMILAR_PERCENT,
+                bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(row): the ``row_key`` of one row of each component, that with the smallest id,
+    null last, then the smallest key; and of every row with an empty set. Unlike
+    ids, which may be null or stand for several texts, a key names one row or equal
+    rows."""
+    profiles, named = _components(documents, id_col, text_col, shingle_words, percent, bands, rows, row_key)
+    full = profiles.filter("n_shingles > 0").groupBy("digest").agg(_least_row())
+    best = (full.select("digest", "least.*").join(named, "digest").groupBy("component").agg(_least_row())
+            .select("least.row"))
+    return best.unionAll(profiles.filter("n_shingles = 0").select("row").distinct())
+
+
+def _least_row() -> Column:
+    return F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("least")
+
+
+def _components(documents: DataFrame, id_col: str, text_col: str, shingle_words: int, percent: int, bands: int,
+                rows: int, row_key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, digest, keys) of every row, with its ``row_key`` as ``row``
+    where one is named, and (digest, component, component_id) of every class."""
+    docs = id_text(documents, id_col, text_col, *handed_on(row_key))
+    # what finds a class's text again
+    name = "doc_id" if row_key is None else "row"
     profiles = stored(_profiles(docs, shingle_words, bands, rows), "minhash-profiles")
     classes = stored(
         profiles.filter("n_shingles > 0").groupBy("digest")
@@ -187,9 +220,9 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     # full sets of the classes that meet another one: from one text of each class
     one = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest")
-    texts = (profiles.select("doc_id", "digest").join(one, "digest")
-             .groupBy("node", "digest").agg(F.min("doc_id").alias("of")))
-    of = docs.join(texts, docs["doc_id"].eqNullSafe(texts["of"])).select("node", "digest", "text")
+    texts = (profiles.select(name, "digest").join(one, "digest")
+             .groupBy("node", "digest").agg(F.min(name).alias("of")))
+    of = docs.join(texts, docs[name].eqNullSafe(texts["of"])).select("node", "digest", "text")
     sets = stored(_sets(of, shingle_words), "minhash-sets")
 
     def alike(a: str, b: str):  # sizes that allow the similarity
@@ -231,11 +264,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     named = classes.select("node", "digest", "first_id").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = stored(named.join(names, "component").select("digest", "component_id"), "minhash-names")
-    linked = profiles.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return linked.select("doc_id", "n_shingles", own.alias("component_id"),
-                         F.col("doc_id").eqNullSafe(own).alias("kept"))
+    return profiles, stored(named.join(names, "component").select("digest", "component", "component_id"),
+                            "minhash-names")
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playstats.llm.common import id_text, text_chunks
+from playstats.llm.common import handed_on, id_text, text_chunks, with_row
 from playstats.llm.language_id import remainder
 from playstats.llm.textops import mix, words_of
 
@@ -140,9 +140,10 @@ def learn(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
 
 def score(documents: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every whole text."""
-    docs = id_text(documents, id_col, text_col)
+          text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """(doc_id, score) of every whole text. ``row_col``: a column that is handed on
+    as ``row``."""
+    docs = id_text(documents, id_col, text_col, *handed_on(row_col))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,16 +151,19 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], id_col: str = "
         for part, texts in text_chunks(batches):
             odds = np.array([table[f].mean() for f in features(texts)]) + offset
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").cast(pa.int64()), pa.array(1.0 / (1.0 + np.exp(-np.clip(odds, -500, 500))))],
-                names=["doc_id", "score"])
+                [part.column("doc_id").cast(pa.int64()), pa.array(1.0 / (1.0 + np.exp(-np.clip(odds, -500, 500)))),
+                 *part.columns[2:]],
+                names=["doc_id", "score", *part.schema.names[2:]])
 
-    return docs.mapInArrow(run, "doc_id bigint, score double")
+    return docs.mapInArrow(run, with_row("doc_id bigint, score double", docs))
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "quality", per_class: int = PER_CLASS, accept: float = ACCEPT) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row."""
+                   label_col: str = "quality", per_class: int = PER_CLASS, accept: float = ACCEPT,
+                   row_col: str | None = None) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row. ``row_col``: a column that
+    is handed on as ``row``."""
     model = learn(documents, labels, id_col, text_col, label_col, per_class)
-    return score(documents, model, id_col, text_col).select(
+    return score(documents, model, id_col, text_col, row_col).select(
         "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
-        (F.col("score") >= accept).cast("int").alias("predicted"))
+        (F.col("score") >= accept).cast("int").alias("predicted"), *([] if row_col is None else ["row"]))

@@ -47,3 +47,34 @@ def test_empty_documents(spark, tmp_path):
     sf = _folder(spark, tmp_path, [], [], [])
     out = queries.pipeline(spark, sf)
     assert out.count() == 0 and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_verdicts_stay_on_their_row(spark, tmp_path):
+    """Null and repeated ids with a good and a bad text in every stage."""
+    rng = random.Random(12)
+    item = sentence(rng, 15)
+    texts = [sentence(rng, 40) for _ in range(120)]
+    texts += [" ".join(w + "***" for w in sentence(rng, 30).split()) for _ in range(40)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    labels = [(i, int(i < 120), 0) for i in range(160)]
+    sf = _folder(spark, tmp_path, rows, labels, [(1, item)])
+
+    def left(name, pairs):
+        more = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in pairs], SCHEMA)
+        docs = spark.read.parquet(f"{sf}/documents.parquet").unionByName(more)
+        out = dict(corpus_pipeline.STAGES)[name](spark, docs, sf)
+        assert out.columns == COLUMNS
+        ids = {i for i, _ in pairs}
+        return sorted([r.text or "" for r in out.collect() if r.doc_id in ids])
+
+    good, other = sentence(rng, 40), sentence(rng, 40)
+    for i in (None, 500):
+        assert left("language", [(i, good), (i, "123 ..."), (i, None), (i, good)]) == [good, good]
+        bad = " ".join(w + "***" for w in other.split())
+        assert left("quality", [(i, good), (i, bad), (i, good)]) == [good, good]
+        passage = other + " " + item
+        assert left("decontamination", [(i, good), (i, passage), (i, good), (i, None)]) == ["", good, good]
+        # one row of each component: of the copies of text 3 the one with the smallest id, 3
+        near = [good, good + " more"]
+        got = left("near_dedup", [(i, good), (i, near[1]), (i, good), (i, texts[3]), (i, texts[3] + " more"), (i, other)])
+        assert len(got) == 2 and other in got and set(got) & set(near)
