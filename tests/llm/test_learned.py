@@ -147,3 +147,20 @@ def test_lm_edges(spark):
     rows = lm_score.cross_entropy_difference(df, none).collect()
     assert sorted(r.n_tokens for r in rows) == [0, 2, 2]
     assert lm_score.cross_entropy_difference(docs(spark, []), none).count() == 0
+
+
+def test_lm_whole_vocabulary_equals_brute_force(spark):
+    rng = random.Random(16)
+    texts = [words(rng.choice(["xa", "zc"]), rng.randint(0, 40), rng) for _ in range(40)]
+    texts += ["", None, "***!! A*** b!!", "ONE one", "é", "ba qa", "ba ra", "ba qa"]
+    target = [i % 3 == 0 for i in range(len(texts))]
+    ids = spark.createDataFrame([(i,) for i, f in enumerate(target) if f] + [(None,), (0,), (0,)], "doc_id bigint")
+    got = rows_by_id(lm_score.cross_entropy_difference(docs(spark, texts), ids, words=None, prior=5.0))
+    for i, want in enumerate(brute_scores(texts, target, 10 ** 9, 5.0)):
+        assert np.allclose([got[i][c] for c in ("n_tokens", "ce_target", "ce_background", "score")], want, atol=1e-9)
+    # words with equal last bytes keep their identity, which a capped vocabulary takes from them
+    assert got[45]["score"] != got[46]["score"] and got[45]["score"] == got[47]["score"]
+    few = docs(spark, ["a b", "a b", "c", None], [1, 1, None, None])
+    rows = lm_score.cross_entropy_difference(few, ids.limit(0), words=None).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in rows) == [(0, 0), (0, 1), (1, 2), (1, 2)]
+    assert lm_score.cross_entropy_difference(docs(spark, []), ids, words=None).count() == 0
