@@ -164,3 +164,13 @@ def test_lm_whole_vocabulary_equals_brute_force(spark):
     rows = lm_score.cross_entropy_difference(few, ids.limit(0), words=None).collect()
     assert sorted((r.doc_id or 0, r.n_tokens) for r in rows) == [(0, 0), (0, 1), (1, 2), (1, 2)]
     assert lm_score.cross_entropy_difference(docs(spark, []), ids, words=None).count() == 0
+
+
+def test_quality_sample_holds_an_id_once(spark):
+    df, labels = quality_tables(spark, 200)
+    drawn = next(r.doc_id for r in labels.orderBy("doc_id").collect() if zlib.crc32(str(r.doc_id).encode()) % 5)
+    hot = df.filter(df.doc_id == drawn).crossJoin(spark.range(300)).drop("id")
+    once, often = quality.learn(df, labels, per_class=20), quality.learn(df.unionByName(hot), labels, per_class=20)
+    every = quality.learn(df.unionByName(hot), labels, per_class=200)
+    assert np.array_equal(once[0], often[0]) and once[1] == often[1]
+    assert np.array_equal(every[0], quality.learn(df, labels, per_class=200)[0])
