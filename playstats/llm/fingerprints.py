@@ -141,7 +141,8 @@ def fingerprint_pairs(documents: DataFrame, id_col: str = "doc_id", text_col: st
     links = next_in_order(keys).select("doc_id", "n_chars", F.col("kid").alias("to_kid"),
                                        F.col("text_hash").alias("to_hash"), F.col("next_kid").alias("kid"),
                                        F.col("next_hash").alias("text_hash"))
-    docs = docs.select("kid", "text_hash", "text")  # the same exchange serves both joins
+    # repeated rows become one before the shuffle; the same exchange serves both joins
+    docs = docs.groupBy("kid", "text_hash").agg(F.first("text").alias("text"))
 
     def sketch(column: str) -> Column:
         return bottom_k(shingle_hashes(F.col(column), size), k)

@@ -63,3 +63,8 @@ def test_repeated_null_ids_one_row_and_empty(spark):
     one = f.fingerprint_digest(f.fingerprint_pairs(docs(spark, [t]))).collect()
     assert [(r.near_edited <= 1.0, r.near_next) for r in one] == [(True, 1.0)]
     assert f.fingerprint_digest(f.fingerprint_pairs(docs(spark, []))).count() == 0
+
+
+def test_repeated_rows_are_one_before_the_joins(spark):
+    df = docs(spark, ["a b c"] * 5 + ["d e f"] * 4 + ["g"], [1] * 5 + [2] * 4 + [None])
+    assert f.fingerprint_pairs(df).count() == 3
