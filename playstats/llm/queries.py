@@ -19,6 +19,7 @@ from playstats.llm import (
     minhash_dedup,
     oracle,
     quality,
+    token_alignment,
     token_counts,
     token_orc,
     warc_fixity,
@@ -100,6 +101,12 @@ def op10_token_orc(spark: SparkSession, sf: str) -> DataFrame:
     return token_orc.token_digest(spark, path)
 
 
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return token_alignment.token_alignment(
+        table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
@@ -115,6 +122,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_lm_score": op9_lm_score,
     "op10_token_orc": op10_token_orc,
+    "op11_token_alignment": op11_token_alignment,
     "pipeline": pipeline,
 }
 
