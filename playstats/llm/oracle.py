@@ -96,9 +96,31 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_tokens, round(coalesce(ct, 0), 6) A
 FROM documents d LEFT JOIN each USING (doc_id)
 """
 
+# CRC-32, reflected polynomial EDB88320, byte by byte (the blob's hex digits, two a byte)
+_CRC_TABLE = """crc_step(t) AS (SELECT list(c ORDER BY b) FROM (
+    SELECT b, list_reduce(range(1, 9), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) AS c
+    FROM range(256) r(b)))"""
+_CRC = """xor(list_reduce(list_transform(range(0, length({hex}) // 2),
+    lambda i: instr('0123456789ABCDEF', {hex}[2 * i + 1]) * 16 + instr('0123456789ABCDEF', {hex}[2 * i + 2]) - 17),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295)"""
+
+# in the order of text digest and id; a row's shard is the sixteenth of all bytes that holds its middle
+_OP12 = f"""
+WITH {_CRC_TABLE},
+r AS (SELECT doc_id, text, strlen(coalesce(text, ''))::BIGINT + 1 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents),
+o AS (SELECT *, sum(size) OVER all_ AS total, coalesce(sum(size) OVER before_, 0) AS start FROM r
+  WINDOW all_ AS (), before_ AS (ORDER BY md5(coalesce(text, '')), text IS NOT NULL, doc_id NULLS FIRST
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s AS (SELECT *, ((16 * (2 * start + size)) // (2 * total))::INTEGER AS shard FROM o)
+SELECT doc_id, size, {_CRC.format(hex="h")}::BIGINT AS text_crc32, 'bytes' AS law, shard,
+  (row_number() OVER (PARTITION BY shard ORDER BY start) - 1)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM s, crc_step
+"""
+
 ORACLE_SQL = {
     "op2_minhash_dedup": _OP2,
     "op3_warc_fixity": _OP3,
     "op4_decontaminate": _OP4,
     "op9_lm_score": _OP9,
+    "op12_histogram_shards": _OP12,
 }

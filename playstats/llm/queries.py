@@ -14,6 +14,7 @@ from playstats.llm import (
     bpe_codec,
     decontaminate,
     fingerprints,
+    histogram_shards,
     language_id,
     lm_score,
     minhash_dedup,
@@ -107,6 +108,10 @@ def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
         public_tokenizers.path("piece_bpe_32k.model"), digest=True)
 
 
+def op12_histogram_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return histogram_shards.sharded(table(spark, sf, "documents"), shards=16)
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
@@ -123,6 +128,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_score": op9_lm_score,
     "op10_token_orc": op10_token_orc,
     "op11_token_alignment": op11_token_alignment,
+    "op12_histogram_shards": op12_histogram_shards,
     "pipeline": pipeline,
 }
 
