@@ -117,10 +117,38 @@ SELECT doc_id, size, {_CRC.format(hex="h")}::BIGINT AS text_crc32, 'bytes' AS la
 FROM s, crc_step
 """
 
+_OP13 = rf"""
+WITH {_CRC_TABLE},
+o AS (SELECT conv_id, md5(strlen(r) || ':' || r || x) AS d, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(r) || ':' || r || x)) - 1 AS pos
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+c0 AS (SELECT DISTINCT conv_id, hex(encode(conv_id::VARCHAR)) AS hx FROM o),
+c AS (SELECT conv_id, conv_id - (conv_id % 20 + 20) % 20 AS source, {_CRC.format(hex="hx")} % 4 AS h FROM c0, crc_step),
+b AS (SELECT c.conv_id, 0 AS part, o.pos, o.d, o.words FROM c JOIN o ON o.conv_id = c.source AND o.pos < c.h
+      UNION ALL SELECT c.conv_id, 1, o.pos, o.d, o.words FROM c JOIN o USING (conv_id) WHERE o.pos >= c.h),
+p AS (SELECT conv_id, words, row_number() OVER w AS depth, md5(string_agg(d, '') OVER w) AS k
+      FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)),
+m AS (SELECT conv_id, depth, k, coalesce(lag(k) OVER (PARTITION BY conv_id ORDER BY depth), 'root') AS up, words FROM p
+      UNION ALL SELECT conv_id, 0, 'root', NULL, 0 FROM c),
+n AS (SELECT k, any_value(depth) AS depth, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+        any_value(words) AS words FROM m GROUP BY k),
+last AS (SELECT conv_id, arg_max(k, depth) AS k FROM m GROUP BY conv_id),
+e AS (SELECT k, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM last GROUP BY k),
+ch AS (SELECT up AS k, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (k)),
+t AS (SELECT m.k, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((f.n_convs - 1) * f.words) AS saved_tokens
+      FROM f JOIN m ON m.conv_id = f.conv_id AND m.depth <= f.depth GROUP BY m.k)
+SELECT f.conv_id, f.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs,
+  f.n_children::BIGINT AS n_children, t.n_leaves::BIGINT AS n_leaves, t.saved_tokens::BIGINT AS saved_tokens,
+  sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM f JOIN t USING (k) LEFT JOIN e USING (k) LEFT JOIN n u ON u.k = f.up
+"""
+
 ORACLE_SQL = {
     "op2_minhash_dedup": _OP2,
     "op3_warc_fixity": _OP3,
     "op4_decontaminate": _OP4,
     "op9_lm_score": _OP9,
     "op12_histogram_shards": _OP12,
+    "op13_prefix_trie": _OP13,
 }

@@ -19,6 +19,7 @@ from playstats.llm import (
     lm_score,
     minhash_dedup,
     oracle,
+    prefix_trie,
     quality,
     token_alignment,
     token_counts,
@@ -112,6 +113,10 @@ def op12_histogram_shards(spark: SparkSession, sf: str) -> DataFrame:
     return histogram_shards.sharded(table(spark, sf, "documents"), shards=16)
 
 
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations")).drop("turn_md5")
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
 
@@ -129,6 +134,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_orc": op10_token_orc,
     "op11_token_alignment": op11_token_alignment,
     "op12_histogram_shards": op12_histogram_shards,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": pipeline,
 }
 

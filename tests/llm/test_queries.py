@@ -20,7 +20,7 @@ def _bag(names, rows):
 
 
 def test_one_query_for_each_operator():
-    assert [sum(k.startswith(f"op{n}_") for k in LLM_QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(k.startswith(f"op{n}_") for k in LLM_QUERIES) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in LLM_QUERIES and set(LLM_QUERIES) <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "quality", "near_dedup", "decontamination", "bpe"]
 
