@@ -53,8 +53,9 @@ from playstats.llm.pretokens import (
 #: Tokens of both lists that one piece merges.
 PIECE = 1 << 16
 
-#: Links that a task reduces to (pair, count) at a time: 32 MB of ids.
-COUNT_LINKS = 1 << 23
+#: Links that a task reduces to (pair, count) at a time (16 MB of ids), and that it
+#: looks up at a time (some 25 MB with all that is derived from them).
+COUNT_LINKS, LOOK_UP_LINKS = 1 << 22, 1 << 19
 
 #: Pairs in the table that goes to every task: 4 + 8 + 1 bytes each, 3.4 MB.
 FREQUENT = 1 << 18
@@ -205,6 +206,16 @@ def _lists(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], np.asarray(lists.values)[offsets[0]:offsets[-1]]
 
 
+def _slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices with about ``limit`` list values, one row at least."""
+    for batch in batches:
+        upto, at = np.asarray(batch.column(column).offsets), 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] + limit, side="right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def pair_counts(aligned: DataFrame, n_b: int) -> DataFrame:
     """(pair, n, best) of every linked pair of the corpus: how often it is linked, and
     whether no other pair of its B id is linked more often."""
@@ -259,7 +270,7 @@ def link_scores(aligned: DataFrame, n_b: int, frequent: int = FREQUENT) -> DataF
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n, best = table.value
-        for batch in batches:
+        for batch in _slices(batches, "links", LOOK_UP_LINKS):
             offsets, values = _lists(batch, "links")
             place = np.minimum(np.searchsorted(pairs, values), max(len(pairs) - 1, 0))
             known = pairs[place] == values if len(pairs) else np.zeros(len(values), bool)
