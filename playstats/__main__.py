@@ -4,13 +4,14 @@
     python -m playstats etl SONG_DIR LOG_DIR OUT_DIR [--database DB --buckets N]
     python -m playstats report OUT_DIR [--top 10]
     python -m playstats profile OUT_DIR
+    python -m playstats vacuum OUT_DIR [--keep 2] [--older-than-hours 24]
 
 ``reset`` drops and recreates the database with the five empty star tables
 (stored under ROOT). ``etl`` runs the whole load (constraints checked) and
 prints each table's row count. ``report`` prints the plays per hour, the top users and the top
 locations with their share. ``profile`` prints describe-style profiles of
-every stored table, one row per column. Only these bounded results reach the
-driver.
+every stored table, one row per column. ``vacuum`` removes the files of older
+versions. Only these bounded results reach the driver.
 """
 
 from __future__ import annotations
@@ -58,6 +59,10 @@ def main(argv: list[str] | None = None) -> int:
     rep.add_argument("--top", type=int, default=10)
     prof = sub.add_parser("profile", help="describe-style profile of every stored table")
     prof.add_argument("out_dir")
+    vac = sub.add_parser("vacuum", help="remove the files of all but the last versions")
+    vac.add_argument("out_dir")
+    vac.add_argument("--keep", type=int, default=2)
+    vac.add_argument("--older-than-hours", type=float, default=24.0)
     args = ap.parse_args(argv)
 
     from playstats.plans import reports, star
@@ -76,13 +81,19 @@ def main(argv: list[str] | None = None) -> int:
         for name, df in tables.items():
             print(f"{name}: {df.count()} rows")
         return 0
-    out = args.out_dir.rstrip("/")
+    from playstats.sinks.versioned import VersionedTables
+
+    store = VersionedTables(spark, args.out_dir)
+    if args.cmd == "vacuum":
+        print(f"{len(store.vacuum(args.keep, args.older_than_hours))} folders removed")
+        return 0
+    tables = store.tables()
     if args.cmd == "profile":
         from playstats.operators import profile
         from pyspark.sql import types as T
 
         for name in ("songplays", "users", "times", "artists", "songs"):
-            df = spark.read.parquet(f"{out}/{name}")
+            df = tables[name]
             _print(f"{name}: column types", profile.profile_dtypes(df))
             nums = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
             texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -91,7 +102,7 @@ def main(argv: list[str] | None = None) -> int:
             if texts:
                 _print(f"{name}: text", profile.profile_text(df, texts))
         return 0
-    t = {name: spark.read.parquet(f"{out}/{name}") for name in ("songplays", "users", "times")}
+    t = tables
     _print("plays per hour", reports.plays_by_hour(t["songplays"], t["times"]))
     _print(f"top {args.top} users", reports.top_k_users(t["songplays"], t["users"], args.top))
     _print(f"top {args.top} locations", reports.top_k_location_share(t["songplays"], args.top))

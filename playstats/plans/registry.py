@@ -24,6 +24,7 @@ from playstats.plans import catalog, reports, star
 from playstats.schemas import SONG_SCHEMA, USERS
 from playstats.scratch import scratch_path
 from playstats.sinks import dml, writers
+from playstats.sinks.versioned import Layout, VersionedTables
 from playstats.sources import delimited, files, tables
 from playstats.plans.analogues import DriverTables
 
@@ -427,39 +428,37 @@ def _dml_inputs(t: DriverTables) -> tuple[DataFrame, DataFrame]:
     return target, batch
 
 
-def _stored_users(spark: SparkSession, users: DataFrame, layout: str) -> str:
-    """A catalog table of users, bucketed by id, partitioned by gender, or plain."""
-    name, path = catalog.fresh_table_name(f"users_{layout}"), scratch_path(spark, f"users-{layout}")
-    if layout == "bucketed":
-        return writers.save_bucketed_table(users, name, "user_id", BUCKETS, path)
-    writer = users.write.format("parquet").option("path", path)
-    (writer.partitionBy("gender") if layout == "partitioned" else writer).saveAsTable(name)
-    return name
+def _published_users(spark: SparkSession, users: DataFrame) -> VersionedTables:
+    """Version 1 of a users table in buckets of its key."""
+    store = VersionedTables(spark, scratch_path(spark, "users"))
+    store.publish({"users": users}, {"users": Layout("user_id", BUCKETS)})
+    return store
 
 
 def q_upsert_level(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored and read back, on a bucketed table."""
+    """Published as a new version and read back."""
     target, batch = _dml_inputs(DriverTables(spark, sf))
-    name = _stored_users(spark, target, "bucketed")
-    dml.replace_contents(spark, name, dml.upsert(spark.table(name), batch, "user_id", ["level"], ["ts", "event_id"]))
-    return spark.table(name)
+    store = _published_users(spark, target)
+    store.upsert("users", batch, ["level"], ["ts", "event_id"])
+    return store.read("users")
 
 
 def q_insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     """Appended and read back, on a plain table."""
     target, batch = _dml_inputs(DriverTables(spark, sf))
-    name = _stored_users(spark, target, "plain")
+    name = catalog.fresh_table_name("users")
+    target.write.format("parquet").option("path", scratch_path(spark, "users-plain")).saveAsTable(name)
     dml.append_if_absent(spark, name, batch, "user_id", ["ts", "event_id"])
     return spark.table(name)
 
 
 def q_delete_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored and read back, on a partitioned table."""
+    """Published as a new version with a delete vector, and read back."""
     t = DriverTables(spark, sf)
     keys = t.events.filter((F.col("event_type") == "error") & (F.col("value") > 90)).select("user_id")
-    name = _stored_users(spark, an.users_of(t.customer), "partitioned")
-    dml.replace_contents(spark, name, dml.delete_by_key(spark.table(name), "user_id", keys))
-    return spark.table(name)
+    store = _published_users(spark, an.users_of(t.customer))
+    store.delete("users", keys)
+    return store.read("users")
 
 
 # ---------------------------------------------------------------- quality checks

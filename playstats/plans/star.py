@@ -11,6 +11,8 @@ the two tables are 1:1 by construction.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from playstats.operators.lookup import lookup_song_artist, song_artist_catalog
 from playstats.operators.quality import assert_primary_key, assert_row_counts_equal, check_star
 from playstats.schemas import LOG_SCHEMA, SONG_SCHEMA
 from playstats.scratch import stored
+from playstats.sinks.versioned import Layout, Stage, VersionedTables
 from playstats.sinks.writers import save_bucketed_table, write_table
 from playstats.sources.files import read_json_lines, split_bad
 
@@ -161,9 +164,11 @@ def build_songplays(plays: DataFrame, catalog: DataFrame) -> DataFrame:
 def run_pipeline(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str,
                  check: bool = True, on_conflict: str = "error", database: str | None = None,
                  buckets: int | None = None, on_bad: str = "fail") -> dict[str, DataFrame]:
-    """JSON folders -> five Parquet tables under ``out_dir`` (overwritten, so a
-    rerun is idempotent); all constraints are checked on what was written
-    (``check=False`` skips).
+    """JSON folders -> the next version of the five tables in ``out_dir``
+    (``sinks.versioned``). They are written to a new folder, all constraints are
+    checked on what was written (``check=False`` skips), and one commit publishes all
+    five. A run that fails, or dies on the way, leaves the last version in force; a
+    rerun publishes equal tables.
 
     A malformed line and a repeated song or artist id stop the run; with
     ``on_bad`` / ``on_conflict`` = ``'quarantine'`` they are stored under
@@ -172,8 +177,9 @@ def run_pipeline(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str,
     Users whose name or gender changed between plays are reported in
     ``out_dir/quarantine/user_variants``.
 
-    With ``database`` the tables are also registered in the catalog, and with
-    ``buckets`` the fact and ``times`` are stored bucketed and sorted on
+    With ``database`` the tables are also in the catalog, as views of the published
+    version (:func:`point_views` renews them after a crash between commit and views),
+    and with ``buckets`` the fact and ``times`` are stored bucketed and sorted on
     ``time_id`` (``users`` on ``user_id``). The fact-times join of the hour
     report then reads co-located buckets instead of shuffling both sides."""
     out = out_dir.rstrip("/")
@@ -188,36 +194,81 @@ def run_pipeline(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str,
 
     song_raw = stored(read(read_song_data, song_dir, "song_lines").drop("_extra").dropDuplicates(), "songs")
     plays = prepare_plays(read(read_log_data, log_dir, "log_lines"))
-
-    def store(name: str, df: DataFrame, key: str | None = None, partition_by=None) -> DataFrame:
-        path = f"{out}/{name}"
-        if database and buckets and key:
-            table = f"{database}.{name}"
-            save_bucketed_table(df, table, key, buckets, path)
-            return spark.table(table)
-        write_table(df, path, partition_by=partition_by)
-        if database:
-            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-            spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
-            if partition_by:
-                spark.catalog.recoverPartitions(f"{database}.{name}")
-            return spark.table(f"{database}.{name}")
-        return spark.read.parquet(path)
-
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     artists, songs = stored(all_artists(song_raw), "artists"), stored(all_songs(song_raw), "songs")
     if on_conflict == "quarantine":
         for name, rows, key in (("artists", artists, "artist_id"), ("songs", songs, "song_id")):
             write_table(split_conflicts(rows, key)[1], f"{out}/quarantine/{name}")
-    tables = {"artists": store("artists", _resolve(artists, "artist_id", on_conflict, "artists")),
-              "songs": store("songs", _resolve(songs, "song_id", on_conflict, "songs"))}
-    catalog = song_artist_catalog(songs, artists)
-    tables["times"] = store("times", build_times(plays), "time_id", ["year", "month"])
-    tables["users"] = store("users", build_users(plays), "user_id")
-    tables["songplays"] = store("songplays", build_songplays(plays, catalog), "time_id")
     write_table(user_attribute_conflicts(plays), f"{out}/quarantine/user_variants")
-    if check:
-        check_star(tables)
-        assert_row_counts_equal(tables["songplays"], tables["times"], "songplays", "times")
-    return tables
+    built = {"artists": lambda: _resolve(artists, "artist_id", on_conflict, "artists"),
+             "songs": lambda: _resolve(songs, "song_id", on_conflict, "songs"),
+             "times": lambda: build_times(plays),
+             "users": lambda: build_users(plays),
+             "songplays": lambda: build_songplays(plays, song_artist_catalog(songs, artists))}
+    store = VersionedTables(spark, out)
+    stage = store.stage()
+    staged: dict[str, DataFrame] = {}
+    try:
+        if database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for name, build in built.items():
+            staged[name] = _store(spark, stage, name, build(), database, buckets)
+        if check:
+            check_star(staged)
+            assert_row_counts_equal(staged["songplays"], staged["times"], "songplays", "times")
+    except BaseException:
+        if database:
+            for name in built:
+                spark.sql(f"DROP TABLE IF EXISTS {database}.{_version_name(name, stage.folder)}")
+        stage.discard()
+        raise
+    stage.commit()
+    if database:
+        point_views(spark, out, database)
+        return {name: spark.table(f"{database}.{name}") for name in built}
+    return {name: store.read(name) for name in built}
+
+
+#: Bucket key and partition folders of the stored tables.
+_STORED = {"times": ("time_id", ("year", "month")), "users": ("user_id", ()), "songplays": ("time_id", ())}
+
+
+def _version_name(name: str, folder: str) -> str:
+    return f"{name}__{folder.rsplit('/', 1)[1][:16]}"
+
+
+def _store(spark: SparkSession, stage: Stage, name: str, df: DataFrame, database: str | None,
+           buckets: int | None) -> DataFrame:
+    """Writes one table to the stage; the table as it was written."""
+    key, partition_by = _STORED.get(name, (None, ()))
+    table = f"{database}.{_version_name(name, stage.folder)}"
+    if database and buckets and key:
+        save_bucketed_table(df, table, key, buckets, stage.path(name))
+        stage.adopt(name, spark.table(table).schema)
+        return spark.table(table)
+    stage.write(name, df, Layout(partition_by=partition_by))
+    if not database:
+        return stage.tables()[name]
+    spark.catalog.createTable(table, path=stage.path(name), source="parquet")
+    if partition_by:
+        spark.catalog.recoverPartitions(table)
+    return spark.table(table)
+
+
+def point_views(spark: SparkSession, out_dir: str, database: str) -> None:
+    """Sets the views ``database.songs``, ... to the published version's tables, and
+    drops the catalog entries (not the files) of all but the last two versions."""
+    store = VersionedTables(spark, out_dir)
+    kept: set[str] = set()
+    for number in store.log.numbers()[-2:]:
+        for name, entry in store.manifest(number).items():
+            kept.add(_version_name(name, entry["parts"][""][0].rsplit("/", 1)[0]))
+    for name, entry in store.manifest().items():
+        current = {t.name: t.tableType for t in spark.catalog.listTables(database, f"{name}*")}
+        if name in current and current[name] != "VIEW":  # an empty table of ``catalog.reset_warehouse``
+            spark.sql(f"DROP TABLE {database}.{name}")
+        version = _version_name(name, entry["parts"][""][0].rsplit("/", 1)[0])
+        columns = ", ".join(f"`{f['name']}`" for f in json.loads(entry["schema"])["fields"])
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {columns} FROM {database}.{version}")
+        for old in current:
+            if old.startswith(f"{name}__") and old not in kept:
+                spark.sql(f"DROP TABLE IF EXISTS {database}.{old}")
