@@ -7,11 +7,12 @@ bounded results (24 hours, top-k) are meant for the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playstats.functions.text import full_name
 from playstats.operators.ordering import share_percent, top_k
+from playstats.scratch import stored
 
 # The report output column names below (hour, songplays_counter,
 # location, songplay_counter, songplays_percent, user_id, user_fullname) are
@@ -31,12 +32,14 @@ def total_plays(songplays: DataFrame) -> DataFrame:
 
 def plays_by_location(songplays: DataFrame, total: int | Column | None = None) -> DataFrame:
     """Plays per location (NULL location is its own group) and their percent of
-    ``total`` (default: all plays, summed from the counts per location, so the
-    plays are read once)."""
+    ``total`` (default: all plays). The default total is a scalar subquery over the
+    stored counts per location: the plays are read once, the total is a sum of one
+    number per task, and no task sees all locations."""
     counts = songplays.groupBy("location").agg(F.count("songplay_id").alias("songplay_counter"),
                                                F.count(F.lit(1)).alias("_rows"))
     if total is None:
-        total = F.sum("_rows").over(Window.partitionBy())     # one row per location
+        counts = stored(counts, "location-counts")
+        total = counts.agg(F.sum("_rows")).scalar()
     elif not isinstance(total, Column):
         total = F.lit(total)
     return (counts.select("location", "songplay_counter",

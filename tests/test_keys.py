@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -170,3 +171,33 @@ def test_empty_inputs(spark):
     p = {r.column_name: r for r in profile_numeric(empty, ["ts"]).collect()}
     assert p["ts"]["count"] == 0 and p["ts"].p50 is None
     assert profile_text(empty, ["v"]).collect()[0]["count"] == 0
+
+
+@pytest.mark.parametrize("pivots, sort_rows", [(64, 50_000), (16, 12)])
+def test_slices_equal_a_sorted_list(spark, pivots, sort_rows):
+    import datetime as dt
+    import random
+
+    rng = random.Random(pivots)
+    rows = [(rng.choice([None, *range(6)]), dt.datetime(2020, 1, 1 + rng.randrange(3)), rng.choice([None, "a", "b'"]))
+            for _ in range(120)] + [(3, dt.datetime(2020, 1, 2), "hot")] * 60
+    df = spark.createDataFrame(rows, "k int, t timestamp_ntz, s string").repartition(3)
+    none_last = sorted(rows, key=lambda r: tuple((v is None, v) if v is not None else (True, 0) for v in r))
+    for start, stop in [(0, None), (17, 130), (100, 110), (150, 500), (200, 210), (5, 5)]:
+        got = [tuple(r) for r in slice_rows(df, ["k", "t"], start, stop, pivots, sort_rows).collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, none_last[start:stop])), (start, stop)
+
+
+def test_slice_stores_nothing_and_sorts_one_range(spark):
+    import os
+
+    from playstats.scratch import checkpoint_root
+
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = sorted(os.walk(root))
+    df = spark.range(100_000).withColumn("v", F.pmod(F.xxhash64("id"), F.lit(1_000_003)))
+    out = slice_rows(df, ["v"], 70_000, 70_010, sort_rows=5_000)
+    assert sorted(r.v for r in out.collect()) == sorted(r.v for r in df.collect())[70_000:70_010]
+    assert sorted(os.walk(root)) == before
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Sort [") == 1 and "Filter" in plan and "Window" not in plan

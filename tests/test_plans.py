@@ -4,6 +4,7 @@ cartesian joins and no Python evaluation (everything stays in the JVM)."""
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
@@ -26,3 +27,16 @@ def test_registered_plans_are_jvm_equi_joins(spark):
             offenders[key] = hits
     assert offenders == {}
     assert len(KEYS) >= 45
+
+
+def test_percent_of_total_has_no_window_and_no_single_task(spark):
+    from playstats.plans import reports
+
+    plays = spark.range(1000).select(F.col("id").alias("songplay_id"), (F.col("id") % 7).cast("string").alias("location"))
+    out = reports.plays_by_location(plays)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Subquery" in plan
+    outer = plan.split("Subquery")[0]
+    assert "SinglePartition" not in outer
+    assert abs(sum(r.songplays_percent for r in out.collect()) - 100) < 1e-9
+    assert reports.plays_by_location(plays.limit(0)).collect() == []
