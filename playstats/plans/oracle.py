@@ -231,6 +231,10 @@ ORACLE_SQL: dict[str, str] = {
     "surrogate_id": """
         SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS songplay_id
         FROM events WHERE event_type = 'view'""",
+    "surrogate_id_continued": """
+        SELECT event_id, row_number() OVER (ORDER BY event_id % 2, ts, event_id) - 1 AS songplay_id
+        FROM events WHERE event_type = 'view'""",
+    "scan_new_files": "SELECT * FROM events WHERE event_type = 'view'",
     "patch_by_key": f"""
         WITH pl AS ({PLAYS_WITH_SONG_FIELDS}),
              pa AS (SELECT p_partkey + 3 AS event_id, p_brand AS artist, p_name AS song,
@@ -279,14 +283,15 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN ({JSON_CATALOG}) c
           ON c.name = p.artist AND c.title = p.song AND c.duration = p.length""",
 
-    "etl_pipeline": f"""
+    "etl_pipeline": (_RUN_FACTS := f"""
         WITH p AS ({CLEAN_PLAYS})
         SELECT 'hour' AS item, CAST(hour(event_ts) AS VARCHAR) AS name, count(*) AS n FROM p GROUP BY 2
         UNION ALL SELECT 'rows', 'songplays', count(*) FROM p
         UNION ALL SELECT 'rows', 'times', count(*) FROM p
         UNION ALL SELECT 'rows', 'users', count(DISTINCT userId) FROM p
         UNION ALL SELECT 'rows', 'artists', count(*) FROM ({ARTISTS})
-        UNION ALL SELECT 'rows', 'songs', count(*) FROM part""",
+        UNION ALL SELECT 'rows', 'songs', count(*) FROM part"""),
+    "etl_increment": _RUN_FACTS,
 
     # reports
     "report_by_hour_stored": f"""

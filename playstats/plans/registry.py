@@ -19,13 +19,15 @@ from playstats.functions.cleaning import clean_frame, flag_numeric
 from playstats.functions.text import full_name
 from playstats.functions.timeparts import epoch_ms_to_start_time, ntz_to_epoch_ms, time_part_columns
 from playstats.operators import profile, quality
+from playstats.operators.sequence import Sequence
 from playstats.plans import analogues as an
-from playstats.plans import catalog, reports, star
+from playstats.plans import catalog, increment, reports, star
 from playstats.schemas import SONG_SCHEMA, USERS
 from playstats.scratch import scratch_path
 from playstats.sinks import dml, writers
 from playstats.sinks.versioned import Layout, VersionedTables
 from playstats.sources import delimited, files, tables
+from playstats.sources.ledger import FileLedger
 from playstats.plans.analogues import DriverTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,6 +142,20 @@ def q_scan_file_listing(spark: SparkSession, sf: str) -> DataFrame:
     return listed.select(files.parent_folder("file_path").alias("folder")).dropDuplicates()
 
 
+def q_scan_new_files(spark: SparkSession, sf: str) -> DataFrame:
+    """What a second run reads after the views were delivered as new files."""
+    t = DriverTables(spark, sf)
+    root, notes = scratch_path(spark, "scan_new_files"), FileLedger(spark, scratch_path(spark, "ledger"))
+    is_view = F.col("event_type") == "view"
+    writers.write_table(t.events.filter(~is_view), f"{root}/first", fmt="json")
+    notes.pending(root).commit()
+    writers.write_table(t.events.filter(is_view), f"{root}/second", fmt="json")
+    new = notes.pending(root)
+    rows = new.read(lambda paths: files.read_json_lines(spark, paths, t.events.schema, distinct=False))
+    new.commit()
+    return rows
+
+
 def _dirty_customers(t: DriverTables) -> DataFrame:
     k = F.col("c_custkey")
     name = (F.when(k % 7 == 0, F.concat("c_name", F.lit("\ttab")))
@@ -263,6 +279,17 @@ def q_surrogate_id(spark: SparkSession, sf: str) -> DataFrame:
     return ops.assign_surrogate_id(v, ["ts", "event_id"], "songplay_id").select("event_id", "songplay_id")
 
 
+def q_surrogate_id_continued(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads numbered one after the other; the first one is tried twice."""
+    v = an.views(DriverTables(spark, sf).events).select("event_id", "ts")
+    ids = Sequence(spark, scratch_path(spark, "sequence"), "songplay_id")
+    even, odd = v.filter(F.col("event_id") % 2 == 0), v.filter(F.col("event_id") % 2 == 1)
+    ids.number(even, ["ts", "event_id"], "even", "songplay_id")
+    later = ids.number(odd, ["ts", "event_id"], "odd", "songplay_id")
+    again = ids.number(even, ["ts", "event_id"], "even", "songplay_id")
+    return again.unionByName(later).select("event_id", "songplay_id")
+
+
 def q_patch_by_key(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     plays = an.plays_with_song_fields(t).select("event_id", "artist", "song", "length")
@@ -344,6 +371,10 @@ def q_etl_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     tables = star.run_pipeline(spark, _folder(spark, t, "song_data", an.write_song_folder),
                                _folder(spark, t, "log_data", an.write_log_folder), scratch_path(spark, "run"),
                                database=db, buckets=BUCKETS)
+    return _run_facts(tables)
+
+
+def _run_facts(tables: dict[str, DataFrame]) -> DataFrame:
     hours = reports.plays_by_hour(tables["songplays"], tables["times"])
     out = hours.select(F.lit("hour").alias("item"), F.col("hour").cast("string").alias("name"),
                        F.col("songplays_counter").alias("n"))
@@ -352,6 +383,20 @@ def q_etl_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def q_etl_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """The run of ``etl_pipeline`` as two loads: first a part of the songs and the plays
+    of one delivery, then the folders' new files, which repeat those plays."""
+    t = DriverTables(spark, sf)
+    songs, logs, out = (scratch_path(spark, x) for x in ("songs", "logs", "increments"))
+    song_rows, log_rows = an.song_records_of(t.part), an.log_records_of(t)
+    writers.write_table(song_rows.filter(F.col("year") <= 20), f"{songs}/A", fmt="json")
+    writers.write_table(log_rows.filter((F.col("page") == star.NEXT_SONG) & (F.col("level") == "paid")), f"{logs}/paid", fmt="json")
+    increment.run_increment(spark, songs, logs, out, buckets=BUCKETS)
+    writers.write_table(song_rows.filter(F.col("year") >= 20), f"{songs}/B", fmt="json")
+    writers.write_table(log_rows.withColumn("kind", F.col("page")), f"{logs}/all", fmt="json", partition_by=["kind"])
+    return _run_facts(increment.run_increment(spark, songs, logs, out, buckets=BUCKETS))
+
+
 # ---------------------------------------------------------------- reports
 
 def q_report_by_hour_stored(spark: SparkSession, sf: str) -> DataFrame:

@@ -86,7 +86,11 @@ class VersionedTables:
         use = entry["parts"] if buckets is None else {b: entry["parts"][b] for b in buckets if b in entry["parts"]}
         plain = [p for b, paths in use.items() if places or b not in entry["deletes"] for p in paths]
         holed = [] if places else [b for b in use if b in entry["deletes"]]
-        out = self._scan(schema, plain, places)
+        # Spark reads partition folders below one root at a time; ``compact`` makes one of many
+        groups = [[p] for p in plain] if entry["partition_by"] and plain else [plain]
+        out = self._scan(schema, groups[0], places)
+        for group in groups[1:]:
+            out = out.unionByName(self._scan(schema, group, places))
         if holed or (places and any(b in entry["deletes"] for b in use)):
             dead = self.spark.read.schema("_file string, _row bigint").parquet(
                 *[self._path(p) for b in (holed or use) for p in entry["deletes"].get(b, [])])
@@ -128,41 +132,16 @@ class VersionedTables:
 
     def upsert(self, name: str, batch: DataFrame, update_cols: list[str], order_by: list[str],
                check: Check | None = None) -> int:
-        """``sinks.dml.upsert`` of the batch. Buckets without a key of the batch are neither
-        read nor written. An empty batch publishes nothing."""
+        """:meth:`Stage.upsert` as a version of its own; the number of the version in force."""
         stage = self.stage()
-        entry = stage.entry(name)
-        key = self._key(entry, name)
-        kind = T.StructType.fromJson(json.loads(entry["schema"]))[key].dataType
-        batch = stored(batch.withColumn(key, F.col(f"`{key}`").cast(kind)), "upsert-batch")
-        touched = self._buckets_of(batch.filter(F.col(f"`{key}`").isNotNull()), entry)
-        known = batch.filter(F.col(f"`{key}`").isNotNull())
-        unknown = batch.filter(F.col(f"`{key}`").isNull())
-        if touched:
-            new = dml.upsert(self._rows(entry, touched), known, key, update_cols, order_by)
-            stage.rewrite(name, new, touched)
-        if not unknown.isEmpty():  # they never conflict, and go to their buckets as further folders
-            stage.append(name, unknown.select(*[F.col(f"`{c}`") for c in self._names(entry)]))
-        return stage.commit(check) if stage.changed else stage.base
+        stage.upsert(name, batch, update_cols, order_by)
+        return stage.commit(check)
 
     def delete(self, name: str, keys: DataFrame | object, check: Check | None = None) -> int:
-        """``DELETE WHERE key = k`` for one value, or for every value of a one-column
-        DataFrame. Stores one row per deleted row. Rows without a key stay; without a match
-        nothing is published."""
+        """:meth:`Stage.delete` as a version of its own."""
         stage = self.stage()
-        entry = stage.entry(name)
-        key = self._key(entry, name)
-        field = T.StructType.fromJson(json.loads(entry["schema"]))[key]
-        if not isinstance(keys, DataFrame):
-            keys = self.spark.range(1).select(F.lit(keys).cast(field.dataType).alias(key))
-        keys = keys.select(F.col(f"`{keys.columns[0]}`").cast(field.dataType).alias(key))
-        keys = stored(keys.filter(F.col(f"`{key}`").isNotNull()).distinct(), "deleted-keys")
-        touched = self._buckets_of(keys, entry)
-        if touched:
-            # at most one row of ``keys`` for a key, so matches are not repeated
-            hit = self._rows(entry, touched, places=True).join(keys, key, "left_semi")
-            stage.mark_deleted(name, hit.select(self._bucket(entry), "_file", "_row"))
-        return stage.commit(check) if stage.changed else stage.base
+        stage.delete(name, keys)
+        return stage.commit(check)
 
     def compact(self, name: str) -> int:
         """Writes the buckets that have deleted rows, or several folders, anew."""
@@ -171,7 +150,7 @@ class VersionedTables:
         touched = [b for b, paths in entry["parts"].items() if len(paths) > 1 or b in entry["deletes"]]
         if touched:
             stage.rewrite(name, self._rows(entry, touched), touched)
-        return stage.commit(None) if stage.changed else stage.base
+        return stage.commit()
 
     def vacuum(self, keep: int = 2, older_than_hours: float = 24.0) -> list[str]:
         """Removes the folders that none of the last ``keep`` versions names, and the older
@@ -189,27 +168,6 @@ class VersionedTables:
             data.remove(n)
         return gone
 
-    # ------------------------------------------------------------ buckets
-
-    @staticmethod
-    def _names(entry: dict) -> list[str]:
-        return T.StructType.fromJson(json.loads(entry["schema"])).names
-
-    @staticmethod
-    def _key(entry: dict, name: str) -> str:
-        if not entry["buckets"]:
-            raise ValueError(f"{name} was published without a key and buckets")
-        return entry["key"]
-
-    def _bucket(self, entry: dict) -> Column:
-        """Bucket of a row that has all columns of the table; of keys alone where not null."""
-        key = F.col(f"`{entry['key']}`")
-        return F.pmod(F.xxhash64(key), F.lit(entry["buckets"])).cast("int").alias(BUCKET)
-
-    def _buckets_of(self, keyed: DataFrame, entry: dict) -> list[str]:
-        """Buckets of the keys: at most as many rows as the table has buckets."""
-        return sorted(str(r[0]) for r in keyed.select(self._bucket(entry)).distinct().collect())
-
 
 class Stage:
     """A change that is not yet published."""
@@ -229,25 +187,21 @@ class Stage:
 
     def write(self, name: str, df: DataFrame, layout: Layout = Layout()) -> None:
         """All rows of a table."""
-        entry = {"schema": df.schema.json(), "key": layout.key, "buckets": layout.buckets, "parts": {}, "deletes": {}}
-        if layout.buckets:
-            entry["parts"] = self._write_buckets(name, df, entry)
-        else:
-            writer = df.write.partitionBy(*layout.partition_by) if layout.partition_by else df.write
-            writer.parquet(self.path(name))
-            entry["parts"] = {"": [f"{self.folder}/{name}"]}
-        self.manifest[name], self.changed = entry, True
+        self.manifest[name] = {"schema": df.schema.json(), "key": layout.key, "buckets": layout.buckets,
+                               "partition_by": list(layout.partition_by), "parts": {}, "deletes": {}}
+        self.manifest[name]["parts"] = self._write(name, df, self.manifest[name])
+        self.changed = True
 
     def adopt(self, name: str, schema: T.StructType) -> None:
         """A table that the caller has written to :meth:`path` itself."""
-        self.manifest[name] = {"schema": schema.json(), "key": None, "buckets": 0, "deletes": {},
+        self.manifest[name] = {"schema": schema.json(), "key": None, "buckets": 0, "partition_by": [], "deletes": {},
                                "parts": {"": [f"{self.folder}/{name}"]}}
         self.changed = True
 
     def rewrite(self, name: str, df: DataFrame, buckets: list[str]) -> None:
         """``df`` holds all rows of these buckets from now on."""
         entry = self.entry(name)
-        new = self._write_buckets(name, df, entry)
+        new = self._write(name, df, entry)
         for b in buckets:
             entry["parts"].pop(b, None)
             entry["deletes"].pop(b, None)
@@ -255,20 +209,78 @@ class Stage:
         self.changed = True
 
     def append(self, name: str, df: DataFrame) -> None:
+        """Further rows, in folders of their own."""
         entry = self.entry(name)
-        for b, paths in self._write_buckets(f"{name}-more", df, entry).items():
+        for b, paths in self._write(f"{name}-more", df.select(*[F.col(f"`{c}`") for c in self._names(name)]), entry).items():
             entry["parts"][b] = entry["parts"].get(b, []) + paths
         self.changed = True
 
-    def mark_deleted(self, name: str, places: DataFrame) -> None:
-        """``places``: (bucket, _file, _row)."""
-        entry = self.entry(name)
-        places.write.partitionBy(BUCKET).parquet(self.path(f"{name}-deletes"))
+    def upsert(self, name: str, batch: DataFrame, update_cols: list[str], order_by: list[str]) -> None:
+        """``sinks.dml.upsert`` of the batch. Buckets without a key of the batch are neither
+        read nor written; an empty batch changes nothing."""
+        entry, field = self.entry(name), self._key(name)
+        key = F.col(f"`{field.name}`")
+        batch = stored(batch.withColumn(field.name, key.cast(field.dataType)), "upsert-batch")
+        known, unknown = batch.filter(key.isNotNull()), batch.filter(key.isNull())
+        touched = self._buckets_of(name, known)
+        if touched:
+            self.rewrite(name, dml.upsert(self.store._rows(entry, touched), known, field.name, update_cols, order_by), touched)
+        if not unknown.isEmpty():  # they never conflict
+            self.append(name, unknown)
+
+    def insert_if_absent(self, name: str, batch: DataFrame, order_by: list[str]) -> None:
+        """Appends the rows whose keys the table lacks (``sinks.dml.new_rows_if_absent``);
+        only the buckets of the batch's keys are read."""
+        entry, field = self.entry(name), self._key(name)
+        batch = stored(batch.withColumn(field.name, F.col(f"`{field.name}`").cast(field.dataType)), "insert-batch")
+        touched = self._buckets_of(name, batch.filter(F.col(f"`{field.name}`").isNotNull()))
+        new = stored(dml.new_rows_if_absent(self.store._rows(entry, touched), batch, field.name, order_by), "insert-new")
+        if not new.isEmpty():
+            self.append(name, new)
+
+    def delete(self, name: str, keys: DataFrame | object) -> None:
+        """``DELETE WHERE key = k`` for one value, or for every value of a one-column
+        DataFrame. Stores one row per deleted row. Rows without a key stay; without a match
+        nothing changes."""
+        entry, field = self.entry(name), self._key(name)
+        if not isinstance(keys, DataFrame):
+            keys = self.store.spark.range(1).select(F.lit(keys).alias(field.name))
+        keys = keys.select(F.col(f"`{keys.columns[0]}`").cast(field.dataType).alias(field.name))
+        keys = stored(keys.filter(F.col(f"`{field.name}`").isNotNull()).distinct(), "deleted-keys")
+        touched = self._buckets_of(name, keys)
+        if not touched:
+            return
+        hit = self.store._rows(entry, touched, places=True).join(keys, field.name, "left_semi")
+        (hit.select(self._bucket(name).alias(BUCKET), "_file", "_row")
+         .write.partitionBy(BUCKET).parquet(self.path(f"{name}-deletes")))
         for b, paths in self._folders(f"{name}-deletes").items():
             entry["deletes"][b] = entry["deletes"].get(b, []) + paths
             self.changed = True
 
-    def _write_buckets(self, name: str, df: DataFrame, entry: dict) -> dict[str, list[str]]:
+    def _names(self, name: str) -> list[str]:
+        return T.StructType.fromJson(json.loads(self.entry(name)["schema"])).names
+
+    def _key(self, name: str) -> T.StructField:
+        entry = self.entry(name)
+        if not entry["buckets"]:
+            raise ValueError(f"{name} was published without a key and buckets")
+        return T.StructType.fromJson(json.loads(entry["schema"]))[entry["key"]]
+
+    def _bucket(self, name: str) -> Column:
+        """Bucket of a row that has a key."""
+        entry = self.entry(name)
+        return F.pmod(F.xxhash64(F.col(f"`{entry['key']}`")), F.lit(entry["buckets"])).cast("int")
+
+    def _buckets_of(self, name: str, keyed: DataFrame) -> list[str]:
+        """Buckets of the keys: at most as many rows as the table has buckets."""
+        return sorted(str(r[0]) for r in keyed.select(self._bucket(name)).distinct().collect())
+
+    def _write(self, name: str, df: DataFrame, entry: dict) -> dict[str, list[str]]:
+        """Bucket -> folders of the rows written to the stage."""
+        if not entry["buckets"]:
+            writer = df.write.partitionBy(*entry["partition_by"]) if entry["partition_by"] else df.write
+            writer.parquet(self.path(name))
+            return {"": [f"{self.folder}/{name}"]}
         n, key = entry["buckets"], F.col(f"`{entry['key']}`")
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])  # a missing key may be frequent
         bucket = F.pmod(F.when(key.isNull(), spread).otherwise(F.xxhash64(key)), F.lit(n)).cast("int")
@@ -285,7 +297,11 @@ class Stage:
         return self.store._frames(self.manifest)
 
     def commit(self, check: Check | None = None) -> int:
-        """Checks the tables where they lie, then publishes them; the version's number."""
+        """Checks the tables where they lie, then publishes them; the number of the version
+        in force. A stage without a change publishes nothing."""
+        if not self.changed:
+            self.discard()
+            return self.base
         try:
             if check is not None:
                 check(self.tables())

@@ -32,6 +32,12 @@ class Folder:
     def _at(self, name: str = ""):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
 
+    def exists(self, name: str = "") -> bool:
+        return self._fs.exists(self._at(name))
+
+    def is_folder(self, name: str) -> bool:
+        return self._fs.getFileStatus(self._at(name)).isDirectory()
+
     def names(self, name: str = "") -> list[str]:
         """Names in the folder, sorted; none where there is no such folder."""
         if not self._fs.exists(self._at(name)):

@@ -39,8 +39,7 @@ def store(spark, tmp_path):
 
 
 def buckets_of(spark, store, ids):
-    entry = store.manifest()["users"]
-    return set(store._buckets_of(spark.createDataFrame([(i,) for i in ids], "user_id int"), entry))
+    return set(store.stage()._buckets_of("users", spark.createDataFrame([(i,) for i in ids], "user_id int")))
 
 
 def test_upsert_rewrites_only_buckets_with_batch_keys(spark, store):
@@ -137,6 +136,7 @@ def test_two_writers_of_one_version(spark, store):
 
 def test_empty_table_and_unknown_names(spark, store):
     store.publish({"none": spark.createDataFrame([], USERS)}, {"none": Layout("user_id", 4)})
+    assert store.delete("none", 1) == store.compact("none") == 2
     assert store.read("none").collect() == [] and store.names() == ["none", "users"]
     assert store.delete("none", 1) == store.version()
     store.upsert("none", spark.createDataFrame([(1, "a", "b", 1)], USERS + ", seq int"), ["level"], ["seq"])
@@ -145,6 +145,21 @@ def test_empty_table_and_unknown_names(spark, store):
         store.upsert("other", spark.range(1), [], [])
 
 
+def test_appends_to_partition_folders_and_compaction(spark, tmp_path):
+    s = VersionedTables(spark, str(tmp_path / "t"))
+    parts = [spark.createDataFrame([(n, f"n{n}", f"l{n % 2}")], USERS) for n in range(3)]
+    s.publish({"u": parts[0]}, {"u": Layout(partition_by=("level",))})
+    for part in parts[1:]:
+        stage = s.stage()
+        stage.append("u", part)
+        stage.commit()
+    want = [(n, f"n{n}", f"l{n % 2}") for n in range(3)]
+    assert rows(s.read("u")) == want and len(s.manifest()["u"]["parts"][""]) == 3
+    s.compact("u")
+    assert rows(s.read("u")) == want and len(s.manifest()["u"]["parts"][""]) == 1
+    assert s.read("u").filter("level = 'l0'").count() == 2
+
+
 def test_vacuum_keeps_what_versions_name(spark, store):
     for n in range(3):
         store.delete("users", n)
