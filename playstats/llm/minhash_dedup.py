@@ -15,12 +15,13 @@ A document's set is its distinct word shingles, as 64-bit hashes.
    member that meets most others over all its buckets. They are confirmed on
    the full sets, and confirmed edges are contracted to components.
 5. *Rest*: a bucket whose members still lie in two or more components is open.
-   Members with too many shingles of their own to be similar to any member of any
-   bucket leave first (an exact bound); the others get further hubs (4, 16, 80,
-   ... at a time, members of small components first), each joined only to
-   members of other components behind it, until no bucket is open. So no pair
-   that shares a bucket and could change a component goes unconfirmed, while a
-   group of near copies costs one edge per member.
+   Its members meet once more by an exact prefix filter: a set's shingles are
+   ordered from the rarest to the most frequent one, and a similar pair must share
+   one among the first ``n - ceil(0.75 n) + 1`` of both, at places that leave enough
+   shingles behind them. Only pairs of different components are made, a frequent
+   shingle's holders are dealt to many tasks, and no place is given in a bucket. What
+   documents share with many others comes last in this order, so documents that
+   have a passage or a template in common without being similar do not meet.
 
 Nothing is collected to the driver but row counts. Every step is written to the
 shared folder, so lost executors recompute one step at most.
@@ -40,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playstats.llm.common import handed_on, id_text, stored, text_chunks, with_row
@@ -49,8 +50,8 @@ from playstats.llm.textops import gram_hashes, mix, words_of
 SHINGLE_WORDS = 5
 BANDS, ROWS = 64, 6
 SIMILAR_PERCENT = 75
-#: Hubs of an open bucket in the first round; each round takes HUB_GROWTH times those before.
-FIRST_HUBS, HUB_GROWTH = 4, 4
+#: Holders of a shingle that one task joins with the others.
+CELL = 4096
 
 
 @functools.cache
@@ -174,7 +175,11 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
                     shingle_words: int = SHINGLE_WORDS, percent: int = SIMILAR_PERCENT,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row."""
-    profiles, named = _components(documents, id_col, text_col, shingle_words, percent, bands, rows)
+    # names a text even where ids are null or repeated
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    key = F.unhex(F.md5(F.concat(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.lit(":"), text)))
+    keyed = documents.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"), key.alias("row"))
+    profiles, named = _components(keyed, "doc_id", "text", shingle_words, percent, bands, rows, "row")
     linked = profiles.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return linked.select("doc_id", "n_shingles", own.alias("component_id"),
@@ -200,16 +205,15 @@ def _least_row() -> Column:
 
 
 def _components(documents: DataFrame, id_col: str, text_col: str, shingle_words: int, percent: int, bands: int,
-                rows: int, row_key: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, digest, keys) of every row, with its ``row_key`` as ``row``
-    where one is named, and (digest, component, component_id) of every class."""
+                rows: int, row_key: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, digest, keys, row) of every row, ``row`` being its ``row_key``,
+    and (digest, component, component_id) of every class."""
     docs = id_text(documents, id_col, text_col, *handed_on(row_key))
-    # what finds a class's text again
-    name = "doc_id" if row_key is None else "row"
     profiles = stored(_profiles(docs, shingle_words, bands, rows), "minhash-profiles")
     classes = stored(
         profiles.filter("n_shingles > 0").groupBy("digest")
-        .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"),
+             F.min("row").alias("of"))
         .withColumn("node", F.monotonically_increasing_id()), "minhash-classes")
 
     buckets = classes.select("node", "n", F.explode("keys").alias("key"))
@@ -219,46 +223,24 @@ def _components(documents: DataFrame, id_col: str, text_col: str, shingle_words:
     members = stored(members.join(meets, "node").select("key", "node", "n", "meets"), "minhash-buckets")
 
     # full sets of the classes that meet another one: from one text of each class
-    one = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest")
-    texts = (profiles.select(name, "digest").join(one, "digest")
-             .groupBy("node", "digest").agg(F.min(name).alias("of")))
-    of = docs.join(texts, docs[name].eqNullSafe(texts["of"])).select("node", "digest", "text")
+    one = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", "of")
+    of = docs.join(one, docs["row"] == one["of"]).select("node", "digest", "text")
     sets = stored(_sets(of, shingle_words), "minhash-sets")
 
-    def alike(a: str, b: str):  # sizes that allow the similarity
-        return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
-
     hub = members.groupBy("key").agg(F.max(F.struct("meets", -F.col("node"), "n")).alias("h")).select(
         "key", (-F.col("h.col2")).alias("b"), F.col("h.n").alias("nb"))
-    pairs = (members.join(hub, "key").filter((F.col("node") != F.col("b")) & alike("n", "nb"))
+    pairs = (members.join(hub, "key").filter((F.col("node") != F.col("b")) & _alike("n", "nb", percent))
              .select(F.col("node").alias("a"), "b").distinct())
-    tried = stored(pairs, "minhash-pairs")
-    links = _confirmed(tried, sets, percent, "minhash-links")
+    links = _confirmed(stored(pairs, "minhash-pairs"), sets, percent, "minhash-links")
     labels = members.select("node").distinct().join(components(links, "minhash"), "node", "left").select(
         "node", F.coalesce("component", "node").alias("component"))
     labels = stored(labels, "minhash-labels")
-    rest = members.join(_hopeless(members, sets, percent), "node", "left_anti")
-    # place of each member in its bucket: members of small components come first as hubs
-    big = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    rest = stored(_open(rest, labels, 0).join(big, "component").withColumn("place", F.row_number().over(
-        Window.partitionBy("key").orderBy("size", "node"))), "minhash-open")
-    done = 0  # hubs of each open bucket so far
-    while not rest.isEmpty():
-        more = max(FIRST_HUBS, HUB_GROWTH * done)
-        hubs = rest.filter(F.col("place") <= done + more).select(
-            "key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("at"),
-            F.col("component").alias("cb"))
-        pairs = (rest.join(hubs, "key")
-                 .filter((F.col("place") > F.col("at")) & (F.col("component") != F.col("cb")) & alike("n", "nb"))
-                 .select(F.col("node").alias("a"), "b").distinct())
-        seen = tried.unionAll(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "minhash-pairs")
-        tried = tried.unionAll(pairs)
-        done += more
+    rest = stored(_open(members, labels), "minhash-open")
+    if not rest.isEmpty():
+        pairs = stored(_prefix_pairs(rest, sets, percent), "minhash-pairs")
         found = _confirmed(pairs, sets, percent, "minhash-links")
         if not found.isEmpty():
             labels = _joined(labels, found)
-        rest = stored(_open(rest.drop("component"), labels, done), "minhash-open")
 
     # a component's id is the smallest document id in it
     named = classes.select("node", "digest", "first_id").join(labels, "node", "left").withColumn(
@@ -277,22 +259,50 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
                   "minhash-labels")
 
 
-def _hopeless(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Nodes that cannot be similar to any other node of the rows: too many of
-    their shingles are in no other one. (A link shares ``percent`` of a set.)"""
-    nodes = rows.select("node", "n").distinct()
-    each = sets.join(nodes, "node").select("node", "n", F.explode("shingles").alias("shingle"))
-    alone = (each.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"),
-                                         F.min("n").alias("n")).filter("holders = 1"))
-    return (alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"), F.min("n").alias("n"))
-            .filter(100 * (F.col("n") - F.col("own")) < percent * F.col("n")).select("node"))
+def _alike(a: str, b: str, percent: int) -> Column:
+    """Sizes that allow the similarity."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _open(members: DataFrame, labels: DataFrame, done: int) -> DataFrame:
-    """Members, behind the first ``done`` places, of buckets in which those lie in
-    several components; with their component."""
-    rows = members.filter(F.col("place") > done) if done else members
-    rows = rows.join(labels, "node")
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, n, component) of the members of buckets that lie in several components."""
+    rows = members.select("key", "node", "n").join(labels, "node")
     mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
         "lo <> hi").select("key")
-    return rows.join(mixed, "key", "left_semi")
+    return rows.join(mixed, "key", "left_semi").select("node", "n", "component").distinct()
+
+
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int, cell: int = CELL) -> DataFrame:
+    """Distinct pairs (a, b) of nodes (node, n, component) of different components,
+    among them every one that has the similarity."""
+    each = sets.join(nodes, "node").select("node", "n", "component", F.explode("shingles").alias("shingle"))
+    held = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    # places in the order of rarity; shingles that no other node has come first and need not be kept
+    shared = each.join(held, "shingle").groupBy("node", "n", "component").agg(
+        F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("shared"))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    prefix = stored(shared.withColumn("first", F.col("n") - F.size("shared"))
+                    .withColumn("shared", F.slice("shared", F.lit(1), F.greatest(F.lit(0), length - F.col("first")).cast("int")))
+                    .select("node", "n", "component", "first", F.posexplode("shared").alias("i", "t"))
+                    .select("node", "n", "component", (F.col("first") + F.col("i")).alias("at"), F.col("t.shingle").alias("shingle")),
+                    "minhash-prefixes")
+    # of a shingle's components the one with most holders meets only the others, not itself
+    share = prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("k"))
+    facts = (share.groupBy("shingle").agg(F.sum("k").alias("holders"), F.count(F.lit(1)).alias("parts"),
+                                          F.max(F.struct("k", "component")).alias("most"))
+             .filter("parts > 1").select("shingle", F.col("most.component").alias("major"),
+                                         F.ceil(F.col("holders") / cell).cast("int").alias("cells")))
+    known = stored(prefix.join(facts, "shingle"), "minhash-meeting")
+    # a frequent shingle's holders lie in cells; the others come to each of them
+    one = known.filter(F.col("component") != F.col("major")).select(
+        "shingle", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), F.col("node").alias("a"), F.col("n").alias("na"),
+        F.col("at").alias("pa"), F.col("component").alias("ca"))
+    two = known.select("shingle", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int").alias("cell"), F.col("node").alias("b"),
+                       F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("component").alias("cb"), "major")
+    # two that are both outside the major component meet once
+    once = (F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))
+    # from the first shingle in common on, the rest of both must hold the whole intersection
+    behind = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    return (one.join(two, ["shingle", "cell"])
+            .filter((F.col("ca") != F.col("cb")) & once & _alike("na", "nb", percent) & behind)
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())

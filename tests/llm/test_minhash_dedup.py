@@ -68,6 +68,56 @@ def test_ids_null_repeated_and_extra_columns(spark):
                            (None, 0, None, True)], key=str)
 
 
+@pytest.mark.parametrize("own", [4, 9, 14])
+def test_templates_that_are_not_similar_do_not_meet(spark, own):
+    """Hundreds of documents of one template, each with ``own`` words of its own at two
+    places: with few they are near copies, with more they share buckets but no link."""
+    rng = random.Random(own)
+    base = sentence(rng, 90, 10**6).split()
+    texts = [" ".join(base[:30] + [f"o{k}-{i}" for i in range(own)] + base[30:60] + [f"p{k}-{i}" for i in range(own)] + base[60:])
+             for k in range(300)]
+    sets = {i: shingles(t) for i, t in enumerate(texts)}
+    got = {r.doc_id: r.component_id for r in m.near_duplicates(docs(spark, texts)).collect()}
+    assert got == brute_components(sets)
+    nodes = spark.createDataFrame([(i, len(v), i) for i, v in sets.items()], "node bigint, n bigint, component bigint")
+    whole = spark.createDataFrame([(i, [hash(x) for x in v]) for i, v in sets.items()], "node bigint, shingles array<bigint>")
+    pairs = m._prefix_pairs(nodes, whole, 75, cell=16)
+    n, k = len(sets[0]), len(sets[0] & sets[1])
+    if 100 * k < 75 * (2 * n - k):  # no candidate among 44,850 pairs
+        assert pairs.count() == 0
+    else:
+        assert pairs.count() == 300 * 299 // 2
+
+
+def test_prefix_pairs_hold_every_similar_pair(spark):
+    rng = random.Random(2)
+    sets = {}
+    for node in range(240):  # some near an earlier one, many with frequent members
+        near = set(rng.choice(list(sets.values()))) if sets and rng.random() < 0.6 else set()
+        for x in rng.sample(sorted(near), min(len(near), rng.choice([0, 1, 3]))):
+            near.remove(x)
+        sets[node] = near | {rng.randrange(60) for _ in range(rng.choice([1, 2, 8]))} | {rng.randrange(10**9) for _ in range(rng.choice([0, 2]))}
+    component = {k: rng.randrange(40) for k in sets}
+    want = {(a, b) for a in sets for b in sets if a < b and component[a] != component[b]
+            and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    nodes = spark.createDataFrame([(k, len(v), component[k]) for k, v in sets.items()], "node bigint, n bigint, component bigint")
+    whole = spark.createDataFrame([(k, list(v)) for k, v in sets.items()], "node bigint, shingles array<bigint>")
+    got = [tuple(sorted(r)) for r in m._prefix_pairs(nodes, whole, 75, cell=8).collect()]
+    assert len(got) == len(set(got)) and want <= set(got) and len(want) > 100
+    assert all(component[a] != component[b] for a, b in got)
+
+
+def test_rows_of_one_id_are_read_once_for_their_sets(spark, monkeypatch):
+    rng = random.Random(4)
+    base = sentence(rng, 100)
+    rows = [(None, f"{base} tail {k}") for k in range(200)]
+    seen = []
+    real = m._sets
+    monkeypatch.setattr(m, "_sets", lambda d, size: (seen.append(d.count()), real(d, size))[1])
+    out = m.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert seen == [200] and len(out) == 200
+
+
 def test_empty_table(spark):
     out = m.near_duplicates(docs(spark, []))
     assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"] and out.count() == 0
