@@ -14,11 +14,13 @@ they may differ, so a text holding one is given to the library whole.
 from __future__ import annotations
 
 import functools
+import json
 import re
 import struct
 import unicodedata
 
 import regex
+import tiktoken
 from tokenizers import Tokenizer
 
 #: The split pattern of byte-level BPE (fixed value; equals ``public_tokenizers.PATTERN``).
@@ -117,6 +119,22 @@ class ByteBpe:
         return self.library.encode(text, add_special_tokens=False).ids
 
 
+def rank_encoder(bpe: ByteBpe) -> tiktoken.Encoding | None:
+    """The vocabulary for ``tiktoken``, which encodes a single pre-token in half the
+    time. It merges the pair with the smallest id first, so it fits where the ids are in
+    the order of the merges (single bytes, then one id for each merge); None elsewhere."""
+    model = json.loads(bpe.library.to_str())["model"]
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    vocab = model["vocab"]
+    if len(vocab) < 256 + len(pairs) or any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
+        return None
+    back = {s: bytes([b]) for b, s in byte_symbols().items()}
+    ranks = {b"".join(back[c] for c in token): i for token, i in vocab.items() if i < 256 + len(pairs)}
+    if len(ranks) != 256 + len(pairs):
+        return None
+    return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def id_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     return struct.pack(f"<{len(ids)}I", *ids)

@@ -1,7 +1,8 @@
 """Token ids as ORC files.
 
-Texts are range-partitioned by document id and sorted, encoded inside the
-tasks, and written by Spark's ORC writer: ids are ``array<int>`` columns with
+Texts are range-partitioned by document id (an id that many rows share is split by
+text, equal rows by their number) and sorted, encoded inside the tasks, and
+written by Spark's ORC writer: ids are ``array<int>`` columns with
 integer run-length encoding, row indexes every ``ROW_INDEX_STRIDE`` rows and a
 Bloom filter on ``doc_id``. A file holds a range of ids, so a reader prunes
 files, stripes and row groups by the column statistics, and reads stripes in
@@ -12,7 +13,8 @@ plus the lengths of the files before; only one length per file is summed across
 files.
 
 Edge cases: a null or empty text becomes just the end id; rows of a repeated id
-stay separate rows, ordered by text; null ids come first; an empty table writes
+stay separate rows, in the order of a hash of the text, and may lie in several
+files; null ids come first; an empty table writes
 no rows and reads back empty; other columns are ignored.
 """
 
@@ -27,12 +29,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playstats.llm.common import id_text, text_chunks
-from playstats.llm.pretokens import PieceCache, byte_bpe, id_bytes
+from playstats.llm.pretokens import PieceCache, byte_bpe, id_bytes, rank_encoder
 
 ROW_INDEX_STRIDE = 10_000
 STRIPE_BYTES = 64 << 20
 BLOOM_FPP = 0.01
 
+#: Entries of one generation of a worker's cache; two of them take about 150 MB.
+CACHE_ENTRIES = 400_000
+
 FILE_SCHEMA = "doc_id bigint, file_no int, file_start bigint, n_tokens int, ids array<int>"
 
 _CACHES: dict[str, PieceCache] = {}
@@ -41,7 +46,15 @@ _CACHES: dict[str, PieceCache] = {}
 def _ids_cache(vocabulary: str) -> PieceCache:
     """pre-token -> its ids as little-endian 32-bit bytes; one per worker."""
     if vocabulary not in _CACHES:
-        _CACHES[vocabulary] = PieceCache(byte_bpe(vocabulary).piece_bytes)
+        bpe = byte_bpe(vocabulary)
+        ranks = rank_encoder(bpe)
+
+        def work(piece: str) -> bytes:
+            if ranks is None or piece in bpe.special:
+                return bpe.piece_bytes(piece)
+            return id_bytes(ranks.encode_ordinary(piece))
+
+        _CACHES[vocabulary] = PieceCache(work, limit=CACHE_ENTRIES)
     return _CACHES[vocabulary]
 
 
@@ -72,8 +85,10 @@ def write_token_orc(documents: DataFrame, path: str, vocabulary: str, end_id: in
                 names=["doc_id", "file_no", "file_start", "n_tokens", "ids"])
             at += int(offsets[-1])
 
-    (docs.repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
-     .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # rows of one id may be a third of the table; the row number parts rows that are equal
+    order = [F.col("doc_id").asc_nulls_first(), F.col("_hash"), F.col("_row")]
+    (docs.withColumn("_hash", F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id())
+     .repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("_hash", "_row")
      .withColumn("file_no", F.spark_partition_id())
      .mapInArrow(encode, FILE_SCHEMA)
      .write.option("compression", "zstd")

@@ -154,3 +154,31 @@ def test_orc_edge_rows(spark):
     empty = shared_path(spark, "test-orc")
     token_orc.write_token_orc(docs(spark, []), empty, BYTE)
     assert token_orc.token_digest(spark, empty).count() == 0
+
+
+def test_orc_hot_id_lies_in_several_files(spark):
+    rng = random.Random(9)
+    rows = [(5, f"text {rng.random()}") for _ in range(600)] + [(None, "same")] * 600 + [(k, f"t {k}") for k in range(10, 610)]
+    path = shared_path(spark, "test-orc")
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    token_orc.write_token_orc(df, path, BYTE)
+    back = token_orc.read_token_orc(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in back] == [None] * 600 + [5] * 600 + list(range(10, 610))
+    at = 0
+    for r in back:
+        assert r.start == at
+        at += r.n_tokens
+    sizes = sorted(r["count"] for r in spark.read.schema(token_orc.FILE_SCHEMA).orc(path).groupBy("file_no").count().collect())
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert sorted(bytes(np.asarray(r.ids, "<u4")) for r in back) == sorted(
+        bytes(np.asarray([*pretokens.byte_bpe(BYTE).library_ids(t), 0], "<u4")) for _, t in rows)
+
+
+def test_ranks_give_the_pieces_of_the_library():
+    bpe = pretokens.byte_bpe(BYTE)
+    ranks = pretokens.rank_encoder(bpe)
+    rng = random.Random(1)
+    pieces = ["".join(rng.choice("abcdeinorst éßñ\u4e16\n \t1!\u00a0") for _ in range(rng.randrange(1, 14))) for _ in range(3000)]
+    pieces = {p for text in pieces for p in bpe.pieces(text)} | {" ", "   ", "\n\n", "x" * 5000, "\U0001f600" * 40}
+    for p in pieces:
+        assert ranks.encode_ordinary(p) == bpe.piece_ids(p), p
