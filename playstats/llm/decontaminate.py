@@ -80,24 +80,37 @@ def window_hits(documents: DataFrame, windows: DataFrame, id_col: str = "doc_id"
         of_size = windows.filter(F.col("size") == size).select(
             F.xxhash64(*[F.get(F.split("window", " "), F.lit(k)) for k in range(size)]).alias("h"),
             "window", "item_ids")
-        if (facts["bytes"] or 0) <= broadcast_bytes:
-            of_size = F.broadcast(of_size)
-        # outer: else the planner repeats the split in a filter of its own
         places = F.when(F.size("words") >= size, F.sequence(F.lit(0), F.size("words") - size))
-        found = (words.select("doc_id", "text_hash", "words", F.explode_outer(places).alias("at"))
-                 .withColumn("h", _window_hash(F.col("words"), F.col("at"), size))
-                 .join(of_size, "h")
-                 .filter(_window_text(F.col("words"), F.col("at"), size) == F.col("window"))
+        if (facts["bytes"] or 0) <= broadcast_bytes:
+            # outer: else the planner repeats the split in a filter of its own
+            near = (words.select("doc_id", "text_hash", "words", F.explode_outer(places).alias("at"))
+                    .withColumn("h", _window_hash(F.col("words"), F.col("at"), size))
+                    .join(F.broadcast(of_size), "h"))
+        else:
+            near = _shuffled_probe(words, of_size, places, size)
+        found = (near.filter(_window_text(F.col("words"), F.col("at"), size) == F.col("window"))
                  .select("doc_id", "text_hash", "at", F.lit(size).alias("size"), "item_ids"))
         hits = found if hits is None else hits.unionAll(found)
     return hits
 
 
+def _shuffled_probe(words: DataFrame, of_size: DataFrame, places: Column, size: int) -> DataFrame:
+    """Places whose hash is a window's, with the words to verify them by. Only hashes and
+    places are shuffled to the windows; a document's words move once, to its candidates."""
+    hashes = F.transform(places, lambda at: _window_hash(F.col("words"), at, size))
+    probe = words.select("doc_id", "text_hash", F.posexplode_outer(hashes).alias("at", "h"))
+    few = (probe.join(of_size, "h").groupBy("doc_id", "text_hash")
+           .agg(F.collect_set(F.struct("at", "window", "item_ids")).alias("found"))
+           .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found"))
+    same = words["doc_id"].eqNullSafe(few["_id"]) & (words["text_hash"] == few["_hash"])
+    return words.join(few, same).select("doc_id", "text_hash", "words", F.inline("found"))
+
+
 def contamination(documents: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text") -> DataFrame:
-    """For every row: (doc_id, n_words, n_hit, item_ids sorted, spans, contaminated).
-    ``spans``: merged word ranges [start, stop) that are hit."""
+    """For every row: (doc_id, n_words, n_hit, item_ids sorted, spans, contaminated,
+    text_hash). ``spans``: merged word ranges [start, stop) that are hit."""
     windows = stored(benchmark_windows(benchmark, n, item_col, item_text_col), "benchmark-windows")
     hits = window_hits(documents, windows, id_col, text_col)
     # one document's hits are bounded by its words
@@ -109,7 +122,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = NGRAM, id
                             F.size(item_words(text)).cast("bigint").alias("n_words"))
     same = base["doc_id"].eqNullSafe(found["doc_id"]) & (base["text_hash"] == found["text_hash"])
     joined = base.join(found, same, "left").select(
-        base["doc_id"], "n_words",
+        base["doc_id"], "n_words", base["text_hash"],
         F.coalesce(F.col("_hits"), F.array().cast("array<struct<at:int,size:int>>")).alias("_hits"),
         F.coalesce(F.array_sort(F.array_distinct(F.flatten("_items"))),
                    F.array().cast("array<string>")).alias("item_ids"))
@@ -127,7 +140,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = NGRAM, id
     spans = F.aggregate("_hits", none, grow)
     covered = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
     return (joined.withColumn("spans", spans).withColumn("n_hit", covered)
-            .select("doc_id", "n_words", "n_hit", "item_ids", "spans", (F.col("n_hit") > 0).alias("contaminated")))
+            .select("doc_id", "n_words", "n_hit", "item_ids", "spans", (F.col("n_hit") > 0).alias("contaminated"), "text_hash"))
 
 
 def contamination_digest(report: DataFrame) -> DataFrame:
@@ -139,12 +152,16 @@ def contamination_digest(report: DataFrame) -> DataFrame:
 def remove_spans(documents: DataFrame, report: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """The documents without the words (and what follows each up to the next word)
-    in the report's spans; ids must be unique. Other rows are unchanged."""
-    dirty = report.filter("contaminated").select(F.col("doc_id").alias("_of"), F.col("spans").alias("_spans"))
+    in the report's spans. A span is found by id and text, so ids may be null or
+    repeated. Other rows are unchanged."""
     text = F.col(f"`{text_col}`")
+    # equal rows have equal spans
+    dirty = report.filter("contaminated").groupBy("doc_id", "text_hash").agg(F.first("spans").alias("_spans")).select(
+        F.col("doc_id").alias("_of"), F.col("text_hash").alias("_hash"), "_spans")
     lead = F.regexp_extract(text, f"^[{BREAKS_CASED}]*", 0)
     pieces = F.regexp_extract_all(text, F.lit(f"[^{BREAKS_CASED}]+[{BREAKS_CASED}]*"), F.lit(0))
     clean = F.filter(pieces, lambda p, k: ~F.exists("_spans", lambda s: (k >= s["start"]) & (k < s["stop"])))
-    out = documents.join(dirty, F.col(f"`{id_col}`") == F.col("_of"), "left").withColumn(
-        text_col, F.when(F.col("_spans").isNotNull(), F.concat(lead, F.array_join(clean, ""))).otherwise(text))
-    return out.select(*[F.col(f"`{c}`") for c in documents.columns])
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_of")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_hash"))
+    cut = F.when(F.col("_spans").isNotNull(), F.concat(lead, F.array_join(clean, ""))).otherwise(text)
+    return documents.join(dirty, same, "left").select(
+        *[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in documents.columns])

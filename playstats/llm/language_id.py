@@ -12,10 +12,15 @@ their proportion as long as each gains more log likelihood than
 ``PENALTY * log(words) + SHARE_COST * words``. ``lang_pred`` is the language with
 the largest proportion and ``score`` that proportion.
 
+``fit`` tells a text in one of the languages from one in none of them: the log
+likelihood per gram of the chosen mixture, placed between what the model gives
+random grams (0) and what it gives the language's own learning texts (1). Below
+:data:`LEAST_FIT` a text is nearer to noise than to any learned language.
+
 Grams are taken from lower-cased letters and marks, all other characters being
 word breaks. Neither lang, source nor doc_id enter a prediction.
 
-Edge cases: null, empty or letterless text: ``und`` with score 0.0. Rows without
+Edge cases: null, empty or letterless text: ``und`` with score and fit 0.0. Rows without
 lang are not learned from. Without any learning row every prediction is
 ``und``. Repeated rows and ids are handled row by row. An empty table gives an
 empty result; other columns are ignored.
@@ -42,6 +47,9 @@ SMOOTH = 0.5
 PENALTY, SHARE_COST = 2.0, 0.1
 ROUNDS, CLOSE = 30, 1e-4
 UNKNOWN = "und"
+LEAST_FIT = 0.5
+#: Distinct values of ``lang``: what is learned takes 512 * 32,768 * 8 bytes at most.
+MOST_LANGUAGES = 512
 _PLACES = mix(np.arange(1, ORDERS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -88,22 +96,24 @@ class Model:
         self.languages = languages
         totals = counts.sum(axis=0, keepdims=True)
         self.log = np.log((counts + SMOOTH) / (totals + SMOOTH * BUCKETS)).astype(np.float32)
+        # mean log likelihood of a gram drawn at random, and of one of the learning texts
+        self.noise = self.log.mean(axis=0, dtype=np.float64)
+        self.own = (counts * self.log).sum(axis=0) / np.maximum(totals[0], 1)
 
-    def word_likelihoods(self, text: str) -> np.ndarray | None:
-        found = grams(text)
-        if found is None:
-            return None
+    def word_likelihoods(self, found: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """One row for each word, one column for each language."""
         buckets, words = found
         each = self.log[buckets[:, 0]]
         for k in range(1, ORDERS):
             each = each + self.log[buckets[:, k]]
         return np.add.reduceat(each, words, axis=0, dtype=np.float64)
 
-    def predict(self, text: str) -> tuple[str, float, list[tuple[str, float]]]:
-        """(language, its proportion, all chosen languages with proportions)."""
-        logs = self.word_likelihoods(text) if self.languages else None
-        if logs is None:
-            return UNKNOWN, 0.0, []
+    def predict(self, text: str) -> tuple[str, float, list[tuple[str, float]], float]:
+        """(language, its proportion, all chosen languages with proportions, fit)."""
+        found = grams(text) if self.languages else None
+        if found is None:
+            return UNKNOWN, 0.0, [], 0.0
+        logs = self.word_likelihoods(found)
         shares, _ = mixture(logs)
         order = np.argsort(-shares, kind="stable")
         first = int(np.argmax(logs.sum(axis=0)))
@@ -120,7 +130,9 @@ class Model:
             chosen, best, shares = trial, gained, new
         ranked = sorted(zip(shares.tolist(), chosen), key=lambda x: (-x[0], x[1]))
         out = [(self.languages[k], s) for s, k in ranked]
-        return out[0][0], min(1.0, out[0][1]), out
+        noise, own = (sum(s * table[k] for s, k in ranked) for table in (self.noise, self.own))
+        fit = (best / found[0].size - noise) / max(own - noise, 1e-9)
+        return out[0][0], min(1.0, out[0][1]), out, float(fit)
 
 
 def mixture(logs: np.ndarray) -> tuple[np.ndarray, float]:
@@ -139,10 +151,14 @@ def mixture(logs: np.ndarray) -> tuple[np.ndarray, float]:
     return shares, float((np.log(like @ shares) + top[:, 0]).sum())
 
 
-def learn(documents: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A model of every language in ``lang_col``, from all rows given."""
+def learn(documents: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = MOST_LANGUAGES) -> Model:
+    """A model of every language in ``lang_col``, from all rows given. More than
+    ``most`` distinct values are an error: a model has ``BUCKETS`` numbers for each, and
+    a column with so many holds something else than languages."""
     rows = documents.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")).filter(
         "text is not null and lang is not null")
+    if len(found := rows.select("lang").distinct().limit(most + 1).collect()) > most:
+        raise ValueError(f"more than {most} languages, such as {sorted(r.lang for r in found)[:5]}")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, np.ndarray] = {}
@@ -169,7 +185,7 @@ def learn(documents: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
 def predict(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
             row_col: str | None = None) -> DataFrame:
-    """(doc_id, lang_pred, score, mixture) of every row; ``mixture``: the chosen
+    """(doc_id, lang_pred, score, mixture, fit) of every row; ``mixture``: the chosen
     languages with their proportions, the largest first. ``row_col``: a column
     that is handed on as ``row``."""
     docs = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
@@ -178,25 +194,25 @@ def predict(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches):
-            got = [shared.value.predict(t) for t in texts]
+            got = [shared.value.predict(t) for t in texts]  # (language, proportion, mixture, fit)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").cast(pa.int64()), pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64()),
                  pa.array([[{"lang": a, "share": b} for a, b in g[2]] for g in got],
                           pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))),
-                 *part.columns[2:]],
-                names=["doc_id", "lang_pred", "score", "mixture", *part.schema.names[2:]])
+                 pa.array([g[3] for g in got], pa.float64()), *part.columns[2:]],
+                names=["doc_id", "lang_pred", "score", "mixture", "fit", *part.schema.names[2:]])
 
     return docs.mapInArrow(run, with_row(
-        "doc_id bigint, lang_pred string, score double, mixture array<struct<lang:string,share:double>>", docs))
+        "doc_id bigint, lang_pred string, score double, mixture array<struct<lang:string,share:double>>, fit double", docs))
 
 
 def held_out_predictions(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          lang_col: str = "lang", row_col: str | None = None) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score): learned from the rows whose id's crc32
+    """(doc_id, held_out, lang_pred, score, fit): learned from the rows whose id's crc32
     modulo 4 is not 2, predicted for all rows; ``held_out``: the remainder is 2.
     ``row_col``: a column that is handed on as ``row``."""
     model = learn(documents.filter(remainder(id_col, 4) != 2), text_col, lang_col)
     return predict(documents, model, id_col, text_col, row_col).select(
-        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score",
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "fit",
         *([] if row_col is None else ["row"]))

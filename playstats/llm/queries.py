@@ -9,7 +9,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from playstats.llm import (
     bpe_codec,
     decontaminate,
@@ -118,6 +117,8 @@ def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline  # lies beside the package, which can be used without it
+
     return corpus_pipeline.run(spark, sf)
 
 

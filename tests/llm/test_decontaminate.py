@@ -78,6 +78,24 @@ def test_spans_are_removed(spark):
             assert cut[i]["text"] == text
 
 
+def test_spans_of_null_and_repeated_ids_are_removed(spark):
+    items = [(1, "one two three"), (2, "four five six")]
+    texts = ["A one two three b", "A one two three b", "c Four, five six", "clean", "x one two three y", None, "one two three " * 3000 + "z"]
+    df = docs(spark, texts, [5, 5, 5, 5, None, None, None])
+    clean = d.remove_spans(df, d.contamination(df, bench(spark, items)))
+    assert sorted((str(r.doc_id), str(r.text)) for r in clean.collect()) == sorted(
+        [("5", "A b"), ("5", "A b"), ("5", "c "), ("5", "clean"), ("None", "x y"), ("None", "None"), ("None", "z")])
+
+
+def test_no_words_are_shuffled_with_every_place(spark):
+    items = bench(spark, [(1, " ".join(f"w{k}" for k in range(14)))])
+    df = docs(spark, ["a " * 20 + " ".join(f"w{k}" for k in range(14)), "b c"])
+    plan = d.window_hits(df, d.benchmark_windows(items), broadcast_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
+    probe = plan[plan.index("inline"):]
+    lines = [x for x in probe.splitlines() if "posexplode" in x or "explode" in x]
+    assert lines and all("words" not in x.split("[")[-1] for x in lines)     # what leaves the probe: place and hash
+
+
 def test_repeated_null_ids_and_empty_tables(spark):
     items = [(1, "one two three")]
     df = docs(spark, ["one two three", "zzz", "one two three", "x one two three", None], [5, 5, 5, None, None])

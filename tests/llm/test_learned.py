@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from playstats.llm import language_id, lm_score, quality
 from tests.llm.helpers import docs, rows_by_id
@@ -174,3 +175,66 @@ def test_quality_sample_holds_an_id_once(spark):
     every = quality.learn(df.unionByName(hot), labels, per_class=200)
     assert np.array_equal(once[0], often[0]) and once[1] == often[1]
     assert np.array_equal(every[0], quality.learn(df, labels, per_class=200)[0])
+
+
+def test_fit_parts_languages_from_noise(spark):
+    rng = random.Random(21)
+    df = lang_table(spark)
+    model = language_id.learn(df)
+    good = [r.fit for r in language_id.predict(lang_table(spark, 150, seed=2), model).collect()]
+    assert min(good) > language_id.LEAST_FIT
+    noise = ["".join(rng.choice("qwjxzvpfhkyäöüñ") for _ in range(rng.randint(4, 9))) for _ in range(400)]
+    texts = [" ".join(noise[k:k + 8]) for k in range(0, 400, 8)] + ["日本語 の テキスト です", "Привет мир как дела"]
+    bad = [r.fit for r in language_id.predict(docs(spark, texts), model).collect()]
+    assert max(bad) < language_id.LEAST_FIT
+    empty = language_id.predict(docs(spark, ["", None, "12 ..."]), model).collect()
+    assert [r.fit for r in empty] == [0.0] * 3
+    long = language_id.predict(docs(spark, [words("xa", 60_000, rng)]), model).first()
+    assert long.lang_pred == "xa" and long.fit > 0.8
+
+
+def test_predictions_equal_a_plain_mixture(spark):
+    """Against plain Python: counts, expectation-maximisation, and the best language set by
+    trying all of them on a table with two languages."""
+    df = lang_table(spark, 40).filter("lang <> 'zc'")
+    model = language_id.learn(df)
+    counts = {lang: Counter() for lang in model.languages}
+    for r in df.collect():
+        counts[r.lang].update(language_id.grams(r.text)[0].ravel().tolist())
+    total = {lang: sum(c.values()) for lang, c in counts.items()}
+
+    def log(lang, bucket):
+        return math.log((counts[lang][bucket] + 0.5) / (total[lang] + 0.5 * language_id.BUCKETS))
+
+    rng = random.Random(31)
+    texts = [words("xa", 6, rng) + " " + words("yb", k, rng) for k in (0, 1, 4, 20)]
+    got = rows_by_id(language_id.predict(docs(spark, texts), model))
+    for i, text in enumerate(texts):
+        buckets, first = language_id.grams(text)
+        edges = [*first.tolist(), len(buckets)]
+        like = [[sum(log(lang, b) for b in buckets[s:e].ravel().tolist()) for lang in model.languages]
+                for s, e in zip(edges, edges[1:])]
+        share, best = [0.5, 0.5], None
+        for _ in range(200):
+            parts = []
+            for row in like:
+                top = max(row)
+                w = [p * math.exp(x - top) for p, x in zip(share, row)]
+                parts.append([x / sum(w) for x in w])
+            share = [sum(p[k] for p in parts) / len(parts) for k in (0, 1)]
+        both = sum(max(r) + math.log(sum(p * math.exp(x - max(r)) for p, x in zip(share, r))) for r in like)
+        single = [sum(r[k] for r in like) for k in (0, 1)]
+        cost = language_id.PENALTY * math.log(len(like) + 1) + language_id.SHARE_COST * len(like)
+        if both - max(single) > cost:
+            best = max((0, 1), key=lambda k: share[k])
+            assert abs(got[i]["score"] - share[best]) < 0.02
+        else:
+            best = max((0, 1), key=lambda k: single[k])
+            assert got[i]["score"] == 1.0
+        assert got[i]["lang_pred"] == model.languages[best]
+
+
+def test_a_column_of_no_languages_is_refused(spark):
+    df = spark.createDataFrame([(i, "some words", f"x{i}") for i in range(30)], "doc_id bigint, text string, lang string")
+    with pytest.raises(ValueError):
+        language_id.learn(df, most=20)

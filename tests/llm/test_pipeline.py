@@ -78,3 +78,25 @@ def test_verdicts_stay_on_their_row(spark, tmp_path):
         near = [good, good + " more"]
         got = left("near_dedup", [(i, good), (i, near[1]), (i, good), (i, texts[3]), (i, texts[3] + " more"), (i, other)])
         assert len(got) == 2 and other in got and set(got) & set(near)
+
+
+def test_clashing_names_survivors_and_long_texts(spark, tmp_path):
+    rng = random.Random(14)
+    item = sentence(rng, 15)
+    texts = [sentence(rng, 40) for _ in range(60)] + [" ".join(w + "***" for w in sentence(rng, 30).split()) for _ in range(20)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    sf = _folder(spark, tmp_path, rows, [(i, int(i < 60), 0) for i in range(80)], [(1, item)])
+    long = sentence(rng, 30_000)
+    more = [(100, texts[5] + " b", "en", "b", 1), (100, texts[5] + " b", None, "a", 1), (101, long, "en", "s", None),
+            (102, long + " tail", "en", "s", 7), (103, sentence(rng, 20_000) + " " + item, "en", "s", 7)]
+    docs = spark.createDataFrame([r for r in rows if r[0] != 5] + more, SCHEMA)
+    docs = docs.selectExpr("*", "doc_id as _key", "'x' as row", "1 as digest", "2 as node", "3 as key", "map(1, 2) as _one")
+    out = {}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        got = stage(spark, docs, sf)
+        assert got.columns == docs.columns
+        out[name] = got.filter("doc_id >= 100").collect()
+        assert all(r._key == r.doc_id and r.row == "x" and r._one == {1: 2} for r in out[name])
+    assert sorted(r.doc_id for r in out["language"]) == [100, 100, 101, 102, 103]
+    assert sorted((r.doc_id, r.source) for r in out["near_dedup"]) == [(100, "b"), (101, "s"), (103, "s")]  # "en" comes before null
+    assert sorted(r.doc_id for r in out["decontamination"]) == [100, 100, 101, 102]
