@@ -45,6 +45,14 @@ def hot_keys(big: DataFrame, keys: Sequence[str], rows_per_bucket: int = ROWS_PE
             .select(*keys, F.ceil(F.col("_n") / F.lit(float(rows_per_bucket))).cast("long").alias("_buckets")))
 
 
+def planner_broadcasts(small: DataFrame) -> bool:
+    """Is the frame's size, as the planner estimates it, below its broadcast threshold? A
+    broadcast join moves no row of the other side, so it needs no care for hot keys."""
+    query = small._jdf.queryExecution()
+    limit = query.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(query.optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool):
     cond = None
     for lcol, rcol in pairs:

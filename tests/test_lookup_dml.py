@@ -97,9 +97,22 @@ def test_rows_without_key_all_survive(spark):
         assert rows == [(None, "A", "B", "F", "x"), (None, "C", "D", "M", "y")]
 
 
+def _stored_users(spark, users, layout):
+    """A catalog table of users, bucketed by id, partitioned by gender, or plain."""
+    from playstats.plans import catalog
+    from playstats.scratch import scratch_path
+    from playstats.sinks import writers
+
+    name, path = catalog.fresh_table_name(f"users_{layout}"), scratch_path(spark, f"users-{layout}")
+    if layout == "bucketed":
+        return writers.save_bucketed_table(users, name, "user_id", 8, path)
+    writer = users.write.format("parquet").option("path", path)
+    (writer.partitionBy("gender") if layout == "partitioned" else writer).saveAsTable(name)
+    return name
+
+
 @pytest.mark.parametrize("layout", ["plain", "partitioned", "bucketed"])
 def test_replace_contents_keeps_the_layout(spark, layout):
-    from playstats.plans.registry import _stored_users
 
     users = _users(spark, [(i, f"n{i}", None, "FM"[i % 2], "free") for i in range(40)])
     name = _stored_users(spark, users, layout)
