@@ -11,9 +11,12 @@ model's are all rows. A document's score is the mean over its tokens of
   parameter of the model, not of the data: ``words + 256`` tokens.
 * Counts: per task one dense table of token pairs, whose non-zero cells are
   summed by a Spark aggregate over all tasks. So counting covers every token.
-* Whole vocabulary (``words=None``): every word is a token of its own. Counts and
-  losses are Spark tables that grow with the corpus; a text's losses are looked up
-  by a join on its distinct (context, word) pairs. Nothing but totals is collected.
+* Whole vocabulary (``words=None``, as registered): every word is a token of its own,
+  known by a 64-bit hash. Counts and losses are Spark tables that grow with the
+  corpus; a text's losses are looked up by a join on its distinct (context, word)
+  pairs. Nothing but totals is collected. The background is matched to the target in
+  size: its PRIOR is larger by the ratio of their tokens, so that both models are
+  smoothed as if they had been counted over equally many.
 * Smoothing: p(w | c) = (n(c, w) + PRIOR * p(w)) / (n(c) + PRIOR), with
   p(w) = (n(w) + 1) / (N + tokens). A document's first token follows a start mark.
 * Scoring: the two tables of log probabilities (at most 8 bytes * tokens^2 each,
@@ -36,11 +39,12 @@ from pyspark.sql import functions as F
 
 from playstats.llm import fingerprints
 from playstats.llm.common import id_text, stored, text_chunks
-from playstats.llm.textops import span_hash, word_spans
-from playstats.operators.joins import skew_safe_join
+from playstats.llm.textops import span_hash, word_spans, words_of
 
 WORDS = 1280
 PRIOR = 50.0
+#: The context of a text's first word.
+START = 0
 
 
 class Vocabulary:
@@ -154,43 +158,66 @@ def cross_entropy_difference(documents: DataFrame, target_ids: DataFrame, id_col
         run, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double")
 
 
+def _with_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, row, c, w, n): each row's distinct (context, word) pairs and how often they
+    occur; words as 64-bit hashes, :data:`START` before the first one."""
+    for part, texts in text_chunks(batches):
+        hashes, first = words_of(texts)
+        word = hashes.view(np.int64)
+        context = np.concatenate([[START], word[:-1]]) if len(word) else word
+        context[first[:-1][first[:-1] < len(word)]] = START
+        owner = np.repeat(np.arange(len(texts)), np.diff(first))
+        order = np.lexsort((word, context, owner))
+        owner, context, word = owner[order], context[order], word[order]
+        new = np.ones(len(word), bool)
+        new[1:] = (np.diff(owner) != 0) | (context[1:] != context[:-1]) | (word[1:] != word[:-1])
+        at = np.flatnonzero(new)
+        offsets = pa.array(np.searchsorted(owner[at], np.arange(len(texts) + 1)).astype(np.int32))
+        times = np.diff(np.append(at, len(word))).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (context[at], word[at], times)]
+        yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("row"), *lists],
+                                         names=["doc_id", "row", "c", "w", "n"])
+
+
 def _whole_vocabulary(documents: DataFrame, target_ids: DataFrame, id_col: str, text_col: str,
                       prior: float) -> DataFrame:
-    """:func:`cross_entropy_difference` with every word of the documents as a token."""
-    docs = id_text(documents, id_col, text_col).withColumn("key", F.unhex(F.md5("text")))
+    """:func:`cross_entropy_difference` with every word of the documents as a token.
+
+    The texts are read once; from then on only pairs of hashes move. The background model
+    is matched to the target in size: its counts weigh as if it had as many tokens."""
+    docs = id_text(documents, id_col, text_col)
+    # numbered where the rows are first written, so that every later step has the same numbers
+    rows = stored(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+                  .mapInArrow(_with_pairs, "doc_id bigint, row bigint, c array<bigint>, w array<bigint>, n array<int>"), "lm-rows")
     wanted = target_ids.select(F.col(f"`{id_col}`").alias("doc_id")).filter("doc_id is not null").distinct()
-    # equal texts are split and scored once, with the number of their rows in each model
-    rows = docs.groupBy("key", "doc_id").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    flagged = rows.join(wanted.withColumn("target", F.lit(True)).hint("merge"), "doc_id", "left")
-    texts = flagged.groupBy("key").agg(
-        F.first("text").alias("text"), F.sum("copies").alias("background"),
-        F.sum(F.when(F.col("target"), F.col("copies")).otherwise(0)).alias("target"))
-    ws = F.col("ws")
-    pairs = F.transform(ws, lambda w, i: F.struct(  # the empty string is the start mark
-        F.when(i == 0, "").otherwise(F.get(ws, i - 1)).alias("c"), w.alias("w")))
-    pairs = stored(texts.select("key", "background", "target", fingerprints.words(F.col("text")).alias("ws"))
-                   .select("key", "background", "target", F.explode(pairs).alias("p"))
-                   .groupBy("key", "background", "target", "p.c", "p.w").agg(F.count(F.lit(1)).alias("n")), "lm-pairs")
+    chosen = stored(rows.select("doc_id", "row").join(wanted, "doc_id", "left_semi").select("row"), "lm-target")
+
+    def pairs(of: DataFrame) -> DataFrame:
+        return of.select("row", F.inline(F.arrays_zip("c", "w", "n")))
+
+    def counted(of: DataFrame, name: str) -> DataFrame:
+        return of.groupBy("c", "w").agg(F.sum("n").alias(name))
+
+    in_target = pairs(rows.join(chosen, "row", "left_semi"))
+    cells = stored(counted(pairs(rows), "background").join(counted(in_target, "target"), ["c", "w"], "left")
+                   .fillna(0, ["target"]), "lm-cells")
     models = ("target", "background")
-    cells = stored(pairs.groupBy("c", "w").agg(*[F.sum(F.col("n") * F.col(m)).alias(m) for m in models]), "lm-cells")
     single = stored(cells.groupBy("w").agg(*[F.sum(m).alias(f"single_{m}") for m in models]), "lm-words")
     context = cells.groupBy("c").agg(*[F.sum(m).alias(f"context_{m}") for m in models])
     facts = single.agg(F.count(F.lit(1)).alias("words"), *[F.sum(f"single_{m}").alias(m) for m in models]).first()
-    size = facts["words"] + 256
+    size, total = facts["words"] + 256, {m: facts[m] or 0 for m in models}
+    weight = {"target": prior, "background": prior * total["background"] / total["target"] if total["target"] else prior}
 
     def loss(m: str) -> Column:
-        word = prior * ((F.col(f"single_{m}") + 1.0) / float((facts[m] or 0) + size))
-        return -F.log((F.col(m) + word) / (F.col(f"context_{m}") + prior))
+        word = weight[m] * ((F.col(f"single_{m}") + 1.0) / float(total[m] + size))
+        return -F.log((F.col(m) + word) / (F.col(f"context_{m}") + weight[m]))
 
-    cells = skew_safe_join(skew_safe_join(cells, single, ["w"], "inner"), context, ["c"], "inner")
-    losses = cells.select("c", "w", *[loss(m).alias(f"loss_{m}") for m in models])
-    each = skew_safe_join(pairs.select("key", "c", "w", "n"), losses, ["c", "w"], "inner").groupBy("key").agg(
+    losses = cells.join(single, "w").join(context, "c").select("c", "w", *[loss(m).alias(f"loss_{m}") for m in models])
+    each = pairs(rows).join(stored(losses, "lm-losses"), ["c", "w"]).groupBy("row").agg(
         F.sum("n").alias("n_tokens"), *[(F.sum(F.col("n") * F.col(f"loss_{m}")) / F.sum("n")).alias(f"ce_{m}")
                                         for m in models])
-    # rows with one id and text are one row of copies in the join
-    counted = docs.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
-    out = skew_safe_join(counted, each, ["key"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    out = rows.select("doc_id", "row").join(each, "row", "left")
     return out.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens"),
+        "doc_id", F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens"),
         *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("ce_target", "ce_background")],
         F.coalesce(F.col("ce_target") - F.col("ce_background"), F.lit(0.0)).alias("score"))

@@ -64,28 +64,27 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-# 1280 vocabulary words, then the last byte; Dirichlet prior 50 on add-one unigrams
+# every word is a token; Dirichlet prior 50 on add-one unigrams, scaled to the model's size
 _OP9 = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-t AS (SELECT doc_id, i, ws[i] AS word FROM w, unnest(range(1, len(ws) + 1)) AS u(i)),
-vocab AS (SELECT word FROM t GROUP BY word ORDER BY count(*) DESC, word LIMIT 1280),
-tok AS (SELECT t.doc_id, i, CASE WHEN v.word IS NULL THEN '#' || right(hex(encode(t.word)), 2) ELSE '=' || t.word END AS a
-        FROM t LEFT JOIN vocab v ON v.word = t.word),
-seq AS (SELECT doc_id, i, a, coalesce(lag(a) OVER (PARTITION BY doc_id ORDER BY i), '<s>') AS c FROM tok),
+seq AS (SELECT doc_id, i, ws[i] AS a, CASE WHEN i = 1 THEN '' ELSE ws[i - 1] END AS c
+        FROM w, unnest(range(1, len(ws) + 1)) AS u(i)),
 good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
 m AS (SELECT 'background' AS m, c, a FROM seq UNION ALL SELECT 'target', c, a FROM seq SEMI JOIN good USING (doc_id)),
-size AS (SELECT 256 + count(*) AS z FROM vocab),
+size AS (SELECT 256 + count(DISTINCT a) AS z FROM seq),
 total AS (SELECT k.m, count(m.a) AS n FROM (VALUES ('background'), ('target')) k(m) LEFT JOIN m ON m.m = k.m GROUP BY 1),
+prior AS (SELECT x.m, 50.0::DOUBLE * CASE WHEN x.m = 'background' AND y.n > 0 THEN x.n::DOUBLE / y.n ELSE 1 END AS d
+          FROM total x, total y WHERE y.m = 'target'),
 uni AS (SELECT m, a, count(*) AS n FROM m GROUP BY 1, 2),
 ctx AS (SELECT m, c, count(*) AS n FROM m GROUP BY 1, 2),
 bi AS (SELECT m, c, a, count(*) AS n FROM m GROUP BY 1, 2, 3),
 cell AS (SELECT DISTINCT c, a FROM seq),
 p AS (SELECT total.m, cell.c, cell.a,
-        -ln((coalesce(bi.n, 0) + 50.0::DOUBLE * ((coalesce(uni.n, 0) + 1.0::DOUBLE) / (total.n + z)))
-            / (coalesce(ctx.n, 0) + 50.0::DOUBLE)) AS loss
-      FROM cell CROSS JOIN total CROSS JOIN size
+        -ln((coalesce(bi.n, 0) + d * ((coalesce(uni.n, 0) + 1.0::DOUBLE) / (total.n + z)))
+            / (coalesce(ctx.n, 0) + d)) AS loss
+      FROM cell CROSS JOIN total JOIN prior ON prior.m = total.m CROSS JOIN size
       LEFT JOIN bi ON bi.m = total.m AND bi.c = cell.c AND bi.a = cell.a
       LEFT JOIN uni ON uni.m = total.m AND uni.a = cell.a LEFT JOIN ctx ON ctx.m = total.m AND ctx.c = cell.c),
 each AS (SELECT doc_id, count(*) AS n, avg(x.loss) AS ct, avg(y.loss) AS cb

@@ -92,7 +92,7 @@ def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
 def op9_lm_score(spark: SparkSession, sf: str) -> DataFrame:
     """Target: the documents labelled good (labels.quality = 1)."""
     good = table(spark, sf, "labels").filter("quality = 1")
-    out = lm_score.cross_entropy_difference(table(spark, sf, "documents"), good)
+    out = lm_score.cross_entropy_difference(table(spark, sf, "documents"), good, words=None)
     return out.withColumns({c: F.round(c, 6) for c in ("ce_target", "ce_background", "score")})
 
 

@@ -104,14 +104,14 @@ def test_quality_edges(spark):
     assert quality.quality_scores(docs(spark, []), labels).count() == 0
 
 
-def brute_scores(texts, target, n_words, prior):
+def brute_scores(texts, target, n_words, prior, matched=False):
     low = ["".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").split() for t in texts]
     counts = Counter(w for ws in low for w in ws)
     vocab = {w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0].encode()))[:n_words]}
     toks = [[w if w in vocab else w.encode()[-1:] for w in ws] for ws in low]
     size = len(vocab) + 256
 
-    def model(rows):
+    def model(rows, prior=prior):
         pair, single, ctx = Counter(), Counter(), Counter()
         for ts in rows:
             for c, w in zip([None, *ts], ts):
@@ -121,7 +121,9 @@ def brute_scores(texts, target, n_words, prior):
         total = sum(single.values())
         return lambda c, w: -math.log((pair[c, w] + prior * (single[w] + 1) / (total + size)) / (ctx[c] + prior))
 
-    a, b = model([t for t, flag in zip(toks, target) if flag]), model(toks)
+    inside = [t for t, flag in zip(toks, target) if flag]
+    ratio = sum(map(len, toks)) / sum(map(len, inside)) if matched else 1.0
+    a, b = model(inside), model(toks, prior * ratio)
     out = []
     for ts in toks:
         ce = [sum(m(c, w) for c, w in zip([None, *ts], ts)) / max(1, len(ts)) for m in (a, b)]
@@ -157,7 +159,7 @@ def test_lm_whole_vocabulary_equals_brute_force(spark):
     target = [i % 3 == 0 for i in range(len(texts))]
     ids = spark.createDataFrame([(i,) for i, f in enumerate(target) if f] + [(None,), (0,), (0,)], "doc_id bigint")
     got = rows_by_id(lm_score.cross_entropy_difference(docs(spark, texts), ids, words=None, prior=5.0))
-    for i, want in enumerate(brute_scores(texts, target, 10 ** 9, 5.0)):
+    for i, want in enumerate(brute_scores(texts, target, 10 ** 9, 5.0, matched=True)):
         assert np.allclose([got[i][c] for c in ("n_tokens", "ce_target", "ce_background", "score")], want, atol=1e-9)
     # words with equal last bytes keep their identity, which a capped vocabulary takes from them
     assert got[45]["score"] != got[46]["score"] and got[45]["score"] == got[47]["score"]
