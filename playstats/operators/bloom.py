@@ -30,8 +30,9 @@ def _comparable(column: Column, mine: T.DataType, other: T.DataType) -> Column:
     return column if mine == other else column.cast("string")
 
 
-def _bits(keys: Sequence[Column], n_bits: int) -> list[Column]:
-    first, step = (F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(n_bits)) for seed in (17, 71))
+def _bits(keys: Sequence[Column], n_bits: int | Column) -> list[Column]:
+    n_bits = F.lit(n_bits) if isinstance(n_bits, int) else n_bits
+    first, step = (F.pmod(F.xxhash64(F.lit(seed), *keys), n_bits) for seed in (17, 71))
     return [(first + step * i) % n_bits for i in range(HASHES)]
 
 
@@ -76,3 +77,28 @@ class BloomFilter:
         for bit in _bits(own, self.n_bits):
             cond = cond & (F.getbit(F.element_at(words, (F.floor(bit / 64) + 1).cast("int")), (bit % 64).cast("int")) == 1)
         return cond
+
+
+# ------------------------------------------------------------ one filter for each group of a table
+
+def filter_words(keys: DataFrame, group: str) -> DataFrame:
+    """(group, n_words, i, w): for each group of rows (key, group) the words of a filter of
+    its keys that are not zero. NULL keys are in no filter."""
+    keys = keys.filter(F.col("key").isNotNull())
+    sizes = keys.groupBy(group).agg(F.ceil(F.count(F.lit(1)) * BITS_PER_KEY / 64).alias("n_words"))
+    bits = keys.join(sizes, group).select(group, "n_words", F.explode(F.array(*_bits([F.col("key")], F.col("n_words") * 64))).alias("bit"))
+    return bits.groupBy(group, "n_words", F.floor(F.col("bit") / 64).alias("i")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("w"))
+
+
+def probable(keys: DataFrame, words: DataFrame, group: str) -> DataFrame:
+    """The distinct (key, group) of ``keys`` that the group's filter lets pass. Only the words
+    that a key asks for meet it, by a join."""
+    keys = keys.filter(F.col("key").isNotNull()).select("key", group).distinct()
+    sizes = words.select(group, "n_words").distinct()  # a row for each group
+    asked = keys.join(sizes, group).select("key", group, F.explode(F.array_distinct(F.array(
+        *_bits([F.col("key")], F.col("n_words") * 64)))).alias("bit"), F.lit(1).alias("_one"))
+    asked = asked.withColumn("i", F.floor(F.col("bit") / 64))
+    held = asked.join(words.select(group, "i", "w"), [group, "i"], "left").withColumn(
+        "_set", F.getbit(F.coalesce("w", F.lit(0).cast("long")), (F.col("bit") % 64).cast("int")))
+    return held.groupBy("key", group).agg(F.min("_set").alias("_all")).filter("_all = 1").select("key", group)

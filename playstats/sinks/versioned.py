@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playstats.operators.bloom import filter_words
 from playstats.scratch import stored
 from playstats.sinks import dml
 from playstats.storage import CommitLog, Folder
@@ -41,12 +42,14 @@ Check = Callable[[dict[str, DataFrame]], None]
 
 @dataclass(frozen=True)
 class Layout:
-    """``key`` and ``buckets``: the table can be changed by key. ``partition_by``: plain
-    partition folders instead."""
+    """``key`` and ``buckets``: the table can be changed by key. ``filters``: each bucket also
+    stores a filter of its keys, by which a batch is checked (``sinks.constraints``).
+    ``partition_by``: plain partition folders instead."""
 
     key: str | None = None
     buckets: int = 0
     partition_by: tuple[str, ...] = ()
+    filters: bool = False
 
 
 class VersionedTables:
@@ -159,7 +162,7 @@ class VersionedTables:
         numbers = self.log.numbers()
         kept = [self.log.get(n) for n in numbers[-keep:]]
         used = {p.split("/")[1] for c in kept for e in c["tables"].values()
-                for d in (e["parts"], e["deletes"]) for paths in d.values() for p in paths}
+                for d in (e["parts"], e["deletes"], e["filters"] or {}) for paths in d.values() for p in paths}
         data = Folder(self.spark, f"{self.root}/data")
         gone = [n for n in data.names() if n not in used and data.age_seconds(n) >= older_than_hours * 3600]
         for number in numbers[:-keep]:  # first, so that no commit names a folder that is gone
@@ -188,14 +191,16 @@ class Stage:
     def write(self, name: str, df: DataFrame, layout: Layout = Layout()) -> None:
         """All rows of a table."""
         self.manifest[name] = {"schema": df.schema.json(), "key": layout.key, "buckets": layout.buckets,
-                               "partition_by": list(layout.partition_by), "parts": {}, "deletes": {}}
+                               "partition_by": list(layout.partition_by), "parts": {}, "deletes": {},
+                               "filters": {} if layout.filters and layout.buckets else None}
         self.manifest[name]["parts"] = self._write(name, df, self.manifest[name])
+        self._write_filters(name, name, [])
         self.changed = True
 
     def adopt(self, name: str, schema: T.StructType) -> None:
         """A table that the caller has written to :meth:`path` itself."""
         self.manifest[name] = {"schema": schema.json(), "key": None, "buckets": 0, "partition_by": [], "deletes": {},
-                               "parts": {"": [f"{self.folder}/{name}"]}}
+                               "filters": None, "parts": {"": [f"{self.folder}/{name}"]}}
         self.changed = True
 
     def rewrite(self, name: str, df: DataFrame, buckets: list[str]) -> None:
@@ -206,6 +211,7 @@ class Stage:
             entry["parts"].pop(b, None)
             entry["deletes"].pop(b, None)
         entry["parts"] |= new
+        self._write_filters(name, name, buckets)
         self.changed = True
 
     def append(self, name: str, df: DataFrame) -> None:
@@ -213,6 +219,7 @@ class Stage:
         entry = self.entry(name)
         for b, paths in self._write(f"{name}-more", df.select(*[F.col(f"`{c}`") for c in self._names(name)]), entry).items():
             entry["parts"][b] = entry["parts"].get(b, []) + paths
+        self._write_filters(name, f"{name}-more", [])
         self.changed = True
 
     def upsert(self, name: str, batch: DataFrame, update_cols: list[str], order_by: list[str]) -> None:
@@ -288,6 +295,21 @@ class Stage:
          .sortWithinPartitions(BUCKET, key).write.partitionBy(BUCKET).parquet(self.path(name)))
         return self._folders(name)
 
+    def _write_filters(self, name: str, written: str, replaced: list[str]) -> None:
+        """The key filters of the folders just written; those of replaced buckets go."""
+        entry = self.entry(name)
+        if entry["filters"] is None:
+            return
+        for b in replaced:
+            entry["filters"].pop(b, None)
+        if self._folders(written):
+            key = self._key(name)
+            keys = self.store.spark.read.schema(T.StructType([key, T.StructField(BUCKET, T.IntegerType())])).parquet(self.path(written))
+            filter_words(keys.select(F.col(f"`{key.name}`").alias("key"), BUCKET), BUCKET).write.partitionBy(BUCKET).parquet(
+                self.path(f"{written}-keys"))
+            for b, paths in self._folders(f"{written}-keys").items():
+                entry["filters"][b] = entry["filters"].get(b, []) + paths
+
     def _folders(self, name: str) -> dict[str, list[str]]:
         found = Folder(self.store.spark, self.path(name)).names()
         return {n.split("=")[1]: [f"{self.folder}/{name}/{n}"] for n in found if n.startswith(f"{BUCKET}=")}
