@@ -292,6 +292,8 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'rows', 'artists', count(*) FROM ({ARTISTS})
         UNION ALL SELECT 'rows', 'songs', count(*) FROM part"""),
     "etl_increment": _RUN_FACTS,
+    "count_stored": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}"
+                                       for n in ("customer", "events", "part")),
 
     # reports
     "report_by_hour_stored": f"""

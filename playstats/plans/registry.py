@@ -433,6 +433,11 @@ def q_count_total(spark: SparkSession, sf: str) -> DataFrame:
     return reports.total_plays(an.plain_plays(DriverTables(spark, sf).events))
 
 
+def q_count_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts of stored tables without reading a column."""
+    return tables.stored_counts(spark, {n: f"{sf}/{n}.parquet" for n in ("customer", "events", "part")})
+
+
 def q_topk_users(spark: SparkSession, sf: str) -> DataFrame:
     t = DriverTables(spark, sf)
     return reports.top_k_users(an.plain_plays(t.events), an.users_of(t.customer), TOP_K)

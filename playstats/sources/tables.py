@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scan_table(spark: SparkSession, name_or_path: str) -> DataFrame:
@@ -14,3 +15,22 @@ def scan_table(spark: SparkSession, name_or_path: str) -> DataFrame:
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables (``<sf_dir>/<name>.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def stored_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(table_name, n_rows) of Parquet tables, from the footers of their files alone: the
+    aggregate is pushed into the scan, which reads no column.
+
+    The session's own settings stay as they are; the scan runs in a sister session with
+    the Parquet reader that takes aggregates."""
+    sister = spark.newSession()
+    v1 = [s for s in sister.conf.get("spark.sql.sources.useV1SourceList").split(",") if s.strip() != "parquet"]
+    sister.conf.set("spark.sql.sources.useV1SourceList", ",".join(v1))
+    sister.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    out = None
+    for name, path in paths.items():
+        # a table without a file has no footer to add up: NULL instead of 0
+        rows = sister.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
+        one = rows.select(F.lit(name).alias("table_name"), F.coalesce("n", F.lit(0).cast("long")).alias("n_rows"))
+        out = one if out is None else out.unionAll(one)
+    return out

@@ -40,3 +40,18 @@ def test_percent_of_total_has_no_window_and_no_single_task(spark):
     assert "SinglePartition" not in outer
     assert abs(sum(r.songplays_percent for r in out.collect()) - 100) < 1e-9
     assert reports.plays_by_location(plays.limit(0)).collect() == []
+
+
+def test_stored_counts_read_no_column(spark, tmp_path):
+    from playstats.sources.tables import stored_counts
+
+    paths = {}
+    for n in (0, 5, 1000):
+        paths[f"t{n}"] = str(tmp_path / f"t{n}")
+        spark.range(n).withColumn("v", F.lit("x")).repartition(3).write.parquet(paths[f"t{n}"])
+    spark.range(10).withColumn("p", F.col("id") % 3).write.partitionBy("p").parquet(str(tmp_path / "parts"))
+    out = stored_counts(spark, paths | {"parts": str(tmp_path / "parts")})
+    assert {r.table_name: r.n_rows for r in out.collect()} == {"t0": 0, "t5": 5, "t1000": 1000, "parts": 10}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 4
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
