@@ -59,7 +59,4 @@ def scale_conf(input_bytes: int, total_cores: int, split_bytes: int = 1 << 30,
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
-        # reliable checkpoints (numbered plays, song scan) are removed from the
-        # shared checkpoint folder once their DataFrames are garbage-collected
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
