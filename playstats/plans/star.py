@@ -263,7 +263,8 @@ def point_views(spark: SparkSession, out_dir: str, database: str) -> None:
         for name, entry in store.manifest(number).items():
             kept.add(_version_name(name, entry["parts"][""][0].rsplit("/", 1)[0]))
     for name, entry in store.manifest().items():
-        current = {t.name: t.tableType for t in spark.catalog.listTables(database, f"{name}*")}
+        # a session's temporary views are listed with every database
+        current = {t.name: t.tableType for t in spark.catalog.listTables(database, f"{name}*") if not t.isTemporary}
         if name in current and current[name] != "VIEW":  # an empty table of ``catalog.reset_warehouse``
             spark.sql(f"DROP TABLE {database}.{name}")
         version = _version_name(name, entry["parts"][""][0].rsplit("/", 1)[0])

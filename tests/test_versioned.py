@@ -230,6 +230,7 @@ def test_views_follow_the_published_version(spark, song_tree, log_tree, tmp_path
 
     db, out = catalog.fresh_table_name("views"), str(tmp_path / "out")
     catalog.reset_warehouse(spark, db, str(tmp_path / "wh"))             # five empty tables are in the way
+    spark.range(1).createOrReplaceTempView("songs")                       # and so is a view of the session
     star.run_pipeline(spark, song_tree, log_tree, out, database=db)
     monkeypatch.setattr(star, "point_views", lambda *a: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):  # dies between commit and views
@@ -241,3 +242,4 @@ def test_views_follow_the_published_version(spark, song_tree, log_tree, tmp_path
     for n in store.names():
         assert rows(spark.table(f"{db}.{n}")) == rows(store.read(n))
         assert store.manifest()[n]["parts"][""][0].split("/")[1] in spark.table(f"{db}.{n}").inputFiles()[0]
+    spark.catalog.dropTempView("songs")
