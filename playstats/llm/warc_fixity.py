@@ -2,9 +2,11 @@
 
 *Archive*: pages become WARC/1.0 resource records, written by Spark's text
 writer as gzip files, one folder ``file_no=k`` per file, in id order. Two CRLF
-end a record as the format asks, so any WARC reader can read the files; they
-are read back by Spark with the record start as line separator. A payload that
-could be mistaken for a record start is stored in base64, and says so.
+end a record as the format asks; they are read back by Spark with the record start
+as line separator. The files are meant for this reader: records have no
+``WARC-Date``, which the standard requires, a null id leaves the record id empty,
+and a payload that could be mistaken for a record start is stored in base64 under
+a header of its own.
 
 *Tree*: a leaf is the SHA-256 of a record; a range node hashes the leaves of
 ``RANGE_BYTES`` of ordered offsets in a file; a file node hashes its ranges;
@@ -17,6 +19,10 @@ level, joining only children of nodes that differ, down to the differing
 ranges; the records of those are compared by id and give each damaged,
 missing or extra record with its place.
 
+Ranges are cut by offset, so a record that is lost, added or changes its length
+moves all ranges behind it in its file: the audit then compares that file's records
+from there on.
+
 Edge cases: null url: no target header; null payload: an empty one with the
 header ``X-Payload: null``; null ids are written as an empty id and read back
 as null. Equal records or ids are told apart by their number in the file. Two
