@@ -12,9 +12,9 @@ model's are all rows. A document's score is the mean over its tokens of
 * Counts: per task one dense table of token pairs, whose non-zero cells are
   summed by a Spark aggregate over all tasks. So counting covers every token.
 * Whole vocabulary (``words=None``, as registered): every word is a token of its own,
-  known by a 64-bit hash. Counts and losses are Spark tables that grow with the
-  corpus; a text's losses are looked up by a join on its distinct (context, word)
-  pairs. Nothing but totals is collected. The background is matched to the target in
+  known by a 64-bit hash. The counts are Spark tables that grow with the corpus: chunks
+  of texts send their distinct words and pairs to be summed and get the sums back.
+  Nothing but totals is collected. The background is matched to the target in
   size: its PRIOR is larger by the ratio of their tokens, so that both models are
   smoothed as if they had been counted over equally many.
 * Smoothing: p(w | c) = (n(c, w) + PRIOR * p(w)) / (n(c) + PRIOR), with
@@ -34,7 +34,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playstats.llm import fingerprints
@@ -45,6 +47,10 @@ WORDS = 1280
 PRIOR = 50.0
 #: The context of a text's first word.
 START = 0
+#: Bytes of text in a chunk, whose distinct words and pairs are counted together (whole vocabulary).
+CHUNK = 4 << 20
+#: Bytes of text whose words and pairs meet in one bucket of hashes, on average.
+BUCKET = 16 << 20
 
 
 class Vocabulary:
@@ -123,12 +129,14 @@ def log_table(vocab: Vocabulary, cells: np.ndarray, counts: np.ndarray, prior: f
 
 
 def cross_entropy_difference(documents: DataFrame, target_ids: DataFrame, id_col: str = "doc_id",
-                             text_col: str = "text", words: int | None = WORDS, prior: float = PRIOR) -> DataFrame:
+                             text_col: str = "text", words: int | None = WORDS, prior: float = PRIOR,
+                             chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, n_tokens, ce_target, ce_background, score) of every row, in nats a
     token; ``target_ids``: a table whose ``id_col`` names the target documents;
-    ``words``: size of the vocabulary, None for all words."""
+    ``words``: size of the vocabulary, None for all words; ``chunk``, ``bucket``: bytes of
+    text counted together and met in one group, without effect on the result."""
     if words is None:
-        return _whole_vocabulary(documents, target_ids, id_col, text_col, prior)
+        return _whole_vocabulary(documents, target_ids, id_col, text_col, prior, chunk, bucket)
     docs = id_text(documents, id_col, text_col)
     vocab = vocabulary(docs, words)
     wanted = target_ids.select(F.col(f"`{id_col}`").alias("doc_id")).filter("doc_id is not null").distinct()
@@ -158,66 +166,169 @@ def cross_entropy_difference(documents: DataFrame, target_ids: DataFrame, id_col
         run, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double")
 
 
-def _with_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, row, c, w, n): each row's distinct (context, word) pairs and how often they
-    occur; words as 64-bit hashes, :data:`START` before the first one."""
-    for part, texts in text_chunks(batches):
-        hashes, first = words_of(texts)
-        word = hashes.view(np.int64)
-        context = np.concatenate([[START], word[:-1]]) if len(word) else word
-        context[first[:-1][first[:-1] < len(word)]] = START
-        owner = np.repeat(np.arange(len(texts)), np.diff(first))
-        order = np.lexsort((word, context, owner))
-        owner, context, word = owner[order], context[order], word[order]
-        new = np.ones(len(word), bool)
-        new[1:] = (np.diff(owner) != 0) | (context[1:] != context[:-1]) | (word[1:] != word[:-1])
-        at = np.flatnonzero(new)
-        offsets = pa.array(np.searchsorted(owner[at], np.arange(len(texts) + 1)).astype(np.int32))
-        times = np.diff(np.append(at, len(word))).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (context[at], word[at], times)]
-        yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("row"), *lists],
-                                         names=["doc_id", "row", "c", "w", "n"])
+def _pair_keys(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each (context, word), evenly spread over the whole range."""
+    with np.errstate(over="ignore"):
+        key = context * np.uint64(0x9E3779B97F4A7C15) + (word ^ (word >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        key = (key ^ (key >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return key ^ (key >> np.uint64(32))
+
+
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, context, first token of each text): words as hashes, :data:`START`
+    as the context of a text's first word."""
+    word, first = words_of(texts)
+    context = np.concatenate([np.array([START], np.uint64), word[:-1]]) if len(word) else word
+    context[first[:-1][first[:-1] < len(word)]] = START
+    return word, context, first
+
+
+def _lists(values: list[np.ndarray], offsets: np.ndarray, kind: pa.DataType) -> list[pa.Array]:
+    at = pa.array(offsets.astype(np.int32))
+    return [pa.ListArray.from_arrays(at, pa.array(v.astype(kind.to_pandas_dtype()))) for v in values]
+
+
+def _bucket_ends(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket starts in sorted keys: buckets are equal ranges of hashes."""
+    starts = [-(-(b << 64) // buckets) for b in range(1, buckets)]
+    return np.concatenate([[0], np.searchsorted(keys, np.array(starts, np.uint64)), [len(keys)]])
+
+
+def _number_chunks(chunk: int):
+    """mapInArrow function: rows with the number of their chunk, ``chunk`` bytes of a task's texts in turn."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, done = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            sizes = np.asarray(pc.binary_length(batch.column("text")), dtype=np.int64) + 1
+            upto = done + np.cumsum(sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(base + (upto - sizes) // chunk), pa.array(sizes), *batch.columns],
+                                             names=["chunk", "size", *batch.schema.names])
+            done = int(upto[-1]) if len(upto) else done
+    return number
+
+
+_COUNTED = "words array<bigint>, word_n array<int>, word_t array<int>, next_n array<int>, next_t array<int>, "\
+           "pairs array<bigint>, pair_n array<int>, pair_t array<int>"
+_ANSWER = "word_n array<bigint>, word_t array<bigint>, next_n array<bigint>, next_t array<bigint>, "\
+          "pair_n array<bigint>, pair_t array<bigint>"
+_WORD, _PAIR = ("word_n", "word_t", "next_n", "next_t"), ("pair_n", "pair_t")
+
+
+def _count_chunks(buckets: int):
+    """mapInArrow function: each chunk's (or part's) distinct words and pairs with their
+    counts, one row per bucket of hashes."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunk = batch.column("chunk").to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(chunk)) + 1, [len(chunk)]]) if len(chunk) else [0]
+            for at, end in zip(cuts[:-1], cuts[1:]):
+                part = batch.slice(at, end - at)
+                word, context, first = _tokens(part.column("text").to_pylist())
+                if not len(word):
+                    continue
+                marked = np.repeat(part.column("target").to_numpy(zero_copy_only=False), np.diff(first))
+                known, place = np.unique(np.concatenate([word, context]), return_inverse=True)
+                own, before = place[:len(word)], place[len(word):]
+                pairs, pair = np.unique(_pair_keys(context, word), return_inverse=True)
+                counts = [np.bincount(x, minlength=len(y)) for x, y in (
+                    (own, known), (own[marked], known), (before, known), (before[marked], known),
+                    (pair, pairs), (pair[marked], pairs))]
+                word_at, pair_at = _bucket_ends(known, buckets), _bucket_ends(pairs, buckets)
+                full = np.flatnonzero((np.diff(word_at) + np.diff(pair_at)) > 0)
+                # buckets without keys are empty ranges, so the ends of the others still follow each other
+                word_at, pair_at = (np.append(x[full], len(y)) for x, y in ((word_at, known), (pair_at, pairs)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(full), chunk[at])), pa.array(full.astype(np.int64)),
+                     *_lists([known.view(np.int64)], word_at, pa.int64()), *_lists(counts[:4], word_at, pa.int32()),
+                     *_lists([pairs.view(np.int64)], pair_at, pa.int64()), *_lists(counts[4:], pair_at, pa.int32())],
+                    names=["chunk", "bucket", "words", *_WORD, "pairs", *_PAIR])
+    return count
+
+
+def _flat(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().flatten().to_numpy() if table.num_rows else np.zeros(0, np.int64)
+
+
+def _sum_bucket(table: pa.Table) -> pa.Table:
+    """A bucket's counts summed over all chunks, and handed to each chunk in the order of
+    its distinct keys. The row without a chunk holds the bucket's words and tokens."""
+    chunks, which = np.unique(table.column("chunk").to_numpy(), return_inverse=True)
+    columns, totals = [], None
+    for key, names in (("words", _WORD), ("pairs", _PAIR)):
+        lengths = pc.list_value_length(table.column(key)).to_numpy()
+        keys, inverse = np.unique(_flat(table, key).view(np.uint64), return_inverse=True)
+        sums = [np.bincount(inverse, _flat(table, n), len(keys)).astype(np.int64) for n in names]
+        if totals is None:
+            totals = [int((sums[0] > 0).sum()), int(sums[0].sum()), int(sums[1].sum())]
+        # parts of one chunk may both hold a key
+        cell = np.unique(np.repeat(which, lengths) * np.int64(max(1, len(keys))) + inverse)
+        owner, at = np.divmod(cell, max(1, len(keys)))
+        offsets = np.append(np.searchsorted(owner, np.arange(len(chunks) + 1)), len(cell))
+        columns += _lists([s[at] for s in sums], offsets, pa.int64())
+    columns[0] = pa.concat_arrays([columns[0].slice(0, len(chunks)), pa.array([totals], columns[0].type)])
+    number = pa.array([*chunks.tolist(), None], pa.int64())
+    bucket = pa.array(np.full(len(chunks) + 1, table.column("bucket")[0].as_py()))
+    return pa.Table.from_arrays([number, bucket, *columns], names=["chunk", "bucket", *_WORD, *_PAIR])
+
+
+def _score_chunks(words: int, tokens: dict[str, int], weight: dict[str, float]):
+    """Cogroup function: a chunk's rows and its counts to the losses of each row."""
+    def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        word, context, first = _tokens(rows.column("text").to_pylist())
+        n = np.diff(first)
+        means = []
+        if len(word):
+            answers = answers.sort_by("bucket")
+            known, place = np.unique(np.concatenate([word, context]), return_inverse=True)
+            own, before = place[:len(word)], place[len(word):]
+            pairs, pair = np.unique(_pair_keys(context, word), return_inverse=True)
+        for model, end in (("target", "t"), ("background", "n")):
+            if not len(word):
+                means.append(np.zeros(len(n)))
+                continue
+            single, after, both = (_flat(answers, f"{x}_{end}") for x in ("word", "next", "pair"))
+            if len(single) != len(known) or len(both) != len(pairs):
+                raise RuntimeError("the counts of a chunk do not fit its texts")
+            prior = weight[model] * ((single[own] + 1.0) / float(tokens[model] + words))
+            loss = -np.log((both[pair] + prior) / (after[before] + weight[model]))
+            run_up = np.concatenate([[0.0], np.cumsum(loss)])
+            means.append((run_up[first[1:]] - run_up[first[:-1]]) / np.maximum(n, 1))
+        return pa.Table.from_arrays(
+            [rows.column("doc_id").cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(means[0]),
+             pa.array(means[1]), pa.array(means[0] - means[1])],
+            names=["doc_id", "n_tokens", "ce_target", "ce_background", "score"])
+    return score
 
 
 def _whole_vocabulary(documents: DataFrame, target_ids: DataFrame, id_col: str, text_col: str,
-                      prior: float) -> DataFrame:
+                      prior: float, chunk: int, bucket: int) -> DataFrame:
     """:func:`cross_entropy_difference` with every word of the documents as a token.
 
-    The texts are read once; from then on only pairs of hashes move. The background model
-    is matched to the target in size: its counts weigh as if it had as many tokens."""
-    docs = id_text(documents, id_col, text_col)
-    # numbered where the rows are first written, so that every later step has the same numbers
-    rows = stored(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-                  .mapInArrow(_with_pairs, "doc_id bigint, row bigint, c array<bigint>, w array<bigint>, n array<int>"), "lm-rows")
-    wanted = target_ids.select(F.col(f"`{id_col}`").alias("doc_id")).filter("doc_id is not null").distinct()
-    chosen = stored(rows.select("doc_id", "row").join(wanted, "doc_id", "left_semi").select("row"), "lm-target")
-
-    def pairs(of: DataFrame) -> DataFrame:
-        return of.select("row", F.inline(F.arrays_zip("c", "w", "n")))
-
-    def counted(of: DataFrame, name: str) -> DataFrame:
-        return of.groupBy("c", "w").agg(F.sum("n").alias(name))
-
-    in_target = pairs(rows.join(chosen, "row", "left_semi"))
-    cells = stored(counted(pairs(rows), "background").join(counted(in_target, "target"), ["c", "w"], "left")
-                   .fillna(0, ["target"]), "lm-cells")
-    models = ("target", "background")
-    single = stored(cells.groupBy("w").agg(*[F.sum(m).alias(f"single_{m}") for m in models]), "lm-words")
-    context = cells.groupBy("c").agg(*[F.sum(m).alias(f"context_{m}") for m in models])
-    facts = single.agg(F.count(F.lit(1)).alias("words"), *[F.sum(f"single_{m}").alias(m) for m in models]).first()
-    size, total = facts["words"] + 256, {m: facts[m] or 0 for m in models}
-    weight = {"target": prior, "background": prior * total["background"] / total["target"] if total["target"] else prior}
-
-    def loss(m: str) -> Column:
-        word = weight[m] * ((F.col(f"single_{m}") + 1.0) / float(total[m] + size))
-        return -F.log((F.col(m) + word) / (F.col(f"context_{m}") + weight[m]))
-
-    losses = cells.join(single, "w").join(context, "c").select("c", "w", *[loss(m).alias(f"loss_{m}") for m in models])
-    each = pairs(rows).join(stored(losses, "lm-losses"), ["c", "w"]).groupBy("row").agg(
-        F.sum("n").alias("n_tokens"), *[(F.sum(F.col("n") * F.col(f"loss_{m}")) / F.sum("n")).alias(f"ce_{m}")
-                                        for m in models])
-    out = rows.select("doc_id", "row").join(each, "row", "left")
-    return out.select(
-        "doc_id", F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens"),
-        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("ce_target", "ce_background")],
-        F.coalesce(F.col("ce_target") - F.col("ce_background"), F.lit(0.0)).alias("score"))
+    Texts are stored in chunks of ``chunk`` bytes. A chunk sends its distinct words and
+    pairs, as hashes with counts, to buckets of hashes; a bucket sums them over all chunks
+    and sends each chunk the sums in the order of its keys. So a key moves once per chunk,
+    however often it occurs there, and sums come back without keys or documents.
+    A bucket receives the keys of ``bucket`` bytes of text on average, and a frequent key
+    once per chunk. The background model is matched to the target in size: its counts weigh
+    as if it had as many tokens."""
+    wanted = (target_ids.select(F.col(f"`{id_col}`").alias("doc_id")).filter("doc_id is not null").distinct()
+              .withColumn("target", F.lit(True)))
+    docs = id_text(documents, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    flagged = docs.join(wanted, "doc_id", "left").select(
+        "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    rows = stored(flagged.mapInArrow(
+        _number_chunks(chunk), "chunk bigint, size bigint, doc_id bigint, text string, target boolean"), "lm-rows")
+    buckets = 1 + (rows.agg(F.sum("size")).first()[0] or 0) // bucket
+    sent = rows.select("chunk", "text", "target").mapInArrow(
+        _count_chunks(buckets), f"chunk bigint, bucket bigint, {_COUNTED}")
+    sums = stored(sent.groupBy("bucket").applyInArrow(_sum_bucket, f"chunk bigint, bucket bigint, {_ANSWER}"), "lm-sums")
+    facts = sums.filter("chunk is null").agg(
+        *[F.coalesce(F.sum(F.col("word_n")[k]), F.lit(0)).alias(name)
+          for k, name in enumerate(("words", "background", "target"))]).first()
+    tokens = {m: facts[m] for m in ("target", "background")}
+    weight = {"target": prior,
+              "background": prior * tokens["background"] / tokens["target"] if tokens["target"] else prior}
+    score = _score_chunks(facts["words"] + 256, tokens, weight)
+    return (rows.select("chunk", "doc_id", "text").groupBy("chunk")
+            .cogroup(sums.filter("chunk is not null").groupBy("chunk"))
+            .applyInArrow(score, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double"))
