@@ -50,7 +50,7 @@ START = 0
 #: Bytes of text in a chunk, whose distinct words and pairs are counted together (whole vocabulary).
 CHUNK = 4 << 20
 #: Bytes of text whose words and pairs meet in one bucket of hashes, on average.
-BUCKET = 16 << 20
+BUCKET = 8 << 20
 
 
 class Vocabulary:
@@ -195,53 +195,79 @@ def _bucket_ends(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _number_chunks(chunk: int):
-    """mapInArrow function: rows with the number of their chunk, ``chunk`` bytes of a task's texts in turn."""
+    """mapInArrow function: rows with their chunk, ``chunk`` bytes of a task's texts in turn, and their place in the task."""
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, done = TaskContext.get().partitionId() << 32, 0
+        base, done, seen = TaskContext.get().partitionId() << 32, 0, 0
         for batch in batches:
             sizes = np.asarray(pc.binary_length(batch.column("text")), dtype=np.int64) + 1
             upto = done + np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(base + (upto - sizes) // chunk), pa.array(sizes), *batch.columns],
-                                             names=["chunk", "size", *batch.schema.names])
-            done = int(upto[-1]) if len(upto) else done
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(base + (upto - sizes) // chunk), pa.array(sizes), pa.array(seen + np.arange(len(sizes))),
+                 *batch.columns], names=["chunk", "size", "place", *batch.schema.names])
+            done, seen = int(upto[-1]) if len(upto) else done, seen + len(sizes)
     return number
 
 
-_COUNTED = "words array<bigint>, word_n array<int>, word_t array<int>, next_n array<int>, next_t array<int>, "\
-           "pairs array<bigint>, pair_n array<int>, pair_t array<int>"
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, rows): rows that follow each other in a chunk as one compressed value, a
+    third of their size in a shuffle."""
+    for batch in batches:
+        chunk = batch.column("chunk").to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(chunk)) + 1, [len(chunk)]]) if len(chunk) else [0]
+        for at, end in zip(cuts[:-1], cuts[1:]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(batch.slice(at, end - at))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk[at]]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "rows"])
+
+
+def _unpack(table: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(value.as_buffer()).read_all()
+                             for value in table.column("rows").combine_chunks()])
+
+
+_COUNTED = "words array<bigint>, word_n array<tinyint>, word_t array<tinyint>, next_n array<tinyint>, next_t array<tinyint>, "\
+           "pairs array<bigint>, pair_n array<tinyint>, pair_t array<tinyint>"
 _ANSWER = "word_n array<bigint>, word_t array<bigint>, next_n array<bigint>, next_t array<bigint>, "\
           "pair_n array<bigint>, pair_t array<bigint>"
 _WORD, _PAIR = ("word_n", "word_t", "next_n", "next_t"), ("pair_n", "pair_t")
 
 
-def _count_chunks(buckets: int):
-    """mapInArrow function: each chunk's (or part's) distinct words and pairs with their
-    counts, one row per bucket of hashes."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            chunk = batch.column("chunk").to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(chunk)) + 1, [len(chunk)]]) if len(chunk) else [0]
-            for at, end in zip(cuts[:-1], cuts[1:]):
-                part = batch.slice(at, end - at)
-                word, context, first = _tokens(part.column("text").to_pylist())
-                if not len(word):
-                    continue
-                marked = np.repeat(part.column("target").to_numpy(zero_copy_only=False), np.diff(first))
-                known, place = np.unique(np.concatenate([word, context]), return_inverse=True)
-                own, before = place[:len(word)], place[len(word):]
-                pairs, pair = np.unique(_pair_keys(context, word), return_inverse=True)
-                counts = [np.bincount(x, minlength=len(y)) for x, y in (
-                    (own, known), (own[marked], known), (before, known), (before[marked], known),
-                    (pair, pairs), (pair[marked], pairs))]
-                word_at, pair_at = _bucket_ends(known, buckets), _bucket_ends(pairs, buckets)
-                full = np.flatnonzero((np.diff(word_at) + np.diff(pair_at)) > 0)
-                # buckets without keys are empty ranges, so the ends of the others still follow each other
-                word_at, pair_at = (np.append(x[full], len(y)) for x, y in ((word_at, known), (pair_at, pairs)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(full), chunk[at])), pa.array(full.astype(np.int64)),
-                     *_lists([known.view(np.int64)], word_at, pa.int64()), *_lists(counts[:4], word_at, pa.int32()),
-                     *_lists([pairs.view(np.int64)], pair_at, pa.int64()), *_lists(counts[4:], pair_at, pa.int32())],
-                    names=["chunk", "bucket", "words", *_WORD, "pairs", *_PAIR])
+#: Counts travel as bytes; a higher count as several entries of its key.
+MOST = 127
+
+
+def _split_high(keys: np.ndarray, counts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Keys as often as their highest count needs, with counts of at most :data:`MOST`."""
+    times = np.maximum(1, -(-np.maximum.reduce(counts) // MOST))
+    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return np.repeat(keys, times), [np.clip(np.repeat(c, times) - nth * MOST, 0, MOST) for c in counts]
+
+
+def _count_chunk(buckets: int):
+    """Cogroup function: a chunk's distinct words and pairs with their counts, one row per
+    bucket of hashes; from its rows and the places of those in the target."""
+    def count(packed: pa.Table, chosen: pa.Table) -> pa.Table:
+        rows = _unpack(packed)
+        word, context, first = _tokens(rows.column("text").to_pylist())
+        target = np.isin(rows.column("place").to_numpy(), chosen.column("place").to_numpy())
+        marked = np.repeat(target, np.diff(first))
+        known, place = np.unique(np.concatenate([word, context]), return_inverse=True)
+        own, before = place[:len(word)], place[len(word):]
+        pairs, pair = np.unique(_pair_keys(context, word), return_inverse=True)
+        words, word_counts = _split_high(known, [np.bincount(x, minlength=len(known)) for x in (
+            own, own[marked], before, before[marked])])
+        pairs, pair_counts = _split_high(pairs, [np.bincount(x, minlength=len(pairs)) for x in (pair, pair[marked])])
+        word_at, pair_at = _bucket_ends(words, buckets), _bucket_ends(pairs, buckets)
+        full = np.flatnonzero((np.diff(word_at) + np.diff(pair_at)) > 0)
+        # buckets without keys are empty ranges, so the ends of the others still follow each other
+        word_at, pair_at = (np.append(x[full], len(y)) for x, y in ((word_at, words), (pair_at, pairs)))
+        return pa.Table.from_arrays(
+            [pa.array(np.full(len(full), rows.column("chunk")[0].as_py())), pa.array(full.astype(np.int64)),
+             *_lists([words.view(np.int64)], word_at, pa.int64()), *_lists(word_counts, word_at, pa.int8()),
+             *_lists([pairs.view(np.int64)], pair_at, pa.int64()), *_lists(pair_counts, pair_at, pa.int8())],
+            names=["chunk", "bucket", "words", *_WORD, "pairs", *_PAIR])
     return count
 
 
@@ -260,7 +286,7 @@ def _sum_bucket(table: pa.Table) -> pa.Table:
         sums = [np.bincount(inverse, _flat(table, n), len(keys)).astype(np.int64) for n in names]
         if totals is None:
             totals = [int((sums[0] > 0).sum()), int(sums[0].sum()), int(sums[1].sum())]
-        # parts of one chunk may both hold a key
+        # a chunk holds a key of high counts more than once
         cell = np.unique(np.repeat(which, lengths) * np.int64(max(1, len(keys))) + inverse)
         owner, at = np.divmod(cell, max(1, len(keys)))
         offsets = np.append(np.searchsorted(owner, np.arange(len(chunks) + 1)), len(cell))
@@ -273,7 +299,8 @@ def _sum_bucket(table: pa.Table) -> pa.Table:
 
 def _score_chunks(words: int, tokens: dict[str, int], weight: dict[str, float]):
     """Cogroup function: a chunk's rows and its counts to the losses of each row."""
-    def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    def score(packed: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = _unpack(packed)
         word, context, first = _tokens(rows.column("text").to_pylist())
         n = np.diff(first)
         means = []
@@ -311,16 +338,16 @@ def _whole_vocabulary(documents: DataFrame, target_ids: DataFrame, id_col: str,
     A bucket receives the keys of ``bucket`` bytes of text on average, and a frequent key
     once per chunk. The background model is matched to the target in size: its counts weigh
     as if it had as many tokens."""
-    wanted = (target_ids.select(F.col(f"`{id_col}`").alias("doc_id")).filter("doc_id is not null").distinct()
-              .withColumn("target", F.lit(True)))
     docs = id_text(documents, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    flagged = docs.join(wanted, "doc_id", "left").select(
-        "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
-    rows = stored(flagged.mapInArrow(
-        _number_chunks(chunk), "chunk bigint, size bigint, doc_id bigint, text string, target boolean"), "lm-rows")
+    # numbered where the rows are first written, so that every later step has the same numbers
+    rows = stored(docs.mapInArrow(
+        _number_chunks(chunk), "chunk bigint, size bigint, place bigint, doc_id bigint, text string"), "lm-rows")
     buckets = 1 + (rows.agg(F.sum("size")).first()[0] or 0) // bucket
-    sent = rows.select("chunk", "text", "target").mapInArrow(
-        _count_chunks(buckets), f"chunk bigint, bucket bigint, {_COUNTED}")
+    wanted = target_ids.select(F.col(f"`{id_col}`").alias("doc_id")).filter("doc_id is not null").distinct()
+    chosen = rows.select("chunk", "place", "doc_id").join(wanted, "doc_id", "left_semi").select("chunk", "place")
+    chunks = rows.mapInArrow(_pack, "chunk bigint, rows binary").groupBy("chunk")
+    sent = chunks.cogroup(chosen.groupBy("chunk")).applyInArrow(
+        _count_chunk(buckets), f"chunk bigint, bucket bigint, {_COUNTED}")
     sums = stored(sent.groupBy("bucket").applyInArrow(_sum_bucket, f"chunk bigint, bucket bigint, {_ANSWER}"), "lm-sums")
     facts = sums.filter("chunk is null").agg(
         *[F.coalesce(F.sum(F.col("word_n")[k]), F.lit(0)).alias(name)
@@ -329,6 +356,5 @@ def _whole_vocabulary(documents: DataFrame, target_ids: DataFrame, id_col: str,
     weight = {"target": prior,
               "background": prior * tokens["background"] / tokens["target"] if tokens["target"] else prior}
     score = _score_chunks(facts["words"] + 256, tokens, weight)
-    return (rows.select("chunk", "doc_id", "text").groupBy("chunk")
-            .cogroup(sums.filter("chunk is not null").groupBy("chunk"))
-            .applyInArrow(score, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double"))
+    return chunks.cogroup(sums.filter("chunk is not null").groupBy("chunk")).applyInArrow(
+        score, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double")

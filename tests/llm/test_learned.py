@@ -161,7 +161,7 @@ def test_lm_whole_vocabulary_equals_brute_force(spark):
     got = rows_by_id(lm_score.cross_entropy_difference(docs(spark, texts), ids, words=None, prior=5.0))
     for i, want in enumerate(brute_scores(texts, target, 10 ** 9, 5.0, matched=True)):
         assert np.allclose([got[i][c] for c in ("n_tokens", "ce_target", "ce_background", "score")], want, atol=1e-9)
-    # many chunks and buckets, chunks cut by the files they are read from
+    # many chunks and buckets
     small = rows_by_id(lm_score.cross_entropy_difference(docs(spark, texts).repartition(3), ids, words=None, prior=5.0,
                                                          chunk=300, bucket=200))
     for i in got:
@@ -175,14 +175,12 @@ def test_lm_whole_vocabulary_equals_brute_force(spark):
     assert lm_score.cross_entropy_difference(docs(spark, []), ids, words=None).count() == 0
 
 
-def test_lm_parts_of_a_chunk_are_one(spark):
-    """A chunk that is read in two pieces sends a key twice and gets one sum of it."""
-    import pyarrow as pa
-    batch = pa.table({"chunk": [7, 7, 8], "text": ["a b a", "b a", "a"], "target": [True, False, False]}).to_batches()[0]
-    whole = pa.Table.from_batches(list(lm_score._count_chunks(1)(iter([batch]))))
-    parts = pa.Table.from_batches(list(lm_score._count_chunks(1)(iter([batch.slice(0, 1), batch.slice(1)]))))
-    assert (whole.num_rows, parts.num_rows) == (2, 3)
-    assert lm_score._sum_bucket(whole).equals(lm_score._sum_bucket(parts))
+def test_lm_counts_above_a_byte(spark):
+    texts = ["a b " * 700, "a " * 1000 + "c", "b a " * 128, "a"]
+    ids = spark.createDataFrame([(0,), (2,)], "doc_id bigint")
+    got = rows_by_id(lm_score.cross_entropy_difference(docs(spark, texts), ids, words=None, prior=5.0))
+    for i, want in enumerate(brute_scores(texts, [True, False, True, False], 10 ** 9, 5.0, matched=True)):
+        assert np.allclose([got[i][c] for c in ("n_tokens", "ce_target", "ce_background", "score")], want, atol=1e-9)
 
 
 def test_quality_sample_holds_an_id_once(spark):
