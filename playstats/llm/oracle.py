@@ -30,7 +30,7 @@ LEFT JOIN cls USING (h) LEFT JOIN comp ON comp.node = cls.rep
 _OP3 = r"""
 WITH r AS (
   SELECT page_id, 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>'
-    || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Type: text/html'
+    || chr(13) || chr(10) || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Type: text/html'
     || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) AS head,
     html AS body, left(sha256(page_id::VARCHAR), 2) AS draw FROM pages),
 f AS (SELECT *, strlen(head || body)::BIGINT AS n_bytes, sha256(head || body) AS sha256 FROM r)

@@ -49,7 +49,6 @@ def op3_warc_fixity(spark: SparkSession, sf: str) -> DataFrame:
     first, second = shared_path(spark, "warc-first"), shared_path(spark, "warc-second")
     warc_fixity.write_warc(table(spark, sf, "pages"), first)
     kept = warc_fixity.read_warc(spark, first)
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rec = F.col("record")
     draw = F.substring(F.sha2(warc_fixity.record_id(rec).cast("string"), 256), 1, 2)
     head = F.concat(F.substring_index(rec, warc_fixity.GAP, 1), F.lit(warc_fixity.GAP))
@@ -61,7 +60,7 @@ def op3_warc_fixity(spark: SparkSession, sf: str) -> DataFrame:
                .withColumn("record", F.when(F.col("draw") < "04", bitten).when(F.col("draw") == "06", short).otherwise(rec))
                .withColumn("copy", F.explode(F.when(F.col("draw") == "07", F.array(F.lit(1), F.lit(2)))
                                              .otherwise(F.array(F.lit(1))))))
-    warc_fixity.write_records(damaged.repartition(files, "file_no")
+    warc_fixity.write_records(damaged.repartition("file_no")
                               .sortWithinPartitions("file_no", "block", "seq", "copy")
                               .select("file_no", "record"), second)
     trees = warc_fixity.build_trees(kept, warc_fixity.read_warc(spark, second))

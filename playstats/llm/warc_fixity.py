@@ -1,31 +1,32 @@
 """WARC files and their Merkle fixity audit.
 
 *Archive*: pages become WARC/1.0 resource records, written by Spark's text
-writer as gzip files, one folder ``file_no=k`` per file, in id order. Two CRLF
-end a record as the format asks; they are read back by Spark with the record start
-as line separator. The files are meant for this reader: records have no
-``WARC-Date``, which the standard requires, a null id leaves the record id empty,
-and a payload that could be mistaken for a record start is stored in base64 under
-a header of its own.
-
-*Tree*: a leaf is the SHA-256 of a record; a range node hashes the leaves of
-``RANGE_BYTES`` of ordered offsets in a file; a file node hashes its ranges;
-above, ``FANOUT`` nodes each form one, up to the root. Every level is a grouping
-of the one below, stored as a table; no group is larger than a range's records,
-a file's ranges or ``FANOUT`` nodes.
+writer as gzip files of about ``FILE_BYTES`` of payload, one folder ``file_no=k`` per
+file, in id order; rows of one id may lie in several files. Two CRLF end a record as
+the format asks; they are read back by Spark with the record start as line separator.
+Records have the four headers that the standard requires: type, id (of a null id:
+``<urn:page:none>``), length and date, which is a parameter, as pages have none. A
+payload that could be mistaken for a record start is stored in base64 under an
+extension header, which other readers hand on undecoded.
+
+*Tree*: a leaf is the SHA-256 of a record; a range node hashes the leaves of a run of
+ordered offsets in a file; a file node hashes its ranges; above, ``FANOUT`` nodes each
+form one, up to the root. Every level is a grouping of the one below, stored as a
+table; no group is larger than ``LONGEST`` records, a file's ranges or ``FANOUT`` nodes.
+
+*Ranges* are cut by content, not by offset: a range begins at each record whose id
+hashes to 0 modulo ``RANGE_RECORDS``, and is known by that id, so records lost, added or
+changed in length leave the other ranges of the file as they are. A lost first record
+opens two ranges, its own and the one before, which takes over its records. A run of
+more than ``LONGEST`` records without such an id is cut by number.
 
 *Audit*: equal roots end it. Otherwise it descends from the root, level by
 level, joining only children of nodes that differ, down to the differing
 ranges; the records of those are compared by id and give each damaged,
 missing or extra record with its place.
 
-Ranges are cut by offset, so a record that is lost, added or changes its length
-moves all ranges behind it in its file: the audit then compares that file's records
-from there on.
-
 Edge cases: null url: no target header; null payload: an empty one with the
-header ``X-Payload: null``; null ids are written as an empty id and read back
-as null. Equal records or ids are told apart by their number in the file. Two
+header ``X-Payload: null``; null ids are read back as null. Equal records or ids are told apart by their number in the file. Two
 empty archives have equal roots; against an empty one every record is missing
 or extra. Other columns are ignored.
 """
@@ -37,21 +38,27 @@ from pyspark.sql import functions as F
 
 from playstats.llm.common import stored
 
-RANGE_BYTES = 64 << 10
+#: Payload bytes of a file, about: what one task writes, reads and numbers.
+FILE_BYTES = 32 << 20
+#: Records of a range, on average, and at most.
+RANGE_RECORDS = 64
+LONGEST = 1024
+#: The date of records whose capture time is unknown.
+NO_DATE = "1970-01-01T00:00:00Z"
 FANOUT = 16
 CRLF = "\r\n"
 START = "WARC/1.0" + CRLF
 GAP = CRLF + CRLF
 
 
-def record(page_id: Column, url: Column, html: Column) -> Column:
+def record(page_id: Column, url: Column, html: Column, date: str = NO_DATE) -> Column:
     """A record as text, without the version line before and the gap after it."""
     payload = F.coalesce(html, F.lit(""))
     risky = payload.contains("WARC/1.0") | payload.endswith("\r") | payload.endswith(CRLF)
     body = F.when(risky, F.base64(F.encode(payload, "UTF-8"))).otherwise(payload)
     return F.concat(
         F.lit("WARC-Type: resource" + CRLF + "WARC-Record-ID: <urn:page:"),
-        F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">" + CRLF),
+        F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(">" + CRLF + f"WARC-Date: {date}" + CRLF),
         F.when(url.isNull(), "").otherwise(F.concat(
             F.lit("WARC-Target-URI: "), F.regexp_replace(url, "[\r\n]", " "), F.lit(CRLF))),
         F.lit("Content-Type: text/html" + CRLF),
@@ -61,16 +68,20 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
-               html_col: str = "html", files: int | None = None) -> None:
-    """Write ``pages`` in id order as WARC files below ``path``."""
-    files = files or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+               html_col: str = "html", files: int | None = None, date: str = NO_DATE) -> None:
+    """Write ``pages`` in id order as WARC files below ``path``: ``files`` of them, or as
+    many as their payload needs."""
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"),
                         F.col(f"`{html_col}`").alias("html"))
-    order = F.col("id").asc_nulls_first()
-    ordered = (rows.repartitionByRange(files, order)
-               .withColumn("file_no", F.spark_partition_id())
-               .sortWithinPartitions("file_no", order, "url", "html"))
-    write_records(ordered.select("file_no", record(F.col("id"), F.col("url"), F.col("html")).alias("record")), path)
+    if files is None:
+        payload = rows.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)).cast("bigint") + 256)).first()[0]
+        files = 1 + (payload or 0) // FILE_BYTES
+    # the digest and the row's number split ids and rows that repeat over several files
+    order = [F.col("id").asc_nulls_first(), F.col("url").asc_nulls_first(), F.col("digest"), F.col("nth")]
+    ordered = (rows.withColumns({"digest": F.xxhash64("html"), "nth": F.monotonically_increasing_id()})
+               .repartitionByRange(files, *order).withColumn("file_no", F.spark_partition_id())
+               .sortWithinPartitions("file_no", *order))
+    write_records(ordered.select("file_no", record(F.col("id"), F.col("url"), F.col("html"), date).alias("record")), path)
 
 
 def write_records(ordered: DataFrame, path: str) -> None:
@@ -120,16 +131,25 @@ def record_id(rec: Column) -> Column:
     return F.try_to_number(F.regexp_extract(_head(rec), r"<urn:page:(-?\d*)>", 1), F.lit("S" + "9" * 19)).cast("bigint")
 
 
-def leaves(records: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(file_no, range_no, offset, page_id, n_bytes, sha256) of every record."""
+def leaves(records: DataFrame, range_records: int = RANGE_RECORDS, longest: int = LONGEST) -> DataFrame:
+    """(file_no, range_no, offset, page_id, n_bytes, sha256) of every record; ``range_no``
+    is a hash of what the range is known by."""
     rec = F.col("record")
     narrow = records.select("file_no", "block", "seq", record_id(rec).alias("page_id"),
                             F.octet_length(rec).cast("bigint").alias("n_bytes"), F.sha2(rec, 256).alias("sha256"))
     size = F.col("n_bytes") + len(START) + len(GAP)
-    upto = F.sum(size).over(Window.partitionBy("file_no").orderBy("block", "seq"))
-    return (narrow.withColumn("offset", upto - size)
-            .select("file_no", F.floor(F.col("offset") / range_bytes).cast("bigint").alias("range_no"), "offset",
-                    "page_id", "n_bytes", "sha256"))
+    in_file = Window.partitionBy("file_no").orderBy("block", "seq")
+    first = F.pmod(F.xxhash64("page_id"), F.lit(range_records)) == 0
+    placed = (narrow.withColumn("offset", F.sum(size).over(in_file) - size)
+              .withColumn("run", F.count(F.when(first, 1)).over(in_file)))
+    # a run's first record names it; the part cuts long runs, the time tells runs of one id apart
+    in_run = Window.partitionBy("file_no", "run").orderBy("offset")
+    named = (placed.withColumn("head", F.when(F.col("run") > 0, F.first("page_id").over(in_run)))
+             .withColumn("part", F.floor((F.row_number().over(in_run) - 1) / longest)))
+    time = F.dense_rank().over(Window.partitionBy("file_no", "head").orderBy("run"))
+    return named.withColumn("time", time).select(
+        "file_no", F.xxhash64(F.col("run") > 0, "head", "time", "part").alias("range_no"), "offset", "page_id",
+        "n_bytes", "sha256")
 
 
 def _node(order: str) -> Column:
@@ -141,10 +161,11 @@ def _node(order: str) -> Column:
 class Tree:
     """The stored levels of one replica: leaves, ranges, and from files up to the root."""
 
-    def __init__(self, records: DataFrame, height: int, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT):
-        self.leaves = stored(leaves(records, range_bytes), "fixity-leaves")
-        self.ranges = stored(self.leaves.groupBy("file_no", "range_no").agg(_node("offset")), "fixity-ranges")
-        level = self.ranges.groupBy(F.col("file_no").cast("bigint").alias("no")).agg(_node("range_no"))
+    def __init__(self, records: DataFrame, height: int, range_records: int = RANGE_RECORDS, fanout: int = FANOUT):
+        self.leaves = stored(leaves(records, range_records), "fixity-leaves")
+        self.ranges = stored(self.leaves.groupBy("file_no", "range_no").agg(
+            _node("offset"), F.min("offset").alias("start")), "fixity-ranges")
+        level = self.ranges.groupBy(F.col("file_no").cast("bigint").alias("no")).agg(_node("start"))
         self.levels = [stored(level, "fixity-files")]
         for _ in range(height):
             up = self.levels[-1].groupBy(F.floor(F.col("no") / fanout).cast("bigint").alias("up")).agg(_node("no"))
@@ -163,11 +184,12 @@ def height_of(files: int, fanout: int = FANOUT) -> int:
     return height
 
 
-def build_trees(a: DataFrame, b: DataFrame, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> tuple[Tree, Tree]:
+def build_trees(a: DataFrame, b: DataFrame, range_records: int = RANGE_RECORDS,
+                fanout: int = FANOUT) -> tuple[Tree, Tree]:
     """Trees of equal height for two replicas' records."""
     last = a.select("file_no").unionAll(b.select("file_no")).agg(F.max("file_no")).first()[0]
     height = height_of((last or 0) + 1, fanout)
-    return Tree(a, height, range_bytes, fanout), Tree(b, height, range_bytes, fanout)
+    return Tree(a, height, range_records, fanout), Tree(b, height, range_records, fanout)
 
 
 def _differing(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

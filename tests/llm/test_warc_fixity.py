@@ -1,3 +1,5 @@
+import re
+
 from playstats.llm import warc_fixity as w
 from playstats.llm.common import shared_path
 from pyspark.sql import functions as F
@@ -32,6 +34,9 @@ def test_files_are_warc(spark):
     while data:  # as a plain reader would: header, stated length, two line ends
         head, _, rest = data.partition(b"\r\n\r\n")
         assert head.startswith(b"WARC/1.0\r\n")
+        for name in (b"WARC-Type: resource\r\n", b"WARC-Date: 1970-01-01T00:00:00Z\r\n", b"Content-Length: "):
+            assert head.count(b"\r\n" + name.rstrip()) == 1
+        assert re.search(rb"\r\nWARC-Record-ID: <urn:page:(-?\d+|none)>\r\n", head)
         size = int(head.partition(b"Content-Length: ")[2].split(b"\r\n")[0])
         assert rest[size:size + 4] == b"\r\n\r\n"
         data, found = rest[size + 4:], found + 1
@@ -56,7 +61,7 @@ def test_audit_locates_every_damage(spark):
     rows = [(i, f"http://h/{i}", f"page {i} " * (i % 40)) for i in range(400)]
     first = archive(spark, rows, files=20)
     second = _second(spark, first, change=[17, 300], drop=[5, 399], twice=[100])
-    a, b = w.build_trees(w.read_warc(spark, first), w.read_warc(spark, second), range_bytes=2000, fanout=3)
+    a, b = w.build_trees(w.read_warc(spark, first), w.read_warc(spark, second), range_records=4, fanout=3)
     assert len(a.levels) == 1 + w.height_of(20, 3) and a.root() != b.root()
     bad = w.bad_ranges(a, b, fanout=3)
     assert 0 < bad.count() < a.ranges.count() / 2  # only damaged files are opened
@@ -77,3 +82,40 @@ def test_equal_and_empty_replicas(spark):
     assert [r.status for r in w.audit(a, b).collect()] == ["missing"] * len(ODD)
     a, b = w.build_trees(none, none)
     assert a.root() is None and w.audit(a, b).count() == 0
+
+
+def _open(spark, rows, drop, **how):
+    """Ranges of one file that differ, and all, when records are lost."""
+    first = archive(spark, rows, files=1)
+    second = _second(spark, first, change=[], drop=drop)
+    a, b = w.build_trees(w.read_warc(spark, first), w.read_warc(spark, second), **how)
+    lost = sorted(r.page_id for r in w.audit(a, b).filter("status = 'missing'").collect())
+    assert lost == sorted(i for i, _, _ in rows if i in drop)
+    assert w.audit(a, b).filter("status not in ('ok', 'missing')").count() == 0
+    return w.bad_ranges(a, b).count(), a.ranges.count()
+
+
+def test_a_lost_record_opens_two_ranges_at_most(spark):
+    rows = [(i, f"http://h/{i}", f"page {i} " * (i % 9)) for i in range(500)]
+    heads = [r.id for r in spark.range(500).filter("pmod(xxhash64(id), 8) = 0").collect()]
+    bad, every = _open(spark, rows, [next(i for i in range(1, 500) if i not in heads)], range_records=8)
+    assert bad == 1 and every > 30
+    assert _open(spark, rows, heads[3:4], range_records=8)[0] == 2
+
+
+def test_hot_and_null_ids_are_cut_by_number_and_split_over_files(spark):
+    rows = [(5, "u", "same")] * 3000 + [(None, "u", f"x{i}") for i in range(3000)] + [(i, "u", "y") for i in range(100)]
+    first = archive(spark, rows, files=6)
+    records = w.read_warc(spark, first)
+    assert max(r["count"] for r in records.groupBy("file_no").count().collect()) < 2 * len(rows) / 6
+    a, b = w.build_trees(records, records)
+    assert a.leaves.groupBy("file_no", "range_no").count().agg(F.max("count")).first()[0] <= w.LONGEST
+    assert w.bad_ranges(a, b) is None and a.leaves.count() == len(rows)
+
+
+def test_files_follow_the_payload(spark, monkeypatch):
+    monkeypatch.setattr(w, "FILE_BYTES", 4000)
+    rows = [(i, "u", "z" * 500) for i in range(64)]
+    path = shared_path(spark, "test-warc")
+    w.write_warc(pages(spark, rows), path)
+    assert 8 <= w.read_warc(spark, path).select("file_no").distinct().count() <= 14
