@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playstats.operators.joins import skew_safe_join
 from playstats.scratch import stored
@@ -27,6 +28,42 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+#: Rows left out of a stored table by name and place; beyond this size they are not broadcast.
+DROPPED_BYTES = 64 << 20
+
+
+def distinct_stored(spark: SparkSession, path: str, dropped_bytes: int = DROPPED_BYTES) -> DataFrame:
+    """Full-row distinct of a Parquet table; NULLs compare equal, as do NaNs and both zeros.
+
+    Only a 128-bit digest of each row and its place (file, row number) are shuffled: the
+    first place of each digest stays, the others are left out by an anti join on the place
+    in a second scan, which moves no row. That needs the places to be few; with more than
+    ``dropped_bytes`` of them :func:`distinct_rows` takes over, whose partial aggregate is
+    at its best where many rows are equal. Nested columns go that way too, as their digests
+    would not tell ``[NULL, 1]`` from ``[1, NULL]``."""
+    table = spark.read.parquet(path)
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in table.schema):
+        return distinct_rows(table)
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    # a hash of values alone skips NULLs, so each value comes with whether it is one
+    parts = [x for c in table.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    digest = [F.xxhash64(F.lit(seed), *parts).alias(f"h{seed}") for seed in (1, 2)]
+    places = table.select(*digest, F.struct(file.alias("file"), row.alias("row")).alias("place"))
+    repeated = stored(places.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+                      .filter("n > 1"), "repeated-rows")
+    size = F.sum((F.col("n") - 1) * (F.length("first.file") + 64))
+    if (repeated.agg(size).first()[0] or 0) > dropped_bytes:
+        return distinct_rows(table)
+    # as many rows as are left out, and one more each: few enough to broadcast as well
+    dropped = stored(places.join(F.broadcast(repeated), ["h1", "h2"]).filter(F.col("place") != F.col("first"))
+                     .select("place.file", "place.row"), "dropped-rows")
+    # by number, so that no name of the table clashes with the place
+    numbered = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(table.columns)]
+    kept = table.select(*numbered, file.alias("file"), row.alias("row")).join(
+        F.broadcast(dropped), ["file", "row"], "left_anti")
+    return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(table.columns)])
+
+
 def distinct_projection(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns).dropDuplicates()
 

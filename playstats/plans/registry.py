@@ -240,6 +240,14 @@ def q_distinct_rows(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderstatus", "o_orderdate", "o_orderpriority"))
 
 
+def q_distinct_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole rows of a stored table into which every tenth order was loaded again."""
+    orders = DriverTables(spark, sf).orders
+    path = scratch_path(spark, "orders-twice")
+    writers.write_table(orders.unionAll(orders.filter(F.col("o_orderkey") % 10 == 0)), path)
+    return ops.distinct_stored(spark, path)
+
+
 def q_distinct_projection(spark: SparkSession, sf: str) -> DataFrame:
     return ops.distinct_projection(DriverTables(spark, sf).part, ["p_brand", "p_type"])
 

@@ -2,9 +2,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from playstats.operators.keys import (assign_surrogate_id, duplicate_members, duplicate_summary,
+from playstats.operators.keys import (assign_surrogate_id, distinct_rows, distinct_stored, duplicate_members, duplicate_summary,
                                      groups_larger_than, keep_first, keep_last, patch_by_key)
 from playstats.operators.ordering import head_tail, slice_rows
+from playstats.scratch import scratch_path
 
 
 def test_keep_last_by_event_time_not_file_order(spark):
@@ -201,3 +202,44 @@ def test_slice_stores_nothing_and_sorts_one_range(spark):
     assert sorted(os.walk(root)) == before
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Sort [") == 1 and "Filter" in plan and "Window" not in plan
+
+
+def _wide(spark):
+    rows = [(i % 70, None if i % 3 else "x", float(i % 2)) for i in range(300)]
+    rows += [(None, "a", None), (None, None, 1.0), (None, "a", None), (1, "a", float("nan")), (1, "a", float("nan")),
+             (2, "z", 0.0), (2, "z", -0.0), (None, None, None), (None, None, None), (None, "b", None)]
+    return spark.createDataFrame(rows, "`a.b` int, file string, _row double")  # names like those used inside
+
+
+def _bag(df):
+    return sorted(map(str, (tuple(r) for r in df.collect())))
+
+
+@pytest.mark.parametrize("files", [1, 5])
+def test_distinct_stored_equals_distinct(spark, files):
+    path = scratch_path(spark, "wide")
+    _wide(spark).repartition(files).write.parquet(path)
+    table = spark.read.parquet(path)
+    want = [r.replace("-0.0", "0.0") for r in _bag(distinct_rows(table))]
+    for limit in (64 << 20, 0):  # by place, and where too many places would be broadcast
+        got = distinct_stored(spark, path, dropped_bytes=limit)
+        assert got.columns == table.columns
+        assert sorted(r.replace("-0.0", "0.0") for r in _bag(got)) == sorted(want)
+
+
+def test_distinct_stored_moves_no_row(spark):
+    path = scratch_path(spark, "wide")
+    spark.range(1000).selectExpr("id % 990 AS id", "repeat('x', 200) AS filler").write.parquet(path)
+    got = distinct_stored(spark, path)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    assert got.count() == 990
+
+
+def test_distinct_stored_of_nested_and_empty_tables(spark):
+    path, empty = scratch_path(spark, "nested"), scratch_path(spark, "empty")
+    spark.sql("SELECT array(CAST(NULL AS INT), 1) AS a UNION ALL SELECT array(1, NULL) UNION ALL SELECT array(1, NULL)"
+              ).write.parquet(path)
+    assert distinct_stored(spark, path).count() == 2
+    _wide(spark).limit(0).write.parquet(empty)
+    assert distinct_stored(spark, empty).count() == 0
