@@ -254,3 +254,56 @@ def test_a_column_of_no_languages_is_refused(spark):
     df = spark.createDataFrame([(i, "some words", f"x{i}") for i in range(30)], "doc_id bigint, text string, lang string")
     with pytest.raises(ValueError):
         language_id.learn(df, most=20)
+
+
+def plain_softmax(net, bag):
+    """Probabilities of both classes, number by number."""
+    at, share = bag
+    vector = [sum(float(s) * float(net.table[b][d]) for b, s in zip(at, share)) for d in range(quality.DIM)]
+    logits = [sum(vector[d] * float(net.layer[d][c]) for d in range(quality.DIM)) + float(net.bias[c]) for c in (0, 1)]
+    e = [math.exp(x - max(logits)) for x in logits]
+    return [x / sum(e) for x in e]
+
+
+def test_quality_step_is_the_gradient(spark):
+    """One step of the classifier against difference quotients of the weighted log loss."""
+    rng = np.random.default_rng(3)
+    bag, label, weight, rate, h = (np.array([0, 5, 40_000]), np.array([0.5, 0.3, 0.2], np.float32)), 1, 0.7, 0.5, 1e-3
+    net = quality.Classifier()
+    net.table, net.layer = net.table.astype(float), rng.normal(size=(quality.DIM, 2))
+    net.bias = np.array([0.2, -0.1])
+
+    def loss():
+        return -weight * math.log(plain_softmax(net, bag)[label])
+
+    def slope(array, *at):
+        kept, ends = array[at], []
+        for d in (h, -h):
+            array[at] = kept + d
+            ends.append(loss())
+        array[at] = kept
+        return (ends[0] - ends[1]) / (2 * h)
+
+    places = [(b, d) for b in (0, 5, 40_000, 7) for d in range(quality.DIM)]
+    table = {p: net.table[p] - rate * slope(net.table, *p) for p in places}
+    layer = {(d, c): net.layer[d, c] - rate * slope(net.layer, d, c) for d in range(quality.DIM) for c in (0, 1)}
+    bias = [net.bias[c] - 0.1 * rate * slope(net.bias, c) for c in (0, 1)]
+    net.fit([bag], np.array([label]), np.array([weight]), epochs=1, rate=rate)
+    assert all(abs(net.table[p] - v) < 1e-5 for p, v in table.items())
+    assert all(abs(net.layer[p] - v) < 1e-5 for p, v in layer.items())
+    assert np.allclose(net.bias, bias, atol=1e-5)
+
+
+def test_quality_score_is_the_softmax(spark):
+    """The collapsed table scores as the whole network does, feature by feature."""
+    net = quality.Classifier()
+    rng = np.random.default_rng(5)
+    net.layer, net.bias = rng.normal(size=(quality.DIM, 2)), np.array([0.3, 0.1])
+    texts = ["", "one", "Two words", "a b c a b c", "é日本 ßen", "z" * 5000, None]
+    got = rows_by_id(quality.score(docs(spark, texts), net.collapsed()))
+    for i, text in enumerate(texts):
+        found = quality.features([text or ""])[0]
+        n_words, n = len((text or "").split()), len(text or "")
+        assert len(found) == 1 + n_words + max(0, n_words - 1) + max(0, n - 2) + max(0, n - 3)
+        bag = (found, np.full(len(found), 1 / len(found)))
+        assert abs(got[i]["score"] - plain_softmax(net, bag)[1]) < 1e-6
