@@ -199,6 +199,7 @@ ORACLE_SQL: dict[str, str] = {
 
     # distinct, duplicates, keys
     "distinct_rows": "SELECT DISTINCT o_orderstatus, o_orderdate, o_orderpriority FROM orders",
+    "distinct_stored": "SELECT DISTINCT * FROM orders",
     "distinct_projection": "SELECT DISTINCT p_brand, p_type FROM part",
     "dup_rows_all": """
         SELECT o_orderdate, o_orderstatus FROM (
