@@ -48,9 +48,9 @@ PRIOR = 50.0
 #: The context of a text's first word.
 START = 0
 #: Bytes of text in a chunk, whose distinct words and pairs are counted together (whole vocabulary).
-CHUNK = 4 << 20
+CHUNK = 8 << 20
 #: Bytes of text whose words and pairs meet in one bucket of hashes, on average.
-BUCKET = 8 << 20
+BUCKET = 16 << 20
 
 
 class Vocabulary:
@@ -183,143 +183,180 @@ def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word, context, first
 
 
-def _lists(values: list[np.ndarray], offsets: np.ndarray, kind: pa.DataType) -> list[pa.Array]:
-    at = pa.array(offsets.astype(np.int32))
-    return [pa.ListArray.from_arrays(at, pa.array(v.astype(kind.to_pandas_dtype()))) for v in values]
-
-
 def _bucket_ends(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket starts in sorted keys: buckets are equal ranges of hashes."""
     starts = [-(-(b << 64) // buckets) for b in range(1, buckets)]
     return np.concatenate([[0], np.searchsorted(keys, np.array(starts, np.uint64)), [len(keys)]])
 
 
-def _number_chunks(chunk: int):
-    """mapInArrow function: rows with their chunk, ``chunk`` bytes of a task's texts in turn, and their place in the task."""
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, done, seen = TaskContext.get().partitionId() << 32, 0, 0
-        for batch in batches:
-            sizes = np.asarray(pc.binary_length(batch.column("text")), dtype=np.int64) + 1
-            upto = done + np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(base + (upto - sizes) // chunk), pa.array(sizes), pa.array(seen + np.arange(len(sizes))),
-                 *batch.columns], names=["chunk", "size", "place", *batch.schema.names])
-            done, seen = int(upto[-1]) if len(upto) else done, seen + len(sizes)
-    return number
-
-
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, rows): rows that follow each other in a chunk as one compressed value, a
-    third of their size in a shuffle."""
-    for batch in batches:
-        chunk = batch.column("chunk").to_numpy()
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(chunk)) + 1, [len(chunk)]]) if len(chunk) else [0]
-        for at, end in zip(cuts[:-1], cuts[1:]):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_batch(batch.slice(at, end - at))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk[at]]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "rows"])
-
-
-def _unpack(table: pa.Table) -> pa.Table:
-    return pa.concat_tables([pa.ipc.open_stream(value.as_buffer()).read_all()
-                             for value in table.column("rows").combine_chunks()])
+#: Texts are compressed at this level of zstd, keys and counts at its fastest one.
+LEVEL = 6
+_TEXTS = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
+_ZSTD = pa.Codec("zstd", compression_level=1)
 
 
-_COUNTED = "words array<bigint>, word_n array<tinyint>, word_t array<tinyint>, next_n array<tinyint>, next_t array<tinyint>, "\
-           "pairs array<bigint>, pair_n array<tinyint>, pair_t array<tinyint>"
-_ANSWER = "word_n array<bigint>, word_t array<bigint>, next_n array<bigint>, next_t array<bigint>, "\
-          "pair_n array<bigint>, pair_t array<bigint>"
-_WORD, _PAIR = ("word_n", "word_t", "next_n", "next_t"), ("pair_n", "pair_t")
+def _packed(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=_TEXTS) as out:
+        out.write_table(rows.combine_chunks())
+    return sink.getvalue().to_pybytes()
 
 
-#: Counts travel as bytes; a higher count as several entries of its key.
-MOST = 127
+def _texts_of(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(packed).read_all()
 
 
-def _split_high(keys: np.ndarray, counts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Keys as often as their highest count needs, with counts of at most :data:`MOST`."""
-    times = np.maximum(1, -(-np.maximum.reduce(counts) // MOST))
-    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    return np.repeat(keys, times), [np.clip(np.repeat(c, times) - nth * MOST, 0, MOST) for c in counts]
+def _pack_chunks(chunk: int):
+    """mapInArrow function: one row (chunk, size, ids, rows) for each ``chunk`` bytes of a
+    task's texts in turn; the rows themselves are one compressed value."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, done, held = TaskContext.get().partitionId() << 32, 0, []
 
+        def flush(number: int) -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            size = pc.sum(pc.binary_length(rows.column("text"))).as_py() or 0
+            ids = rows.column("doc_id").combine_chunks().cast(pa.int64())
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([base + number]), pa.array([size + len(rows)]),
+                 pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), ids), pa.array([_packed(rows)], pa.binary())],
+                names=["chunk", "size", "ids", "rows"])
 
-def _count_chunk(buckets: int):
-    """Cogroup function: a chunk's distinct words and pairs with their counts, one row per
-    bucket of hashes; from its rows and the places of those in the target."""
-    def count(packed: pa.Table, chosen: pa.Table) -> pa.Table:
-        rows = _unpack(packed)
-        word, context, first = _tokens(rows.column("text").to_pylist())
-        target = np.isin(rows.column("place").to_numpy(), chosen.column("place").to_numpy())
-        marked = np.repeat(target, np.diff(first))
-        known, place = np.unique(np.concatenate([word, context]), return_inverse=True)
-        own, before = place[:len(word)], place[len(word):]
-        pairs, pair = np.unique(_pair_keys(context, word), return_inverse=True)
-        words, word_counts = _split_high(known, [np.bincount(x, minlength=len(known)) for x in (
-            own, own[marked], before, before[marked])])
-        pairs, pair_counts = _split_high(pairs, [np.bincount(x, minlength=len(pairs)) for x in (pair, pair[marked])])
-        word_at, pair_at = _bucket_ends(words, buckets), _bucket_ends(pairs, buckets)
-        full = np.flatnonzero((np.diff(word_at) + np.diff(pair_at)) > 0)
-        # buckets without keys are empty ranges, so the ends of the others still follow each other
-        word_at, pair_at = (np.append(x[full], len(y)) for x, y in ((word_at, words), (pair_at, pairs)))
-        return pa.Table.from_arrays(
-            [pa.array(np.full(len(full), rows.column("chunk")[0].as_py())), pa.array(full.astype(np.int64)),
-             *_lists([words.view(np.int64)], word_at, pa.int64()), *_lists(word_counts, word_at, pa.int8()),
-             *_lists([pairs.view(np.int64)], pair_at, pa.int64()), *_lists(pair_counts, pair_at, pa.int8())],
-            names=["chunk", "bucket", "words", *_WORD, "pairs", *_PAIR])
+        open_one = 0
+        for batch in batches:
+            sizes = np.asarray(pc.binary_length(batch.column("text")), dtype=np.int64) + 1
+            upto = done + np.cumsum(sizes)
+            number = (upto - sizes) // chunk
+            cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
+            for at, end in zip(cuts[:-1], cuts[1:]):
+                if end > at:
+                    if held and number[at] != open_one:
+                        yield flush(open_one)
+                    open_one = int(number[at])
+                    held.append(batch.slice(at, end - at))
+            done = int(upto[-1]) if len(upto) else done
+        if held:
+            yield flush(open_one)
+    return pack
+
+
+def _squeeze(arrays: list[np.ndarray]) -> bytes:
+    """Arrays as one compressed value: the bytes of equal rank lie together, so the high
+    ones, which are mostly zero, take no room."""
+    raw = b"".join(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() for x in arrays)
+    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
+
+
+def _spread(value: bytes, sizes: list[int], kind: str) -> list[np.ndarray]:
+    """The arrays of :func:`_squeeze`, all of one kind."""
+    raw = np.frombuffer(_ZSTD.decompress(value[8:], int.from_bytes(value[:8], "little"), asbytes=True), np.uint8)
+    width, out, at = np.dtype(kind).itemsize, [], 0
+    for n in sizes:
+        out.append(np.ascontiguousarray(raw[at:at + n * width].reshape(width, n).T).view(kind).ravel())
+        at += n * width
+    return out
+
+
+_COUNTED = "n_words int, n_pairs int, keys binary, counts binary"
+_ANSWER = "n_words int, n_pairs int, sums binary, totals array<bigint>"
+
+
+def _places(word: np.ndarray, context: np.ndarray):
+    """The distinct words and pairs of a chunk, in order, and the place among them of each
+    token, of its context and of its pair."""
+    known, place = np.unique(np.concatenate([word, context]), return_inverse=True)
+    pairs, pair = np.unique(_pair_keys(context, word), return_inverse=True)
+    return known, place[:len(word)], place[len(word):], pairs, pair
+
+
+def _count_chunks(buckets: int):
+    """mapInArrow function: chunks (chunk, rows, chosen: places of the rows in the target) to
+    their distinct words and pairs with their counts, one row per bucket of hashes."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, packed, chosen in zip(*(batch.column(c) for c in ("chunk", "rows", "chosen"))):
+                rows = _texts_of(packed.as_py())
+                word, context, first = _tokens(rows.column("text").to_pylist())
+                target = np.zeros(len(rows), bool)
+                target[np.asarray(chosen.as_py() or [], np.int64)] = True
+                del rows
+                marked = np.repeat(target, np.diff(first))
+                known, own, before, pairs, pair = _places(word, context)
+                word_n = [np.bincount(x, minlength=len(known)).astype("<u4") for x in (own, own[marked], before, before[marked])]
+                pair_n = [np.bincount(x, minlength=len(pairs)).astype("<u4") for x in (pair, pair[marked])]
+                word_at, pair_at = _bucket_ends(known, buckets), _bucket_ends(pairs, buckets)
+                full = np.flatnonzero((np.diff(word_at) + np.diff(pair_at)) > 0)
+                out = {"n_words": [], "n_pairs": [], "keys": [], "counts": []}
+                for b in full:
+                    w, p = slice(word_at[b], word_at[b + 1]), slice(pair_at[b], pair_at[b + 1])
+                    # sorted keys are sent as the steps between them
+                    steps = [np.diff(k, prepend=np.uint64(0)) for k in (known[w], pairs[p])]
+                    out["n_words"].append(w.stop - w.start)
+                    out["n_pairs"].append(p.stop - p.start)
+                    out["keys"].append(_squeeze(steps))
+                    out["counts"].append(_squeeze([*[x[w] for x in word_n], *[x[p] for x in pair_n]]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(full), chunk.as_py())), pa.array(full.astype(np.int64)),
+                     *[pa.array(out[c], pa.int32()) for c in ("n_words", "n_pairs")],
+                     *[pa.array(out[c], pa.binary()) for c in ("keys", "counts")]],
+                    names=["chunk", "bucket", "n_words", "n_pairs", "keys", "counts"])
     return count
 
 
-def _flat(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).combine_chunks().flatten().to_numpy() if table.num_rows else np.zeros(0, np.int64)
-
-
 def _sum_bucket(table: pa.Table) -> pa.Table:
     """A bucket's counts summed over all chunks, and handed to each chunk in the order of
-    its distinct keys. The row without a chunk holds the bucket's words and tokens."""
-    chunks, which = np.unique(table.column("chunk").to_numpy(), return_inverse=True)
-    columns, totals = [], None
-    for key, names in (("words", _WORD), ("pairs", _PAIR)):
-        lengths = pc.list_value_length(table.column(key)).to_numpy()
-        keys, inverse = np.unique(_flat(table, key).view(np.uint64), return_inverse=True)
-        sums = [np.bincount(inverse, _flat(table, n), len(keys)).astype(np.int64) for n in names]
-        if totals is None:
-            totals = [int((sums[0] > 0).sum()), int(sums[0].sum()), int(sums[1].sum())]
-        # a chunk holds a key of high counts more than once
-        cell = np.unique(np.repeat(which, lengths) * np.int64(max(1, len(keys))) + inverse)
-        owner, at = np.divmod(cell, max(1, len(keys)))
-        offsets = np.append(np.searchsorted(owner, np.arange(len(chunks) + 1)), len(cell))
-        columns += _lists([s[at] for s in sums], offsets, pa.int64())
-    columns[0] = pa.concat_arrays([columns[0].slice(0, len(chunks)), pa.array([totals], columns[0].type)])
-    number = pa.array([*chunks.tolist(), None], pa.int64())
-    bucket = pa.array(np.full(len(chunks) + 1, table.column("bucket")[0].as_py()))
-    return pa.Table.from_arrays([number, bucket, *columns], names=["chunk", "bucket", *_WORD, *_PAIR])
+    its distinct keys: of all documents what the other chunks add, of the target the sum.
+    The row without a chunk holds the bucket's words and tokens."""
+    n_words, n_pairs = table.column("n_words").to_pylist(), table.column("n_pairs").to_pylist()
+    sent = [(_spread(k.as_py(), [w, p], "<u8"), _spread(c.as_py(), [w] * 4 + [p] * 2, "<u4"))
+            for k, c, w, p in zip(table.column("keys"), table.column("counts"), n_words, n_pairs)]
+    answers: list[list[np.ndarray]] = [[] for _ in sent]
+    for place, columns in ((0, (0, 1, 2, 3)), (1, (4, 5))):
+        steps = [keys[place] for keys, _ in sent]
+        ends = np.cumsum([0, *map(len, steps)])
+        keys, inverse = np.unique(np.concatenate([np.cumsum(x, dtype=np.uint64) for x in steps]), return_inverse=True)
+        for c in columns:
+            local = np.concatenate([counts[c] for _, counts in sent]).astype(np.int64)
+            sums = np.bincount(inverse, local, len(keys)).astype(np.int64)
+            if c == 0:
+                totals = [int((sums > 0).sum()), int(sums.sum())]
+            elif c == 1:
+                totals.append(int(sums.sum()))
+            back = sums[inverse] - (local if c % 2 == 0 else 0)
+            for mine, at, end in zip(answers, ends[:-1], ends[1:]):
+                mine.append(back[at:end].astype("<u8"))
+    n = table.num_rows
+    return pa.Table.from_arrays(
+        [pa.array([*table.column("chunk").to_pylist(), None], pa.int64()),
+         pa.array(np.full(n + 1, table.column("bucket")[0].as_py())), pa.array([*n_words, None], pa.int32()),
+         pa.array([*n_pairs, None], pa.int32()), pa.array([*map(_squeeze, answers), None], pa.binary()),
+         pa.array([None] * n + [totals], pa.list_(pa.int64()))],
+        names=["chunk", "bucket", "n_words", "n_pairs", "sums", "totals"])
 
 
 def _score_chunks(words: int, tokens: dict[str, int], weight: dict[str, float]):
     """Cogroup function: a chunk's rows and its counts to the losses of each row."""
     def score(packed: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = _unpack(packed)
+        rows = _texts_of(packed.column("rows")[0].as_py())
         word, context, first = _tokens(rows.column("text").to_pylist())
         n = np.diff(first)
-        means = []
+        means = [np.zeros(len(n))] * 2
         if len(word):
             answers = answers.sort_by("bucket")
-            known, place = np.unique(np.concatenate([word, context]), return_inverse=True)
-            own, before = place[:len(word)], place[len(word):]
-            pairs, pair = np.unique(_pair_keys(context, word), return_inverse=True)
-        for model, end in (("target", "t"), ("background", "n")):
-            if not len(word):
-                means.append(np.zeros(len(n)))
-                continue
-            single, after, both = (_flat(answers, f"{x}_{end}") for x in ("word", "next", "pair"))
-            if len(single) != len(known) or len(both) != len(pairs):
+            known, own, before, pairs, pair = _places(word, context)
+            parts = [_spread(v.as_py(), [w] * 4 + [p] * 2, "<u8") for v, w, p in zip(
+                answers.column("sums"), *(answers.column(c).to_pylist() for c in ("n_words", "n_pairs")))]
+            sums = [np.concatenate([p[c] for p in parts]).astype(np.int64) for c in range(6)]
+            if len(sums[0]) != len(known) or len(sums[4]) != len(pairs):
                 raise RuntimeError("the counts of a chunk do not fit its texts")
-            prior = weight[model] * ((single[own] + 1.0) / float(tokens[model] + words))
-            loss = -np.log((both[pair] + prior) / (after[before] + weight[model]))
-            run_up = np.concatenate([[0.0], np.cumsum(loss)])
-            means.append((run_up[first[1:]] - run_up[first[:-1]]) / np.maximum(n, 1))
+            for c, at in ((0, own), (2, before), (4, pair)):  # what this chunk itself adds
+                sums[c] += np.bincount(at, minlength=len(sums[c]))
+            means = []
+            for model, (single, after, both) in (("target", sums[1::2]), ("background", sums[::2])):
+                prior = weight[model] * ((single[own] + 1.0) / float(tokens[model] + words))
+                loss = -np.log((both[pair] + prior) / (after[before] + weight[model]))
+                run_up = np.concatenate([[0.0], np.cumsum(loss)])
+                means.append((run_up[first[1:]] - run_up[first[:-1]]) / np.maximum(n, 1))
         return pa.Table.from_arrays(
             [rows.column("doc_id").cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(means[0]),
              pa.array(means[1]), pa.array(means[0] - means[1])],
@@ -331,30 +368,32 @@ def _whole_vocabulary(documents: DataFrame, target_ids: DataFrame, id_col: str,
                       prior: float, chunk: int, bucket: int) -> DataFrame:
     """:func:`cross_entropy_difference` with every word of the documents as a token.
 
-    Texts are stored in chunks of ``chunk`` bytes. A chunk sends its distinct words and
-    pairs, as hashes with counts, to buckets of hashes; a bucket sums them over all chunks
-    and sends each chunk the sums in the order of its keys. So a key moves once per chunk,
-    however often it occurs there, and sums come back without keys or documents.
+    Texts are stored in chunks of ``chunk`` bytes, one compressed row each. A chunk sends its
+    distinct words and pairs, as hashes with counts, to buckets of hashes; a bucket sums them
+    over all chunks and sends each chunk the sums in the order of its keys. So a key moves once
+    per chunk, however often it occurs there, and sums come back without keys or documents.
     A bucket receives the keys of ``bucket`` bytes of text on average, and a frequent key
-    once per chunk. The background model is matched to the target in size: its counts weigh
-    as if it had as many tokens."""
+    once per chunk. The chunks are counted where they were stored: which rows are in the target
+    comes to them as places. They are shuffled once, to meet the sums. The background model is
+    matched to the target in size: its counts weigh as if it had as many tokens."""
     docs = id_text(documents, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     # numbered where the rows are first written, so that every later step has the same numbers
-    rows = stored(docs.mapInArrow(
-        _number_chunks(chunk), "chunk bigint, size bigint, place bigint, doc_id bigint, text string"), "lm-rows")
-    buckets = 1 + (rows.agg(F.sum("size")).first()[0] or 0) // bucket
+    chunks = stored(docs.mapInArrow(
+        _pack_chunks(chunk), "chunk bigint, size bigint, ids array<bigint>, rows binary"), "lm-chunks")
+    buckets = 1 + (chunks.agg(F.sum("size")).first()[0] or 0) // bucket
     wanted = target_ids.select(F.col(f"`{id_col}`").alias("doc_id")).filter("doc_id is not null").distinct()
-    chosen = rows.select("chunk", "place", "doc_id").join(wanted, "doc_id", "left_semi").select("chunk", "place")
-    chunks = rows.mapInArrow(_pack, "chunk bigint, rows binary").groupBy("chunk")
-    sent = chunks.cogroup(chosen.groupBy("chunk")).applyInArrow(
-        _count_chunk(buckets), f"chunk bigint, bucket bigint, {_COUNTED}")
+    places = chunks.select("chunk", F.posexplode("ids").alias("place", "doc_id")).join(wanted, "doc_id", "left_semi")
+    chosen = stored(places.groupBy("chunk").agg(F.collect_list("place").alias("chosen")), "lm-chosen")
+    sent = chunks.select("chunk", "rows").join(chosen, "chunk", "left").mapInArrow(
+        _count_chunks(buckets), f"chunk bigint, bucket bigint, {_COUNTED}")
     sums = stored(sent.groupBy("bucket").applyInArrow(_sum_bucket, f"chunk bigint, bucket bigint, {_ANSWER}"), "lm-sums")
     facts = sums.filter("chunk is null").agg(
-        *[F.coalesce(F.sum(F.col("word_n")[k]), F.lit(0)).alias(name)
+        *[F.coalesce(F.sum(F.col("totals")[k]), F.lit(0)).alias(name)
           for k, name in enumerate(("words", "background", "target"))]).first()
     tokens = {m: facts[m] for m in ("target", "background")}
     weight = {"target": prior,
               "background": prior * tokens["background"] / tokens["target"] if tokens["target"] else prior}
     score = _score_chunks(facts["words"] + 256, tokens, weight)
-    return chunks.cogroup(sums.filter("chunk is not null").groupBy("chunk")).applyInArrow(
+    answers = sums.filter("chunk is not null").select("chunk", "bucket", "n_words", "n_pairs", "sums")
+    return chunks.select("chunk", "rows").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, "doc_id bigint, n_tokens bigint, ce_target double, ce_background double, score double")

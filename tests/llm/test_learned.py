@@ -1,7 +1,9 @@
 import math
+import os
 import random
 import zlib
 from collections import Counter
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -183,6 +185,34 @@ def test_lm_counts_above_a_byte(spark):
         assert np.allclose([got[i][c] for c in ("n_tokens", "ce_target", "ce_background", "score")], want, atol=1e-9)
 
 
+def test_lm_stores_less_than_the_texts(spark, monkeypatch):
+    """The tables that are stored on the way, in bytes of the texts."""
+    rng, sizes, stored = random.Random(44), [], lm_score.stored
+
+    def measured(df, label):
+        out = stored(df, label)
+        sizes.extend(os.path.getsize(urlparse(f).path) for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(lm_score, "stored", measured)
+    texts = [" ".join(words(rng.choice(["xa", "zc"]), 1, rng) + str(int(rng.paretovariate(0.5)) % 9000) for _ in range(150))
+             for _ in range(600)]
+    ids = spark.createDataFrame([(i,) for i in range(0, 600, 3)], "doc_id bigint")
+    lm_score.cross_entropy_difference(docs(spark, texts).repartition(2), ids, words=None, chunk=1 << 18, bucket=1 << 18)
+    assert 0 < sum(sizes) < 0.55 * sum(map(len, texts))
+
+
+def test_lm_keys_and_counts_travel_unchanged():
+    rng = np.random.default_rng(45)
+    keys = np.unique(rng.integers(0, 2 ** 64, 5000, np.uint64))
+    steps, none = lm_score._spread(lm_score._squeeze([np.diff(keys, prepend=np.uint64(0)), keys[:0]]), [len(keys), 0], "<u8")
+    assert np.array_equal(np.cumsum(steps, dtype=np.uint64), keys) and len(none) == 0
+    counts = [rng.integers(0, top, 300).astype("<u4") for top in (2, 300, 2 ** 32)]
+    value = lm_score._squeeze(counts)
+    assert all(map(np.array_equal, lm_score._spread(value, [300] * 3, "<u4"), counts))
+    assert len(value) < 300 * (1 + 2 + 4) + 40
+
+
 def test_quality_sample_holds_an_id_once(spark):
     df, labels = quality_tables(spark, 200)
     drawn = next(r.doc_id for r in labels.orderBy("doc_id").collect() if zlib.crc32(str(r.doc_id).encode()) % 5)
