@@ -41,28 +41,34 @@ def op2_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf, "documents"))
 
 
-def op3_warc_fixity(spark: SparkSession, sf: str) -> DataFrame:
-    """Archives ``pages`` as WARC files and a second replica of them with damage
-    (by the first byte of the id's SHA-256: 00-03 first character overwritten, 04
-    and 05 record lost, 06 last character lost, 07 record twice); returns the audit
-    of every record."""
-    first, second = shared_path(spark, "warc-first"), shared_path(spark, "warc-second")
-    warc_fixity.write_warc(table(spark, sf, "pages"), first)
-    kept = warc_fixity.read_warc(spark, first)
+def damaged(kept: DataFrame) -> DataFrame:
+    """(file_no, record) of a replica with damage, sorted by file: by the first byte of the
+    id's SHA-256, 00-03 first character overwritten, 04 and 05 record lost, 06 last
+    character lost, 07 record twice.
+
+    A file is read whole by one task, so its records are put in order there; no record is
+    shuffled."""
     rec = F.col("record")
     draw = F.substring(F.sha2(warc_fixity.record_id(rec).cast("string"), 256), 1, 2)
     head = F.concat(F.substring_index(rec, warc_fixity.GAP, 1), F.lit(warc_fixity.GAP))
     body = F.substring(rec, F.char_length(head) + 1, F.char_length(rec))
     bitten = F.when(F.char_length(body) > 0, F.concat(head, F.lit("~"), F.substring(body, F.lit(2), F.char_length(body)))).otherwise(rec)
     short = F.when(F.char_length(body) > 0, F.concat(head, F.substring(body, F.lit(1), F.char_length(body) - 1))).otherwise(rec)
-    damaged = (kept.withColumn("draw", draw)
-               .filter(~F.coalesce(F.col("draw"), F.lit("")).isin("04", "05"))
-               .withColumn("record", F.when(F.col("draw") < "04", bitten).when(F.col("draw") == "06", short).otherwise(rec))
-               .withColumn("copy", F.explode(F.when(F.col("draw") == "07", F.array(F.lit(1), F.lit(2)))
-                                             .otherwise(F.array(F.lit(1))))))
-    warc_fixity.write_records(damaged.repartition("file_no")
-                              .sortWithinPartitions("file_no", "block", "seq", "copy")
-                              .select("file_no", "record"), second)
+    rows = (kept.withColumn("draw", draw)
+            .filter(~F.coalesce(F.col("draw"), F.lit("")).isin("04", "05"))
+            .withColumn("record", F.when(F.col("draw") < "04", bitten).when(F.col("draw") == "06", short).otherwise(rec))
+            .withColumn("copy", F.explode(F.when(F.col("draw") == "07", F.array(F.lit(1), F.lit(2)))
+                                          .otherwise(F.array(F.lit(1))))))
+    return rows.sortWithinPartitions("file_no", "block", "seq", "copy").select("file_no", "record")
+
+
+def op3_warc_fixity(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives ``pages`` as WARC files and a second replica of them with damage
+    (:func:`damaged`); returns the audit of every record."""
+    first, second = shared_path(spark, "warc-first"), shared_path(spark, "warc-second")
+    warc_fixity.write_warc(table(spark, sf, "pages"), first)
+    kept = warc_fixity.read_warc(spark, first)
+    warc_fixity.write_records(damaged(kept), second)
     trees = warc_fixity.build_trees(kept, warc_fixity.read_warc(spark, second))
     return warc_fixity.audit(*trees).select("page_id", "n_bytes", "sha256", "found_sha256", "status")
 

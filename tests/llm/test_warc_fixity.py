@@ -2,6 +2,7 @@ import re
 
 from playstats.llm import warc_fixity as w
 from playstats.llm.common import shared_path
+from playstats.llm.queries import damaged
 from pyspark.sql import functions as F
 
 ODD = [(1, "http://a/1", "<html>\r\n\r\nplain</html>"), (2, "http://a/2\r\nX: y", "tail\r\n"), (3, None, None),
@@ -119,3 +120,19 @@ def test_files_follow_the_payload(spark, monkeypatch):
     path = shared_path(spark, "test-warc")
     w.write_warc(pages(spark, rows), path)
     assert 8 <= w.read_warc(spark, path).select("file_no").distinct().count() <= 14
+
+
+def test_the_damaged_replica_shuffles_no_record(spark):
+    rows = [(i, "u", f"page {i} " * 50) for i in range(300)]
+    kept = w.read_warc(spark, archive(spark, rows, files=5))
+    second = damaged(kept)
+    assert "Exchange" not in second._jdf.queryExecution().executedPlan().toString()
+    path = shared_path(spark, "test-warc")
+    w.write_records(second, path)
+    found = w.read_warc(spark, path)
+    assert found.select(F.input_file_name()).distinct().count() == found.select("file_no").distinct().count() == 5
+    # id order holds from file to file and within each
+    ids = [r.id for r in found.select("file_no", "block", "seq", w.record_id(F.col("record")).alias("id"))
+           .orderBy("file_no", "block", "seq").collect()]
+    lost = {r.id for r in spark.range(300).filter("substring(sha2(string(id), 256), 1, 2) in ('04', '05')").collect()}
+    assert ids == sorted(ids) and set(ids) == set(range(300)) - lost
