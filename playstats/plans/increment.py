@@ -57,11 +57,15 @@ def _new_lines(raw: DataFrame, store: VersionedTables) -> DataFrame:
     return stored(lines, "new-lines")
 
 
-def _add(stage: Stage, name: str, df: DataFrame, layout: Layout = Layout()) -> None:
+def _add(stage: Stage, name: str, df: DataFrame, layout: Layout = Layout()) -> DataFrame:
+    """Writes the rows of a table without buckets to the stage; the rows as written."""
     if name in stage.manifest:
         stage.append(name, df)
+        written = stage.path(f"{name}-more")
     else:
         stage.write(name, df, layout)
+        written = stage.path(name)
+    return stage.store.spark.read.schema(df.schema).parquet(written)
 
 
 def _add_dimension(stage: Stage, name: str, rows: DataFrame, key: str, buckets: int) -> None:
@@ -112,12 +116,10 @@ def run_increment(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str
         lines = _new_lines(log_raw, store) if log_raw is not None else None
         if "songplays" not in stage.manifest or (lines is not None and not lines.isEmpty()):
             plays = _numbered(spark, out, lines, _batch_name(stage.base, log_files))
-            new = {"times": star.build_times(plays), "songplays": star.build_songplays(plays, _catalog(stage))}
-            new = {name: stored(df, f"new-{name}") for name, df in new.items()}
             if lines is not None:
                 _add(stage, LINES, lines.select("_digest"))
-            _add(stage, "times", new["times"], Layout(partition_by=("year", "month")))
-            _add(stage, "songplays", new["songplays"])
+            new = {"times": _add(stage, "times", star.build_times(plays), Layout(partition_by=("year", "month"))),
+                   "songplays": _add(stage, "songplays", star.build_songplays(plays, _catalog(stage)))}
             _change_users(stage, plays, buckets)
         if check:
             for name, df in new.items():
@@ -142,4 +144,5 @@ def _catalog(stage: Stage) -> DataFrame:
 def _numbered(spark: SparkSession, out: str, lines: DataFrame | None, batch: str) -> DataFrame:
     """The new plays, numbered behind those of the earlier loads."""
     lines = spark.createDataFrame([], LOG_SCHEMA) if lines is None else lines.drop("_digest")
-    return Sequence(spark, f"{out}/_sequence", "songplay_id").number_sorted(star.ordered_plays(lines), batch, "songplay_id")
+    return Sequence(spark, f"{out}/_sequence", "songplay_id").number_sorted(
+        star.ordered_plays(lines, distinct=True), batch, "songplay_id")

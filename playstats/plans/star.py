@@ -104,16 +104,17 @@ def prepare_plays(log_raw: DataFrame, strict_user_id: bool = True,
 
 
 def ordered_plays(log_raw: DataFrame, strict_user_id: bool = True,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, distinct: bool = False) -> DataFrame:
     """The plays of :func:`prepare_plays` before numbering: distinct, cleaned,
     derived, with partitions in global event-time order.
 
     Distinct comes first, as a partial aggregate, so a line that holds a third of
     the log costs one row per task. Its result is stored, so the range sampling
-    and the range shuffle read distinct rows and no line is parsed again."""
+    and the range shuffle read distinct rows and no line is parsed again.
+    ``distinct``: ``log_raw`` holds distinct plays already, in a stored table."""
     order = ["ts"] + [c for c in log_raw.columns if c != "ts"]
-    distinct = stored(log_raw.filter(F.col("page") == NEXT_SONG).dropDuplicates(), "distinct-plays")
-    ranged = _by_range(distinct, order, num_partitions).sortWithinPartitions(*order)
+    rows = log_raw if distinct else stored(log_raw.filter(F.col("page") == NEXT_SONG).dropDuplicates(), "distinct-plays")
+    ranged = _by_range(rows, order, num_partitions).sortWithinPartitions(*order)
     plays = clean_frame(ranged.drop("_extra"))
     plays = plays.withColumn("start_time", epoch_ms_to_start_time("ts"))
     plays = plays.withColumns(time_part_columns("start_time"))

@@ -162,3 +162,25 @@ def test_first_load_without_any_file(spark, tmp_path):
     deliver(tmp_path, "d1", [play(DAY, "88", "Ann", "Lee", "F", "free")])
     tables = increment.run_increment(spark, str(tmp_path / "songs"), str(tmp_path / "logs"), str(tmp_path / "out"), buckets=4)
     assert tables["songplays"].count() == tables["times"].count() == tables["users"].count() == 1
+
+
+def test_a_load_writes_its_plays_once(spark, tmp_path, monkeypatch):
+    labels = []
+
+    def noted(df, label, write=increment.stored):
+        labels.append(label)
+        return write(df, label)
+
+    monkeypatch.setattr(increment, "stored", noted)
+    monkeypatch.setattr(star, "stored", noted)
+    songs, logs, out = (str(tmp_path / x) for x in ("songs", "logs", "out"))
+    write_lines(f"{songs}/a/1.json", [song("SOA", "Song A", "AR1", 2001, 218.93179, "Artist One")])
+    line = play(DAY, "12", "Bob", None, "M", "free")
+    deliver(tmp_path, "d1", [line, line, play(DAY + 1000, "12", "Bob", None, "M", "paid")])
+    increment.run_increment(spark, songs, logs, out, buckets=4)
+    deliver(tmp_path, "d2", [line, play(DAY + 9000, "7", "Ann", "Lee", "F", "free")])
+    two = increment.run_increment(spark, songs, logs, out, buckets=4)
+    assert two["songplays"].count() == two["times"].count() == 3
+    # the new lines are distinct: no second distinct; facts and times go straight to their tables
+    assert labels.count("new-lines") == 2
+    assert not {"distinct-plays", "new-times", "new-songplays"} & set(labels)
